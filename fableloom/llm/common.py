@@ -7,10 +7,20 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+_TYPES = {"long": T.LongType, "int": T.IntegerType, "double": T.DoubleType, "float": T.FloatType, "string": T.StringType, "boolean": T.BooleanType, "binary": T.BinaryType}
+
+
+def schema_of(**columns: str) -> T.StructType:
+    """A struct type from names and simple types, ``longs`` for an array of longs and so on; unlike DDL it needs no session."""
+    made = {k: _TYPES[v]() if v in _TYPES else T.ArrayType(_TYPES[v[:-1]]()) for k, v in columns.items()}
+    return T.StructType([T.StructField(k, v) for k, v in made.items()])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

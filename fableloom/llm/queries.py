@@ -5,9 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .quality_rules import judge_quality
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -27,6 +32,7 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed
 
 
 QUERIES = {
+    "op3_quality_rules": op3_quality_rules,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
