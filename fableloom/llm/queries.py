@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .quality_rules import judge_quality
+from .toxicity import score_toxicity
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
 
 
@@ -13,6 +14,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -33,6 +38,7 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed
 
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
+    "op4_toxicity": op4_toxicity,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
