@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .decontamination import find_contamination
 from .quality_rules import judge_quality
 from .toxicity import score_toxicity
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
@@ -18,6 +19,36 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP5_SQL = r"""
+WITH dw AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+iw AS (
+  SELECT item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iwin AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS s
+  FROM iw, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS u(i) WHERE len(w) > 0),
+ks AS (SELECT DISTINCT k FROM iwin),
+dwin AS (
+  SELECT rid, k, i, array_to_string(w[i : i + k - 1], ' ') AS s
+  FROM dw, ks, unnest(range(1, len(w) - k + 2)) AS u(i)),
+hits AS (SELECT rid, item_id, i, k FROM dwin JOIN iwin USING (k, s)),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + k)) AS v(p) GROUP BY rid),
+items AS (
+  SELECT rid, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT rid, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -39,8 +70,10 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed
 QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
+    "op5_decontamination": OP5_SQL,
     "op10_url_filters": _op10_sql(),
 }
