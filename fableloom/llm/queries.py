@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import find_contamination
+from .packing import pack_documents
 from .quality_rules import judge_quality
 from .toxicity import score_toxicity
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
@@ -68,6 +73,7 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
