@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .decontamination import find_contamination
+from .html_extract import extract_pages
 from .packing import pack_documents
 from .quality_rules import judge_quality
 from .toxicity import score_toxicity
@@ -54,6 +55,10 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM dw LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)"""
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
+    "op6_html_extraction": op6_html_extraction,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
