@@ -8,6 +8,7 @@ from .common import table
 from .decontamination import find_contamination
 from .html_extract import extract_pages
 from .packing import pack_documents
+from .quality_crf import score_quality
 from .quality_rules import judge_quality
 from .toxicity import score_toxicity
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
@@ -59,6 +60,10 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -83,6 +88,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
     "op6_html_extraction": op6_html_extraction,
+    "op8_quality_classifier": op8_quality_classifier,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
