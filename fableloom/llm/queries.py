@@ -10,6 +10,7 @@ from .html_extract import extract_pages
 from .packing import pack_documents
 from .quality_crf import score_quality
 from .quality_rules import judge_quality
+from .token_scan import count_document_tokens
 from .toxicity import score_toxicity
 from .url_filter import DEFAULT_LISTED, DEFAULT_RULES, judge_urls
 
@@ -64,6 +65,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_document_tokens(table(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_urls(table(spark, sf_dir, "pages"))
 
@@ -89,6 +94,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_html_extraction": op6_html_extraction,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
 }
 ORACLES = {
