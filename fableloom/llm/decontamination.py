@@ -13,7 +13,6 @@ joined inside the pass over the documents, which therefore are not shuffled.
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import UPPER, materialise, schema_of
+from .words import WordHashes, gram_hashes
 
 SPAN = 10
 K = 5
@@ -31,42 +31,12 @@ BLOCK_WORDS = 2_000_000
 
 _WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 _LOWER = str.maketrans(UPPER, UPPER.lower())
-_PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").translate(_LOWER))
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, the same in every process; forgets them all when there are many."""
-
-    def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
-        return h
-
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all runs of k words."""
-    n = len(words) - k + 1
-    if n <= 0:
-        return np.zeros(0, np.uint64)
-    h = np.full(n, k, np.uint64)
-    for j in range(k):
-        h = h * _PRIME + words[j : j + n]
-    return _mix(h)
-
-
 def winnow(hashes: np.ndarray, w: int) -> np.ndarray:
     """Positions of the smallest hash (the last among equals) of each w consecutive ones, in order and once each."""
     n = len(hashes) - w + 1

@@ -8,6 +8,7 @@ from .common import table
 from .decontamination import find_contamination
 from .html_extract import extract_pages
 from .licences import TEMPLATES, THRESHOLD, scan_licences
+from .near_dups import find_near_duplicates
 from .packing import pack_documents
 from .quality_crf import score_quality
 from .quality_rules import judge_quality
@@ -20,6 +21,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"))
 
@@ -122,6 +127,7 @@ SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_near_duplicates": op2_near_duplicates,
     "op3_quality_rules": op3_quality_rules,
     "op4_toxicity": op4_toxicity,
     "op5_decontamination": op5_decontamination,
