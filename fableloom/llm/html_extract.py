@@ -35,6 +35,9 @@ NOISE_NAMES = frozenset(
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = frozenset("ul ol dl table".split())
 
+#: Elements that hold one block, and so are never the article.
+LEAVES = frozenset("p li td blockquote pre h1 h2 h3 h4 h5 h6".split())
+
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
@@ -194,9 +197,10 @@ def main_text(source: str | None) -> str:
     outer = next((b.inside for b in blocks if holder in b.inside), ())
     chain = outer[: outer.index(holder) + 1] if holder else ()
     article = next((n for n in reversed(chain) if tags[n].split(".")[0] in ("article", "main")), None)
-    if article is None and chain and tags[holder].split(".")[0] in ("p", "li", "td", "blockquote", "pre", "h1", "h2", "h3", "h4", "h5", "h6"):
-        article = chain[-2] if len(chain) > 1 else None  # one long paragraph: what stands around it
-    holder = article or holder
+    if article is not None:
+        holder = article
+    elif chain and tags[holder].split(".")[0] in LEAVES:  # one long paragraph: what stands around it
+        holder = chain[-2] if len(chain) > 1 else 0
     kept = [b.text for b in blocks if (not holder or holder in b.inside) and (b.path in paths or 2 * b.linked <= len(b.text))]
     return "\n\n".join(kept)
 
