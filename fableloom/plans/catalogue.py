@@ -216,15 +216,41 @@ def sequence_chains(spark, d):
     return own.select("document_id", "chain_type", F.array_join(F.transform("members", lambda m: m["unit_id"]), "|").alias("unit_ids"), "evidence_summary")
 
 
-@query()
+_KINDS = ", ".join(f"('{name}', '{t}')" for name, types, _ in L.RELATION_CHAINS for t in types)
+_SEQUENCES = ORACLES["sequence_chains"].partition("w AS (")[2].partition("SELECT DISTINCT")[0]
+_CHAINS = _RELATIONS + f""",
+ends AS (SELECT document_id, relation_id, relation_type, source_unit_id AS s, target_unit_id AS t, confidence, unnest([target_unit_id, source_unit_id]) AS anchor FROM rel),
+kinds AS (SELECT * FROM (VALUES {_KINDS}) AS v(chain_type, relation_type)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY document_id, anchor, chain_type ORDER BY confidence DESC, relation_id DESC) AS place FROM ends JOIN kinds USING (relation_type)),
+around AS (
+  SELECT document_id, anchor, chain_type, string_agg(relation_id, '|' ORDER BY relation_id) AS relation_ids, string_agg(relation_type || ':' || s || '->' || t, '; ' ORDER BY relation_id) AS evidence_summary,
+    list_distinct(flatten(list([s, t]))) AS ids FROM ranked WHERE place <= 5 GROUP BY ALL),
+members AS (
+  SELECT m.document_id, anchor, chain_type, relation_ids, evidence_summary, string_agg(eu.unit_id, '|' ORDER BY eu.sequence_index) AS unit_ids
+  FROM (SELECT *, unnest(ids) AS id FROM around) m JOIN eu ON eu.document_id = m.document_id AND eu.unit_id = m.id GROUP BY ALL HAVING count(*) > 1),
+w AS ({_SEQUENCES.rstrip()},
+chains AS (
+  SELECT DISTINCT document_id, chain_type, unit_ids, relation_ids, evidence_summary FROM members
+  UNION ALL SELECT DISTINCT document_id, 'claim_evidence_explanation_sequence', s1.u || '|' || s2.u || '|' || s3.u, '', 'A_N0{{0}} -> D_N0{{0}} -> Y_N0{{0}}' FROM c WHERE s3 IS NOT NULL AND s3.q - s2.q <= 2)"""
+
+
+def _chains(spark, d):
+    return C.detect_chains(X.event_units(spark, d), _relations(spark, d), "run_events")
+
+
+@query(_CHAINS + " SELECT 'chain_' || substr(sha256('run_events::' || chain_type || '::' || unit_ids || '::' || relation_ids), 1, 16) AS chain_id, document_id, chain_type, unit_ids, relation_ids, evidence_summary FROM chains")
 def relation_chains(spark, d):
-    found = C.detect_chains(X.event_units(spark, d), _relations(spark, d), "run_events")
-    return found.select("chain_id", "document_id", "chain_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("relation_ids", "|").alias("relation_ids"), "score", "needs_review", "evidence_summary")
+    return _chains(spark, d).select("chain_id", "document_id", "chain_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("relation_ids", "|").alias("relation_ids"), "evidence_summary")
+
+
+@query(_CHAINS + " SELECT chain_type, count(*) AS n FROM chains GROUP BY chain_type")
+def chain_counts(spark, d):
+    return C.chain_summary(_chains(spark, d)).select("chain_type", "n")
 
 
 @query()
 def chain_summary(spark, d):
-    return C.chain_summary(C.detect_chains(X.event_units(spark, d), _relations(spark, d), "run_events"))
+    return C.chain_summary(_chains(spark, d))
 
 
 @query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), '[a-z0-9]+')) AS token FROM documents),
