@@ -63,7 +63,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str | None = None
                     rows.append((name, count, [None if pd.isna(i) else int(i) for i in part["id"]]))
                     count += len(part)
                     yield pd.DataFrame([rows.pop()], columns=["file", "first", "doc_ids"])
-        store.move(draft, f"{base}/{name}")
+        if store.get_file_info(f"{base}/{name}").is_file:  # an earlier attempt got as far as here, with the same bytes
+            store.delete_file(draft)
+        else:
+            store.move(draft, f"{base}/{name}")
 
     own = docs.select(F.col("doc_id").cast("string").alias("id"), "text")
     return materialise(own.mapInPandas(run, schema_of(file="string", first="long", doc_ids="longs")), "token-files")
