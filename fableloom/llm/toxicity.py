@@ -84,15 +84,17 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     chosen = F.broadcast(labelled_sample(labels, label, per_class))  # 2 * per_class rows of two numbers at most
     rows = materialise(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").select("text", "y"), "toxicity-sample")
     counts = rows.mapInPandas(_count_batches, schema_of(gram="long", clean="double", toxic="double", texts="long"))
-    counts = counts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts")).toPandas()  # 2 ** BITS rows at most
-    if counts["clean"].sum() == 0 or counts["toxic"].sum() == 0:
+    counts = materialise(counts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts")), "toxicity-counts")
+    sums = counts.agg(F.coalesce(F.sum("clean"), F.lit(0.0)).alias("clean"), F.coalesce(F.sum("toxic"), F.lit(0.0)).alias("toxic")).first()
+    if sums["clean"] == 0 or sums["toxic"] == 0:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), prior)
-    p, q, texts = np.ones(1 << BITS), np.ones(1 << BITS), np.zeros(1 << BITS)
-    p[counts["gram"]] += counts["toxic"]
-    q[counts["gram"]] += counts["clean"]
-    texts[counts["gram"]] = counts["texts"]
-    ratio = np.log((p / p.sum()) / (q / q.sum())).round(6)  # sums of floats differ in their last digits with the order of tasks
-    ratio[(np.abs(ratio) < MIN_RATIO) | (texts < MIN_TEXTS)] = 0
+    # Only n-grams of enough texts can be used, so only they come to the driver; the shares are of all.
+    own = counts.where(F.col("texts") >= MIN_TEXTS).toPandas()  # 2 ** BITS rows at most
+    p, q = 1 + own["toxic"].to_numpy(), 1 + own["clean"].to_numpy()
+    logs = np.log(p / (sums["toxic"] + (1 << BITS))) - np.log(q / (sums["clean"] + (1 << BITS)))
+    logs = logs.round(6)  # sums of floats differ in their last digits with the order of tasks
+    ratio = np.zeros(1 << BITS)
+    ratio[own["gram"]] = np.where(np.abs(logs) < MIN_RATIO, 0, logs)
     used = ratio != 0
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
