@@ -4,9 +4,11 @@ Runs of five words, told apart by their number of occurrence, are hashed once
 for each band; the two smallest, in the order in which the text has them, are
 the band's key, so that equal keys speak for small edit distance and not only
 for shared content. Texts of one key are sorted by their third smallest hash and
-linked to their neighbours in this order and to the first of them, never all
-with all: the candidates grow with the rows, and a key that very many texts
-share is split over tasks like any other run of sorted rows. Candidates are
+linked to their neighbours in this order and to the first of them, which folds
+most classes with candidates that grow with the rows. Then every pair of texts
+that share a key, are of compatible length and still of different classes is a
+candidate, so that the classes are those of all pairs that share a key; shared
+bigrams rule out most of these before their texts are read. Candidates are
 aligned word by word within a band around the diagonal; verified links make
 classes through connected components.
 """
@@ -27,8 +29,10 @@ from .common import fresh_path, materialise, schema_of
 from .words import PRIME, WordHashes, gram_hashes, mix
 
 K, BANDS, SIMILARITY = 5, 16, 0.8
-#: How many texts back in a key's order a text is linked.
+#: How many texts back in a key's order a text is linked at first.
 NEIGHBOURS = 3
+#: Texts of a key that one task compares with as many others, and the bins of their bags of bigrams.
+BLOCK, BINS = 256, 1024
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -144,13 +148,16 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
     return materialise(rows.groupBy("_h1", "_h2").agg(F.min("_row").alias("tid"), F.count(F.lit(1)).alias("copies"), first.alias("first")), "near-dups-texts")
 
 
-def candidate_pairs(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b (tids, a < b) and votes of all linked pairs of different texts, materialised."""
-    spark = rows.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def text_keys(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """band, key, third, n (words) and tid of every key of every text, materialised."""
     own = rows.select(F.col("_row").alias("tid"), "_sketch").join(texts.select("tid"), "tid")
     keyed = own.select("tid", F.col("_sketch.n").alias("n"), F.posexplode(F.arrays_zip("_sketch.keys", "_sketch.third")).alias("band", "k"))
-    keyed = materialise(keyed.select("band", F.col("k.keys").alias("key"), F.col("k.third").alias("third"), "n", "tid"), "near-dups-keys")
+    return materialise(keyed.select("band", F.col("k.keys").alias("key"), F.col("k.third").alias("third"), "n", "tid"), "near-dups-keys")
+
+
+def candidate_pairs(keyed: DataFrame) -> DataFrame:
+    """a, b (tids, a < b) and votes of all linked pairs of different texts, materialised. keyed: of text_keys."""
+    n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["band", "key", "third", "tid"]
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,6 +212,63 @@ def _seams(row: np.ndarray, part: int, seam: int) -> pd.DataFrame:
     return pd.DataFrame({"a": [tid], "b": [tid], "seam": [seam], "part": [part], "band": [band], "key": [key], "n": [n]})
 
 
+def bigram_bag(words: np.ndarray) -> bytes:
+    """How often each bin of hashed word bigrams occurs, up to 255."""
+    ids = gram_hashes(words, 2) % np.uint64(BINS)
+    return np.minimum(np.bincount(ids.astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def _close(similarity: float):
+    """A function of a group of rows (n, tid, c, bag, own and the blocks i, j) to the pairs between i and j that may be similar.
+
+    One edit takes two bigrams away at most and adds two at most, so a pair whose
+    bags differ by more on either side is not within the limit: no similar pair
+    is left out.
+    """
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        i, j = g["i"].iat[0], g["j"].iat[0]
+        x, y = g[g["own"] == i], g[g["own"] == j]
+        n, tid, c = (y[k].to_numpy(np.int64) for k in ("n", "tid", "c"))
+        bags = np.frombuffer(b"".join(y["bag"]), np.uint8).reshape(-1, BINS).astype(np.int16)
+        found = [np.zeros((0, 2), np.int64)]
+        for m, t, k, bag in zip(x["n"], x["tid"], x["c"], x["bag"], strict=True):
+            longer = np.maximum(n, m)
+            limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+            at = np.flatnonzero((c != k) & (longer - np.minimum(n, m) <= limit) & ((tid > t) if i == j else True))
+            more = bags[at] - np.frombuffer(bag, np.uint8).astype(np.int16)
+            at = at[np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= 2 * limit[at]]
+            found.append(np.stack([np.minimum(tid[at], t), np.maximum(tid[at], t)], 1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
+
+    return run
+
+
+def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str, similarity: float) -> DataFrame:
+    """a, b (tids, a < b) of all texts of one key and different classes that may be similar, materialised.
+
+    The texts of a key are dealt to blocks by a hash, and each pair of blocks is a
+    group of its own, so a key that very many texts share is spread over tasks.
+    """
+    own = keyed.join(classes.withColumnRenamed("v", "tid"), "tid", "left").select("band", "key", "n", "tid", F.coalesce("c", "tid").alias("c"))
+    own = materialise(own, "near-dups-classed")
+    mixed = own.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high")
+    own = materialise(own.join(mixed.select("band", "key", "blocks"), ["band", "key"]), "near-dups-mixed")
+
+    def bag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for texts in batches:
+            yield pd.Series([bigram_bag(hashes.of(words_of(t))) for t in texts], dtype=object)
+
+    read = rows.select(F.col("_row").alias("tid"), F.col(text).alias("_text")).join(own.select("tid").distinct(), "tid")
+    bags = materialise(read.select("tid", F.pandas_udf(bag, "binary").asNondeterministic()("_text").alias("bag")), "near-dups-bags")
+    own = own.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")).join(bags, "tid")
+    other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = other.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "tid", "c", "bag")
+    pairs = dealt.groupBy("band", "key", "i", "j").applyInPandas(_close(similarity), schema_of(a="long", b="long"))
+    return materialise(pairs.distinct(), "near-dups-close")
+
+
 def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float) -> DataFrame:
     """The pairs (a, b) of tids whose texts are similar, materialised."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
@@ -240,20 +304,29 @@ def link_texts(rows: DataFrame, texts: DataFrame, text: str = "text", similarity
     """v and c of every text that is similar to another, c the class. rows, texts: of sketched and distinct_texts.
 
     First each text is aligned with its most voted candidate only, which already
-    folds large groups; then all candidates that are still in different classes.
+    folds large groups; then all candidates that are still in different classes;
+    then all other texts of one key that are, until no pair is left out.
     """
-    pairs = candidate_pairs(rows, texts)
+    keyed = text_keys(rows, texts)
+    pairs = candidate_pairs(keyed)
     best = pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a"))
     links = verified(materialise(best.select("a", "b"), "near-dups-best"), rows, text, similarity)
     classes = components(links)
     label = lambda side: classes.select(F.col("v").alias(side), F.col("c").alias(f"c{side}"))
     apart = pairs.select("a", "b").join(best.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
     apart = materialise(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "near-dups-apart")
-    more = verified(apart, rows, text, similarity)
-    if more.isEmpty():
+    classes = _merged(classes, verified(apart, rows, text, similarity))
+    # Pairs that were candidates before are in one class by now or known not to be similar.
+    rest = pairs_apart(rows, keyed, classes, text, similarity).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
+    return _merged(classes, verified(materialise(rest, "near-dups-rest"), rows, text, similarity))
+
+
+def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes, joined by more links between their texts."""
+    if links.isEmpty():
         return classes
     star = classes.where("v <> c").select(F.col("c").alias("a"), F.col("v").alias("b"))
-    return components(star.unionByName(more))
+    return components(star.unionByName(links))
 
 
 def classed(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:

@@ -2,7 +2,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from fableloom.llm.near_dups import drop_near_duplicates, edit_distance, find_near_duplicates, similar
+from fableloom.llm.near_dups import drop_near_duplicates, edit_distance, find_near_duplicates, labelled_grams, order_sketch, similar, words_of
+from fableloom.llm.words import WordHashes
 
 
 def plain_distance(a, b):
@@ -80,3 +81,33 @@ def test_large_group_and_empty(spark, docs):
     assert {(x.class_id, x.class_size, x.class_texts) for x in found.collect()} == {(0, 300, 300)}
     assert find_near_duplicates(docs().limit(0)).count() == 0
     assert drop_near_duplicates(docs().where(F.lit(False))).count() == 0
+
+
+def test_star_shaped_group(spark, docs):
+    """Variants like their source but not like each other, under any number of partitions."""
+    r = random.Random(3)
+    base = ["w%d" % r.randrange(9999) for _ in range(200)]
+    texts = [" ".join(base)]
+    for i in range(400):
+        c = list(base)
+        for at in r.sample(range(200), 24):
+            c[at] = f"x{i}y{at}"
+        texts.append(" ".join(c))
+    keys = [set(order_sketch(labelled_grams(WordHashes().of(words_of(t))))[0].tolist()) for t in texts]
+    reached = {0}  # texts that share a key and are similar, by comparing all pairs
+    fresh = [0]
+    while fresh:
+        i = fresh.pop()
+        for j in range(len(texts)):
+            if j not in reached and any(x in keys[j] for x in keys[i]) and similar(texts[i], texts[j]):
+                reached.add(j)
+                fresh.append(j)
+    assert len(reached) > 250
+    for n in ("3", "16"):
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        try:
+            found = find_near_duplicates(docs(*texts, extra=False)).collect()
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert {x.doc_id for x in found if x.class_id == 0} == reached
