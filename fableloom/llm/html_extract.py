@@ -199,9 +199,15 @@ def main_text(source: str | None) -> str:
     article = next((n for n in reversed(chain) if tags[n].split(".")[0] in ("article", "main")), None)
     if article is not None:
         holder = article
-    elif chain and tags[holder].split(".")[0] in LEAVES:  # one long paragraph: what stands around it
-        holder = chain[-2] if len(chain) > 1 else 0
-    kept = [b.text for b in blocks if (not holder or holder in b.inside) and (b.path in paths or 2 * b.linked <= len(b.text))]
+    else:  # the lowest element of all chosen text
+        holder = max((n for n, w in weight.items() if w == total), default=0)
+        outer = next((b.inside for b in blocks if holder in b.inside), ())
+        chain = outer[: outer.index(holder) + 1] if holder else ()
+        if chain and tags[holder].split(".")[0] in LEAVES:  # one long paragraph: what stands around it
+            holder = chain[-2] if len(chain) > 1 else 0
+    # Link lists belong to an article; the whole page may hold menus without a name.
+    whole = not holder or tags.get(holder, "body").split(".")[0] in ("html", "body")
+    kept = [b.text for b in blocks if (not holder or holder in b.inside) and (not whole or b.path in paths or 2 * b.linked <= len(b.text))]
     return "\n\n".join(kept)
 
 

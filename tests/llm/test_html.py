@@ -34,6 +34,17 @@ def test_broken_pages(source, wanted):
     assert main_text(source) == wanted
 
 
+def test_text_around_the_largest_part_and_link_lists():
+    part = "".join(f"<p>Sentence {i}, which has some words, and more.</p>" for i in range(20))
+    head = "<h1>The heading, as it is</h1><p>A lead that says, in short, what follows.</p>"
+    found = main_text(f"<body><div>{head}<section>{part}</section></div></body>")
+    assert found.startswith("The heading, as it is\n\nA lead that says, in short, what follows.\n\nSentence 0") and "Sentence 19" in found
+    quoted = main_text(f"<body><div><p>Before it, some words.</p><blockquote>{part}</blockquote><p>After it, some words.</p></div></body>")
+    assert quoted.startswith("Before it") and quoted.endswith("After it, some words.")
+    listed = main_text(f"<article>{part}<ul><li><a href=a>First reference</a><li><a href=b>Second reference</a></ul></article>")
+    assert listed.endswith("First reference\n\nSecond reference")
+
+
 def test_long_page():
     blocks = [f"Paragraph {i}, which has some words." for i in range(4000)]
     assert main_text("<body><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article>") == "\n\n".join(blocks)
