@@ -97,7 +97,12 @@ class BenchmarkBlock:
                     if end - a >= length:
                         hit[a:end] = True
                         found.add(self.items[n][0])
-        return hit, sorted(found)
+        return hit, sorted(found, key=_order)
+
+
+def _order(item: int | None) -> tuple[bool, int]:
+    """Ids in order, the missing one last."""
+    return item is None, item or 0
 
 
 def _ranges(hit: np.ndarray) -> list[int]:
@@ -117,18 +122,18 @@ def _search_with(block):
                 hit, own = found.search(words, hashes.of(words))
                 for start, end in zip(r[::2], r[1::2], strict=True):
                     hit[start:end] = True
-                rows.append((len(words), _ranges(hit), sorted({*i, *own})))
+                rows.append((len(words), _ranges(hit), sorted({*(None if pd.isna(x) else int(x) for x in i), *own}, key=_order)))
             yield pd.DataFrame(rows, columns=["n_words", "ranges", "items"])
 
     return run
 
 
 def benchmark_blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> list[list[tuple[int, str]]]:
-    """Items in blocks of about ``block_words`` words. Rows without id or words are left out; repeated ids stay, as more windows of that item.
+    """Items in blocks of about ``block_words`` words. Rows without words are left out; repeated ids stay, as more windows of that item, and rows without id are windows of one item.
 
     A block is gathered only when it is used, so that the driver holds one at a time.
     """
-    sized = benchmark.select("item_id", "text").where("item_id is not null and text is not null").withColumn("_n", F.length("text"))
+    sized = benchmark.select("item_id", "text").where("text is not null").withColumn("_n", F.length("text"))
     total = sized.agg(F.sum("_n")).first()[0] or 0
     n = max(1, -(-int(total) // (6 * block_words)))
     own = sized.withColumn("_block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
@@ -156,7 +161,8 @@ def with_contamination(docs: DataFrame, benchmark: DataFrame, text: str = "text"
 def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated for every row of docs(doc_id, text).
 
-    benchmark(item_id, text). Null texts have no words; repeated rows and null
+    benchmark(item_id, text). Items without id are searched like others and count
+    as one item, which items_sha256 passes over. Null texts have no words; repeated rows and null
     ids stay as rows; other columns are ignored.
     """
     f = F.col("_found")

@@ -58,3 +58,12 @@ def test_empty(spark, docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert not any(r.contaminated for r in find_contamination(docs("a b"), none).collect())
     assert find_contamination(docs().limit(0), none).count() == 0
+
+
+def test_items_without_id(spark, docs):
+    passage, other = " ".join(f"p{i}" for i in range(12)), " ".join(f"q{i}" for i in range(12))
+    own = spark.createDataFrame([(None, passage), (7, other)], "item_id long, text string")
+    for size in (2_000_000, 5):
+        found = find_contamination(docs(f"a {passage} b", f"{other} {passage}", other, extra=False), own, size).collect()
+        hashed = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        assert sorted((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in found) == [(0, 12, 1, hashed("")), (1, 24, 2, hashed("7")), (2, 12, 1, hashed("7"))]
