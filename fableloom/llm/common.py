@@ -70,6 +70,13 @@ def labelled_sample(labels: DataFrame, column: str, per_class: int) -> DataFrame
     return parts[0].unionByName(parts[1])
 
 
+def sampled_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """text and y of the ids of a labelled_sample: of repeated ids the text with the smallest hash, so there is one row an id at most."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id")
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "y")).alias("s"))
+    return one.select("s.text", "s.y")
+
+
 def class_counts(labels: DataFrame, column: str) -> tuple[int, int]:
     """Training rows labelled 0 and 1."""
     own = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out(F.col("doc_id")))

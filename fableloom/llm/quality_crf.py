@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import class_counts, held_out, labelled_sample, schema_of
+from .common import class_counts, held_out, labelled_sample, sampled_texts, schema_of
 
 #: Training documents of each class at most, and lines of each at most in the fit (whole texts are always scored).
 PER_CLASS, TRAIN_LINES = 1500, 60
@@ -174,8 +174,6 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     each with its real neighbours' features. Where a class has no training
     document, every line scores the smoothed share of label 1.
     """
-    chosen = F.broadcast(labelled_sample(labels, label, per_class))  # 2 * per_class rows of two numbers at most
-
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for text, y in zip(b["text"], b["y"], strict=True):
@@ -183,7 +181,7 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
                 x = x[np.unique(np.linspace(0, len(x) - 1, TRAIN_LINES).astype(int))]
                 yield pd.DataFrame({"x": [x.astype("<f4").tobytes()], "n": [len(x)], "y": [y]})
 
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").select("text", "y")
+    rows = sampled_texts(docs, labelled_sample(labels, label, per_class))
     found = rows.mapInPandas(vectors, schema_of(x="binary", n="int", y="int")).toPandas()  # 2 * per_class rows of TRAIN_LINES lines at most
     width = 3 * OWN_FEATURES + 1
     bad, good = class_counts(labels, label)

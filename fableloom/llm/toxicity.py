@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import class_counts, held_out, labelled_sample, materialise, schema_of
+from .common import class_counts, held_out, labelled_sample, materialise, sampled_texts, schema_of
 
 SIZES = (3, 4, 5, 6)
 BITS = 20
@@ -81,8 +81,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     spark = docs.sparkSession
     clean, toxic = class_counts(labels, label)
     prior = float(np.log((toxic + 1) / (clean + 1)))
-    chosen = F.broadcast(labelled_sample(labels, label, per_class))  # 2 * per_class rows of two numbers at most
-    rows = materialise(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id").select("text", "y"), "toxicity-sample")
+    rows = materialise(sampled_texts(docs, labelled_sample(labels, label, per_class)), "toxicity-sample")
     counts = rows.mapInPandas(_count_batches, schema_of(gram="long", clean="double", toxic="double", texts="long"))
     counts = materialise(counts.groupBy("gram").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.sum("texts").alias("texts")), "toxicity-counts")
     sums = counts.agg(F.coalesce(F.sum("clean"), F.lit(0.0)).alias("clean"), F.coalesce(F.sum("toxic"), F.lit(0.0)).alias("toxic")).first()

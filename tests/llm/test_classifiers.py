@@ -4,8 +4,8 @@ import zlib
 import numpy as np
 import pytest
 
-from fableloom.llm.quality_crf import LineField, document_quality, line_features, score_quality
-from fableloom.llm.toxicity import ngram_ids, score_toxicity
+from fableloom.llm.quality_crf import LineField, document_quality, fit_quality, line_features, score_quality
+from fableloom.llm.toxicity import fit_toxicity, ngram_ids, score_toxicity
 
 WORDS = "river stone house green field water light morning table window garden letter".split()
 
@@ -48,6 +48,16 @@ def test_without_labels_and_rows(spark, docs, score):
     assert score(docs().limit(0), empty).count() == 0
 
 
+@pytest.mark.parametrize("fit", [fit_toxicity, fit_quality])
+def test_repeated_ids_enter_the_fit_once(spark, docs, fit):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:20]
+    labels = spark.createDataFrame([(i, n % 2, n % 2) for n, i in enumerate(ids)], "doc_id long, quality int, toxic int")
+    own = docs(*[f"{WORDS[i % 12]} {'vilefool' if i in ids[1::2] else 'gentle'}" for i in range(40)], extra=False)
+    more = own.where(f"doc_id = {ids[0]}").crossJoin(spark.range(50)).select(own.columns)
+    one, many = fit(own, labels), fit(own.unionByName(more), labels)
+    assert np.allclose(one.weights, many.weights)
+
+
 def test_ngrams_cover_the_whole_text():
     assert len(ngram_ids("abcdefgh")) == 6 + 5 + 4 + 3 and len(ngram_ids("ab")) == 0 and len(ngram_ids(None)) == 0
     assert (ngram_ids("ABC") == ngram_ids("abc")).all()
