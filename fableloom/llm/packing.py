@@ -31,17 +31,21 @@ def default_tokenizer() -> str:
 
 
 def token_signs(n_ids: int = 1 << 16, dimensions: int = DIMENSIONS) -> np.ndarray:
-    """+1 or -1 for each token id and dimension, from a hash of the id."""
+    """1 for plus or 0 for minus for each dimension and token id, from a hash of the id."""
     h = np.arange(1, n_ids + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(31)
-    return np.stack([((h >> np.uint64(7 * d)) & np.uint64(1)).astype(np.float32) * 2 - 1 for d in range(dimensions)], 1)
+    return np.stack([((h >> np.uint64(7 * d)) & np.uint64(1)).astype(np.uint8) for d in range(dimensions)])
 
 
-def curve_points(ids: np.ndarray, signs: np.ndarray, levels: int = LEVELS) -> np.ndarray:
-    """A document's point: its mean sign in each dimension, stretched and cut into 2 ** levels steps."""
-    mean = signs[ids].mean(0) if len(ids) else np.zeros(signs.shape[1])
+def curve_points(ids: np.ndarray, lengths: np.ndarray, signs: np.ndarray, levels: int = LEVELS) -> np.ndarray:
+    """Points of documents whose ids lie end to end: the mean sign in each dimension, stretched and cut into 2 ** levels steps."""
+    ends = np.cumsum(lengths)
+    mean = np.zeros((len(lengths), len(signs)))
+    for d, own in enumerate(signs):
+        plus = np.concatenate([[0], np.cumsum(own[ids], dtype=np.int64)])
+        mean[:, d] = (2 * (plus[ends] - plus[ends - lengths]) - lengths) / np.maximum(1, lengths)
     unit = 0.5 + 0.5 * np.tanh(3.0 * mean)
     return np.minimum((unit * (1 << levels)).astype(np.int64), (1 << levels) - 1)
 
@@ -80,12 +84,14 @@ def tokenised(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder, signs = word_tokenizer(tokenizer), token_signs()
         for texts in batches:
-            parts = []
+            parts = [pd.DataFrame({"n": [], "curve": [], "ids": []})]
             for start in range(0, len(texts), 1000):
-                ids = [np.append(i, np.uint16(end_id)) for i in encoder.encode(list(texts.iloc[start : start + 1000]))]
-                curve = hilbert_numbers(np.array([curve_points(i[:-1], signs) for i in ids]))
-                parts.append(pd.DataFrame({"n": [len(i) for i in ids], "curve": curve, "ids": [i.astype("<u2").tobytes() for i in ids]}))
-            yield pd.concat(parts, ignore_index=True)
+                ids = encoder.encode(list(texts.iloc[start : start + 1000]))
+                lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+                curve = hilbert_numbers(curve_points(np.concatenate(ids), lengths, signs))
+                end = np.array([end_id], "<u2").tobytes()
+                parts.append(pd.DataFrame({"n": lengths + 1, "curve": curve, "ids": [i.astype("<u2", copy=False).tobytes() + end for i in ids]}))
+            yield pd.concat(parts[1:], ignore_index=True) if len(parts) > 1 else parts[0]
 
     return docs.select("doc_id", F.pandas_udf(run, schema_of(n="long", curve="long", ids="binary"))(F.col("text")).alias("t"))
 

@@ -1,9 +1,12 @@
+import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
 
-from fableloom.llm.packing import default_tokenizer, hilbert_numbers, pack, pack_documents
+from fableloom.llm import tokens
+from fableloom.llm.packing import curve_points, default_tokenizer, hilbert_numbers, pack, pack_documents, token_signs
 from fableloom.llm.tokens import WordTokenizer
 
 
@@ -24,6 +27,41 @@ def test_tokenizer_equals_the_whole_text():
             assert ids.tolist() == encoder.tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
+def test_tokenizer_equals_the_whole_text_of_any_letters():
+    r = random.Random(2)
+    signs = "abcxyz" * 4 + "éßñøžǅŉƀɏªµº" + "ΑΣσςЖж中あ٣²½" + " \n\t .,;:'’&$%!-_()\"" + "\u0301\u00a0\u200b" + "AZÉİ0123" + "🙂"
+    texts = ["".join(r.choices(signs, k=r.randint(0, 60))) for _ in range(3000)] + ["don't I'll x's 's'm &&'s a'b", "<|endoftext|>.", "a" * 300 + "."]
+    encoder = WordTokenizer(default_tokenizer(), store=50)
+    for start in range(0, len(texts), 100):
+        part = texts[start : start + 100]
+        wanted = [e.ids for e in encoder.tokenizer.encode_batch(part, add_special_tokens=False)]
+        assert [i.tolist() for i in encoder.encode(part)] == wanted
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.01").exists(), reason="needs the driver's tables")
+def test_tokenizer_equals_the_whole_text_of_the_tables(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    encoder = WordTokenizer(default_tokenizer(), store=5000)
+    wanted = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    found = [i.tolist() for start in range(0, len(texts), 50) for i in encoder.encode(texts[start : start + 50])]
+    assert found == wanted
+
+
+def test_long_text_is_cut_and_stitched(monkeypatch):
+    encoder = WordTokenizer(default_tokenizer())
+    texts = ["some words, here. " * 50, "", None, "x" * 500, "one two"]
+    whole = [i.tolist() for i in encoder.encode(texts)]
+    monkeypatch.setattr(tokens, "STEP_CHARS", 40)
+    assert [i.tolist() for i in encoder.encode(texts)] == whole
+
+
+def test_points_are_mean_signs():
+    ids, lengths, signs = np.array([3, 9, 9, 7, 3], np.uint16), np.array([2, 0, 3]), token_signs()
+    for got, own in zip(curve_points(ids, lengths, signs), ([3, 9], [], [9, 7, 3]), strict=True):
+        mean = (2.0 * signs[:, own] - 1).mean(1) if own else np.zeros(len(signs))
+        assert got.tolist() == np.minimum(((0.5 + 0.5 * np.tanh(3 * mean)) * 1024).astype(int), 1023).tolist()
+
+
 @pytest.mark.parametrize("capacity", [2048, 7])
 def test_pieces_rebuild_the_documents(docs, clashing, capacity):
     frame = clashing(docs(*TEXTS))
