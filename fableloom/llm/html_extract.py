@@ -1,12 +1,18 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into blocks of text, each with the path of block elements from the
-root down to it. Text length and punctuation are summed per path and divided by
-the path's blocks; both ratios are smoothed along the page, fused, and paths
-below a share of the best are set aside. The element that holds most of the
-chosen text is the article, and its blocks are the result, short headings
-included. Elements that say what they are (navigation, forms, adverts,
-comments ...) never count.
+root down to it. Text outside links and punctuation are summed per path and
+divided by the path's blocks. Both ratios are smoothed along the page, where a
+neighbour counts for as much as it shares enclosing elements, and fused; paths
+below a share of the best are set aside, so a short block beside long paragraphs
+gains from them and an advert in an element of its own hardly does. The chosen
+blocks' ``article`` or ``main``, or else their lowest common element, is the
+article, with all its blocks; where that is the whole page, the chosen paths and
+the headings right before their blocks are.
+
+Elements that the markup itself sets apart (navigation, forms, scripts ...) are
+not cut at all. Whole class or id names of adverts, notices and comments make
+their paths weigh nothing.
 """
 
 from __future__ import annotations
@@ -26,52 +32,62 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template".split())
 NOISE_TAGS = frozenset("head nav header footer aside form button select option fieldset dialog menu svg canvas object audio video".split()) | RAW
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+#: Class and id names, compared as a whole, of elements that are no part of an article.
 NOISE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu breadcrumb breadcrumbs sidebar aside "
-    "footer header masthead cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login social share sharing "
-    "comment comments disqus replies respond related recommended widget toolbar pagination pager copyright legal skip hidden".split()
+    "ad ads advert adverts advertisement banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead "
+    "cookie cookies cookie-banner cookie-notice consent gdpr newsletter subscribe login share sharing social comment comments disqus replies respond related recommended pagination".split()
 )
 #: A start of one of these closes an open one of the others, up to the nearest list or table.
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LIMITS = frozenset("ul ol dl table".split())
 
 #: Elements that hold one block, and so are never the article.
-LEAVES = frozenset("p li td blockquote pre h1 h2 h3 h4 h5 h6".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LEAVES = HEADINGS | frozenset("p li td blockquote pre".split())
+#: Of the best path's ratio, what a path must reach; blocks on either side that smooth one, by a Gaussian of this width.
+SHARE, REACH, WIDTH = 0.3, 3, 1.0
 
 _PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[/a-zA-Z][^>]*(?:>|\Z)", re.S)
 _NAME = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_HIDDEN = re.compile(r"\shidden(?=[\s=>]|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", re.I)
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 
 
-@dataclass
-class Element:
-    tag: str
-    step: str  # its part of a path: the tag and the class and id names
-    number: int
-    noise: bool
-
-
 @dataclass
 class Block:
-    path: tuple[str, ...]
-    inside: tuple[int, ...]  # numbers of the open elements
+    path: int  # number of its path
+    element: int  # number of the innermost open element, 0 for none
+    depth: int  # open elements
+    shared: int  # of these, open since the block before
     text: str
     linked: int  # characters in links
 
 
 @dataclass
-class _Page:
-    """Cuts one page into blocks."""
+class Page:
+    """A page's blocks and elements. Elements are numbered as they open, so those inside one follow it up to its ``last``."""
 
     blocks: list[Block] = field(default_factory=list)
-    open: list[Element] = field(default_factory=list)
+    tags: list[str] = field(default_factory=lambda: [""])
+    parents: list[int] = field(default_factory=lambda: [0])
+    paths: list[int] = field(default_factory=lambda: [0])
+    last: list[int] = field(default_factory=lambda: [-1])
+    noise: list[bool] = field(default_factory=lambda: [False])
+    marked: set[int] = field(default_factory=set)  # paths with a name of NOISE_NAMES
+    frames: dict[str, list[int]] = field(default_factory=lambda: {"article": [0], "main": [0]})  # of each element, itself or the innermost around it of that tag
+    steps: dict[tuple[int, str], int] = field(default_factory=dict)  # number of a path from that of its start and its last step
+    open: list[int] = field(default_factory=list)
+    places: dict[str, list[int]] = field(default_factory=dict)  # of each tag, where it stands among the open elements
     parts: list[str] = field(default_factory=list)
     links: int = 0
     linked: int = 0
-    count: int = 0
+    low: int = 0  # least number of open elements since the last block
+
+    def inner(self) -> int:
+        return self.open[-1] if self.open else 0
 
     def text(self, raw: str) -> None:
-        if raw and not (self.open and self.open[-1].noise):
+        if raw and not self.noise[self.inner()]:
             found = html.unescape(raw)
             self.parts.append(found)
             if self.links:
@@ -81,59 +97,71 @@ class _Page:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.blocks.append(Block(tuple(e.step for e in self.open), tuple(e.number for e in self.open), text, self.linked))
+                self.blocks.append(Block(self.paths[self.inner()], self.inner(), len(self.open), min(self.low, len(self.open)), text, min(self.linked, len(text))))
+                self.low = len(self.open)
             self.parts, self.linked = [], 0
 
+    def cut(self, to: int) -> None:
+        """Close all open elements from place ``to`` on."""
+        while len(self.open) > to:
+            n = self.open.pop()
+            self.last[n] = len(self.tags) - 1
+            self.places[self.tags[n]].pop()
+        self.low = min(self.low, to)
+
+    def place(self, *tags: str) -> int:
+        """Where the last opened of these stands, -1 for none."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
     def start(self, tag: str, rest: str) -> None:
         if tag in INLINE:
-            if tag in ("br", "wbr", "img"):
-                self.text(" " if tag == "br" else "")
+            if tag == "br":
+                self.text(" ")
             self.links += tag == "a"
             return
         self.flush()
         if tag in VOID:
             return
         self.links = 0
-        if self.open and self.open[-1].tag == "p" and tag not in RAW:
-            self.open.pop()
-        if tag in CLOSES:
-            for i in range(len(self.open) - 1, -1, -1):
-                if self.open[i].tag in CLOSES[tag]:
-                    del self.open[i:]
-                    break
-                if self.open[i].tag in LIMITS:
-                    break
+        if self.tags[self.inner()] == "p" and tag not in RAW:
+            self.cut(len(self.open) - 1)
+        if tag in CLOSES and (at := self.place(*CLOSES[tag])) > self.place(*LIMITS):
+            self.cut(at)
         names, role = [], ""
         for key, *values in _NAME.findall(rest):
-            value = next((v for v in values if v), "")
+            value = next((v for v in values if v), "").lower()
             if key.lower() == "role":
-                role = value.lower()
+                role = value
             else:
-                names += value.lower().split()
-        in_article = any(e.tag == "article" for e in self.open)
-        noise = bool(self.open and self.open[-1].noise) or (tag in NOISE_TAGS and not (tag == "header" and in_article)) or role in NOISE_ROLES
-        noise = noise or tag not in ("body", "html", "article", "main") and any(part in NOISE_NAMES for n in names for part in re.split(r"[^a-z]+", n)) or bool(re.search(r"(?i)\shidden(?=[\s=>]|$)|aria-hidden\s*=\s*.?true|display\s*:\s*none", rest))
-        self.count += 1
-        self.open.append(Element(tag, ".".join([tag, *names]), self.count, noise))
+                names += value.split()
+        outer = self.inner()
+        path = self.steps.setdefault((self.paths[outer], ".".join([tag, *names])), len(self.steps) + 1)
+        if self.paths[outer] in self.marked or tag not in ("html", "body", "article", "main") and not NOISE_NAMES.isdisjoint(names):
+            self.marked.add(path)
+        noise = self.noise[outer] or (tag in NOISE_TAGS and not (tag == "header" and self.places.get("article"))) or role in NOISE_ROLES or bool(_HIDDEN.search(rest))
+        for kind, near in self.frames.items():
+            near.append(len(self.tags) if tag == kind else near[outer])
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append(len(self.tags))
+        for column, value in ((self.tags, tag), (self.parents, outer), (self.paths, path), (self.last, -1), (self.noise, noise)):
+            column.append(value)
 
     def end(self, tag: str) -> None:
         if tag in INLINE:
             if tag == "a":
                 self.links = max(0, self.links - 1)
             return
-        for i in range(len(self.open) - 1, -1, -1):
-            if self.open[i].tag == tag:
-                self.flush()
-                self.links = 0
-                del self.open[i:]
-                return
-        if tag in ("p", "hr"):
+        if (at := self.place(tag)) >= 0:
+            self.flush()
+            self.links = 0
+            self.cut(at)
+        elif tag in ("p", "hr"):
             self.flush()
 
 
-def cut_blocks(source: str) -> list[Block]:
-    """The blocks of text of a page outside noise, in page order; broken and unclosed markup is read as far as it goes."""
-    page, at = _Page(), 0
+def cut_page(source: str) -> Page:
+    """The blocks of a page outside what its markup sets apart, in page order; broken and unclosed markup is read as far as it goes."""
+    page, at = Page(), 0
     while m := _PIECE.search(source, at):
         page.text(source[at : m.start()])
         at = m.end()
@@ -147,75 +175,99 @@ def cut_blocks(source: str) -> list[Block]:
             at = close.end() if close else len(source)
         else:
             page.start(tag, m[3])
-            if m[3].endswith("/") and tag not in INLINE and tag in ("svg", "iframe"):
+            if m[3].endswith("/") and tag == "svg":
                 page.end(tag)
     page.text(source[at:])
     page.flush()
-    return page.blocks
+    page.cut(0)
+    return page
 
 
-def smooth(values: np.ndarray, width: float = 1.0) -> np.ndarray:
-    """Gaussian mean over neighbours; at the ends over those that there are."""
-    reach = int(3 * width)
-    kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / width) ** 2)
-    full = np.convolve(values, kernel)[reach : reach + len(values)]
-    return full / np.convolve(np.ones(len(values)), kernel)[reach : reach + len(values)]
+def smooth(values: np.ndarray, depth: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """Each value with its neighbours', weighted by distance and by the enclosing elements that the two blocks share.
+
+    depth: elements around each block; shared: those also around the block before.
+    """
+    kernel = np.exp(-0.5 * (np.arange(REACH + 1) / WIDTH) ** 2)
+    kernel /= kernel[0] + 2 * kernel[1:].sum()
+    out = kernel[0] * values
+    common = shared.copy()  # of blocks i - k and i
+    for k in range(1, min(REACH, len(values) - 1) + 1):
+        if k > 1:
+            common[k:] = np.minimum(common[k:], shared[1 : len(shared) - k + 1])
+        like = (2 * common[k:] + 1) / (depth[k:] + depth[:-k] + 1)
+        out[k:] += kernel[k] * like * values[:-k]
+        out[:-k] += kernel[k] * like * values[k:]
+    return out
+
+
+def path_ratios(page: Page) -> np.ndarray:
+    """The fused ratio of each path, by its number: the best among its blocks; 0 for paths with a name of NOISE_NAMES."""
+    of = lambda f: np.array([f(b) for b in page.blocks], float)
+    path, depth, shared = (np.array([getattr(b, k) for b in page.blocks]) for k in ("path", "depth", "shared"))
+    count = np.maximum(1, np.bincount(path))
+    text = np.bincount(path, of(lambda b: len(b.text) - b.linked)) / count
+    marks = np.bincount(path, of(lambda b: len(_PUNCTUATION.findall(b.text)))) / count
+    fused = smooth(text[path], depth, shared) * (1 + smooth(marks[path], depth, shared))
+    best = np.zeros(len(count))
+    np.maximum.at(best, path, fused)
+    best[[p for p in page.marked if p < len(best)]] = 0
+    return best
 
 
-def chosen_paths(blocks: list[Block], share: float = 0.1) -> set[tuple[str, ...]]:
-    """Paths whose fused ratio of text and punctuation to blocks reaches a share of the best."""
-    sums: dict[tuple[str, ...], list[float]] = {}
-    for b in blocks:
-        s = sums.setdefault(b.path, [0.0, 0.0, 0.0, 0.0])
-        for i, v in enumerate((1, len(b.text), len(_PUNCTUATION.findall(b.text)), b.linked)):
-            s[i] += v
-    text = smooth(np.array([sums[b.path][1] / sums[b.path][0] * (1 - min(1.0, sums[b.path][3] / sums[b.path][1])) for b in blocks]))
-    marks = smooth(np.array([sums[b.path][2] / sums[b.path][0] for b in blocks]))
-    fused = text * (1 + marks)
-    best: dict[tuple[str, ...], float] = {}
-    for b, f in zip(blocks, fused, strict=True):
-        best[b.path] = max(best.get(b.path, 0.0), float(f))
-    return {p for p, f in best.items() if f >= share * max(best.values())}
+def chosen_paths(page: Page, share: float = SHARE) -> set[int]:
+    """Numbers of the paths whose ratio reaches a share of the best."""
+    best = path_ratios(page)
+    return set(np.flatnonzero((best >= share * best.max()) & (best > 0)).tolist())
+
+
+def article_element(page: Page, chosen: list[int]) -> int:
+    """The element that holds the article, given the places of the chosen blocks; 0 for the whole page."""
+    weight: dict[int, int] = {}
+    for i in chosen:
+        for near in page.frames.values():
+            if n := near[page.blocks[i].element]:
+                weight[n] = weight.get(n, 0) + len(page.blocks[i].text)
+    total = sum(len(page.blocks[i].text) for i in chosen)
+    for tag in page.frames:
+        own = [n for n, w in weight.items() if page.tags[n] == tag and 2 * w >= total]
+        if own:
+            return max(own, key=lambda n: (weight[n], n))
+    first = page.blocks[chosen[0]]
+    depth = min([first.depth, *(b.shared for b in page.blocks[chosen[0] + 1 : chosen[-1] + 1])])
+    element = first.element
+    for _ in range(first.depth - depth):
+        element = page.parents[element]
+    while element and page.tags[element] in LEAVES:  # one long paragraph: what stands around it
+        element = page.parents[element]
+    return 0 if page.tags[element] in ("html", "body") else element
 
 
 def main_text(source: str | None) -> str:
-    """The article of a page, blocks joined by empty lines; empty for null and where there is no text outside noise."""
-    blocks = cut_blocks(source or "")
-    if not blocks:
+    """The article of a page, blocks joined by empty lines; empty for null and where no path weighs anything."""
+    page = cut_page(source or "")
+    paths = chosen_paths(page) if page.blocks else set()
+    if not paths:
         return ""
-    paths = chosen_paths(blocks)
-    weight: dict[int, int] = {}
-    total = 0
-    for b in blocks:
-        if b.path in paths:
-            total += len(b.text)
-            for n in b.inside:
-                weight[n] = weight.get(n, 0) + len(b.text)
-    # Elements are numbered as they open, so the last that holds enough is the innermost.
-    holder = max((n for n, w in weight.items() if w >= 0.8 * total), default=0)
-    tags = {n: step for b in blocks for n, step in zip(b.inside, b.path, strict=True)}
-    outer = next((b.inside for b in blocks if holder in b.inside), ())
-    chain = outer[: outer.index(holder) + 1] if holder else ()
-    article = next((n for n in reversed(chain) if tags[n].split(".")[0] in ("article", "main")), None)
-    if article is not None:
-        holder = article
-    else:  # the lowest element of all chosen text
-        holder = max((n for n, w in weight.items() if w == total), default=0)
-        outer = next((b.inside for b in blocks if holder in b.inside), ())
-        chain = outer[: outer.index(holder) + 1] if holder else ()
-        if chain and tags[holder].split(".")[0] in LEAVES:  # one long paragraph: what stands around it
-            holder = chain[-2] if len(chain) > 1 else 0
-    # Link lists belong to an article; the whole page may hold menus without a name.
-    whole = not holder or tags.get(holder, "body").split(".")[0] in ("html", "body")
-    kept = [b.text for b in blocks if (not holder or holder in b.inside) and (not whole or b.path in paths or 2 * b.linked <= len(b.text))]
+    holder = article_element(page, [i for i, b in enumerate(page.blocks) if b.path in paths])
+    if holder:
+        kept = [b.text for b in page.blocks if holder <= b.element <= page.last[holder] and b.path not in page.marked]
+    else:
+        kept, below = [], -1  # below: the element around the block kept last, seen from the end
+        for b in reversed(page.blocks):
+            if b.path in paths or page.tags[b.element] in HEADINGS and b.path not in page.marked and page.parents[b.element] == below:
+                kept.append(b.text)
+                below = page.parents[b.element]
+        kept.reverse()
     return "\n\n".join(kept)
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) for every row of pages(page_id, url, html).
 
-    A null html counts as empty and gives an empty text. Repeated rows and null
-    ids or urls stay; other columns are ignored.
+    A null, empty or textless html gives an empty text. Repeated rows and null
+    ids or urls stay, equal pages get equal texts, other columns are ignored, and
+    an empty table gives an empty table. Time and memory grow with a page's length.
     """
 
     def run(sources: pd.Series) -> pd.Series:
