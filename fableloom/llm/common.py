@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,12 +25,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where none is named, as in tests."""
-    if found := spark.conf.get("spark.checkpoint.dir", None):
-        return found
-    own = "file://" + tempfile.mkdtemp(prefix="spark-checkpoint-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where none is named, one in the session's warehouse, which all executors share too."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -45,6 +40,56 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Intermediate tables of one job, in a folder of their own below the shared one, deleted when they are no longer needed."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name = spark, f"{name}_{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark).rstrip('/')}/{self.name}"
+        self.made: list[tuple[DataFrame, str, str | None]] = []
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """As materialise."""
+        path = f"{self.root}/{name}_{len(self.made)}"
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.made.append((out, path, None))
+        return out
+
+    def bucket(self, df: DataFrame, name: str, key: str) -> DataFrame:
+        """As write, but dealt and sorted by ``key``, so that joins and sums by it move nothing. It is a table of the catalogue until dropped."""
+        n, table = int(self.spark.conf.get("spark.sql.shuffle.partitions")), f"{self.name}_{name}_{len(self.made)}"
+        df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", f"{self.root}/{name}_{len(self.made)}").saveAsTable(table, format="parquet")
+        out = self.spark.table(table)
+        self.made.append((out, f"{self.root}/{name}_{len(self.made)}", table))
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete what write or bucket gave; nothing that reads it may be used any more."""
+        for out, path, table in [m for m in self.made if any(m[0] is f for f in frames)]:
+            if table:
+                self.spark.sql(f"DROP TABLE `{table}`")
+            self._delete(path)
+        self.made = [m if all(m[0] is not f for f in frames) else (None, *m[1:]) for m in self.made]
+
+    def clear(self) -> None:
+        """Delete all that is left."""
+        self.drop(*[m[0] for m in self.made if m[0] is not None])
+        self._delete(self.root)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores before it until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, UPPER.lower())
 

@@ -3,36 +3,41 @@
 Runs of five words, told apart by their number of occurrence, are hashed once
 for each band; the two smallest, in the order in which the text has them, are
 the band's key, so that equal keys speak for small edit distance and not only
-for shared content. Texts of one key are sorted by their third smallest hash and
-linked to their neighbours in this order and to the first of them, which folds
-most classes with candidates that grow with the rows. Then every pair of texts
-that share a key, are of compatible length and still of different classes is a
-candidate, so that the classes are those of all pairs that share a key; shared
-bigrams rule out most of these before their texts are read. Candidates are
-aligned word by word within a band around the diagonal; verified links make
-classes through connected components.
+for shared content. Two texts of which a fifth of the words differ still share
+one of the 64 keys in nine of ten cases.
+
+Texts of a key of the first bands, sorted by length, are linked to their
+neighbours and to the first of them, which folds most classes with candidates
+that grow with the rows. Then all pairs that share a key of any band, are of
+compatible length and still of different classes are candidates. They are listed
+key by key where a key has few texts. The texts of larger keys (a passage that
+very many share) are cut finer without losing a similar pair: similar texts have
+so many bigrams of words in common that one must be among the rarest two fifths
+of either. Word counts rule out most candidates before their texts are read; the
+others are aligned word by word within a band around the diagonal, and the links
+make classes through connected components.
 """
 
 from __future__ import annotations
 
 import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import fresh_path, materialise, schema_of
-from .words import PRIME, WordHashes, gram_hashes, mix
+from .common import Scratch, materialise, schema_of
+from .words import PRIME, WordHashes, gram_hashes, mix, stretches
 
-K, BANDS, SIMILARITY = 5, 16, 0.8
-#: How many texts back in a key's order a text is linked at first.
-NEIGHBOURS = 3
-#: Texts of a key that one task compares with as many others, and the bins of their bags of bigrams.
-BLOCK, BINS = 256, 1024
+K, BANDS, SIMILARITY = 5, 64, 0.8
+#: Bands by whose keys texts are linked at first, and how many texts back in a key's order.
+FIRST_BANDS, NEIGHBOURS = 16, 3
+#: Texts of a key whose pairs are listed; larger keys are cut finer, and what cannot be is compared in blocks of so many.
+GROUP = 64
+#: Bins of word counts, and of the bigram counts that go to all tasks (8 MB).
+BINS, COUNTERS = 1024, 1 << 20
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -41,28 +46,72 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def labelled_grams(hashes: np.ndarray, k: int = K) -> np.ndarray:
-    """Hashes of all runs of k words (of all words, if fewer), repeated ones told apart by their number of occurrence."""
-    h = gram_hashes(hashes, max(1, min(k, len(hashes))))
-    order = np.argsort(h, kind="stable")
-    first = np.concatenate([[True], h[order][1:] != h[order][:-1]]) if len(h) else np.zeros(0, bool)
-    at = np.arange(len(h))
-    occurrence = np.empty(len(h), np.uint64)
-    occurrence[order] = (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64)
-    return mix(h + occurrence * PRIME)
+def word_hashes(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, end to end, and each text's number of words."""
+    sizes, parts = np.zeros(len(texts), np.int64), [np.zeros(0, np.uint64)]
+    for i, t in enumerate(texts):
+        for part in stretches((t or "").lower()):
+            found = _WORD.findall(part)
+            parts.append(hashes.of(found, len(found)))
+            sizes[i] += len(found)
+    return np.concatenate(parts), sizes
 
 
-def order_sketch(grams: np.ndarray, bands: int = BANDS) -> tuple[np.ndarray, np.ndarray]:
-    """Of each band: the hash of its two smallest grams in text order, and the third smallest (0 if there is none). Empty without grams."""
-    keys, third = np.zeros(bands if len(grams) else 0, np.uint64), np.zeros(bands if len(grams) else 0, np.uint64)
-    for b in range(len(keys)):
-        v = mix(grams * np.uint64(2 * b + 3) + np.uint64((b + 1) * int(PRIME) % (1 << 64)))
-        least = np.argpartition(v, 2)[:3] if len(v) > 3 else np.arange(len(v))
-        least = least[np.argsort(v[least], kind="stable")]
-        pair = np.sort(least[:2])
-        keys[b] = mix(grams[pair[:1]] * PRIME + grams[pair[-1:]])[0]
-        third[b] = grams[least[2]] if len(least) > 2 else 0
-    return keys, third
+def labelled_grams(words: np.ndarray, sizes: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all runs of k words (of all words, if fewer) of each text, end to end, and each text's number of them.
+
+    Repeated runs of a text are told apart by their number of occurrence.
+    words: hashes of the texts' words, end to end; sizes: each text's.
+    """
+    starts = np.cumsum(sizes) - sizes
+    counts = np.where(sizes >= k, sizes - k + 1, np.minimum(sizes, 1))
+    text = np.repeat(np.arange(len(sizes)), counts)
+    at = np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[text]
+    runs = gram_hashes(np.concatenate([words, np.zeros(k, np.uint64)]), k)
+    h = runs[at]
+    for i in np.flatnonzero((sizes > 0) & (sizes < k)):
+        h[np.cumsum(counts)[i] - 1] = gram_hashes(words[starts[i] : starts[i] + sizes[i]], int(sizes[i]))[0]
+    own = mix(h ^ (text.astype(np.uint64) * PRIME))  # equal only within a text
+    order = np.argsort(own, kind="stable")
+    new = np.concatenate([[True], own[order][1:] != own[order][:-1]]) if len(own) else np.zeros(0, bool)
+    place = np.arange(len(own))
+    occurrence = np.empty(len(own), np.uint64)
+    occurrence[order] = (place - np.maximum.accumulate(np.where(new, place, 0))).astype(np.uint64)
+    return mix(h + occurrence * PRIME), counts
+
+
+def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS) -> np.ndarray:
+    """Of each text and band: the hash of its two smallest grams in text order. Texts without grams have zeros."""
+    keys = np.zeros((len(counts), bands), np.uint64)
+    own = np.flatnonzero(counts)
+    if not len(own):
+        return keys
+    starts = (np.cumsum(counts) - counts)[own]
+    place = np.uint64((1 << 28) - 1)  # the lowest bits hold a gram's place among all
+    at = np.arange(len(grams), dtype=np.uint64)
+    for b in range(bands):
+        v = mix(grams * np.uint64(2 * b + 3) + np.uint64((b + 1) * int(PRIME) % (1 << 64))) & ~place | at
+        first = np.minimum.reduceat(v, starts) & place
+        v[first] = np.uint64((1 << 64) - 1)
+        second = np.where(counts[own] > 1, np.minimum.reduceat(v, starts) & place, first)
+        keys[own, b] = mix(mix(grams[np.minimum(first, second)] * PRIME + grams[np.maximum(first, second)]) + np.uint64(b))
+    return keys
+
+
+def keys_of(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+    """The number of words of each text, and its keys."""
+    words, sizes = word_hashes(texts, hashes)
+    return sizes, order_keys(*labelled_grams(words, sizes))
+
+
+def by_size(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about so many characters together."""
+    start, size = 0, 0
+    for i, t in enumerate(texts, 1):
+        size += len(t or "") + 100
+        if size >= chars or i == len(texts):
+            yield start, i
+            start, size = i, 0
 
 
 def edit_distance(a: list[str], b: list[str], limit: int) -> int:
@@ -110,255 +159,352 @@ def edit_distance(a: list[str], b: list[str], limit: int) -> int:
 
 
 def similar(a: str | None, b: str | None, similarity: float = SIMILARITY) -> bool:
-    """Whether 1 - edit distance / words of the longer text reaches the similarity."""
+    """Whether 1 - edit distance / words of the longer text reaches the similarity. Near copies need a narrow band only."""
     x, y = words_of(a), words_of(b)
-    limit = int((1 - similarity) * max(len(x), len(y)) + 1e-9)
+    limit = edits(max(len(x), len(y)), similarity)
+    band = 32
+    while band < limit:
+        if edit_distance(x, y, band) <= band:
+            return True
+        band *= 4
     return edit_distance(x, y, limit) <= limit
 
 
-def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs, materialised, with _row (a number of its own), _h1 and _h2 (a 128-bit hash of the text) and _sketch (n, keys, third).
+def edits(words: int, similarity: float) -> int:
+    """The most edits that similar texts may have, given the words of the longer."""
+    return int((1 - similarity) * words + 1e-9)
+
+
+def sketched(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
+    """doc (the row), row (a number of its own), h1 and h2 (a 128-bit hash of the text), n (words) and keys of all rows of docs.
 
-    The table is bucketed by _row: its texts move once, and later joins that pick
+    The table is bucketed by row: its texts move once, and later joins that pick
     rows by number move the numbers only.
     """
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
-        for texts in batches:
-            rows = []
-            for t in texts:
-                words = words_of(t)
-                keys, third = order_sketch(labelled_grams(hashes.of(words)))
-                rows.append((len(words), keys.view(np.int64), third.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["n", "keys", "third"])
-
-    spark = docs.sparkSession
-    sketch = F.pandas_udf(run, schema_of(n="long", keys="longs", third="longs"))
-    own = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.withColumns({"_row": F.monotonically_increasing_id(), "_h1": F.xxhash64(F.lit(1), own), "_h2": F.xxhash64(F.lit(2), own), "_sketch": sketch(F.col(text))})
-    n, name = int(spark.conf.get("spark.sql.shuffle.partitions")), f"near_dups_{uuid.uuid4().hex}"
-    rows.repartition(n, "_row").write.bucketBy(n, "_row").sortBy("_row").option("path", fresh_path(spark, "near-dups-sketched")).saveAsTable(name, format="parquet")
-    return spark.table(name)
-
-
-def distinct_texts(rows: DataFrame) -> DataFrame:
-    """_h1, _h2, tid (the first row of the text), copies and first (of its rows: the smallest id, then the smallest row), materialised."""
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("doc_id"), F.col("_row").alias("row")))
-    return materialise(rows.groupBy("_h1", "_h2").agg(F.min("_row").alias("tid"), F.count(F.lit(1)).alias("copies"), first.alias("first")), "near-dups-texts")
-
-
-def text_keys(rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """band, key, third, n (words) and tid of every key of every text, materialised."""
-    own = rows.select(F.col("_row").alias("tid"), "_sketch").join(texts.select("tid"), "tid")
-    keyed = own.select("tid", F.col("_sketch.n").alias("n"), F.posexplode(F.arrays_zip("_sketch.keys", "_sketch.third")).alias("band", "k"))
-    return materialise(keyed.select("band", F.col("k.keys").alias("key"), F.col("k.third").alias("third"), "n", "tid"), "near-dups-keys")
-
-
-def candidate_pairs(keyed: DataFrame) -> DataFrame:
-    """a, b (tids, a < b) and votes of all linked pairs of different texts, materialised. keyed: of text_keys."""
+        for b in batches:
+            texts, n, keys = list(b), [], []
+            for start, end in by_size(texts):
+                sizes, own = keys_of(texts[start:end], hashes)
+                n += sizes.tolist()
+                keys += [k if s else k[:0] for k, s in zip(own.view(np.int64), sizes, strict=True)]
+            yield pd.DataFrame({"n": pd.Series(n, dtype="int64"), "keys": pd.Series(keys, dtype=object)})
+
+    own = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(row, F.monotonically_increasing_id().alias("row"), F.xxhash64(F.lit(1), own).alias("h1"), F.xxhash64(F.lit(2), own).alias("h2"), F.pandas_udf(run, schema_of(n="long", keys="longs")).asNondeterministic()(own).alias("s"))
+    return scratch.bucket(rows.select("doc", "row", "h1", "h2", "s.n", "s.keys"), "rows", "row")
+
+
+def distinct_texts(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """h1, h2, tid (the first row of the text), copies and first (of its rows: the smallest id, then the smallest row)."""
+    first = F.min(F.struct(F.col("doc.doc_id").isNull().alias("no"), F.col("doc.doc_id").alias("doc_id"), F.col("row").alias("row")))
+    return scratch.write(rows.groupBy("h1", "h2").agg(F.min("row").alias("tid"), F.count(F.lit(1)).alias("copies"), first.alias("first")), "texts")
+
+
+def text_keys(rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """key, band, n (words) and tid of every key of every text, bucketed by key."""
+    own = rows.select(F.col("row").alias("tid"), F.col("n").cast("int").alias("n"), "keys").join(texts.select("tid"), "tid")
+    keyed = own.select(F.posexplode("keys").alias("band", "key"), "n", "tid")
+    return scratch.bucket(keyed.select("key", F.col("band").cast("byte").alias("band"), "n", "tid"), "keys", "key")
+
+
+def neighbour_pairs(keyed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """a, b (tids, a < b) and votes of texts linked within the keys of the first bands.
+
+    Keys are range-sorted, so one that very many texts share is spread over tasks;
+    which links it gives then depends on where it is cut, but not the classes in
+    the end, as all pairs of a key that are still apart are looked at later.
+    """
     n = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    order = ["band", "key", "third", "tid"]
+    order = ["key", "n", "tid"]
 
     def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part, back, lead = TaskContext.get().partitionId(), None, None
-        names = ["band", "key", "n", "tid"]
+        back, lead = np.zeros((0, 3), np.int64), np.zeros(3, np.int64)
         for b in batches:
             if not len(b):
                 continue
-            new = b[names].to_numpy(np.int64)
-            if back is None:
-                yield _seams(new[:1], part, 1)
-                lead = new[0]
-                own = new
-            else:
-                own = np.concatenate([back, new])
-            fresh = len(own) - len(new)
-            same = lambda x, y: (x[..., 0] == y[..., 0]) & (x[..., 1] == y[..., 1])
-            starts = np.ones(len(own), bool)
-            starts[1:] = ~same(own[1:], own[:-1])
-            starts[0] = fresh == 0
+            own = np.concatenate([back, b[order].to_numpy(np.int64)])
+            fresh = len(back)
+            starts = np.concatenate([[fresh == 0], own[1:, 0] != own[:-1, 0]])
             first = np.maximum.accumulate(np.where(starts, np.arange(len(own)), -1))
             leads = np.where((first >= 0)[:, None], own[np.maximum(first, 0)], lead)
-            lead = leads[-1]
             pairs = [(leads[fresh:], own[fresh:])]
             for d in range(1, NEIGHBOURS + 1):
                 at = np.arange(max(fresh, d), len(own))
                 pairs.append((own[at - d], own[at]))
             x, y = np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
-            good = same(x, y) & (x[:, 3] != y[:, 3]) & (np.minimum(x[:, 2], y[:, 2]) >= SIMILARITY * np.maximum(x[:, 2], y[:, 2]) - 1e-9)
-            x, y = x[good, 3], y[good, 3]
-            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y), "seam": 0, "part": part, "band": 0, "key": 0, "n": 0})
-            back = own[-NEIGHBOURS:]
-        if back is not None:
-            yield _seams(back[-1:], part, 2)
-
-    out = schema_of(a="long", b="long", seam="int", part="int", band="int", key="long", n="long")
-    found = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInPandas(link, out)
-    found = materialise(found, "near-dups-links")
-    # Keys that go on from one task's rows to the next: two rows a task, so a window over all of them stays small.
-    seams = found.where("seam > 0").select("part", "seam", "band", "key", F.col("a").alias("tid"))
-    along = Window.orderBy("part", "seam")
-    seams = seams.withColumns({"pb": F.lag("band").over(along), "pk": F.lag("key").over(along), "pt": F.lag("tid").over(along)})
-    seams = seams.where("seam = 1 AND pb = band AND pk = key AND pt <> tid").select(F.least("pt", "tid").alias("a"), F.greatest("pt", "tid").alias("b"))
-    pairs = found.where("seam = 0").select("a", "b").unionByName(seams)
-    return materialise(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), "near-dups-pairs")
-
-
-def _seams(row: np.ndarray, part: int, seam: int) -> pd.DataFrame:
-    band, key, n, tid = row[0]
-    return pd.DataFrame({"a": [tid], "b": [tid], "seam": [seam], "part": [part], "band": [band], "key": [key], "n": [n]})
-
-
-def bigram_bag(words: np.ndarray) -> bytes:
-    """How often each bin of hashed word bigrams occurs, up to 255."""
-    ids = gram_hashes(words, 2) % np.uint64(BINS)
-    return np.minimum(np.bincount(ids.astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
-
-
-def _close(similarity: float):
-    """A function of a group of rows (n, tid, c, bag, own and the blocks i, j) to the pairs between i and j that may be similar.
-
-    One edit takes two bigrams away at most and adds two at most, so a pair whose
-    bags differ by more on either side is not within the limit: no similar pair
-    is left out.
+            good = (x[:, 0] == y[:, 0]) & (x[:, 2] != y[:, 2]) & (np.minimum(x[:, 1], y[:, 1]) >= similarity * np.maximum(x[:, 1], y[:, 1]) - 1e-9)
+            x, y = x[good, 2], y[good, 2]
+            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+            back, lead = own[-NEIGHBOURS:], leads[-1]
+
+    found = keyed.where(F.col("band") < FIRST_BANDS).select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order).mapInPandas(link, schema_of(a="long", b="long"))
+    return scratch.write(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), "pairs")
+
+
+def mixed_groups(groups: DataFrame, key: str, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """key, n, tid, c and size of the rows of groups(key, n, tid) whose group holds texts of several classes."""
+    shared = groups.groupBy(key).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    own = groups.select(key, "n", "tid").join(shared, key).join(classes.withColumnRenamed("v", "tid"), "tid", "left")
+    own = scratch.write(own.select(key, "n", "tid", "size", F.coalesce("c", "tid").alias("c")), "classed")
+    mixed = own.groupBy(key).agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select(key)
+    return scratch.write(own.join(mixed, key, "left_semi"), "mixed")
+
+
+def listed_pairs(groups: DataFrame, key: str, similarity: float) -> DataFrame:
+    """a, b (a < b) of all texts of one group that have compatible lengths and different classes. groups: of GROUP texts each at most."""
+    x, y = (groups.select(key, F.col("n").alias(f"n{s}"), F.col("tid").alias(s), F.col("c").alias(f"c{s}")) for s in "ab")
+    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - 1e-9
+    return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
+
+
+def bigram_counts(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bigrams (hashes) of all texts end to end, the same labelled by occurrence, and each text's bigrams and words."""
+    words, sizes = word_hashes(texts, hashes)
+    labelled, counts = labelled_grams(words, sizes, 2)
+    starts = np.cumsum(sizes) - sizes
+    plain = gram_hashes(np.concatenate([words, np.zeros(2, np.uint64)]), 2)
+    text = np.repeat(np.arange(len(sizes)), counts)
+    return plain[np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[text]], labelled, counts, sizes
+
+
+def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """token, n and tid of the rarest bigrams of large(tid, n, text): any two similar texts have one of them in common.
+
+    One edit takes two bigrams of a text away at most. So similar texts share all
+    but 2 * (1 - similarity) * n of the n words' bigrams of either, and of both in
+    any order of bigrams that is the same for all, the first so many and one more
+    have one in common. The order is by estimated frequency, so that a passage of
+    all texts comes last; only sums in COUNTERS bins reach the driver and the tasks.
+    Bigrams that certainly no other text has are left out.
+    """
+    spark = large.sparkSession
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes, sums = WordHashes(), np.zeros(COUNTERS, np.int64)
+        for b in batches:
+            for start, end in by_size(list(b["text"])):
+                plain, _, _, _ = bigram_counts(list(b["text"].iloc[start:end]), hashes)
+                sums += np.bincount((plain % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        found = np.flatnonzero(sums)
+        yield pd.DataFrame({"bin": found, "n": sums[found]})
+
+    counted = large.select("text").mapInPandas(count, schema_of(bin="long", n="long")).groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
+    sums = np.zeros(COUNTERS, np.int64)
+    sums[counted["bin"]] = counted["n"]
+    shared = spark.sparkContext.broadcast(sums)
+
+    def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes, sums = WordHashes(), shared.value
+        for b in batches:
+            texts, out = list(b), []
+            for start, end in by_size(texts):
+                plain, labelled, counts, sizes = bigram_counts(texts[start:end], hashes)
+                often = sums[(plain % np.uint64(COUNTERS)).astype(np.int64)]
+                at = 0
+                for m, n in zip(counts.tolist(), sizes.tolist(), strict=True):
+                    order = np.lexsort((labelled[at : at + m], often[at : at + m]))[: int(2 * (1 - similarity) * n + 1e-9) + 1]
+                    out.append(labelled[at : at + m][order[often[at : at + m][order] > 1]].view(np.int64))
+                    at += m
+            yield pd.Series(out, dtype=object)
+
+    tokens = large.select("tid", "n", F.explode(F.pandas_udf(rarest, "array<bigint>").asNondeterministic()("text")).alias("token"))
+    return scratch.write(tokens, "tokens")
+
+
+def word_bag(texts: list[str | None], hashes: WordHashes) -> list[bytes]:
+    """How often each bin of hashed words occurs in each text, up to 255."""
+    words, sizes = word_hashes(texts, hashes)
+    parts = np.split((words % np.uint64(BINS)).astype(np.int64), np.cumsum(sizes)[:-1])
+    return [np.minimum(np.bincount(p, minlength=BINS), 255).astype(np.uint8).tobytes() for p in parts]
+
+
+def _bags(xs) -> np.ndarray:
+    return np.frombuffer(b"".join(xs), np.uint8).reshape(-1, BINS).astype(np.int16)
+
+
+def _may_be_similar(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
+    """Of rows of word counts: one edit takes one word away and adds one at most, so similar texts differ by no more on either side."""
+    more = x - y
+    return np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= limit
+
+
+def with_bags(ids: DataFrame, rows: DataFrame, text: str, scratch: Scratch) -> DataFrame:
+    """tid, n and bag of the texts of ids(tid)."""
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        hashes = WordHashes()
+        for b in batches:
+            texts = list(b)
+            yield pd.Series([x for start, end in by_size(texts) for x in word_bag(texts[start:end], hashes)], dtype=object)
+
+    read = rows.select(F.col("row").alias("tid"), "n", F.col(f"doc.`{text}`").alias("text")).join(ids, "tid")
+    return scratch.write(read.select("tid", "n", F.pandas_udf(run, "binary").asNondeterministic()("text").alias("bag")), "bags")
+
+
+def sift(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) that word counts do not rule out."""
+    bags = with_bags(pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct(), rows, text, scratch)
+
+    def fits(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
+        limit = ((1 - similarity) * np.maximum(n, m) + 1e-9).to_numpy().astype(np.int64)
+        parts = [_may_be_similar(_bags(x.iloc[i : i + 1000]), _bags(y.iloc[i : i + 1000]), limit[i : i + 1000]) for i in range(0, len(x), 1000)]
+        return pd.Series(np.concatenate([np.zeros(0, bool), *parts]))
+
+    side = lambda s: bags.select(F.col("tid").alias(s), F.col("n").alias(f"n{s}"), F.col("bag").alias(f"bag{s}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return scratch.write(both.where(F.pandas_udf(fits, "boolean").asNondeterministic()("na", "nb", "baga", "bagb")).select("a", "b"), "sifted")
+
+
+def block_pairs(groups: DataFrame, key: str, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """As listed_pairs and sift at once, for groups of any size.
+
+    The texts of a group are dealt to blocks by a hash, and each pair of blocks is
+    a group of its own; only pairs that word counts do not rule out leave a task.
     """
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
+    def compare(g: pd.DataFrame) -> pd.DataFrame:
         i, j = g["i"].iat[0], g["j"].iat[0]
         x, y = g[g["own"] == i], g[g["own"] == j]
         n, tid, c = (y[k].to_numpy(np.int64) for k in ("n", "tid", "c"))
-        bags = np.frombuffer(b"".join(y["bag"]), np.uint8).reshape(-1, BINS).astype(np.int16)
-        found = [np.zeros((0, 2), np.int64)]
+        bags, found = _bags(y["bag"]), [np.zeros((0, 2), np.int64)]
         for m, t, k, bag in zip(x["n"], x["tid"], x["c"], x["bag"], strict=True):
             longer = np.maximum(n, m)
             limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
             at = np.flatnonzero((c != k) & (longer - np.minimum(n, m) <= limit) & ((tid > t) if i == j else True))
-            more = bags[at] - np.frombuffer(bag, np.uint8).astype(np.int16)
-            at = at[np.maximum(np.maximum(more, 0).sum(1), np.maximum(-more, 0).sum(1)) <= 2 * limit[at]]
+            at = at[_may_be_similar(bags[at], _bags([bag]), limit[at])]
             found.append(np.stack([np.minimum(tid[at], t), np.maximum(tid[at], t)], 1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    return run
-
-
-def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str, similarity: float) -> DataFrame:
-    """a, b (tids, a < b) of all texts of one key and different classes that may be similar, materialised.
-
-    The texts of a key are dealt to blocks by a hash, and each pair of blocks is a
-    group of its own, so a key that very many texts share is spread over tasks.
-    """
-    own = keyed.join(classes.withColumnRenamed("v", "tid"), "tid", "left").select("band", "key", "n", "tid", F.coalesce("c", "tid").alias("c"))
-    own = materialise(own, "near-dups-classed")
-    mixed = own.groupBy("band", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")).where("low < high")
-    own = materialise(own.join(mixed.select("band", "key", "blocks"), ["band", "key"]), "near-dups-mixed")
-
-    def bag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
-        for texts in batches:
-            yield pd.Series([bigram_bag(hashes.of(words_of(t))) for t in texts], dtype=object)
-
-    read = rows.select(F.col("_row").alias("tid"), F.col(text).alias("_text")).join(own.select("tid").distinct(), "tid")
-    bags = materialise(read.select("tid", F.pandas_udf(bag, "binary").asNondeterministic()("_text").alias("bag")), "near-dups-bags")
-    own = own.withColumn("own", F.pmod(F.xxhash64("tid"), F.col("blocks")).cast("int")).join(bags, "tid")
+    bags = with_bags(groups.select("tid").distinct(), rows, text, scratch).select("tid", "bag")
+    blocks = F.ceil(F.col("size") / GROUP).cast("int")
+    own = groups.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("tid"), blocks).cast("int")}).join(bags, "tid")
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = other.select("band", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "tid", "c", "bag")
-    pairs = dealt.groupBy("band", "key", "i", "j").applyInPandas(_close(similarity), schema_of(a="long", b="long"))
-    return materialise(pairs.distinct(), "near-dups-close")
-
-
-def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float) -> DataFrame:
-    """The pairs (a, b) of tids whose texts are similar, materialised."""
+    dealt = other.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "tid", "c", "bag")
+    return scratch.write(dealt.groupBy(key, "i", "j").applyInPandas(compare, schema_of(a="long", b="long")).distinct(), "blocks")
+
+
+def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """a, b (tids, a < b) of all texts that share a key, are of different classes and may be similar."""
+    mixed = mixed_groups(keyed, "key", classes, scratch)
+    pairs = listed_pairs(mixed.where(F.col("size") <= GROUP), "key", similarity)
+    large = mixed.where(F.col("size") > GROUP).select("tid").distinct()
+    if large.isEmpty():
+        return sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
+    read = rows.select(F.col("row").alias("tid"), "n", F.coalesce(f"doc.`{text}`", F.lit("")).alias("text")).join(large, "tid")
+    finer = mixed_groups(rare_bigrams(scratch.write(read, "large"), similarity, scratch), "token", classes, scratch)
+    pairs = pairs.unionByName(listed_pairs(finer.where(F.col("size") <= GROUP), "token", similarity)).distinct()
+    found = sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
+    rest = finer.where(F.col("size") > GROUP)
+    return found if rest.isEmpty() else found.unionByName(block_pairs(rest, "token", rows, text, similarity, scratch)).distinct()
+
+
+def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """The pairs (a, b) of tids whose texts are similar."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-    texts = materialise(rows.select(F.col("_row").alias("tid"), F.col(text).alias("_text")).join(ids, "tid"), "near-dups-candidates")
+    texts = scratch.write(rows.select(F.col("row").alias("tid"), F.col(f"doc.`{text}`").alias("text")).join(ids, "tid"), "candidates")
 
     def check(xs: pd.Series, ys: pd.Series) -> pd.Series:
         return pd.Series([similar(x, y, similarity) for x, y in zip(xs, ys, strict=True)], dtype=bool)
 
-    both = pairs.select("a", "b").join(texts.select(F.col("tid").alias("a"), F.col("_text").alias("_x")), "a").join(texts.select(F.col("tid").alias("b"), F.col("_text").alias("_y")), "b")
-    return materialise(both.where(F.pandas_udf(check, "boolean").asNondeterministic()("_x", "_y")).select("a", "b"), "near-dups-verified")
+    side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"text{s}"))
+    both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    found = scratch.write(both.where(F.pandas_udf(check, "boolean").asNondeterministic()("texta", "textb")).select("a", "b"), "verified")
+    scratch.drop(texts)
+    return found
 
 
-def components(links: DataFrame) -> DataFrame:
-    """v and c for every end of links(a, b): the smallest id that can be reached, materialised.
+def components(links: DataFrame, scratch: Scratch) -> DataFrame:
+    """v and c for every end of links(a, b): the smallest id that can be reached.
 
     Each round takes the smallest label among the neighbours and then the label
     of that label, so long chains fold up fast; every round is written down.
     """
-    edges = links.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))).alias("e")).select("e.v", "e.u").distinct()
-    edges = materialise(edges, "components-edges")
-    labels = materialise(edges.groupBy("v").agg(F.least("v", F.min("u")).alias("c")), "components-labels")
+    ends = F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))
+    edges = scratch.write(links.select(F.explode(ends).alias("e")).select("e.v", "e.u").distinct(), "edges")
+    labels = scratch.write(edges.groupBy("v").agg(F.least("v", F.min("u")).alias("c")), "labels")
     while True:
         near = edges.join(labels.withColumnRenamed("v", "u"), "u").groupBy("v").agg(F.min("c").alias("m"))
-        stepped = materialise(labels.join(near, "v").select("v", F.col("c").alias("was"), F.least("c", "m").alias("c")), "components-step")
+        stepped = scratch.write(labels.join(near, "v").select("v", F.col("c").alias("was"), F.least("c", "m").alias("c")), "step")
         jump = stepped.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-        labels = materialise(stepped.join(jump, "c").select("v", F.col("cc").alias("c"), (F.col("cc") != F.col("was")).alias("moved")), "components-labels")
+        labels = scratch.write(stepped.join(jump, "c").select("v", F.col("cc").alias("c"), (F.col("cc") != F.col("was")).alias("moved")), "labels")
         if labels.where("moved").isEmpty():
             return labels.select("v", "c")
         labels = labels.select("v", "c")
 
 
-def link_texts(rows: DataFrame, texts: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def merged(classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
+    """The classes, joined by more links between their texts: links between whole classes settle it, however large these are."""
+    if links.isEmpty():
+        return classes
+    label = lambda s: classes.select(F.col("v").alias(s), F.col("c").alias(f"c{s}"))
+    between = links.join(label("a"), "a", "left").join(label("b"), "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    settled = components(between, scratch).select(F.col("v").alias("c"), F.col("c").alias("to"))
+    every = classes.unionByName(links.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(classes, "v", "left_anti").select("v", F.col("v").alias("c")))
+    return scratch.write(every.join(settled, "c", "left").select("v", F.coalesce("to", "c").alias("c")), "merged")
+
+
+def link_texts(rows: DataFrame, texts: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
     """v and c of every text that is similar to another, c the class. rows, texts: of sketched and distinct_texts.
 
-    First each text is aligned with its most voted candidate only, which already
-    folds large groups; then all candidates that are still in different classes;
+    First each text is aligned with its most voted neighbour only, which already
+    folds large groups; then all neighbours that are still in different classes;
     then all other texts of one key that are, until no pair is left out.
     """
-    keyed = text_keys(rows, texts)
-    pairs = candidate_pairs(keyed)
-    best = pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a"))
-    links = verified(materialise(best.select("a", "b"), "near-dups-best"), rows, text, similarity)
-    classes = components(links)
+    keyed = text_keys(rows, texts, scratch)
+    pairs = neighbour_pairs(keyed, similarity, scratch)
+    best = scratch.write(pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "best")
+    classes = components(verified(best, rows, text, similarity, scratch), scratch)
     label = lambda side: classes.select(F.col("v").alias(side), F.col("c").alias(f"c{side}"))
-    apart = pairs.select("a", "b").join(best.select("a", "b"), ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
-    apart = materialise(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "near-dups-apart")
-    classes = _merged(classes, verified(apart, rows, text, similarity))
+    apart = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
+    apart = scratch.write(apart.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"), "apart")
+    classes = merged(classes, verified(sift(apart, rows, text, similarity, scratch), rows, text, similarity, scratch), scratch)
     # Pairs that were candidates before are in one class by now or known not to be similar.
-    rest = pairs_apart(rows, keyed, classes, text, similarity).join(pairs.select("a", "b"), ["a", "b"], "left_anti")
-    return _merged(classes, verified(materialise(rest, "near-dups-rest"), rows, text, similarity))
-
-
-def _merged(classes: DataFrame, links: DataFrame) -> DataFrame:
-    """The classes, joined by more links between their texts."""
-    if links.isEmpty():
-        return classes
-    star = classes.where("v <> c").select(F.col("c").alias("a"), F.col("v").alias("b"))
-    return components(star.unionByName(links))
-
-
-def classed(docs: DataFrame, text: str = "text", similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """The sketched rows of docs(doc_id, text), and their texts with class_first (as first, of the class), class_size and class_texts."""
-    rows = sketched(docs, text)
-    texts = distinct_texts(rows)
-    classes = link_texts(rows, texts, text, similarity)
-    linked = materialise(texts.join(classes.withColumnRenamed("v", "tid"), "tid"), "near-dups-linked")
-    sums = materialise(linked.groupBy("c").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("class_texts")), "near-dups-classes")
+    rest = pairs_apart(rows, keyed, classes, text, similarity, scratch)
+    scratch.drop(keyed)
+    rest = scratch.write(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    return merged(classes, verified(rest, rows, text, similarity, scratch), scratch)
+
+
+def classed(docs: DataFrame, text: str, similarity: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The sketched rows of docs, and their texts with class_first (as first, of the class), class_size and class_texts."""
+    rows = sketched(docs, text, scratch)
+    texts = distinct_texts(rows, scratch)
+    classes = link_texts(rows, texts, text, similarity, scratch)
+    linked = scratch.write(texts.join(classes.withColumnRenamed("v", "tid"), "tid"), "linked")
+    sums = scratch.write(linked.groupBy("c").agg(F.min("first").alias("class_first"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("class_texts")), "classes")
     linked = linked.select("tid", "c").join(sums, "c").drop("c")
     alone = texts.join(linked, "tid", "left").select(
-        "_h1", "_h2", "first", F.coalesce("class_first", "first").alias("class_first"), F.coalesce("class_size", "copies").alias("class_size"), F.coalesce("class_texts", F.lit(1).cast("long")).alias("class_texts")
+        "h1", "h2", "first", F.coalesce("class_first", "first").alias("class_first"), F.coalesce("class_size", "copies").alias("class_size"), F.coalesce("class_texts", F.lit(1).cast("long")).alias("class_texts")
     )
-    return rows, materialise(alone, "near-dups-membership")
+    return rows, scratch.write(alone, "membership")
 
 
-def find_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+def find_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """doc_id, class_id, class_size, class_texts and kept for every row of docs(doc_id, text).
 
     class_id: the smallest doc_id of the class; class_size: its rows; class_texts:
     its different texts; kept: true for one row of each class, the one with that
     id (the first row among repeats; ids before nulls). Null texts count as empty.
-    Texts without words are only like texts with the same characters. Other
-    columns are ignored.
+    Texts without words are only like texts with the same characters. Long texts
+    are taken whole. Other columns are ignored, and an empty table gives an empty one.
     """
-    rows, texts = classed(docs.select("doc_id", "text"), similarity=similarity)
-    found = rows.select("doc_id", "_row", "_h1", "_h2").join(texts, ["_h1", "_h2"])
-    return found.select("doc_id", F.col("class_first.doc_id").alias("class_id"), "class_size", "class_texts", (F.col("_row") == F.col("class_first.row")).alias("kept"))
-
-
-def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs that find_near_duplicates keeps, with all their columns."""
-    rows, texts = classed(docs, similarity=similarity)
-    kept = texts.where(F.col("first.row") == F.col("class_first.row")).select(F.col("first.row").alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
+    scratch = Scratch(docs.sparkSession, "near_dups")
+    rows, texts = classed(docs.select("doc_id", text), text, similarity, scratch)
+    found = rows.select("doc.doc_id", "row", "h1", "h2").join(texts, ["h1", "h2"])
+    found = materialise(found.select("doc_id", F.col("class_first.doc_id").alias("class_id"), "class_size", "class_texts", (F.col("row") == F.col("class_first.row")).alias("kept")), "near-duplicates")
+    scratch.clear()
+    return found
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
+    """The rows of docs that find_near_duplicates keeps, with all their columns, whatever these are called."""
+    scratch = Scratch(docs.sparkSession, "near_dups")
+    rows, texts = classed(docs, text, similarity, scratch)
+    kept = texts.where(F.col("first.row") == F.col("class_first.row")).select(F.col("first.row").alias("row"))
+    found = materialise(rows.join(kept, "row", "left_semi").select("doc.*"), "near-dups-kept")
+    scratch.clear()
+    return found

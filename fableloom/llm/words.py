@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-import hashlib
+from collections.abc import Iterable
 
 import numpy as np
+import xxhash
 
 PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -21,11 +22,12 @@ class WordHashes(dict):
     def __missing__(self, word: str) -> int:
         if len(self) > 300_000:
             self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+        h = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return h
 
-    def of(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+    def of(self, words: Iterable[str], n: int = -1) -> np.ndarray:
+        """n: the number of words, if known."""
+        return np.fromiter(map(self.__getitem__, words), np.uint64, n)
 
 
 def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
@@ -37,3 +39,12 @@ def gram_hashes(words: np.ndarray, k: int) -> np.ndarray:
     for j in range(k):
         h = h * PRIME + words[j : j + n]
     return mix(h)
+
+
+def stretches(text: str, size: int = 1 << 20) -> list[str]:
+    """A long text cut at spaces every ``size`` characters or later, so that its words need not all be held at a time."""
+    out, at = [], 0
+    while len(text) - at > size and (end := text.find(" ", at + size)) >= 0:
+        out.append(text[at:end])
+        at = end
+    return [*out, text[at:] if at else text]

@@ -1,8 +1,11 @@
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from fableloom.llm.near_dups import drop_near_duplicates, edit_distance, find_near_duplicates, labelled_grams, order_sketch, similar, words_of
+from fableloom.llm import near_dups
+from fableloom.llm.near_dups import bigram_counts, drop_near_duplicates, edit_distance, find_near_duplicates, keys_of, similar, word_bag, words_of
 from fableloom.llm.words import WordHashes
 
 
@@ -83,31 +86,125 @@ def test_large_group_and_empty(spark, docs):
     assert drop_near_duplicates(docs().where(F.lit(False))).count() == 0
 
 
-def test_star_shaped_group(spark, docs):
-    """Variants like their source but not like each other, under any number of partitions."""
-    r = random.Random(3)
-    base = ["w%d" % r.randrange(9999) for _ in range(200)]
-    texts = [" ".join(base)]
-    for i in range(400):
-        c = list(base)
-        for at in r.sample(range(200), 24):
-            c[at] = f"x{i}y{at}"
-        texts.append(" ".join(c))
-    keys = [set(order_sketch(labelled_grams(WordHashes().of(words_of(t))))[0].tolist()) for t in texts]
-    reached = {0}  # texts that share a key and are similar, by comparing all pairs
-    fresh = [0]
-    while fresh:
-        i = fresh.pop()
-        for j in range(len(texts)):
-            if j not in reached and any(x in keys[j] for x in keys[i]) and similar(texts[i], texts[j]):
-                reached.add(j)
-                fresh.append(j)
-    assert len(reached) > 250
-    for n in ("3", "16"):
-        before = spark.conf.get("spark.sql.shuffle.partitions")
-        spark.conf.set("spark.sql.shuffle.partitions", n)
-        try:
-            found = find_near_duplicates(docs(*texts, extra=False)).collect()
-        finally:
-            spark.conf.set("spark.sql.shuffle.partitions", before)
-        assert {x.doc_id for x in found if x.class_id == 0} == reached
+def edited(r, base, share, fresh):
+    """base with about that share of its words replaced, taken away or added."""
+    out = list(base)
+    for _ in range(int(share * len(base))):
+        at, kind = r.randrange(len(out)), r.random()
+        out[at : at + (kind < 0.8)] = [] if 0.7 < kind < 0.8 else [f"x{next(fresh)}"]
+    return out
+
+
+def by_pairs(texts):
+    """Class numbers of texts by comparing all pairs that share a key."""
+    keys = [set(k.tolist()) for k in keys_of(texts, WordHashes())[1]]
+    root = list(range(len(texts)))
+
+    def top(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if top(i) != top(j) and keys[i] & keys[j] and similar(texts[i], texts[j]):
+                root[max(top(i), top(j))] = min(top(i), top(j))
+    return [top(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize(("group", "partitions"), [(64, "2"), (64, "7"), (2, "7"), (2, "64")])
+def test_stars_and_a_passage_of_all_under_any_partitions(spark, docs, monkeypatch, group, partitions):
+    """Variants like their source but not like each other, and unlike texts behind one passage; keys of any size, cut anywhere."""
+    r, fresh = random.Random(3), iter(range(10**6))
+    words = ["w%d" % i for i in range(3000)]
+    passage, texts = r.choices(words, k=50), []
+    for n in (60, 20, 3, 1, 1, 1):
+        base = r.choices(words, k=60) + passage
+        texts.append(" ".join(base))
+        for _ in range(n):
+            c = list(base)
+            for at in r.sample(range(60), 13):
+                c[at] = f"x{next(fresh)}"
+            texts.append(" ".join(c))
+    for _ in range(90):
+        texts.append(" ".join(r.choices(words, k=60) + passage))
+    r.shuffle(texts)
+    texts += ["one", "One!", "one ?", "two words", "Two - words"]
+    wanted = by_pairs(texts)
+    assert len(set(wanted)) < len(texts) - 60
+    monkeypatch.setattr(near_dups, "GROUP", group)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = {x.doc_id: x.class_id for x in find_near_duplicates(docs(*texts, extra=False)).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert [found[i] for i in range(len(texts))] == wanted
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("near_dups")]
+
+
+@pytest.mark.parametrize(("share", "least"), [(0.05, 0.99), (0.1, 0.99), (0.15, 0.97), (0.18, 0.9), (0.2, 0.88)])
+def test_share_of_similar_pairs_with_a_common_key(share, least):
+    r, fresh = random.Random(6), iter(range(10**7))
+    hashes, hits, pairs = WordHashes(), 0, 0
+    for n in (60, 150, 400):
+        for _ in range(100):
+            base = r.choices([f"w{i}" for i in range(5000)], k=n)
+            a, b = " ".join(base), " ".join(edited(r, base, share, fresh))
+            if similar(a, b):
+                x, y = keys_of([a, b], hashes)[1]
+                hits, pairs = hits + bool(set(x.tolist()) & set(y.tolist())), pairs + 1
+    assert pairs > 150 and hits / pairs >= least
+
+
+def test_keys_against_plain_order_minhash():
+    texts = ["a b c d e f g h a b c d e f g h a b c d e", "", None, "one two", "x " * 30, "p q r s t"]
+    hashes = WordHashes()
+    sizes, keys = keys_of(texts, hashes)
+    assert sizes.tolist() == [21, 0, 0, 2, 30, 5]
+    for i, t in enumerate(texts):  # the keys of a text do not depend on its batch
+        assert (keys_of([t], hashes)[1][0] == keys[i]).all()
+    assert not keys[1].any() and keys[0].all() and len(set(keys[0].tolist())) > 8
+    words, own = near_dups.word_hashes([texts[0]], hashes)
+    grams, counts = near_dups.labelled_grams(words, own)
+    assert counts.tolist() == [17] and len(set(grams.tolist())) == 17  # repeated runs are told apart
+
+
+def test_no_similar_pair_is_ruled_out():
+    """Word counts and rarest bigrams are necessary for similarity."""
+    r, fresh = random.Random(9), iter(range(10**6))
+    hashes = WordHashes()
+    for _ in range(300):
+        base = r.choices("abcdefghijklmnopqrstuvwxyz", k=r.randint(1, 60))
+        a, b = " ".join(base), " ".join(edited(r, base, r.choice((0.05, 0.1, 0.2)), fresh))
+        if not similar(a, b):
+            continue
+        limit = near_dups.edits(max(len(words_of(a)), len(words_of(b))), 0.8)
+        x, y = near_dups._bags(word_bag([a, b], hashes))
+        assert near_dups._may_be_similar(x[None], y[None], np.array([limit]))[0]
+        plain, labelled, counts, sizes = bigram_counts([a, b], hashes)
+        first = []
+        for at, m, n in ((0, counts[0], sizes[0]), (counts[0], counts[1], sizes[1])):
+            order = np.lexsort((labelled[at : at + m], plain[at : at + m] % 7))  # any order that is the same for both
+            first.append(set(labelled[at : at + m][order[: int(0.4 * n + 1e-9) + 1]].tolist()))
+        assert first[0] & first[1]
+
+
+def test_user_columns_keep_their_names_and_values(spark, docs):
+    names = ("row", "h1", "h2", "n", "keys", "doc", "_row", "_h1", "_sketch", "tid", "c", "first")
+    own = docs("same text of words", "same text of words", "other").withColumns({n: F.col("doc_id") * 10 for n in names})
+    found = drop_near_duplicates(own)
+    assert found.columns == own.columns
+    assert all(r[n] == (None if r.doc_id is None else r.doc_id * 10) for r in found.collect() for n in names)
+
+
+def test_long_texts():
+    r = random.Random(2)
+    base = r.choices([f"w{i}" for i in range(9999)], k=60_000)
+    near = list(base)
+    for at in range(0, len(near), 50):
+        near[at] = "changed"
+    a, b = " ".join(base), " ".join(near)
+    assert similar(a, b) and not similar(a, b, 0.99) and not similar(a, " ".join(r.sample(base, len(base))))
+    x, y = keys_of([a, b], WordHashes())[1]
+    assert set(x.tolist()) & set(y.tolist())
