@@ -1,10 +1,12 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
 
-from fableloom.llm.quality_crf import LineField, document_quality, fit_quality, line_features, score_quality
+from fableloom.llm import quality_crf
+from fableloom.llm.quality_crf import OWN_FEATURES, LineField, chain_marginals, count_text, document_quality, fit_field, fit_quality, line_features, long_chain, own_features, score_quality
 from fableloom.llm.toxicity import fit_toxicity, ngram_ids, score_toxicity
 
 WORDS = "river stone house green field water light morning table window garden letter".split()
@@ -77,6 +79,64 @@ def test_marginals_against_all_labellings():
     assert np.isclose(good[4], 1 / (1 + np.exp(-x[4] @ field.weights)))
 
 
+def test_pair_marginals_and_long_chains():
+    r = np.random.default_rng(3)
+    score, moves = r.normal(size=7) * 3, r.normal(size=(2, 2))
+    good, pairs = chain_marginals(score, np.zeros(7, int), moves, np.ones(7))
+    assert np.allclose(long_chain(score, moves), good)
+    assert np.isclose(pairs.sum(), 6) and np.allclose(pairs.sum(1)[1], good[:-1].sum()) and np.allclose(pairs.sum(0)[1], good[1:].sum())
+    assert np.allclose(long_chain(np.array([900.0, -900.0, 900.0]), moves), [1, 0, 1])
+
+
+def test_good_lines_in_bad_documents_are_good():
+    r = random.Random(5)
+    prose = lambda: " ".join(r.choices(WORDS, k=9)) + "."
+    junk = lambda: " ".join(w.upper() + "!!" for w in r.choices(WORDS, k=9))
+    texts, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        kinds = [bad and 4 <= k < 11 for k in range(r.randint(12, 14))]
+        texts.append("\n".join(junk() if k else prose() for k in kinds))
+        labels.append(int(not bad))
+    x, lengths, doc = line_features(texts)
+    field = fit_field(x, doc, np.array(labels)[doc], lengths)
+    mixed = "\n".join([prose() for _ in range(5)] + [junk() for _ in range(7)] + [prose() for _ in range(4)])
+    own, _, d = own_features([mixed])
+    good = chain_marginals(field.scores(own, d), d, field.moves)
+    assert (good[:4] > 0.6).all() and (good[6:11] < 0.3).all() and (good[13:] > 0.6).all()
+    assert document_quality([texts[1]], field)[0] > 0.8 > 0.6 > document_quality([texts[0]], field)[0]
+
+
+def test_pieces_of_a_text_are_stitched(monkeypatch):
+    r = random.Random(8)
+    for _ in range(60):
+        text = "".join(r.choice(["a", "B", "1", "é", "!", "|", " ", " ", "x x x ", "\n", "\t", "word "]) for _ in range(r.randint(0, 200)))
+        monkeypatch.setattr(quality_crf, "PIECE", 1 << 20)
+        whole, lengths, _ = own_features([text])
+        monkeypatch.setattr(quality_crf, "PIECE", r.choice((1, 3, 10)))
+        found = count_text(text.encode())
+        assert np.array_equal(found.lengths, lengths)
+        assert np.allclose(found.features(quality_crf.seen_before(np.zeros(len(found.words), int), found.hashes)), whole)
+
+
+def test_scores_from_own_features_equal_those_of_all():
+    texts = ["one two two\nTHREE!! | four\n\none two two", "", "x\ny"]
+    field = LineField(np.random.default_rng(2).normal(size=3 * OWN_FEATURES + 1), np.zeros((2, 2)))
+    x, _, _ = line_features(texts)
+    own, _, doc = own_features(texts)
+    assert np.allclose(field.scores(own, doc), x @ field.weights)
+
+
+@pytest.mark.parametrize("line", ["some words of a line that is not very long, and one more comma.\n", "one endless line of words "])
+def test_a_text_of_50_megabytes_fits_into_a_gigabyte(line):
+    text = line * (50_000_000 // len(line))
+    field = LineField(np.ones(3 * OWN_FEATURES + 1) / 9, np.array([[0.5, -0.5], [-0.5, 0.5]]))
+    tracemalloc.start()
+    assert 0 <= document_quality([text], field)[0] <= 1
+    assert tracemalloc.get_traced_memory()[1] < 1e9
+    tracemalloc.stop()
+
+
 def test_features_of_a_text_do_not_depend_on_its_batch():
     texts = ["one two two\nTHREE!! | four\n\none two two", "", None, "x"]
     together, _, doc = line_features(texts)
