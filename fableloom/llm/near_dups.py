@@ -20,7 +20,6 @@ make classes through connected components.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,32 +28,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, materialise, schema_of
-from .words import PRIME, WordHashes, gram_hashes, mix, stretches
+from .words import PRIME, WORD, gram_hashes, mix, utf8, word_hashes
 
 K, BANDS, SIMILARITY = 5, 64, 0.8
 #: Bands by whose keys texts are linked at first, and how many texts back in a key's order.
 FIRST_BANDS, NEIGHBOURS = 16, 3
 #: Texts of a key whose pairs are listed; larger keys are cut finer, and what cannot be is compared in blocks of so many.
 GROUP = 64
-#: Bins of word counts, and of the bigram counts that go to all tasks (8 MB).
-BINS, COUNTERS = 1024, 1 << 20
-
-_WORD = re.compile(r"[^\W_]+")
-
+#: Bins of word counts, and of the bigram counts that go to all tasks (2 MB).
+BINS, COUNTERS = 1024, 1 << 18
 
 def words_of(text: str | None) -> list[str]:
-    return _WORD.findall((text or "").lower())
+    return WORD.findall((text or "").lower())
 
 
-def word_hashes(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, end to end, and each text's number of words."""
-    sizes, parts = np.zeros(len(texts), np.int64), [np.zeros(0, np.uint64)]
-    for i, t in enumerate(texts):
-        for part in stretches((t or "").lower()):
-            found = _WORD.findall(part)
-            parts.append(hashes.of(found, len(found)))
-            sizes[i] += len(found)
-    return np.concatenate(parts), sizes
+    return word_hashes(utf8((t or "").lower()) for t in texts)
 
 
 def labelled_grams(words: np.ndarray, sizes: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
@@ -88,23 +78,27 @@ def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS) -> np.
         return keys
     starts = (np.cumsum(counts) - counts)[own]
     place = np.uint64((1 << 28) - 1)  # the lowest bits hold a gram's place among all
-    at = np.arange(len(grams), dtype=np.uint64)
-    for b in range(bands):
-        v = mix(grams * np.uint64(2 * b + 3) + np.uint64((b + 1) * int(PRIME) % (1 << 64))) & ~place | at
+    at, v = np.arange(len(grams), dtype=np.uint64), np.empty_like(grams)
+    factors = mix(np.arange(1, bands + 1, dtype=np.uint64) * PRIME) | np.uint64(1)
+    single = counts[own] == 1
+    for b, factor in enumerate(factors):
+        np.multiply(grams, factor, out=v)
+        v &= ~place
+        v |= at
         first = np.minimum.reduceat(v, starts) & place
         v[first] = np.uint64((1 << 64) - 1)
-        second = np.where(counts[own] > 1, np.minimum.reduceat(v, starts) & place, first)
+        second = np.where(single, first, np.minimum.reduceat(v, starts) & place)
         keys[own, b] = mix(mix(grams[np.minimum(first, second)] * PRIME + grams[np.maximum(first, second)]) + np.uint64(b))
     return keys
 
 
-def keys_of(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def keys_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     """The number of words of each text, and its keys."""
-    words, sizes = word_hashes(texts, hashes)
+    words, sizes = hashed(texts)
     return sizes, order_keys(*labelled_grams(words, sizes))
 
 
-def by_size(texts: list[str | None], chars: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def by_size(texts: list[str | None], chars: int = 1 << 18) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about so many characters together."""
     start, size = 0, 0
     for i, t in enumerate(texts, 1):
@@ -175,27 +169,15 @@ def edits(words: int, similarity: float) -> int:
     return int((1 - similarity) * words + 1e-9)
 
 
-def sketched(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
-    """doc (the row), row (a number of its own), h1 and h2 (a 128-bit hash of the text), n (words) and keys of all rows of docs.
+def numbered(docs: DataFrame, text: str, scratch: Scratch) -> DataFrame:
+    """doc (the row), row (a number of its own), h1 and h2 (a 128-bit hash of the text) of all rows of docs.
 
     The table is bucketed by row: its texts move once, and later joins that pick
     rows by number move the numbers only.
     """
-
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for b in batches:
-            texts, n, keys = list(b), [], []
-            for start, end in by_size(texts):
-                sizes, own = keys_of(texts[start:end], hashes)
-                n += sizes.tolist()
-                keys += [k if s else k[:0] for k, s in zip(own.view(np.int64), sizes, strict=True)]
-            yield pd.DataFrame({"n": pd.Series(n, dtype="int64"), "keys": pd.Series(keys, dtype=object)})
-
     own = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    rows = docs.select(row, F.monotonically_increasing_id().alias("row"), F.xxhash64(F.lit(1), own).alias("h1"), F.xxhash64(F.lit(2), own).alias("h2"), F.pandas_udf(run, schema_of(n="long", keys="longs")).asNondeterministic()(own).alias("s"))
-    return scratch.bucket(rows.select("doc", "row", "h1", "h2", "s.n", "s.keys"), "rows", "row")
+    return scratch.bucket(docs.select(row, F.monotonically_increasing_id().alias("row"), F.xxhash64(F.lit(1), own).alias("h1"), F.xxhash64(F.lit(2), own).alias("h2")), "rows", "row")
 
 
 def distinct_texts(rows: DataFrame, scratch: Scratch) -> DataFrame:
@@ -204,15 +186,30 @@ def distinct_texts(rows: DataFrame, scratch: Scratch) -> DataFrame:
     return scratch.write(rows.groupBy("h1", "h2").agg(F.min("row").alias("tid"), F.count(F.lit(1)).alias("copies"), first.alias("first")), "texts")
 
 
-def text_keys(rows: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def texts_of(rows: DataFrame, ids: DataFrame, text: str) -> DataFrame:
+    """ids(tid, ...) with text, from the rows of these numbers; null texts are empty."""
+    return rows.select(F.col("row").alias("tid"), F.coalesce(f"doc.`{text}`", F.lit("")).alias("text")).join(ids, "tid")
+
+
+def text_keys(rows: DataFrame, texts: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """key, band, n (words) and tid of every key of every text, bucketed by key."""
-    own = rows.select(F.col("row").alias("tid"), F.col("n").cast("int").alias("n"), "keys").join(texts.select("tid"), "tid")
-    keyed = own.select(F.posexplode("keys").alias("band", "key"), "n", "tid")
-    return scratch.bucket(keyed.select("key", F.col("band").cast("byte").alias("band"), "n", "tid"), "keys", "key")
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            texts, n, keys = list(b), [], []
+            for start, end in by_size(texts):
+                sizes, own = keys_of(texts[start:end])
+                n += sizes.tolist()
+                keys += [k if s else k[:0] for k, s in zip(own.view(np.int64), sizes, strict=True)]
+            yield pd.DataFrame({"n": pd.Series(n, dtype="int32"), "keys": pd.Series(keys, dtype=object)})
+
+    sketch = F.pandas_udf(run, schema_of(n="int", keys="longs")).asNondeterministic()
+    own = texts_of(rows, texts.select("tid"), text).select("tid", sketch("text").alias("s")).select("tid", "s.n", F.posexplode("s.keys").alias("band", "key"))
+    return scratch.bucket(own.select("key", F.col("band").cast("byte").alias("band"), "n", "tid"), "keys", "key")
 
 
 def neighbour_pairs(keyed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """a, b (tids, a < b) and votes of texts linked within the keys of the first bands.
+    """a, b (tids, a before b by length) and votes of texts linked within the keys of the first bands; a key's first text counts twice.
 
     Keys are range-sorted, so one that very many texts share is spread over tasks;
     which links it gives then depends on where it is cut, but not the classes in
@@ -231,18 +228,18 @@ def neighbour_pairs(keyed: DataFrame, similarity: float, scratch: Scratch) -> Da
             starts = np.concatenate([[fresh == 0], own[1:, 0] != own[:-1, 0]])
             first = np.maximum.accumulate(np.where(starts, np.arange(len(own)), -1))
             leads = np.where((first >= 0)[:, None], own[np.maximum(first, 0)], lead)
-            pairs = [(leads[fresh:], own[fresh:])]
+            pairs = [(leads[fresh:], own[fresh:], 2)]
             for d in range(1, NEIGHBOURS + 1):
                 at = np.arange(max(fresh, d), len(own))
-                pairs.append((own[at - d], own[at]))
-            x, y = np.concatenate([p for p, _ in pairs]), np.concatenate([q for _, q in pairs])
-            good = (x[:, 0] == y[:, 0]) & (x[:, 2] != y[:, 2]) & (np.minimum(x[:, 1], y[:, 1]) >= similarity * np.maximum(x[:, 1], y[:, 1]) - 1e-9)
-            x, y = x[good, 2], y[good, 2]
-            yield pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+                pairs.append((own[at - d], own[at], 1))
+            x, y = np.concatenate([p for p, _, _ in pairs]), np.concatenate([q for _, q, _ in pairs])
+            votes = np.repeat([v for _, _, v in pairs], [len(q) for _, q, _ in pairs])
+            good = (x[:, 0] == y[:, 0]) & (x[:, 2] != y[:, 2]) & (x[:, 1] >= similarity * y[:, 1] - 1e-9)
+            yield pd.DataFrame({"a": x[good, 2], "b": y[good, 2], "votes": votes[good]})
             back, lead = own[-NEIGHBOURS:], leads[-1]
 
-    found = keyed.where(F.col("band") < FIRST_BANDS).select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order).mapInPandas(link, schema_of(a="long", b="long"))
-    return scratch.write(found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("votes")), "pairs")
+    found = keyed.where(F.col("band") < FIRST_BANDS).select(*order).repartitionByRange(n, *order).sortWithinPartitions(*order).mapInPandas(link, schema_of(a="long", b="long", votes="long"))
+    return scratch.write(found.groupBy("a", "b").agg(F.sum("votes").alias("votes")), "pairs")
 
 
 def mixed_groups(groups: DataFrame, key: str, classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -261,9 +258,9 @@ def listed_pairs(groups: DataFrame, key: str, similarity: float) -> DataFrame:
     return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
-def bigram_counts(texts: list[str | None], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def bigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Bigrams (hashes) of all texts end to end, the same labelled by occurrence, and each text's bigrams and words."""
-    words, sizes = word_hashes(texts, hashes)
+    words, sizes = hashed(texts)
     labelled, counts = labelled_grams(words, sizes, 2)
     starts = np.cumsum(sizes) - sizes
     plain = gram_hashes(np.concatenate([words, np.zeros(2, np.uint64)]), 2)
@@ -284,10 +281,10 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
     spark = large.sparkSession
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, sums = WordHashes(), np.zeros(COUNTERS, np.int64)
+        sums = np.zeros(COUNTERS, np.int64)
         for b in batches:
             for start, end in by_size(list(b["text"])):
-                plain, _, _, _ = bigram_counts(list(b["text"].iloc[start:end]), hashes)
+                plain, _, _, _ = bigram_counts(list(b["text"].iloc[start:end]))
                 sums += np.bincount((plain % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         found = np.flatnonzero(sums)
         yield pd.DataFrame({"bin": found, "n": sums[found]})
@@ -298,11 +295,11 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
     shared = spark.sparkContext.broadcast(sums)
 
     def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes, sums = WordHashes(), shared.value
+        sums = shared.value
         for b in batches:
             texts, out = list(b), []
             for start, end in by_size(texts):
-                plain, labelled, counts, sizes = bigram_counts(texts[start:end], hashes)
+                plain, labelled, counts, sizes = bigram_counts(texts[start:end])
                 often = sums[(plain % np.uint64(COUNTERS)).astype(np.int64)]
                 at = 0
                 for m, n in zip(counts.tolist(), sizes.tolist(), strict=True):
@@ -315,11 +312,11 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
     return scratch.write(tokens, "tokens")
 
 
-def word_bag(texts: list[str | None], hashes: WordHashes) -> list[bytes]:
-    """How often each bin of hashed words occurs in each text, up to 255."""
-    words, sizes = word_hashes(texts, hashes)
+def word_bags(texts: list[str | None]) -> tuple[np.ndarray, list[bytes]]:
+    """The number of words of each text, and how often each bin of hashed words occurs, up to 255."""
+    words, sizes = hashed(texts)
     parts = np.split((words % np.uint64(BINS)).astype(np.int64), np.cumsum(sizes)[:-1])
-    return [np.minimum(np.bincount(p, minlength=BINS), 255).astype(np.uint8).tobytes() for p in parts]
+    return sizes, [np.minimum(np.bincount(p, minlength=BINS), 255).astype(np.uint8).tobytes() for p in parts]
 
 
 def _bags(xs) -> np.ndarray:
@@ -335,14 +332,16 @@ def _may_be_similar(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarr
 def with_bags(ids: DataFrame, rows: DataFrame, text: str, scratch: Scratch) -> DataFrame:
     """tid, n and bag of the texts of ids(tid)."""
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        hashes = WordHashes()
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = list(b)
-            yield pd.Series([x for start, end in by_size(texts) for x in word_bag(texts[start:end], hashes)], dtype=object)
+            texts, n, bags = list(b), [], []
+            for start, end in by_size(texts):
+                sizes, own = word_bags(texts[start:end])
+                n, bags = n + sizes.tolist(), bags + own
+            yield pd.DataFrame({"n": pd.Series(n, dtype="int64"), "bag": pd.Series(bags, dtype=object)})
 
-    read = rows.select(F.col("row").alias("tid"), "n", F.col(f"doc.`{text}`").alias("text")).join(ids, "tid")
-    return scratch.write(read.select("tid", "n", F.pandas_udf(run, "binary").asNondeterministic()("text").alias("bag")), "bags")
+    count = F.pandas_udf(run, schema_of(n="long", bag="binary")).asNondeterministic()
+    return scratch.write(texts_of(rows, ids, text).select("tid", count("text").alias("s")).select("tid", "s.n", "s.bag"), "bags")
 
 
 def sift(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
@@ -391,11 +390,12 @@ def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str
     """a, b (tids, a < b) of all texts that share a key, are of different classes and may be similar."""
     mixed = mixed_groups(keyed, "key", classes, scratch)
     pairs = listed_pairs(mixed.where(F.col("size") <= GROUP), "key", similarity)
-    large = mixed.where(F.col("size") > GROUP).select("tid").distinct()
+    large = mixed.where(F.col("size") > GROUP).select("tid", "n").distinct()
     if large.isEmpty():
         return sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
-    read = rows.select(F.col("row").alias("tid"), "n", F.coalesce(f"doc.`{text}`", F.lit("")).alias("text")).join(large, "tid")
-    finer = mixed_groups(rare_bigrams(scratch.write(read, "large"), similarity, scratch), "token", classes, scratch)
+    read = scratch.write(texts_of(rows, large, text), "large")
+    finer = mixed_groups(rare_bigrams(read, similarity, scratch), "token", classes, scratch)
+    scratch.drop(read)
     pairs = pairs.unionByName(listed_pairs(finer.where(F.col("size") <= GROUP), "token", similarity)).distinct()
     found = sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
     rest = finer.where(F.col("size") > GROUP)
@@ -405,7 +405,7 @@ def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str
 def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
     """The pairs (a, b) of tids whose texts are similar."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("tid")).distinct()
-    texts = scratch.write(rows.select(F.col("row").alias("tid"), F.col(f"doc.`{text}`").alias("text")).join(ids, "tid"), "candidates")
+    texts = scratch.write(texts_of(rows, ids, text), "candidates")
 
     def check(xs: pd.Series, ys: pd.Series) -> pd.Series:
         return pd.Series([similar(x, y, similarity) for x, y in zip(xs, ys, strict=True)], dtype=bool)
@@ -418,22 +418,28 @@ def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, sc
 
 
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
-    """v and c for every end of links(a, b): the smallest id that can be reached.
+    """v and c for every end of links(a, b): one end stands for all that can be reached.
 
-    Each round takes the smallest label among the neighbours and then the label
-    of that label, so long chains fold up fast; every round is written down.
+    Each round hooks every end to its smallest neighbour, follows the hooks four
+    steps, and goes on with the links between what is left, so the graph shrinks
+    fast whatever its shape; every round is written down.
     """
-    ends = F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))
-    edges = scratch.write(links.select(F.explode(ends).alias("e")).select("e.v", "e.u").distinct(), "edges")
-    labels = scratch.write(edges.groupBy("v").agg(F.least("v", F.min("u")).alias("c")), "labels")
-    while True:
-        near = edges.join(labels.withColumnRenamed("v", "u"), "u").groupBy("v").agg(F.min("c").alias("m"))
-        stepped = scratch.write(labels.join(near, "v").select("v", F.col("c").alias("was"), F.least("c", "m").alias("c")), "step")
-        jump = stepped.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-        labels = scratch.write(stepped.join(jump, "c").select("v", F.col("cc").alias("c"), (F.col("cc") != F.col("was")).alias("moved")), "labels")
-        if labels.where("moved").isEmpty():
-            return labels.select("v", "c")
-        labels = labels.select("v", "c")
+    ordered = lambda d, a, b: d.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
+    steps = []
+    links = scratch.write(ordered(links, "a", "b"), "links")
+    while not steps or not links.isEmpty():
+        ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))).alias("e"))
+        hooks = scratch.write(ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.u").alias("u")).select("v", F.least("v", "u").alias("p")), "hooks")
+        far = hooks.withColumnRenamed("p", "p0")
+        for i in range(3):
+            far = far.join(hooks.select(F.col("v").alias(f"p{i}"), F.col("p").alias(f"p{i + 1}")), f"p{i}")
+        steps.append(scratch.write(far.select("v", F.col("p3").alias("p")), "hooks"))
+        side = lambda s: steps[-1].select(F.col("v").alias(s), F.col("p").alias(f"p{s}"))  # noqa: E731, B023
+        links = scratch.write(ordered(links.join(side("a"), "a").join(side("b"), "b"), "pa", "pb"), "links")
+    out = steps[-1].select("v", F.col("p").alias("c"))
+    for step in reversed(steps[:-1]):
+        out = step.join(out.withColumnRenamed("v", "p"), "p", "left").select("v", F.coalesce("c", "p").alias("c"))
+    return scratch.write(out, "components")
 
 
 def merged(classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
@@ -448,15 +454,15 @@ def merged(classes: DataFrame, links: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def link_texts(rows: DataFrame, texts: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
-    """v and c of every text that is similar to another, c the class. rows, texts: of sketched and distinct_texts.
+    """v and c of every text that is similar to another, c the class. rows, texts: of numbered and distinct_texts.
 
-    First each text is aligned with its most voted neighbour only, which already
-    folds large groups; then all neighbours that are still in different classes;
+    First each text is aligned with its most voted neighbour only, in doubt the
+    one before all others, which folds large groups into shallow trees; then all neighbours that are still in different classes;
     then all other texts of one key that are, until no pair is left out.
     """
-    keyed = text_keys(rows, texts, scratch)
+    keyed = text_keys(rows, texts, text, scratch)
     pairs = neighbour_pairs(keyed, similarity, scratch)
-    best = scratch.write(pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", "a")).alias("a")).select("a", "b"), "best")
+    best = scratch.write(pairs.groupBy("b").agg(F.max_by("a", F.struct("votes", (-F.col("a")).alias("first"))).alias("a")).select("a", "b"), "best")
     classes = components(verified(best, rows, text, similarity, scratch), scratch)
     label = lambda side: classes.select(F.col("v").alias(side), F.col("c").alias(f"c{side}"))
     apart = pairs.select("a", "b").join(best, ["a", "b"], "left_anti").join(label("a"), "a", "left").join(label("b"), "b", "left")
@@ -465,13 +471,14 @@ def link_texts(rows: DataFrame, texts: DataFrame, text: str, similarity: float,
     # Pairs that were candidates before are in one class by now or known not to be similar.
     rest = pairs_apart(rows, keyed, classes, text, similarity, scratch)
     scratch.drop(keyed)
-    rest = scratch.write(rest.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "rest")
+    known = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = scratch.write(rest.join(known, ["a", "b"], "left_anti"), "rest")
     return merged(classes, verified(rest, rows, text, similarity, scratch), scratch)
 
 
 def classed(docs: DataFrame, text: str, similarity: float, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """The sketched rows of docs, and their texts with class_first (as first, of the class), class_size and class_texts."""
-    rows = sketched(docs, text, scratch)
+    """The numbered rows of docs, and their texts with class_first (as first, of the class), class_size and class_texts."""
+    rows = numbered(docs, text, scratch)
     texts = distinct_texts(rows, scratch)
     classes = link_texts(rows, texts, text, similarity, scratch)
     linked = scratch.write(texts.join(classes.withColumnRenamed("v", "tid"), "tid"), "linked")

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import class_counts, held_out, labelled_sample, sampled_texts, schema_of
+from .words import PRIME, slice_hashes
 
 #: Training documents of each class at most; those of more lines than that are not chosen (whole texts are always scored).
 PER_CLASS, TRAIN_LINES = 1500, 400
@@ -90,7 +91,7 @@ def count_lines(data: np.ndarray) -> Lines:
     solid = kind != 4
     first = np.flatnonzero(solid & np.concatenate([[True], ~solid[:-1]]))
     last = np.flatnonzero(solid & np.concatenate([~solid[1:], [True]])) + 1
-    h = word_hashes(data, first, last)
+    h = slice_hashes(data, first, last)
     again = np.zeros(len(first), bool)
     for back in (1, 2, 3):
         again[back:] |= (h[back:] == h[:-back]) & (line[first[back:]] == line[first[:-back]])
@@ -100,7 +101,7 @@ def count_lines(data: np.ndarray) -> Lines:
         lengths,
         words,
         np.bincount(line[first], again, minlength=len(ends)),
-        word_hashes(data, starts, ends),
+        slice_hashes(data, starts, ends),
         np.where(lengths > 0, data[np.maximum(ends - 1, 0)], 0),
         (h[: int(words[0])][:3], h[len(h) - int(words[-1]) :][-3:]) if len(words) else (h, h),
     )
@@ -116,7 +117,7 @@ def joined(parts: list[Lines], open_ends: list[bool]) -> Lines:
             for j, h in enumerate(head):  # repeats over the cut that the piece itself could not see
                 near = set(tail[max(0, len(tail) - 3 + j) :].tolist())
                 part.repeats[0] += int(h) in near and int(h) not in head[:j].tolist()
-            part.hashes[0] = (int(was.hashes[-1]) + pow(_STEP, int(was.lengths[-1]), 1 << 64) * int(part.hashes[0])) % (1 << 64)
+            part.hashes[0] = (int(was.hashes[-1]) + pow(int(PRIME), int(was.lengths[-1]), 1 << 64) * int(part.hashes[0])) % (1 << 64)
             if part.lengths[0] == 0:
                 part.last[0] = was.last[-1]
             for name in ("kinds", "lengths", "words", "repeats"):
@@ -180,18 +181,6 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return np.concatenate([own, before, after, np.ones((len(own), 1))], 1), lengths, doc
 
 
-_STEP = 0x9E3779B97F4A7C15
-
-
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of each slice of data, by differences of one running polynomial."""
-    step = np.uint64(_STEP)
-    power = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), step)]), dtype=np.uint64)
-    total = np.concatenate([[np.uint64(0)], np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], dtype=np.uint64)])
-    back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(data), np.uint64(pow(int(step), -1, 1 << 64)))]), dtype=np.uint64)
-    return (total[ends] - total[starts]) * back[starts]
-
-
 @dataclass(frozen=True)
 class LineField:
     """weights: of the features towards good; moves[a, b]: of a line labelled a (1 is good) before one labelled b."""
