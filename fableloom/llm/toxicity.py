@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import class_counts, held_out, labelled_sample, materialise, sampled_texts, schema_of
@@ -22,30 +22,51 @@ SIZES = (3, 4, 5, 6)
 BITS = 20
 #: Training documents of each class at most; also bounds what reaches the driver.
 PER_CLASS = 2500
-#: N-grams whose log-count ratio is nearer to 0, or that fewer training texts hold, are left out of the regression.
+#: N-grams whose log-count ratio is nearer to 0, or that fewer training texts hold, are left out of the
+#: regression; where that leaves none, fewer texts are enough.
 MIN_RATIO, MIN_TEXTS = 1.2, 4
+#: Characters of a text that are counted at a time.
+PIECE = 1 << 20
 
 
-def ngram_ids(text: str | None, bits: int = BITS) -> np.ndarray:
-    """The hashed n-grams of a whole text; none for null."""
-    c = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-    parts = []
+def characters(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def ngram_ids(c: np.ndarray, start: int = 0, end: int | None = None, bits: int = BITS) -> np.ndarray:
+    """The hashed n-grams of a text's characters that begin from start on and before end."""
+    end = len(c) if end is None else end
+    parts = [np.zeros(0, np.uint32)]
     for n in SIZES:
-        if len(c) < n:
+        own = c[start : min(len(c), end + n - 1)]
+        if len(own) < n:
             break
-        h = np.full(len(c) - n + 1, n, np.uint32)
+        h = np.full(len(own) - n + 1, n, np.uint32)
         for j in range(n):
             h *= np.uint32(0x01000193)
-            h ^= c[j : j + len(h)]
+            h ^= own[j : j + len(h)]
         h *= np.uint32(0x9E3779B1)
         parts.append(h >> np.uint32(32 - bits))
-    return np.concatenate(parts) if parts else np.zeros(0, np.uint32)
+    return np.concatenate(parts)
+
 
+def ngram_counts(text: str | None, used: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """The distinct n-grams of a whole text in order, of those that are used, how often each occurs, and the number of all."""
+    c = characters(text)
+    if len(c) <= PIECE:
+        ids = ngram_ids(c)
+        own, counts = np.unique(ids if used is None else ids[used[ids]], return_counts=True)
+        return own, counts, len(ids)
+    sums = np.zeros(1 << BITS, np.int64)
+    for start in range(0, len(c), PIECE):
+        sums += np.bincount(ngram_ids(c, start, min(len(c), start + PIECE)), minlength=1 << BITS)
+    own = np.flatnonzero(sums if used is None else np.where(used, sums, 0))
+    return own, sums[own], int(sums.sum())
 
-def weigh(ids: np.ndarray, total: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ids in order, and the root of each one's share (per 1000) of the text's ``total`` n-grams."""
-    own, counts = np.unique(ids, return_counts=True)
-    return own, np.sqrt(1000.0 * counts / max(1, total))
+
+def weigh(counts: np.ndarray, total: int) -> np.ndarray:
+    """The root of each n-gram's share (per 1000) of the text's ``total``."""
+    return np.sqrt(1000.0 * counts / max(1, total))
 
 
 @dataclass(frozen=True)
@@ -54,9 +75,8 @@ class ToxicityModel:
     bias: float
 
     def score(self, text: str | None) -> float:
-        ids = ngram_ids(text)
-        own, values = weigh(ids[self.weights[ids] != 0], len(ids))
-        z = float((self.weights[own] * values).sum()) + self.bias
+        own, counts, total = ngram_counts(text, self.weights != 0)
+        z = float((self.weights[own] * weigh(counts, total)).sum()) + self.bias
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
@@ -65,18 +85,33 @@ def _count_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     sums, texts = np.zeros((2, 1 << BITS)), np.zeros(1 << BITS, np.int64)
     for b in batches:
         for text, y in zip(b["text"], b["y"], strict=True):
-            ids = ngram_ids(text)
-            own, values = weigh(ids, len(ids))
-            sums[y, own] += values
+            own, counts, total = ngram_counts(text)
+            sums[y, own] += weigh(counts, total)
             texts[own] += 1
     found = np.flatnonzero(texts)
     yield pd.DataFrame({"gram": found, "clean": sums[0, found], "toxic": sums[1, found], "texts": texts[found]})
 
 
+def log_count_ratios(clean: np.ndarray, toxic: np.ndarray, all_clean: float, all_toxic: float) -> np.ndarray:
+    """The log of the ratio of each n-gram's share among toxic texts to that among others, both smoothed by one."""
+    logs = np.log((1 + toxic) / (all_toxic + (1 << BITS))) - np.log((1 + clean) / (all_clean + (1 << BITS)))
+    return logs.round(6)  # sums of floats differ in their last digits with the order of tasks
+
+
+def chosen_ratios(ratios: np.ndarray, texts: np.ndarray, min_ratio: float = MIN_RATIO, min_texts: int = MIN_TEXTS) -> np.ndarray:
+    """The ratios, 0 where an n-gram is left out: of fewer than min_texts texts or nearer to 0 than min_ratio. Where that would leave out all, fewer texts and then any ratio are enough."""
+    for least, near in [(k, min_ratio) for k in range(min_texts, 0, -1)] + [(1, 0.0)]:
+        out = np.where((texts >= least) & (np.abs(ratios) >= near), ratios, 0.0)
+        if out.any():
+            return out
+    return np.zeros(len(ratios))
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, label: str = "toxic") -> ToxicityModel:
     """Train on at most ``per_class`` labelled documents of each class, whole texts; held-out ids are never used.
 
-    Where a class has no training document, the score is the smoothed share of label 1.
+    Where a class has no training document, or both hold the same n-grams only,
+    the score is the smoothed share of label 1.
     """
     spark = docs.sparkSession
     clean, toxic = class_counts(labels, label)
@@ -88,18 +123,19 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
     if sums["clean"] == 0 or sums["toxic"] == 0:
         return ToxicityModel(np.zeros(1 << BITS, np.float32), prior)
     # Only n-grams of enough texts can be used, so only they come to the driver; the shares are of all.
-    own = counts.where(F.col("texts") >= MIN_TEXTS).toPandas()  # 2 ** BITS rows at most
-    p, q = 1 + own["toxic"].to_numpy(), 1 + own["clean"].to_numpy()
-    logs = np.log(p / (sums["toxic"] + (1 << BITS))) - np.log(q / (sums["clean"] + (1 << BITS)))
-    logs = logs.round(6)  # sums of floats differ in their last digits with the order of tasks
+    most = counts.agg(F.max("texts")).first()[0]
+    own = counts.where(F.col("texts") >= min(most, MIN_TEXTS)).toPandas()  # 2 ** BITS rows at most
+    if not chosen_ratios(log_count_ratios(own["clean"].to_numpy(), own["toxic"].to_numpy(), sums["clean"], sums["toxic"]), own["texts"].to_numpy(), MIN_RATIO, 1).any() and MIN_TEXTS > 1:
+        own = counts.toPandas()
     ratio = np.zeros(1 << BITS)
-    ratio[own["gram"]] = np.where(np.abs(logs) < MIN_RATIO, 0, logs)
+    ratio[own["gram"]] = chosen_ratios(log_count_ratios(own["clean"].to_numpy(), own["toxic"].to_numpy(), sums["clean"], sums["toxic"]), own["texts"].to_numpy())
     used = ratio != 0
+    if not used.any():  # the same n-grams in both classes
+        return ToxicityModel(np.zeros(1 << BITS, np.float32), prior)
 
     def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = [ngram_ids(t) for t in b["text"]]
-            bags = [weigh(i[used[i]], len(i)) for i in ids]
+            bags = [(own, weigh(counts, total)) for own, counts, total in (ngram_counts(t, used) for t in b["text"])]
             yield pd.DataFrame({"ids": [i.astype("<u4").tobytes() for i, _ in bags], "values": [v.astype("<f4").tobytes() for _, v in bags], "y": b["y"]})
 
     found = rows.mapInPandas(vectors, schema_of(ids="binary", values="binary", y="int")).toPandas()  # 2 * per_class rows
@@ -129,18 +165,24 @@ def logistic(bags: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, scale: np
     return weights, float(w[-1])
 
 
-def with_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:
-    """docs with ``_toxicity``, from 0 to 1, of every whole text. Null texts score as empty ones; rows are kept as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 2 ** BITS floats: 4 MB
+def toxicity_of(spark: SparkSession, model: ToxicityModel):
+    """A pandas function from whole texts to their toxicity, from 0 to 1. Null texts score as empty ones."""
+    shared = spark.sparkContext.broadcast(model)  # 2 ** BITS floats: 4 MB
 
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series([shared.value.score(t) for t in texts], dtype="float64")
 
-    return docs.withColumn("_toxicity", F.pandas_udf(score, "double").asNondeterministic()(F.col(text)))
+    return F.pandas_udf(score, "double").asNondeterministic()
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
-    """doc_id, held_out, score and predicted for every row of docs(doc_id, text), trained on labels(doc_id, toxic)."""
+    """doc_id, held_out, score and predicted for every row of docs(doc_id, text), trained on labels(doc_id, toxic).
+
+    Null texts score as empty ones, by the bias alone. Repeated rows and null ids
+    stay and equal texts score the same; of a repeated id one text is trained on,
+    with its largest label. Long texts are counted whole, in pieces of bounded
+    memory. Other columns are ignored, and an empty table gives an empty one.
+    """
     own = docs.select("doc_id", "text")
-    scored = with_toxicity(own, fit_toxicity(own, labels, per_class))
-    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("_toxicity").alias("score"), (F.col("_toxicity") >= 0.5).cast("int").alias("predicted"))
+    scored = own.select("doc_id", toxicity_of(docs.sparkSession, fit_toxicity(own, labels, per_class))(F.col("text")).alias("score"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
