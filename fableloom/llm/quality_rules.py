@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import schema_of
+from .common import materialise, schema_of, unused
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters", "n_marks", "n_bars", "n_stop")
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -178,26 +178,42 @@ def fit_votes(codes: np.ndarray, counts: np.ndarray, n_rules: int, rounds: int =
     return model
 
 
-def with_quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5) -> DataFrame:
-    """docs with a struct column ``_quality``: the counts, base_failed, posterior and kept.
-
-    Two passes over the texts: one counts vote patterns, one applies the fitted
-    model. Null and empty texts have no words and fail the base rule. Rows are
-    kept as they are, so repeats, ties and null ids need no care.
-    """
-    own = docs.withColumn("_c", counts_of(F.col(text)))
-    c = F.col("_c")
-    patterns = own.select("_c").where(c["n_words"] >= MIN_WORDS).select(votes_of(c, rules).alias("code")).groupBy("code").count()
+def fit_rules(counts: DataFrame, rules: tuple[Rule, ...] = RULES) -> VoteModel:
+    """The model fitted to the votes on all rows of counts(counts: a struct of COUNTS); texts that fail the base rule by their length do not count."""
+    c = F.col("counts")
+    patterns = counts.where(c["n_words"] >= MIN_WORDS).select(votes_of(c, rules).alias("code")).groupBy("code").count()
     found = patterns.toPandas()  # at most 3 ** len(rules) rows
-    model = fit_votes(found["code"].to_numpy(np.int64), found["count"].to_numpy(np.float64), len(rules))
+    return fit_votes(found["code"].to_numpy(np.int64), found["count"].to_numpy(np.float64), len(rules))
+
+
+def verdict_of(c: Column, model: VoteModel, rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5) -> Column:
+    """The counts, base_failed, posterior and kept as a struct. c: a struct of COUNTS."""
     posterior = model.posterior(unpack(np.arange(3 ** len(rules)), len(rules)))
     by_code = F.from_json(F.lit(f"[{','.join(f'{p:.9g}' for p in posterior)}]"), "array<double>")
     failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
     p = F.when(c["n_words"] > 0, F.get(by_code, votes_of(c, rules))).otherwise(F.lit(0.0))
-    verdict = F.struct(*[c[n].alias(n) for n in COUNTS], failed.alias("base_failed"), p.alias("posterior"), (~failed & (p >= keep_from)).alias("kept"))
-    return own.withColumn("_quality", verdict).drop("_c")
+    return F.struct(*[c[n].alias(n) for n in COUNTS], failed.alias("base_failed"), p.alias("posterior"), (~failed & (p >= keep_from)).alias("kept"))
+
+
+def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES, keep_from: float = 0.5) -> DataFrame:
+    """The rows of docs that are kept, with all their columns, whatever these are called.
+
+    Two passes over the texts: one counts vote patterns, one applies the fitted
+    model; for cases see judge_quality.
+    """
+    model = fit_rules(docs.select(counts_of(F.col(text)).alias("counts")), rules)
+    name = unused(docs, "_counts")
+    kept = docs.withColumn(name, counts_of(F.col(text))).where(verdict_of(F.col(name), model, rules, keep_from)["kept"])
+    return kept.drop(name)
 
 
 def judge_quality(docs: DataFrame) -> DataFrame:
-    """doc_id, the counts, base_failed, posterior and kept for every row of docs(doc_id, text); other columns are ignored."""
-    return with_quality(docs.select("doc_id", "text")).select("doc_id", "_quality.*")
+    """doc_id, the counts, base_failed, posterior and kept for every row of docs(doc_id, text).
+
+    One pass over the texts; their counts are written down. Null and empty texts
+    have no words and fail the base rule. Rows stay as they are, so repeats, ties
+    and null ids need no care; long texts are counted whole. Other columns are
+    ignored, and an empty table gives an empty one.
+    """
+    counted = materialise(docs.select("doc_id", counts_of(F.col("text")).alias("counts")), "quality-counts")
+    return counted.select("doc_id", verdict_of(F.col("counts"), fit_rules(counted)).alias("v")).select("doc_id", "v.*")
