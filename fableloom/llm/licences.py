@@ -1,9 +1,13 @@
 """Licence scans: Dice coefficient over word bigrams against templates.
 
-Texts are normalised to lower-case runs of ASCII letters and digits. Each line,
-each paragraph (lines between empty ones) and the whole text is compared with
-the templates whose number of distinct bigrams could still reach the threshold;
-the bigrams they share are counted through an index from bigram to template.
+Texts are normalised to lower-case runs of ASCII letters and digits. Where
+bigrams of a template stand in a text, the stretch of the template's length that
+starts where the template would start is compared with it, wherever it lies: a
+line, a few paragraphs, the middle of a long line or the whole text. With at most
+four insertions or deletions in it, a stretch that reaches the threshold has a
+fifth of the template's bigrams in such a place, so stretches with fewer are passed
+over. Sizes prune what is left, before anything shared is counted: templates that
+a text is too short for, and stretches with too few or too many different bigrams.
 """
 
 from __future__ import annotations
@@ -17,34 +21,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import schema_of
+from .licence_texts import TEMPLATES
 
 THRESHOLD = 0.8
-
-#: Wording of well-known licences, short notices first.
-TEMPLATES: dict[str, tuple[str, ...]] = {
-    "MIT": (
-        "Released under the MIT License.",
-        "Licensed under the MIT License.",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
-    ),
-    "Apache-2.0": (
-        "Licensed under the Apache License, Version 2.0.",
-        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
-    ),
-    "GPL-3.0": (
-        "This work is licensed under the GNU General Public License, version 3.",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
-    ),
-    "BSD-3-Clause": (
-        "Licensed under the BSD 3-Clause License.",
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
-    ),
-    "ISC": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",),
-    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",),
-    "Unlicense": ("This is free and unencumbered software released into the public domain.",),
-    "CC-BY-4.0": ("This work is licensed under a Creative Commons Attribution 4.0 International License.",),
-    "CC-BY-SA-4.0": ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",),
-}
+#: Share of a template's bigrams that must lie in one place of a stretch.
+IN_PLACE = 0.2
 
 _WORD = re.compile("[a-z0-9]+")
 
@@ -53,69 +34,88 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
-def segments(text: str) -> list[tuple[str, int, str]]:
-    """Kind, number of the first line and text: all lines, paragraphs of several lines, and the whole of a text of several paragraphs."""
-    lines = text.split("\n")
-    out = [("line", i, x) for i, x in enumerate(lines)]
-    start, paragraphs = 0, 0
-    for i in range(len(lines) + 1):
-        if i == len(lines) or not lines[i].strip():
-            if i > start:
-                paragraphs += 1
-                if i - start > 1:
-                    out.append(("paragraph", start, "\n".join(lines[start:i])))
-            start = i + 1
-    if paragraphs > 1:
-        out.append(("text", 0, text))
-    return out
-
-
 class TemplateIndex:
-    """Templates by size, and an index from bigram to the templates that hold it."""
+    """Templates by size, and an index from bigram to its places in the templates."""
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD):
-        self.threshold, self.names, sizes, self.index = threshold, [], [], {}
-        for name, texts in templates.items():
-            for t in texts:
-                w = words_of(t)
-                grams = set(zip(w, w[1:], strict=False))
-                for g in grams:
-                    self.index.setdefault(g, []).append(len(self.names))
-                self.names.append(name)
-                sizes.append(len(grams))
-        self.sizes = np.array(sizes)
+        self.threshold = threshold
+        own = [(name, words_of(t)) for name, texts in templates.items() for t in texts]
+        self.names, self.lengths = [name for name, _ in own], np.array([len(w) for _, w in own])
+        self.vocabulary: dict[str, int] = {}
+        for _, words in own:
+            for w in words:
+                self.vocabulary.setdefault(w, len(self.vocabulary) + 1)
+        self.base = len(self.vocabulary) + 1
+        codes = [self.codes(np.array([self.vocabulary[w] for w in words], np.int64)) for _, words in own]
+        self.grams = [np.unique(c) for c in codes]
+        self.sizes = np.array([len(g) for g in self.grams])
+        self.votes = np.maximum(1, np.ceil(IN_PLACE * self.sizes - 1e-9)).astype(np.int64)
         # 2 * min(a, b) / (a + b) bounds the coefficient of sets of a and b bigrams.
-        self.least = np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9)
-        self.most = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9)
-        self.low, self.high = int(self.least.min()), int(self.most.max())
-
-    def match(self, text: str) -> list[tuple[str, float]]:
-        """Licences whose best template reaches the threshold, with its coefficient."""
-        w = words_of(text)
-        if len(w) - 1 < self.low:
-            return []
-        grams = set(zip(w, w[1:], strict=False))
-        n = len(grams)
-        if not self.low <= n <= self.high:
+        self.least = np.ceil(self.sizes * threshold / (2 - threshold) - 1e-9).astype(np.int64)
+        self.most = np.floor(self.sizes * (2 - threshold) / threshold + 1e-9).astype(np.int64)
+        every = np.concatenate(codes)
+        template, place = np.repeat(np.arange(len(own)), [len(c) for c in codes]), np.concatenate([np.arange(len(c)) for c in codes])
+        order = np.argsort(every, kind="stable")
+        self.known, self.first, self.count = np.unique(every[order], return_index=True, return_counts=True)
+        self.template, self.place = template[order], place[order]
+
+    def codes(self, ids: np.ndarray) -> np.ndarray:
+        """A number for each bigram of words in the vocabulary, -1 for others (0 is an unknown word)."""
+        return np.where((ids[:-1] > 0) & (ids[1:] > 0), ids[:-1] * self.base + ids[1:], -1)
+
+    def stretches(self, codes: np.ndarray) -> list[tuple[int, int, int]]:
+        """Template, start and end (words) of the stretches to compare. codes: of all bigrams of a text."""
+        n = len(codes) + 1
+        at = np.flatnonzero(codes >= 0)
+        near = np.minimum(np.searchsorted(self.known, codes[at]), len(self.known) - 1)
+        hit = self.known[near] == codes[at]
+        at, near = at[hit], near[hit]
+        counts = self.count[near]
+        inner = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+        entry = np.repeat(self.first[near], counts) + inner
+        template, start = self.template[entry], np.repeat(at, counts) - self.place[entry]
+        fits = self.least[template] <= n - 1  # templates that the text is long enough for
+        longest = int(self.lengths.max())
+        keys, votes = np.unique(template[fits] * (n + longest) + start[fits] + longest, return_counts=True)
+        template, start = keys // (n + longest), keys % (n + longest) - longest
+        enough = votes >= self.votes[template]
+        template, start = template[enough], start[enough]
+        ends = np.minimum(n, start + self.lengths[template])
+        return list(zip(template.tolist(), np.maximum(0, start).tolist(), ends.tolist(), strict=True))
+
+    def match(self, text: str) -> list[tuple[str, float, int, int]]:
+        """Licence, coefficient, start and end (words) of every stretch that reaches the threshold."""
+        words = words_of(text)
+        if len(words) < 2:
             return []
-        shared: dict[int, int] = {}
-        for g in grams:
-            for t in self.index.get(g, ()):
-                shared[t] = shared.get(t, 0) + 1
-        best: dict[str, float] = {}
-        for t, both in shared.items():
-            if self.least[t] <= n <= self.most[t] and (dice := 2.0 * both / (n + int(self.sizes[t]))) >= self.threshold:
-                best[self.names[t]] = max(best.get(self.names[t], 0.0), dice)
-        return sorted(best.items())
+        codes = self.codes(np.fromiter((self.vocabulary.get(w, 0) for w in words), np.int64, len(words)))
+        found = []
+        for t, start, end in self.stretches(codes):
+            size = len(set(zip(words[start : end - 1], words[start + 1 : end], strict=True)))
+            if self.least[t] <= size <= self.most[t]:
+                both = len(np.intersect1d(codes[start : end - 1], self.grams[t]))
+                if (dice := 2.0 * both / (size + int(self.sizes[t]))) >= self.threshold:
+                    found.append((self.names[t], dice, start, end))
+        return found
+
+
+def places(found: list[tuple[str, float, int, int]]) -> int:
+    """Stretches that do not overlap, counting overlapping ones once."""
+    n, reached = 0, 0
+    for _, _, start, end in sorted(found, key=lambda f: (f[2], f[3])):
+        n += start >= reached
+        reached = max(reached, end)
+    return n
 
 
 def scan_licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, n_places, licence, dice and licences for every row of docs(doc_id, text).
 
-    n_places: segments that reach the threshold for some licence. licences: all
+    n_places: places that reach the threshold for some licence. licences: all
     found, sorted and joined by commas (empty if none); licence and dice: the one
     with the highest coefficient, the first by name among equals, else null.
-    Null texts hold none; repeated rows and null ids stay; other columns are ignored.
+    Null and empty texts hold none; long texts are scanned whole; repeated rows
+    and null ids stay; other columns are ignored; an empty table gives an empty one.
     """
     index = TemplateIndex(templates, threshold)
 
@@ -123,14 +123,11 @@ def scan_licences(docs: DataFrame, templates: Mapping[str, tuple[str, ...]] = TE
         rows = []
         for t in texts:
             best: dict[str, float] = {}
-            places = 0
-            for _, _, segment in segments(t or ""):
-                found = index.match(segment)
-                places += bool(found)
-                for name, dice in found:
-                    best[name] = max(best.get(name, 0.0), dice)
+            found = index.match(t or "")
+            for name, dice, _, _ in found:
+                best[name] = max(best.get(name, 0.0), dice)
             top = min(best.items(), key=lambda x: (-x[1], x[0]), default=(None, None))
-            rows.append((places, top[0], top[1], ",".join(sorted(best))))
+            rows.append((places(found), top[0], top[1], ",".join(sorted(best))))
         return pd.DataFrame(rows, columns=["n_places", "licence", "dice", "licences"])
 
     out = schema_of(n_places="long", licence="string", dice="double", licences="string")

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontamination import find_contamination
 from .html_extract import extract_pages
-from .licences import TEMPLATES, THRESHOLD, scan_licences
+from .licences import IN_PLACE, TEMPLATES, THRESHOLD, scan_licences
 from .near_dups import find_near_duplicates
 from .packing import pack_documents
 from .quality_crf import score_quality
@@ -76,25 +76,21 @@ def _op7_sql() -> str:
     templates = ", ".join(f"({i}, {quoted(n)}, {quoted(t)})" for i, (n, t) in enumerate((n, t) for n, texts in TEMPLATES.items() for t in texts))
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
-WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
-lines AS (SELECT rid, i AS ln, l[i + 1] AS s FROM (SELECT rid, string_split(text, chr(10)) AS l FROM docs), unnest(range(0, len(l))) AS u(i)),
-runs AS (
-  SELECT rid, ln, s, sum(CASE WHEN trim(s, ' ' || chr(9) || chr(13)) = '' THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY ln) AS run FROM lines),
-paragraphs AS (
-  SELECT rid, count(*) AS n, string_agg(s, chr(10) ORDER BY ln) AS s FROM runs WHERE trim(s, ' ' || chr(9) || chr(13)) <> '' GROUP BY rid, run),
-segs AS (
-  SELECT rid, s FROM lines UNION ALL SELECT rid, s FROM paragraphs WHERE n > 1
-  UNION ALL SELECT rid, text FROM docs SEMI JOIN (SELECT rid FROM paragraphs GROUP BY rid HAVING count(*) > 1) USING (rid)),
-seg AS (SELECT row_number() OVER () AS sid, rid, {grams} AS g FROM (SELECT rid, regexp_extract_all(lower(s), '[a-z0-9]+') AS w FROM segs) WHERE len(w) > 1),
-tpl AS (SELECT tid, name, {grams} AS g FROM (SELECT tid, name, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {templates}) AS v(tid, name, t))),
-shared AS (
-  SELECT sid, tid, count(*) AS n FROM (SELECT sid, unnest(g) AS x FROM seg) JOIN (SELECT tid, unnest(g) AS x FROM tpl) USING (x) GROUP BY sid, tid),
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w FROM documents),
+tpl AS (SELECT tid, name, w, {grams} AS g FROM (SELECT tid, name, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {templates}) AS v(tid, name, t))),
+dg AS (SELECT rid, i, w[i] || ' ' || w[i + 1] AS x FROM docs, unnest(range(1, len(w))) AS u(i)),
+tg AS (SELECT tid, j, w[j] || ' ' || w[j + 1] AS x FROM tpl, unnest(range(1, len(w))) AS u(j)),
+votes AS (SELECT rid, tid, i - j AS start, count(*) AS n FROM dg JOIN tg USING (x) GROUP BY rid, tid, i - j),
+stretch AS (
+  SELECT rid, tid, name, g AS tw, greatest(start, 0) AS s, least(start + len(tpl.w), len(docs.w)) AS e, docs.w[greatest(start, 0) + 1 : least(start + len(tpl.w), len(docs.w))] AS w
+  FROM votes JOIN tpl USING (tid) JOIN docs USING (rid) WHERE n >= greatest(1, ceil({IN_PLACE}::DOUBLE * len(g) - 1e-9))),
 hits AS (
-  SELECT sid, seg.rid AS rid, name, 2.0::DOUBLE * n / (len(seg.g) + len(tpl.g)) AS dice FROM shared JOIN seg USING (sid) JOIN tpl USING (tid)
-  WHERE 2.0::DOUBLE * n / (len(seg.g) + len(tpl.g)) >= {THRESHOLD}),
+  SELECT * FROM (SELECT rid, name, s, e, 2.0::DOUBLE * len(list_intersect(own, tw)) / (len(own) + len(tw)) AS dice FROM (SELECT *, {grams} AS own FROM stretch)) WHERE dice >= {THRESHOLD}),
 best AS (SELECT rid, name, max(dice) AS dice FROM hits GROUP BY rid, name),
 own AS (SELECT rid, string_agg(name, ',' ORDER BY name) AS licences, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice FROM best GROUP BY rid),
-places AS (SELECT rid, count(DISTINCT sid) AS n_places FROM hits GROUP BY rid)
+places AS (
+  SELECT rid, count(*) FILTER (s >= coalesce(reached, 0)) AS n_places
+  FROM (SELECT rid, s, max(e) OVER (PARTITION BY rid ORDER BY s, e, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM hits) GROUP BY rid)
 SELECT doc_id, coalesce(n_places, 0) AS n_places, licence, dice, coalesce(licences, '') AS licences
 FROM docs LEFT JOIN places USING (rid) LEFT JOIN own USING (rid)"""
 
