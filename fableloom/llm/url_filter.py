@@ -5,8 +5,9 @@ key of the corpus that is not listed but passes it goes into the second; every
 listed key that passes that one goes into the third, and so on until a level
 lets nothing wrong through. Since each key of the corpus was tried while
 building, a lookup of any of them is exact. A page costs a few bit tests and no
-join. All of it is DataFrame functions; the filters reach the pages as scalar
-subqueries.
+join. Where a level would hold too many keys for one task, the keys are dealt by
+hash to several cascades, and each page meets that of its own host's. All of it
+is DataFrame functions; the filters reach the pages as scalar subqueries.
 """
 
 from __future__ import annotations
@@ -29,16 +30,10 @@ DEFAULT_RULES: tuple[Rule, ...] = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
-#: Hosts blocked, with all subdomains, where no rule speaks.
-DEFAULT_LISTED = (
-    "ads-track.example.com",
-    "adult-x.example.com",
-    "casino-win.example.net",
-    "cheap-pills.example.net",
-    "free-bets.example.net",
-    "spam-farm.example.org",
-)
-#: Largest number of keys in one level (10 bits each: 12.5 MB); beyond it a join takes over.
+#: Hosts blocked, with all subdomains, where no rule speaks: sites of these names at each of the domains.
+LISTED_NAMES, LISTED_DOMAINS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm"), ("example.com", "example.net", "example.org")
+DEFAULT_LISTED = tuple(f"{name}.{domain}" for name in LISTED_NAMES for domain in LISTED_DOMAINS)
+#: Largest number of keys expected in one level of one cascade (10 bits each: 12.5 MB); more are dealt to several.
 MAX_LEVEL_KEYS = 10_000_000
 FIRST_RATE, NEXT_RATE = 0.01, 0.25
 
@@ -113,13 +108,11 @@ def _level(keys: DataFrame, level: int, bits: int, hashes: int) -> DataFrame:
     return dense.agg(F.transform(F.array_sort(F.collect_list(F.struct("word", "bits"))), lambda x: x["bits"]).alias("words"))
 
 
-def build_cascade(keys: DataFrame, max_level_keys: int = MAX_LEVEL_KEYS) -> Cascade | None:
-    """A cascade over keys(key, listed), a materialised table that holds each key of the universe once. None if a level would be too large."""
+def build_cascade(keys: DataFrame) -> Cascade:
+    """A cascade over keys(key, listed), a materialised table that holds each key of the universe once."""
     inside, outside = keys.where("listed").select("key"), keys.where("not listed").select("key")
     levels: list[tuple[DataFrame, int, int]] = []
     while n := inside.count():
-        if n > max_level_keys:
-            return None
         rate = NEXT_RATE if levels else FIRST_RATE
         bits = 64 * max(1, math.ceil(n * math.log2(1 / rate) * 1.4427 / 64))
         hashes = max(1, round(math.log2(1 / rate)))
@@ -131,6 +124,20 @@ def build_cascade(keys: DataFrame, max_level_keys: int = MAX_LEVEL_KEYS) -> Casc
     return Cascade(levels)
 
 
+def shard_of(key: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(-1), key), F.lit(shards))
+
+
+def build_cascades(keys: DataFrame, max_level_keys: int = MAX_LEVEL_KEYS) -> list[Cascade]:
+    """Cascades over keys(key, listed), as many as it takes for levels of about max_level_keys; the key's shard_of says which is its own."""
+    n = keys.agg(F.count_if("listed").alias("listed"), F.count(F.lit(1)).alias("all")).first()
+    shards = max(1, math.ceil(max(n["listed"], FIRST_RATE * (n["all"] - n["listed"])) / max_level_keys))
+    if shards == 1:
+        return [build_cascade(keys)]
+    dealt = materialise(keys.withColumn("shard", shard_of(F.col("key"), shards)).repartition(shards, "shard"), "url-shards")
+    return [build_cascade(dealt.where(F.col("shard") == i)) for i in range(shards)]
+
+
 def judge_urls(
     pages: DataFrame,
     rules: Sequence[Rule] = DEFAULT_RULES,
@@ -140,9 +147,11 @@ def judge_urls(
     """page_id, host, path, rule and verdict for every row of pages(page_id, url).
 
     A page whose host has a fitting rule takes the longest one's verdict. Else it
-    is blocked if its host or a parent domain is listed. Null urls have empty
-    parts and are allowed; repeated rows and null ids stay; other columns of
-    pages are ignored.
+    is blocked if its host or a parent domain is listed. listed: hosts, or a table
+    with a column key, of any size; nulls and repeats in it count for nothing.
+    Null urls have empty parts and are allowed, as is all that neither rules nor
+    list name; repeated rows and null ids stay; other columns of pages are
+    ignored, and an empty table gives an empty one.
     """
     spark = pages.sparkSession
     own = with_url_parts(pages.select("page_id", "url"))
@@ -152,12 +161,13 @@ def judge_urls(
     hosts = materialise(own.select("host").distinct(), "url-hosts")
     inside = hosts.select("host", F.explode(parent_hosts(F.col("host"))).alias("key")).join(listed, "key", "left_semi").select("host").distinct()
     marked = hosts.join(inside.withColumn("listed", F.lit(True)), "host", "left").select(F.col("host").alias("key"), F.coalesce("listed", F.lit(False)).alias("listed"))
-    marked = materialise(marked, "url-keys")
+    cascades = build_cascades(materialise(marked, "url-keys"), max_level_keys)
     name, verdict = rule_columns(F.col("host"), F.col("path"), rules)
-    cascade = build_cascade(marked, max_level_keys)
-    if cascade is None:  # more listed hosts in the corpus than a filter may hold
-        own = own.join(marked.select(F.col("key").alias("host"), F.col("listed").alias("_listed")), "host", "left")
-        is_listed = F.col("_listed")
-    else:
-        is_listed = cascade.contains(F.col("host"))
-    return own.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, F.when(is_listed, "block").otherwise("allow")).alias("verdict"))
+
+    def judged(rows: DataFrame, cascade: Cascade) -> DataFrame:
+        other = F.when(cascade.contains(F.col("host")), "block").otherwise("allow")
+        return rows.select("page_id", "host", "path", name.alias("rule"), F.coalesce(verdict, other).alias("verdict"))
+
+    if len(cascades) == 1:
+        return judged(own, cascades[0])
+    return reduce(DataFrame.unionByName, [judged(own.where(shard_of(F.col("host"), len(cascades)) == i), c) for i, c in enumerate(cascades)])
