@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), with docs as the stage before left it,
 and returns the columns of documents; the last returns the packed pieces. A
 stage decides on its own input alone: thresholds, votes and classifiers are
-fitted on what has come down to it.
+fitted on what has come down to it. Nulls may stand in any column, further
+columns of any name are carried along, and empty tables give empty ones.
 """
 
 from __future__ import annotations
@@ -14,32 +15,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fableloom.llm.common import materialise, table
-from fableloom.llm.decontamination import with_contamination
+from fableloom.llm.decontamination import drop_contaminated
 from fableloom.llm.near_dups import drop_near_duplicates
 from fableloom.llm.packing import pack_documents
-from fableloom.llm.quality_rules import with_quality
-from fableloom.llm.toxicity import fit_toxicity, with_toxicity
+from fableloom.llm.quality_rules import keep_good
+from fableloom.llm.toxicity import fit_toxicity, toxicity_of
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and are good by posterior probability."""
-    return with_quality(docs).where("_quality.kept").select(*docs.columns)
+    """Documents that pass the base rule and are good by posterior probability. Null and empty texts go."""
+    return keep_good(docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5, by a classifier trained on the labelled ones among them."""
-    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
-    return with_toxicity(docs, model).where("_toxicity < 0.5").select(*docs.columns)
+    """Documents that score below 0.5, by a classifier trained on the labelled ones among them. Without labels of both kinds all score the share of toxic labels."""
+    score = toxicity_of(spark, fit_toxicity(docs, table(spark, sf_dir, "labels")))
+    return docs.where(score(F.col("text")) < 0.5)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates, the one with the smallest id."""
+    """One document of each class of near-duplicates, the one with the smallest id (a missing id comes last; of repeated rows the first)."""
     return drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of any benchmark item."""
-    return with_contamination(docs, table(spark, sf_dir, "benchmark")).where(F.size("_found.ranges") == 0).select(*docs.columns)
+    """Documents that hold no window of any benchmark item; all of them where the benchmark is empty."""
+    return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
