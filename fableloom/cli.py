@@ -6,15 +6,16 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .operators import evaluate
 from .plans import run as R
 from .sources import sinks, transcripts
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="fableloom")
-    parser.add_argument("command", choices=["run", "detect", "audit", "review", "inspect", "notation", "csv"])
+    parser.add_argument("command", choices=["run", "detect", "audit", "review", "evaluate", "reliability", "inspect", "notation", "csv"])
     parser.add_argument("run_dir")
-    parser.add_argument("--input", help="a text file or folder of text files, for run")
+    parser.add_argument("--input", help="a text, JSON or JSONL transcript or a folder of them, for run; gold records as JSON lines, for evaluate")
     parser.add_argument("--run-id")
     parser.add_argument("--limit", type=int)
     parser.add_argument("--similarity", action="store_true")
@@ -22,15 +23,20 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("fableloom").getOrCreate()
     run_id = args.run_id or R.make_run_id()
     if args.command == "run":
-        files = transcripts.read_text_files(spark, args.input)
-        docs = files.withColumn("document_id", transcripts.stable_document_id(files["source_path"], files["text"]))
-        R.run_corpus(docs, args.run_dir, run_id, with_similarity=args.similarity, limit=args.limit)
+        docs, segments = transcripts.load_transcripts(spark, args.input, args.limit)
+        R.run_corpus(docs, args.run_dir, run_id, with_similarity=args.similarity, segments=segments)
     elif args.command == "detect":
         R.detect_for_run(spark, args.run_dir, run_id)
     elif args.command == "audit":
         R.audit_run(spark, args.run_dir, run_id)
     elif args.command == "review":
         R.review_run(spark, args.run_dir)
+    elif args.command == "evaluate":
+        gold = evaluate.gold_units(spark.read.json(args.input))
+        found = R.evaluate_run(spark, args.run_dir, gold)
+        print(sinks.markdown_report(found["evaluation"], f"Evaluation of {args.run_dir}"))
+    elif args.command == "reliability":
+        print(sinks.markdown_report(R.reliability_run(spark, args.run_dir), f"Reliability of {args.run_dir}"))
     elif args.command == "notation":
         sinks.write_notation(sinks.read_table(spark, args.run_dir, "units"), f"{args.run_dir}/notation")
     elif args.command == "csv":

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
 import pandas as pd
@@ -70,8 +71,23 @@ def unicode_pattern(pattern: str) -> str:
     return "(?U)" + pattern
 
 
+def apart(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) as a lambda of its own. The code of many tests in one row would be too long for the JVM to compile; so it stays out of the generated method."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+#: A pattern that is nothing but words between word boundaries.
+_WORDS = re.compile(r"\\b([^\\\[\](){}.*+?^$|]+)\\b")
+
+
+def matches(text: Column, pattern: str) -> Column:
+    """Whether a pattern occurs; where it is plain words, a search for these comes first, which is cheap and mostly fails."""
+    found = F.rlike(text, F.lit(unicode_pattern(pattern)))
+    return F.contains(text, F.lit(m[1])) & found if (m := _WORDS.fullmatch(pattern)) else found
+
+
 def matches_any(text: Column, patterns: Iterable[str]) -> Column:
-    return any_of(F.rlike(text, F.lit(unicode_pattern(p))) for p in patterns)
+    return any_of(matches(text, p) for p in patterns)
 
 
 def hash_id(prefix: str, *parts: Column | str) -> Column:

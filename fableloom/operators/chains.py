@@ -12,6 +12,7 @@ from ..functions import lexicon as L
 from ..functions.notation import strings
 from ..functions.text import hash_id
 from .segment import in_order
+from .validate import flags_if, versions
 
 UNIT = "struct<sequence_index:int,unit_id:string,notation:string>"
 
@@ -81,6 +82,7 @@ def detect_chains(units: DataFrame, relations: DataFrame | None = None, run_id:
     purposes = F.create_map(*[F.lit(x) for kv in L.CHAIN_PURPOSES.items() for x in kv])
     same = Window.partitionBy("document_id", "chain_type", "unit_ids", "relation_ids").orderBy(F.desc("score"), "evidence_summary")
     rows = rows.withColumn("rank", F.row_number().over(same)).where("rank = 1")
+    weak = (F.round("score", 9) < L.CHAIN_REVIEW_BELOW) | ((F.size("unit_ids") < 3) & (F.size("relation_ids") == 0))
     return rows.select(
         F.lit(run_id).alias("run_id"),
         hash_id("chain_", run_id, F.col("chain_type"), F.array_join("unit_ids", "|"), F.array_join("relation_ids", "|")).alias("chain_id"),
@@ -94,7 +96,10 @@ def detect_chains(units: DataFrame, relations: DataFrame | None = None, run_id:
         F.round("score", 4).alias("score"),
         purposes[F.col("chain_type")].alias("narrative_function"),
         "evidence_summary",
-        ((F.col("score") < L.CHAIN_REVIEW_BELOW) | ((F.size("unit_ids") < 3) & (F.size("relation_ids") == 0))).alias("needs_review"),
+        weak.alias("needs_review"),
+        F.array(F.struct(F.col("evidence_summary").alias("text"), F.concat(F.lit("chain_detector:"), "chain_type").alias("source"))).alias("evidence_spans"),
+        flags_if(weak, "chain_needs_review", "chain_type").alias("validator_flags"),
+        *versions(),
     )
 
 

@@ -12,7 +12,9 @@ LABEL_COLUMNS = ("functions", "primary_function", "emotion_expressed", "emotion_
 
 
 def gold_units(records: DataFrame) -> DataFrame:
-    """Units of gold records(gold_type or status, unit); a record that is neither human nor of high synthetic confidence fails."""
+    """Units of gold records: (gold_type or status, unit), unit alone, or bare units. A record that is neither human nor of high synthetic confidence fails."""
+    if "unit" not in records.columns:
+        records = records.select(*[c for c in ("gold_type", "status") if c in records.columns], F.struct(*[c for c in records.columns if c not in ("gold_type", "status")]).alias("unit"))
     kind = F.coalesce(*[F.col(c) for c in ("gold_type", "status") if c in records.columns], F.lit("human_gold"))
     allowed = kind.isin("human_gold", "synthetic_gold_high_confidence")
     checked = records.withColumn("unit", F.when(allowed, F.col("unit")).otherwise(F.raise_error(F.concat(F.lit("not usable as gold: "), kind)).cast(records.schema["unit"].dataType)))

@@ -7,7 +7,9 @@ reach it, and the number of partitions bounds how many calls run at a time.
 from __future__ import annotations
 
 import json
+import os
 import time
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -17,8 +19,12 @@ from pyspark.sql import types as T
 
 from ..functions import lexicon as L
 from ..functions.notation import normalize_codes, strings
+from ..sources.sinks import read_table
+from .validate import flag, still_relevant
 
 BACKOFF = (2.0, 8.0, 20.0)
+#: A committee is a short list.
+MAX_REVIEWERS = 100
 RESULT = T.StructType([T.StructField(n, k) for n, k in (("cache_key", T.StringType()), ("ok", T.BooleanType()), ("attempts", T.IntegerType()), ("response", T.StringType()), ("error", T.StringType()))])
 
 
@@ -35,13 +41,22 @@ def json_payload(text: str) -> dict:
     return found
 
 
-def call_model(requests: DataFrame, transport: Callable[[str], str], check: Callable[[dict], str | None], cache: DataFrame | None = None, parallel: int = 8, dry_run: bool = False, backoff: tuple[float, ...] = BACKOFF) -> DataFrame:
+def call_model(requests: DataFrame, transport: Callable[[str], str], check: Callable[[dict], str | None], cache: DataFrame | None = None, parallel: int = 8, dry_run: bool = False, backoff: tuple[float, ...] = BACKOFF, store: str | None = None) -> DataFrame:
     """cache_key, ok, attempts, response (JSON) and error for the distinct requests(request, a JSON string).
 
     check says what is wrong with a parsed reply, or None. Transient errors are
     tried len(backoff) times, wrong replies once. A dry run answers ok without a
     response. Rows of cache(cache_key, response) are taken as they are, with no attempt.
+    store: a folder of answers; good ones of earlier calls serve as cache, and new
+    ones are written there before use, so that no request is made twice.
     """
+    if store is not None and not dry_run:
+        spark = requests.sparkSession
+        earlier = read_table(spark, *os.path.split(store), RESULT.simpleString()[7:-1].replace(":", " ")).where("ok").select("cache_key", "response")
+        known = earlier if cache is None else earlier.unionByName(cache.select("cache_key", "response"))
+        fresh = f"{store}/part={uuid.uuid4().hex}"
+        call_model(requests, transport, check, known, parallel, backoff=backoff).write.parquet(fresh)
+        return spark.read.schema(RESULT).parquet(fresh)
     own = requests.select(F.sha2("request", 256).alias("cache_key"), "request").dropDuplicates(["cache_key"])
     blank = lambda **k: own.select("cache_key", *[F.lit(k.get(f.name)).cast(f.dataType).alias(f.name) for f in RESULT.fields[1:]])
     if dry_run:
@@ -74,7 +89,7 @@ def call_model(requests: DataFrame, transport: Callable[[str], str], check: Call
     return found if hits is None else found.unionByName(hits)
 
 
-CLASSIFICATION = "functions array<string>, primary_function string, certainty string, emotion_expressed string, emotion_intensity int, emotions_mentioned array<string>, stance string, confidence double"
+CLASSIFICATION = "functions array<string>, primary_function string, certainty string, emotion_expressed string, emotion_intensity int, emotions_mentioned array<string>, stance string, confidence double, evidence_spans array<struct<text:string,char_start:int,char_end:int,source:string>>"
 
 
 def classification_request() -> Column:
@@ -85,10 +100,11 @@ def classification_request() -> Column:
     return F.to_json(F.struct("unit_id", "text", around(2, 1).alias("before"), around(-1, -2).alias("after"), "locked_functions", "candidate_functions"))
 
 
-def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, dry_run: bool = False) -> DataFrame:
+def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, dry_run: bool = False, store: str | None = None) -> DataFrame:
     """Annotated units labelled by a model: locked functions always stay, what the model leaves open falls back to candidates.
 
     Where it fails (or in a dry run), the locked functions alone are taken, at confidence 0.6 and marked for review.
+    Evidence spans of both are kept, each once.
     """
     own = units.withColumn("request", classification_request())
 
@@ -98,7 +114,7 @@ def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame
             return "functions must be a list of known codes"
         return None if found.get("confidence") is None or 0 <= found["confidence"] <= 1 else "confidence outside 0 to 1"
 
-    answers = call_model(own, transport, check, cache, dry_run=dry_run)
+    answers = call_model(own, transport, check, cache, dry_run=dry_run, store=store)
     joined = own.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", F.from_json("response", CLASSIFICATION).alias("m")), "cache_key", "left")
     good = F.col("ok") & F.col("m").isNotNull()
     locked, m = F.col("locked_functions"), F.col("m")
@@ -106,6 +122,8 @@ def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame
     clash = good & (F.size(F.array_except(locked, m["functions"])) > 0)
     joined = joined.withColumns({"functions": functions, "_clash": clash})
     first = F.get(locked, F.lit(0))
+    if "evidence_spans" in units.columns:
+        joined = joined.withColumn("evidence_spans", merge_spans(F.col("evidence_spans"), F.when(good, m["evidence_spans"])))
     return joined.withColumns(
         {
             "primary_function": F.coalesce(first, F.when(good, m["primary_function"]), F.get("functions", F.lit(0))),
@@ -123,10 +141,18 @@ def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame
     ).drop("request", "cache_key", "ok", "m", "_clash")
 
 
-def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None) -> DataFrame:
+def merge_spans(spans: Column, more: Column) -> Column:
+    """Both lists of spans, of spans with the same text, places and source the first; null is empty."""
+    kind = "array<struct<text:string,char_start:int,char_end:int,source:string>>"
+    return F.array_distinct(F.concat(F.coalesce(spans, F.array()).cast(kind), F.coalesce(more, F.array().cast(kind))))
+
+
+def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None) -> DataFrame:
     """Units with risks (see adjudication_reasons) asked again; the others pass untouched and are never sent.
 
-    The second answer may take functions away; it adds some only with evidence spans.
+    The second answer may take functions away; it adds some only with evidence
+    spans. Flags that it settles go; a unit without a usable answer stays for review.
+    units should be a written table, so that what comes before is not asked again.
     """
     calm, risky = units.where(F.size("risks") == 0), units.where(F.size("risks") > 0)
     asked = risky.withColumn("request", F.to_json(F.struct("unit_id", "text", "functions", "primary_function", "risks")))
@@ -135,12 +161,12 @@ def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFra
         codes = found.get("functions")
         return None if isinstance(codes, list) and codes and all(c in L.FUNCTIONS for c in codes) else "functions must be a list of known codes"
 
-    answers = call_model(asked, transport, check, cache)
+    answers = call_model(asked, transport, check, cache, store=store)
     kind = "functions array<string>, primary_function string, confidence double, evidence array<string>"
     joined = asked.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", F.from_json("response", kind).alias("m")), "cache_key", "left")
     good = F.col("ok") & F.col("m").isNotNull()
     m, old = F.col("m"), F.col("functions")
-    grows = F.size(F.array_except(m["functions"], old)) > 0
+    grows = F.size(normalize_codes(m["functions"])) > F.size(old)
     taken = good & (~grows | (F.size(F.coalesce(m["evidence"], strings())) > 0))
     changes = {
         "functions": normalize_codes(F.when(taken, m["functions"]).otherwise(old)),
@@ -148,20 +174,74 @@ def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFra
         "confidence": F.when(good, F.coalesce(m["confidence"], "confidence")).otherwise(F.col("confidence")),
         "method": F.when(good, "adjudicated").otherwise(F.col("method")),
         "needs_review": F.col("needs_review") | ~good,
+        "review_reasons": F.array_union("review_reasons", F.when(good, strings()).otherwise(strings("adjudication_failed"))),
     }
-    return joined.withColumns(changes).select(*units.columns).unionByName(calm)
+    joined = joined.withColumns(changes)
+    if "validator_flags" in units.columns:
+        added = F.when(good, F.array(flag("adjudication_applied", "functions", "info"))).otherwise(F.array(flag("adjudication_failed", "functions")))
+        joined = joined.withColumn("validator_flags", F.concat(F.when(good, still_relevant(F.col("validator_flags"), F.col("functions"))).otherwise(F.col("validator_flags")), added))
+    return joined.select(*units.columns).unionByName(calm)
+
+
+DECISIONS = ("accept", "revise", "reject", "needs_review")
+GOLD = ("synthetic_gold_high_confidence", "synthetic_gold_medium_confidence", "rejected")
+
+
+def _decided(found: dict) -> str | None:
+    sure = found.get("confidence")
+    return None if found.get("decision") in DECISIONS and isinstance(sure, (int, float)) and 0 <= sure <= 1 else "decision or confidence is wrong"
+
+
+def _answered(asked: DataFrame, answers: DataFrame, kind: str) -> DataFrame:
+    """asked(request, ...) with ok, error and the parsed answer m."""
+    return asked.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", "error", F.from_json("response", kind).alias("m")), "cache_key", "left").drop("cache_key")
+
+
+def _failures(joined: DataFrame, who: Column) -> DataFrame:
+    return joined.where(~F.coalesce(F.col("ok"), F.lit(False)) | F.col("m").isNull()).select("review_item_id", who.alias("profile"), F.coalesce("error", F.lit("no answer")).alias("error"))
 
 
-def review_by_committee(items: DataFrame, reviewers: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None) -> DataFrame:
-    """Votes(review_item_id, position, decision, confidence) of every reviewer(reviewer_id, position, profile) on every item(review_item_id, text).
+def aggregate_by_model(items: DataFrame, votes: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The committee's decisions as an aggregator sees them, and its failures.
 
-    reviewers is a short list that goes to every item; answers that fail are no votes.
+    items(review_item_id, text); votes; fallback: of committee_vote, whose row
+    stands where the aggregator has no usable answer.
     """
-    asked = items.select("review_item_id", "text").crossJoin(F.broadcast(reviewers)).withColumn("request", F.to_json(F.struct("review_item_id", "reviewer_id", "profile", "text")))
+    own = votes.groupBy("review_item_id").agg(F.array_sort(F.collect_list(F.struct("position", "decision", "confidence"))).alias("votes"))
+    asked = fallback.join(own, "review_item_id").join(items.select("review_item_id", "text"), "review_item_id")
+    asked = asked.withColumn("request", F.to_json(F.struct(F.lit("aggregator").alias("profile"), "review_item_id", "text", "votes", "aggregate_decision", "agreement")))
+    joined = _answered(asked, call_model(asked, transport, _decided, store=store), "decision string, confidence double")
+    good = F.coalesce(F.col("ok"), F.lit(False)) & F.col("m").isNotNull()
+    decided = F.when(good, F.col("m.decision")).otherwise(F.col("aggregate_decision"))
+    out = joined.withColumns({"confidence": F.when(good, F.round("m.confidence", 4)).otherwise(F.col("confidence")), "needs_final_adjudication": decided != "needs_review", "aggregate_decision": decided})
+    return out.select(*fallback.columns), _failures(joined, F.lit("aggregator"))
 
-    def check(found: dict) -> str | None:
-        return None if found.get("decision") in ("accept", "revise", "reject", "needs_review") and isinstance(found.get("confidence"), (int, float)) else "decision or confidence is wrong"
 
-    answers = call_model(asked, transport, check, cache).where("ok AND response IS NOT NULL")
-    votes = asked.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", F.from_json("response", "decision string, confidence double").alias("m")), "cache_key")
-    return votes.select("review_item_id", "position", F.col("m.decision").alias("decision"), F.col("m.confidence").alias("confidence"))
+def final_by_model(items: DataFrame, aggregated: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The final judge's decisions, and its failures.
+
+    fallback: of fallback_finals, whose row stands where the judge has no usable
+    answer. An item is promoted only by an answer that names a status of gold.
+    """
+    asked = aggregated.join(items.select("review_item_id", "text"), "review_item_id")
+    asked = asked.withColumn("request", F.to_json(F.struct(F.lit("final").alias("profile"), "review_item_id", "text", "aggregate_decision", "agreement", "confidence")))
+    wrong = lambda found: _decided(found) or (None if found.get("gold_status") in (None, *GOLD) else "gold_status is wrong")
+    joined = _answered(asked, call_model(asked, transport, wrong, store=store), "decision string, confidence double, gold_status string, needs_human_review boolean")
+    good = F.coalesce(F.col("ok"), F.lit(False)) & F.col("m").isNotNull()
+    m = F.col("m")
+    judged = joined.where(good).select("review_item_id", m["decision"].alias("final_decision"), m["gold_status"].alias("gold_status"), m["confidence"].alias("reliability_score"), F.coalesce(m["needs_human_review"], F.lit(False)).alias("needs_human_review"))
+    rest = fallback.join(judged.select("review_item_id"), "review_item_id", "left_anti")
+    return judged.unionByName(rest.select(*judged.columns)), _failures(joined, F.lit("final"))
+
+
+def review_by_committee(items: DataFrame, reviewers: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Votes(review_item_id, position, decision, confidence) of every reviewer(reviewer_id, position, profile) on every item(review_item_id, text), and the failures.
+
+    reviewers is a list of MAX_REVIEWERS at most that goes to every item; answers that fail are no votes.
+    """
+    if reviewers.limit(MAX_REVIEWERS + 1).count() > MAX_REVIEWERS:
+        raise ValueError(f"more than {MAX_REVIEWERS} reviewers")
+    asked = items.select("review_item_id", "text").crossJoin(F.broadcast(reviewers)).withColumn("request", F.to_json(F.struct("review_item_id", "reviewer_id", "profile", "text")))
+    joined = _answered(asked, call_model(asked, transport, _decided, cache, store=store), "decision string, confidence double")
+    votes = joined.where("ok AND m IS NOT NULL").select("review_item_id", "position", F.col("m.decision").alias("decision"), F.col("m.confidence").alias("confidence"))
+    return votes, _failures(joined, F.col("reviewer_id"))

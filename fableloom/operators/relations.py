@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions.notation import strings
-from ..functions.text import contains_any, hash_id, starts_with_any
+from ..functions.text import apart, contains_any, hash_id, starts_with_any
 from .heuristics import has_any
 from .segment import in_order
+from .validate import flags_if, versions
 
 RELATION = "struct<rule_id:string,relation_type:string,backward:boolean,base:double,rejected:array<string>>"
 
@@ -63,11 +64,11 @@ def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance
     text = F.lower(F.concat_ws(" ", "text", "normalized_text"))
     marked = F.filter(F.array(*[F.when(contains_any(text, m), F.lit(k)) for k, m in L.MARKERS.items()]), lambda m: m.isNotNull())
     answer = starts_with_any(F.lower(F.coalesce("normalized_text", F.lit(""))), L.ANSWER_STARTS)
-    unit = F.struct("unit_id", "sequence_index", "functions", marked.alias("marked"), answer.alias("answer_like"))
+    unit = F.struct("unit_id", "sequence_index", "functions", marked.alias("marked"), answer.alias("answer_like"), "text")
     own = units.select("document_id", "sequence_index", unit.alias("f"))
     own = own.withColumn("later", F.array(*[F.lead("f", k).over(in_order()) for k in range(1, max_distance + 1)]))
     pairs = own.select("document_id", "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
-    fired = pairs.withColumn("rules", rules_for_pair(F.col("f"), F.col("s"), F.col("distance")))
+    fired = pairs.withColumn("rules", apart(F.struct("f", "s", "distance"), lambda p: rules_for_pair(p["f"], p["s"], p["distance"])))
     # Two rules never give the same type and direction for one pair, so taking the first of each is all there is to repeats.
     rows = fired.select("document_id", "f", "s", "distance", F.posexplode("rules").alias("rule_order", "r"))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("r.base") - L.STEP_PENALTY * (F.col("distance") - 1)))
@@ -76,6 +77,7 @@ def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance
         "target_unit_id": F.when(F.col("r.backward"), F.col("f.unit_id")).otherwise(F.col("s.unit_id")),
     }
     rows = rows.withColumns(ends | {"_confidence": confidence}).where(F.round("_confidence", 4) >= min_confidence)
+    weak = (F.col("_confidence") < 0.7) | (F.size("r.rejected") > 1)
     return rows.select(
         F.lit(run_id).alias("run_id"),
         hash_id("rel_", run_id, F.col("source_unit_id"), F.col("target_unit_id"), F.concat(F.lit("RelationType."), F.col("r.relation_type")), F.col("r.rule_id")).alias("relation_id"),
@@ -86,11 +88,20 @@ def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance
         F.round("_confidence", 4).alias("confidence"),
         F.col("r.rule_id").alias("rule_id"),
         F.col("r.rejected").alias("rejected_relation_types"),
-        ((F.col("_confidence") < 0.7) | (F.size("r.rejected") > 1)).alias("needs_review"),
+        weak.alias("needs_review"),
         F.col("distance").cast("int").alias("distance"),
+        F.lit("heuristic").alias("method"),
+        F.array(F.struct(F.col("s.text").alias("text"), F.concat(F.lit("relation_detector:"), F.col("r.rule_id")).alias("source"))).alias("evidence_spans"),
+        flags_if(weak, "relation_needs_review", "relation_type").alias("validator_flags"),
+        *versions(),
     )
 
 
+def attach_relations(existing: DataFrame, detected: DataFrame) -> DataFrame:
+    """The relations that documents have already, and those detected for documents that have none."""
+    return existing.unionByName(detected.join(existing.select("document_id").distinct(), "document_id", "left_anti"), allowMissingColumns=True)
+
+
 def relation_summary(relations: DataFrame) -> DataFrame:
     """relation_type, n and needs_review of all relations."""
     return relations.groupBy("relation_type").agg(F.count(F.lit(1)).alias("n"), F.count_if("needs_review").alias("needs_review"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
@@ -10,6 +12,8 @@ from ..functions.lexicon import COMMA_BOUNDARY, MAX_UNIT_CHARS, SENTENCE_BOUNDAR
 from ..functions.notation import strings
 from ..functions.text import normalized
 
+FLAGS = "array<struct<rule_id:string,severity:string,message:string,field:string>>"
+
 
 def in_order() -> WindowSpec:
     """The order of units in their document."""
@@ -47,15 +51,44 @@ def pieces_of(text: Column, limit: int = MAX_UNIT_CHARS) -> Column:
     return F.flatten(F.transform(split_clean(text, SENTENCE_BOUNDARY), refine))
 
 
+def running_sums(values: Column, block: int = 256) -> tuple[Column, Callable[[Column], Column]]:
+    """Blocks of an array of numbers, and a function from them to the sum of all values before each, which costs no square of a long array's length."""
+    n = F.greatest(F.lit(0), ((F.size(values) - 1) / block).cast("int"))
+    blocks = F.transform(F.sequence(F.lit(0), n), lambda i: F.slice(values, i * block + 1, block))
+
+    def sums(numbers: Column, first: Column) -> Column:
+        return F.aggregate(numbers, F.array(first), lambda s, x: F.concat(s, F.array(F.element_at(s, -1) + x)))
+
+    def finish(cut: Column) -> Column:
+        totals = F.transform(cut, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x))
+        return F.flatten(F.zip_with(cut, F.slice(sums(totals, F.lit(0)), 1, F.size(cut)), lambda b, s: F.slice(sums(b, s), 1, F.size(b))))
+
+    return blocks, finish
+
+
 def segment_texts(docs: DataFrame, limit: int = MAX_UNIT_CHARS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """document_id, sequence_index, text, unit_id, char_start, char_end and neighbours of the units of docs(document_id, text).
+    """document_id, sequence_index, text, char_start, char_end, unit_id, neighbours and unit_count of the units of docs(document_id, text).
 
     Offsets index the normalised text, in which units are one space apart. Null
-    and empty texts give no units. keep: columns of docs to carry along. One shuffle, by document.
+    and empty texts give no units. keep: columns of docs to carry along. All of a
+    document's units stand in one array before they are rows, so nothing is shuffled.
     """
-    units = docs.select("document_id", *keep, F.posexplode(pieces_of(normalized(F.col("text")), limit)).alias("sequence_index", "text"))
-    start = F.coalesce(F.sum(F.length("text") + 1).over(in_order().rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return link_units(units.withColumn("char_start", start.cast("int")).withColumn("char_end", (F.col("char_start") + F.length("text")).cast("int")))
+    cut = docs.select("document_id", *keep, pieces_of(normalized(F.col("text")), limit).alias("_pieces"))
+    blocks, finish = running_sums(F.transform("_pieces", lambda p: F.length(p) + 1))
+    cut = cut.withColumn("_blocks", blocks).withColumn("_starts", finish(F.col("_blocks")))
+    units = cut.select("document_id", *keep, F.size("_pieces").alias("unit_count"), F.posexplode(F.arrays_zip("_pieces", "_starts")).alias("sequence_index", "u"))
+    name = lambda i: unit_name(F.col("document_id"), i)
+    at = F.col("sequence_index")
+    return units.select(
+        "document_id", *keep, "sequence_index", F.col("u._pieces").alias("text"), F.col("u._starts").alias("char_start"), (F.col("u._starts") + F.length("u._pieces")).alias("char_end"),
+        name(at).alias("unit_id"), F.when(at > 0, name(at - 1)).alias("previous_unit_id"), F.when(at + 1 < F.col("unit_count"), name(at + 1)).alias("next_unit_id"), "unit_count",
+    )
+
+
+def unit_name(document_id: Column, index: Column) -> Column:
+    """Document and index, the latter of five digits at least."""
+    digits = index.cast("string")
+    return F.concat(document_id.cast("string"), F.lit("_u"), F.when(F.length(digits) > 5, digits).otherwise(F.lpad(digits, 5, "0")))
 
 
 def to_ms(ms: Column, seconds: Column, bare: Column) -> Column:
@@ -77,14 +110,12 @@ def segment_timed(segments: DataFrame, limit: int = MAX_UNIT_CHARS) -> DataFrame
         F.coalesce(at(F.col("piece") + 1), "end_ms").alias("end_ms"),
         (F.col("total") > 1).alias("approximate_timing"),
     )
-    return link_units(units)
+    return link_units(units).withColumn("unit_count", F.count(F.lit(1)).over(Window.partitionBy("document_id")).cast("int"))
 
 
 def link_units(units: DataFrame) -> DataFrame:
     """Adds unit_id, previous_unit_id and next_unit_id."""
-    named = units.withColumn("unit_id", F.concat(F.col("document_id").cast("string"), F.lit("_u"), F.lpad(F.col("sequence_index").cast("string"), 5, "0")))
-    long = F.length(F.col("sequence_index").cast("string")) > 5
-    named = named.withColumn("unit_id", F.when(long, F.concat(F.col("document_id").cast("string"), F.lit("_u"), F.col("sequence_index").cast("string"))).otherwise(F.col("unit_id")))
+    named = units.withColumn("unit_id", unit_name(F.col("document_id"), F.col("sequence_index")))
     return named.withColumns({"previous_unit_id": F.lag("unit_id").over(in_order()), "next_unit_id": F.lead("unit_id").over(in_order())})
 
 
@@ -95,4 +126,8 @@ def with_defaults(units: DataFrame) -> DataFrame:
         "emotion_intensity": F.lit(0), "emotions_mentioned": strings(), "stance": F.lit("neutral"), "confidence": F.lit(0.0), "method": F.lit("none"),
         "needs_review": F.lit(False), "review_reasons": strings(), "review_status": F.lit("pending"), "final_notation": F.lit("N_N0{0}"),
     }
-    return units.withColumns({"normalized_text": F.col("text")} | constants)
+    out = units.withColumns({"normalized_text": F.col("text")} | constants)
+    if "approximate_timing" in units.columns:
+        flag = F.struct(F.lit("approximate_timing").alias("rule_id"), F.lit("info").alias("severity"), F.lit("Times are shared out evenly within a longer segment.").alias("message"), F.lit("start_ms").alias("field"))
+        out = out.withColumn("validator_flags", F.when(F.col("approximate_timing"), F.array(flag)).otherwise(F.array().cast(FLAGS)))
+    return out

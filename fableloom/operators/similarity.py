@@ -30,54 +30,70 @@ def context_text(text: str = "normalized_text") -> Column:
     return F.trim(F.concat_ws(" ", F.lag(text).over(in_order()), F.col(text), F.lead(text).over(in_order())))
 
 
-def blocked_pairs(vectors: DataFrame, threshold: float, blocks: int = 32, rows_per_block: int = 4096) -> DataFrame:
-    """i, j, similarity of all i <> j at or above a cosine threshold, of vectors(id, pos, vector), vectors of length 1.
-
-    Exact: every block of rows meets every other as one matrix product inside a
-    task, and only pairs above the threshold leave it. The blocks are pairs of
-    hash blocks of a bounded number of rows, so no task holds more than two.
+def nearest_in_blocks(vectors: DataFrame, threshold: float, top_k: int, rows_per_block: int = 4096, skip_neighbours: bool = False) -> DataFrame:
+    """i, di, si, j, dj, sj and similarity: of each vector the top_k of every block at or above a cosine threshold.
+
+    vectors(id, doc, seq, vector), vectors of length 1. Exact: each two blocks of
+    rows meet once, as matrix products inside a task, and only the nearest of each
+    row leave it, the earlier by (doc, seq) among equals. Blocks are hash blocks of a
+    bounded number of rows, so no task holds more than two. skip_neighbours: rows
+    beside each other in one doc are not compared.
     """
     n = max(1, -(-vectors.count() // rows_per_block))
-    own = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int"))
-    left = own.select(F.col("block").alias("bi"), F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bj"), "id", "pos", "vector", F.lit(0).alias("side"))
-    right = own.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("bi"), F.col("block").alias("bj"), "id", "pos", "vector", F.lit(1).alias("side"))
+    own = vectors.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    dealt = own.select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "id", "doc", "seq", "vector")
+    kinds = dict(vectors.dtypes)
 
     def multiply(pdf):
         import numpy as np
         import pandas as pd
 
-        a, b = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        if a.empty or b.empty:
-            return pd.DataFrame({"i": [], "j": [], "pi": [], "pj": [], "similarity": []})
-        product = np.stack(a["vector"]).astype(float) @ np.stack(b["vector"]).astype(float).T
-        x, y = np.nonzero(product >= threshold - 1e-9)
-        keep = a["id"].to_numpy()[x] != b["id"].to_numpy()[y]
-        x, y = x[keep], y[keep]
-        return pd.DataFrame({"i": a["id"].to_numpy()[x], "j": b["id"].to_numpy()[y], "pi": a["pos"].to_numpy()[x], "pj": b["pos"].to_numpy()[y], "similarity": np.clip(product[x, y], 0, 1)})
-
-    kind = dict(vectors.dtypes)["id"]
-    return left.unionByName(right).groupBy("bi", "bj").applyInPandas(multiply, f"i {kind}, j {kind}, pi long, pj long, similarity double").where(F.col("similarity") >= threshold)
-
-
-def normalise_vectors(frame: DataFrame, key: str, vector: str, order: str) -> DataFrame:
-    """id, pos and vector of length 1; zero vectors are left out, as they are like nothing."""
+        blocks = [pdf[pdf["own"] == k].sort_values(["doc", "seq"], kind="stable") for k in sorted({pdf["bi"].iat[0], pdf["bj"].iat[0]})]
+        matrices = [np.stack(b["vector"]).astype(float) if len(b) else np.zeros((0, 1)) for b in blocks]
+        parts = [pd.DataFrame({c: pdf[k].iloc[:0] for c, k in zip(("i", "di", "si", "j", "dj", "sj"), ("id", "doc", "seq") * 2, strict=True)} | {"similarity": np.zeros(0)})]
+        for x, y in [(0, 0)] if len(blocks) == 1 else [(0, 1), (1, 0)]:
+            a, b = blocks[x], blocks[y]
+            if a.empty or b.empty:
+                continue
+            columns = {k: (a[k].to_numpy(), b[k].to_numpy()) for k in ("id", "doc", "seq")}
+            for start in range(0, len(a), 512):
+                product = np.round(matrices[x][start : start + 512] @ matrices[y].T, 12)
+                rows = np.flatnonzero((product >= threshold).any(1))
+                if not len(rows):
+                    continue
+                near, at = product[rows], rows + start
+                bad = (near < threshold) | (columns["id"][0][at, None] == columns["id"][1][None, :])
+                if skip_neighbours:
+                    bad |= (columns["doc"][0][at, None] == columns["doc"][1][None, :]) & (np.abs(columns["seq"][0][at, None] - columns["seq"][1][None, :]) == 1)
+                near = np.where(bad, -2.0, near)
+                best = np.argsort(-near, axis=1, kind="stable")[:, :top_k]  # columns stand in the order of (doc, seq)
+                value = np.take_along_axis(near, best, 1)
+                r, c = np.nonzero(value >= threshold)
+                i, j = at[r], best[r, c]
+                parts.append(pd.DataFrame({"i": columns["id"][0][i], "di": columns["doc"][0][i], "si": columns["seq"][0][i], "j": columns["id"][1][j], "dj": columns["doc"][1][j], "sj": columns["seq"][1][j], "similarity": np.clip(value[r, c], 0, 1)}))
+        return pd.concat(parts, ignore_index=True)
+
+    out = f"i {kinds['id']}, di {kinds['doc']}, si long, j {kinds['id']}, dj {kinds['doc']}, sj long, similarity double"
+    return dealt.groupBy("bi", "bj").applyInPandas(multiply, out)
+
+
+def normalise_vectors(frame: DataFrame, key: str, vector: str, doc: Column, seq: Column) -> DataFrame:
+    """id, doc, seq and vector of length 1; zero vectors are left out, as they are like nothing."""
     v = F.transform(F.col(vector), lambda x: x.cast("double"))
-    own = frame.select(F.col(key).alias("id"), F.col(order).cast("long").alias("pos"), v.alias("v")).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-    return own.where("norm > 0").select("id", "pos", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
+    own = frame.select(F.col(key).alias("id"), doc.alias("doc"), seq.cast("long").alias("seq"), v.alias("v")).withColumn("norm", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
+    return own.where("norm > 0").select("id", "doc", "seq", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
 
 
-def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, neighbours: DataFrame | None = None) -> DataFrame:
-    """i, j (i earlier by pos) and similarity, where j is among the top_k of i.
+def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, rows_per_block: int = 4096, skip_neighbours: bool = False) -> DataFrame:
+    """i, j (i earlier by doc and seq) and similarity, where j is among the top_k of i. vectors: of normalise_vectors.
 
     The cut to top_k comes first and for each row alone, so a pair counts only if
-    the later one is near enough for the earlier. neighbours(i, j): pairs left out before that.
+    the later one is near enough for the earlier; neighbours are left out before that.
     """
-    found = blocked_pairs(vectors, threshold)
-    if neighbours is not None:
-        found = found.join(neighbours, ["i", "j"], "left_anti")
-    nearest = Window.partitionBy("i").orderBy(F.desc("similarity"), "pj")
+    found = nearest_in_blocks(vectors, threshold, top_k, rows_per_block, skip_neighbours)
+    nearest = Window.partitionBy("i").orderBy(F.desc("similarity"), "dj", "sj")
     ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top_k)
-    return ranked.where("pi < pj").select("i", "j", "similarity")
+    return ranked.where("di < dj OR (di = dj AND si < sj)").select("i", "j", "similarity")
 
 
 def notation_distance(a: Column, b: Column) -> Column:

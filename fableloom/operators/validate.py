@@ -10,17 +10,52 @@ from ..functions.notation import compile_notation, normalize_codes, strings
 from ..functions.text import contains_any
 from .segment import in_order
 
-FLAG = "struct<rule_id:string,severity:string,field:string>"
+FLAG = "struct<rule_id:string,severity:string,message:string,field:string>"
+#: What each rule's flag says.
+MESSAGES = {
+    "N_exclusive": "N stands alone; it was taken away beside other functions.",
+    "K_inherits_A": "K is a kind of A; A was taken away and noted as inherited.",
+    "primary_function_required": "The primary function was not among the functions.",
+    "D_without_evidence": "D needs evidence, a number or a marker of data.",
+    "R_without_question_anchor": "R needs a question before it or in it.",
+    "possible_emotion_confusion": "An emotion that is told about may not be one that is expressed.",
+    "possible_overlabeling": "There are more functions than a unit usually has.",
+    "notation_derivation": "The notation did not follow from the fields and was derived anew.",
+    "adjudication_applied": "A second answer was applied.",
+    "adjudication_failed": "A second answer could not be had.",
+    "relation_needs_review": "The relation is plausible, but not sure enough.",
+    "chain_needs_review": "The chain is plausible, but not sure enough.",
+}
 INHERITED = "struct<function:string,inherited_from:string,reason:string>"
 
 
-def _flag(rule: str, field: str) -> Column:
-    return F.struct(F.lit(rule).alias("rule_id"), F.lit("warning").alias("severity"), F.lit(field).alias("field"))
+def flag(rule: str, field: str, severity: str = "warning") -> Column:
+    return F.struct(F.lit(rule).alias("rule_id"), F.lit(severity).alias("severity"), F.lit(MESSAGES[rule]).alias("message"), F.lit(field).alias("field"))
+
+
+def flags_if(bad: Column, rule: str, field: str) -> Column:
+    """An array of one flag, or an empty one."""
+    return F.when(bad, F.array(flag(rule, field))).otherwise(F.array().cast(f"array<{FLAG}>"))
+
+
+def versions() -> list[Column]:
+    """The versions of taxonomy, prompt and validator that made a row."""
+    return [F.lit(L.VERSION).alias(f"{n}_version_effective") for n in ("taxonomy", "prompt", "validator")]
+
+
+def still_relevant(flags: Column, functions: Column) -> Column:
+    """Flags without those that the functions have settled."""
+    settled = lambda f: (
+        ((f["rule_id"] == "D_without_evidence") & ~F.array_contains(functions, "D"))
+        | ((f["rule_id"] == "R_without_question_anchor") & ~F.array_contains(functions, "R"))
+        | ((f["rule_id"] == "possible_overlabeling") & (F.size(functions) <= L.OVERLABELLED))
+    )
+    return F.filter(flags, lambda f: ~settled(f))
 
 
 def _added(checks: list[tuple[str, str, Column]]) -> Column:
     """The flags of the checks that hold and that the unit does not carry yet."""
-    made = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(False)), _flag(rule, field)) for rule, field, bad in checks]), lambda f: f.isNotNull())
+    made = F.filter(F.array(*[F.when(F.coalesce(bad, F.lit(False)), flag(rule, field)) for rule, field, bad in checks]), lambda f: f.isNotNull())
     known = F.transform("_flags", lambda f: f["rule_id"])
     return F.filter(made, lambda f: ~F.array_contains(known, f["rule_id"])).cast(f"array<{FLAG}>")
 

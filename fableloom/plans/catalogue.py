@@ -18,6 +18,7 @@ from ..operators import heuristics as H
 from ..operators import model_calls as M
 from ..operators import relations as R
 from ..operators import review as V
+from ..operators import rollups as U
 from ..operators import segment as S
 from ..operators import similarity as Y
 from ..operators import validate as Q
@@ -103,20 +104,20 @@ def _rules_sql() -> str:
 
 @query(_rules_sql() + " SELECT document_id, seq AS sequence_index, code, rule_id, s AS char_start, s + n AS char_end FROM hits WHERE s IS NOT NULL")
 def heuristic_candidates(spark, d):
-    own = H.annotate(X.units(spark, d)).select("document_id", "sequence_index", F.explode("signals").alias("s"))
+    own = H.annotate(X.units(spark, d), normalise=False).select("document_id", "sequence_index", F.explode("signals").alias("s"))
     return own.select("document_id", "sequence_index", "s.code", "s.rule_id", F.col("s.start").alias("char_start"), F.col("s.end").alias("char_end"))
 
 
 @query(_rules_sql() + " SELECT lang, code, count(*) AS n FROM hits WHERE s IS NOT NULL GROUP BY lang, code")
 def heuristic_counts_by_lang(spark, d):
-    own = X.units(spark, d).withColumn("folded", folded(F.col("text")))
-    return H.counts_by_lang(own.withColumn("signals", H.function_signals(F.col("text"), F.col("folded"), F.lit(False))))
+    own = X.units(spark, d).withColumn("folded", folded(F.col("text"), normalise=False))
+    return H.counts_by_lang(H.with_signals(own, F.lit(False)))
 
 
 @query(f"WITH {X.UNITS_SQL} SELECT document_id, count(*) AS units, sum(CASE WHEN seq >= greatest(0, total - 3) THEN 1 ELSE 0 END) AS near_end FROM (SELECT *, count(*) OVER (PARTITION BY document_id) AS total FROM pieces) GROUP BY document_id")
 def conclusion_near_end(spark, d):
-    total = F.count(F.lit(1)).over(Window.partitionBy("document_id"))
-    own = X.units(spark, d).withColumn("near", F.col("sequence_index") >= F.greatest(F.lit(0), total - L.NEAR_END))
+    own = X.units(spark, d)
+    own = own.withColumn("near", H.near_end(own))
     return own.groupBy("document_id").agg(F.count(F.lit(1)).alias("units"), F.count_if("near").alias("near_end"))
 
 
@@ -126,13 +127,20 @@ CORPUS_CERTAINTY = (("strong", (r"\bthe\b", r"\bder\b")), ("tentative", (r"\bof\
 
 @query(f"WITH {X.UNITS_SQL} SELECT document_id, seq AS sequence_index, CASE WHEN regexp_matches(fold, '\\bthe\\b|\\bder\\b') THEN 'strong' WHEN regexp_matches(fold, '\\bof\\b|\\bque\\b') THEN 'tentative' WHEN regexp_matches(fold, '\\bin\\b|\\bles\\b') THEN 'uncertain' END AS certainty FROM (SELECT *, {X.FOLD_SQL} AS fold FROM pieces)")
 def certainty_stance(spark, d):
-    return X.units(spark, d).select("document_id", "sequence_index", H.typed(folded(F.col("text")), CORPUS_CERTAINTY).alias("certainty"))
+    return X.units(spark, d).select("document_id", "sequence_index", H.typed(folded(F.col("text"), normalise=False), CORPUS_CERTAINTY).alias("certainty"))
 
 
-@query()
+_MENTIONED = ", ".join(
+    f"CASE WHEN regexp_matches(fold, '\\b{w}\\b') AND list_bool_or(list_transform(range(1, len(string_split_regex(fold, '\\b{w}\\b'))), lambda i: regexp_matches("
+    f"right(array_to_string(string_split_regex(fold, '\\b{w}\\b')[1:i], '{w}'), {L.MENTION_BEFORE}) || '{w}' || left(array_to_string(string_split_regex(fold, '\\b{w}\\b')[i + 1:], '{w}'), {L.MENTION_AFTER}), '\\b(the|und|with)\\b'))) THEN '{c}' END"
+    for w, c in (("trash", "D"), ("idiot", "E"), ("ist", "C"))
+)
+
+
+@query(f"WITH {X.UNITS_SQL}, m AS (SELECT document_id, seq, list_filter([{_MENTIONED}], lambda x: x IS NOT NULL) AS codes FROM (SELECT *, {X.FOLD_SQL} AS fold FROM pieces)) SELECT document_id, seq AS sequence_index, array_to_string(codes, '+') AS codes FROM m WHERE len(codes) > 0")
 def emotion_mentions(spark, d):
     words, context = (("trash", "D"), ("idiot", "E"), ("ist", "C")), r"\b(the|und|with)\b"
-    own = X.units(spark, d).withColumn("folded", folded(F.col("text"))).select("document_id", "sequence_index", H.emotions_mentioned(F.col("folded"), words, context).alias("codes"))
+    own = X.units(spark, d).withColumn("folded", folded(F.col("text"), normalise=False)).select("document_id", "sequence_index", H.emotions_mentioned(F.col("folded"), words, context).alias("codes"))
     return own.where(F.size("codes") > 0).select("document_id", "sequence_index", F.array_join("codes", "+").alias("codes"))
 
 
@@ -153,13 +161,13 @@ c AS (SELECT *, CASE WHEN lonely THEN list_filter(f0, lambda x: x <> 'N') ELSE f
 e AS (SELECT *, list_contains(f1, 'K') AND list_contains(f1, 'A') AS heir, CASE WHEN list_contains(f1, 'K') THEN list_filter(f1, lambda x: x <> 'A') ELSE f1 END AS f FROM c),
 g AS (
   SELECT *, NOT list_contains(f, primary_function) AND array_to_string(f, '+') <> 'N' AS lost, CASE WHEN list_contains(f, primary_function) THEN primary_function ELSE f[1] END AS pf,
-    lower(text || ' ' || text) AS low FROM e),
+    lower(coalesce(text, '') || ' ' || coalesce(text, '')) AS low, coalesce(lag(text) OVER (PARTITION BY document_id ORDER BY k), '') AS before FROM e),
 h AS (
   SELECT *, list_contains(f, 'D') AND NOT regexp_matches(low, '%|según|reporte|informe|dato|medimos|muestra|registr|encuesta|tabla|log|\\d') AS no_evidence,
-    list_contains(f, 'R') AND NOT regexp_matches(low, '[?¿]') AS no_anchor,
+    list_contains(f, 'R') AND NOT regexp_matches(low || before, '[?¿]') AS no_anchor,
     emotion_expressed <> 'N' AND emotion_intensity >= 2 AND list_contains(emotions_mentioned, emotion_expressed) AS mixed, len(f) > 5 AS over FROM g),
 v AS (
-  SELECT unit_id, k, f AS functions, pf AS primary_function, {X.notation_sql("f")} AS final_notation, lost OR no_evidence OR no_anchor OR mixed OR over AS needs_review,
+  SELECT unit_id, k, document_id, f AS functions, pf AS primary_function, {X.notation_sql("f")} AS final_notation, lost OR no_evidence OR no_anchor OR mixed OR over AS needs_review,
     list_filter([CASE WHEN lonely THEN 'N_exclusive' END, CASE WHEN heir THEN 'K_inherits_A' END, CASE WHEN lost THEN 'primary_function_required' END, CASE WHEN no_evidence THEN 'D_without_evidence' END,
       CASE WHEN no_anchor THEN 'R_without_question_anchor' END, CASE WHEN mixed THEN 'possible_emotion_confusion' END, CASE WHEN over THEN 'possible_overlabeling' END], lambda x: x IS NOT NULL) AS flags,
     emotions_mentioned, emotion_intensity, confidence, certainty, emotion_expressed, stance, text FROM h)"""
@@ -195,9 +203,14 @@ def _relations(spark, d):
     return R.detect_relations(X.event_units(spark, d), "run_events")
 
 
-@query(_RELATIONS + " SELECT relation_id, document_id, source_unit_id, target_unit_id, relation_type, rule_id, confidence, needs_review FROM rel")
+@query(_RELATIONS + """ SELECT relation_id, rel.document_id, source_unit_id, target_unit_id, relation_type, rule_id, confidence, needs_review, 'heuristic' AS method, text AS evidence, 'relation_detector:' || rule_id AS evidence_source,
+  CASE WHEN needs_review THEN 1 ELSE 0 END AS flags FROM rel JOIN eu ON eu.unit_id = rel.source_unit_id""")
 def pair_relations(spark, d):
-    return _relations(spark, d).select("relation_id", "document_id", "source_unit_id", "target_unit_id", "relation_type", "rule_id", "confidence", "needs_review")
+    evidence = F.get("evidence_spans", F.lit(0))
+    return _relations(spark, d).select(
+        "relation_id", "document_id", "source_unit_id", "target_unit_id", "relation_type", "rule_id", "confidence", "needs_review", "method",
+        evidence["text"].alias("evidence"), evidence["source"].alias("evidence_source"), F.size("validator_flags").alias("flags"),
+    )
 
 
 @query(_RELATIONS + " SELECT relation_type, count(*) AS n, count(*) FILTER (needs_review) AS needs_review FROM rel GROUP BY relation_type")
@@ -216,31 +229,31 @@ def sequence_chains(spark, d):
     return own.select("document_id", "chain_type", F.array_join(F.transform("members", lambda m: m["unit_id"]), "|").alias("unit_ids"), "evidence_summary")
 
 
-_KINDS = ", ".join(f"('{name}', '{t}')" for name, types, _ in L.RELATION_CHAINS for t in types)
+_KINDS = ", ".join(f"('{name}', '{t}', {base})" for name, types, base in L.RELATION_CHAINS for t in types)
 _SEQUENCES = ORACLES["sequence_chains"].partition("w AS (")[2].partition("SELECT DISTINCT")[0]
 _CHAINS = _RELATIONS + f""",
-ends AS (SELECT document_id, relation_id, relation_type, source_unit_id AS s, target_unit_id AS t, confidence, unnest([target_unit_id, source_unit_id]) AS anchor FROM rel),
-kinds AS (SELECT * FROM (VALUES {_KINDS}) AS v(chain_type, relation_type)),
+ends AS (SELECT document_id, relation_id, relation_type, source_unit_id AS s, target_unit_id AS t, confidence, needs_review, unnest([target_unit_id, source_unit_id]) AS anchor FROM rel),
+kinds AS (SELECT * FROM (VALUES {_KINDS}) AS v(chain_type, relation_type, base)),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY document_id, anchor, chain_type ORDER BY confidence DESC, relation_id DESC) AS place FROM ends JOIN kinds USING (relation_type)),
 around AS (
   SELECT document_id, anchor, chain_type, string_agg(relation_id, '|' ORDER BY relation_id) AS relation_ids, string_agg(relation_type || ':' || s || '->' || t, '; ' ORDER BY relation_id) AS evidence_summary,
-    list_distinct(flatten(list([s, t]))) AS ids FROM ranked WHERE place <= 5 GROUP BY ALL),
+    list_distinct(flatten(list([s, t]))) AS ids, (max(base)::DOUBLE + avg(confidence)) / 2 - CASE WHEN bool_or(needs_review) THEN 0.08::DOUBLE ELSE 0 END AS score FROM ranked WHERE place <= 5 GROUP BY ALL),
 members AS (
-  SELECT m.document_id, anchor, chain_type, relation_ids, evidence_summary, string_agg(eu.unit_id, '|' ORDER BY eu.sequence_index) AS unit_ids
+  SELECT m.document_id, anchor, chain_type, relation_ids, evidence_summary, score, count(*) AS n, string_agg(eu.unit_id, '|' ORDER BY eu.sequence_index) AS unit_ids
   FROM (SELECT *, unnest(ids) AS id FROM around) m JOIN eu ON eu.document_id = m.document_id AND eu.unit_id = m.id GROUP BY ALL HAVING count(*) > 1),
 w AS ({_SEQUENCES.rstrip()},
 chains AS (
-  SELECT DISTINCT document_id, chain_type, unit_ids, relation_ids, evidence_summary FROM members
-  UNION ALL SELECT DISTINCT document_id, 'claim_evidence_explanation_sequence', s1.u || '|' || s2.u || '|' || s3.u, '', 'A_N0{{0}} -> D_N0{{0}} -> Y_N0{{0}}' FROM c WHERE s3 IS NOT NULL AND s3.q - s2.q <= 2)"""
+  SELECT DISTINCT document_id, chain_type, unit_ids, relation_ids, evidence_summary, round(score, 4) AS score, round(score, 9) < 0.72 AS needs_review FROM members WHERE round(score, 4) >= 0.58
+  UNION ALL SELECT DISTINCT document_id, 'claim_evidence_explanation_sequence', s1.u || '|' || s2.u || '|' || s3.u, '', 'A_N0{{0}} -> D_N0{{0}} -> Y_N0{{0}}', 0.76, false FROM c WHERE s3 IS NOT NULL AND s3.q - s2.q <= 2)"""
 
 
 def _chains(spark, d):
     return C.detect_chains(X.event_units(spark, d), _relations(spark, d), "run_events")
 
 
-@query(_CHAINS + " SELECT 'chain_' || substr(sha256('run_events::' || chain_type || '::' || unit_ids || '::' || relation_ids), 1, 16) AS chain_id, document_id, chain_type, unit_ids, relation_ids, evidence_summary FROM chains")
+@query(_CHAINS + " SELECT 'chain_' || substr(sha256('run_events::' || chain_type || '::' || unit_ids || '::' || relation_ids), 1, 16) AS chain_id, document_id, chain_type, unit_ids, relation_ids, evidence_summary, CAST(score AS DOUBLE) AS score, needs_review FROM chains")
 def relation_chains(spark, d):
-    return _chains(spark, d).select("chain_id", "document_id", "chain_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("relation_ids", "|").alias("relation_ids"), "evidence_summary")
+    return _chains(spark, d).select("chain_id", "document_id", "chain_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("relation_ids", "|").alias("relation_ids"), "evidence_summary", "score", "needs_review")
 
 
 @query(_CHAINS + " SELECT chain_type, count(*) AS n FROM chains GROUP BY chain_type")
@@ -248,11 +261,25 @@ def chain_counts(spark, d):
     return C.chain_summary(_chains(spark, d)).select("chain_type", "n")
 
 
-@query()
+@query(_CHAINS + " SELECT chain_type, count(*) AS n, count(*) FILTER (needs_review) AS needs_review FROM chains GROUP BY chain_type")
 def chain_summary(spark, d):
     return C.chain_summary(_chains(spark, d))
 
 
+@query(_RELATIONS + """ SELECT document_id, count(*) AS unit_count, sum(length(text) + 1) - 1 AS char_count, coalesce(max(n), 0) AS relation_count, coalesce(max(r), 0) AS relation_needs_review_count
+FROM eu LEFT JOIN (SELECT document_id, count(*) AS n, count(*) FILTER (needs_review) AS r FROM rel GROUP BY 1) USING (document_id) GROUP BY document_id""")
+def document_rollups(spark, d):
+    own = U.document_rollups(X.event_units(spark, d), _relations(spark, d))
+    return own.select("document_id", "unit_count", "char_count", "relation_count", "relation_needs_review_count")
+
+
+@query(_RELATIONS + " SELECT relation_id, document_id, document_id % 2 = 0 AND relation_type = 'SUP' AS existing FROM rel WHERE document_id NOT IN (SELECT document_id FROM rel WHERE document_id % 2 = 0 AND relation_type = 'SUP') OR document_id % 2 = 0 AND relation_type = 'SUP'")
+def attach_relations(spark, d):
+    found = _relations(spark, d).select("relation_id", "document_id", "relation_type")
+    kept = found.where("document_id % 2 = 0 AND relation_type = 'SUP'").withColumn("existing", F.lit(True))
+    return R.attach_relations(kept, found.withColumn("existing", F.lit(False))).select("relation_id", "document_id", "existing")
+
+
 @query("""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(strip_accents(lower(text)), '[a-z0-9]+')) AS token FROM documents),
 n AS (SELECT doc_id, sha256(token) AS h, count(*) AS n FROM t GROUP BY ALL),
 s AS (SELECT doc_id, CAST(('0x' || substr(h, 1, 8))::BIGINT % 128 AS INTEGER) AS bucket, sum(CASE WHEN ('0x' || substr(h, 9, 2))::BIGINT % 2 = 0 THEN n ELSE -n END) AS s FROM n GROUP BY ALL)
@@ -262,7 +289,7 @@ def hash_embedding(spark, d):
 
 
 def _similar(spark, d):
-    return Y.similar_pairs(Y.normalise_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", "vec_id"), 0.3, L.SIMILARITY_TOP_K)
+    return Y.similar_pairs(Y.normalise_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", F.lit(0), F.col("vec_id")), 0.3, L.SIMILARITY_TOP_K)
 
 
 _SIMILAR = """WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
@@ -313,7 +340,7 @@ def label_distance(spark, d):
 # Gold is the validated unit; predictions carry other codes, miss every ninth unit and add every eleventh under another id.
 def _gold_and_predictions(spark, d):
     gold = Q.validate(X.labelled_units(spark, d))
-    k = F.col("document_id")
+    k = F.col("k")
     raw = X.labelled_units(spark, d).withColumn("functions", F.when(k % 4 == 0, strings("A", "X")).when(k % 4 == 1, F.array_union("functions", strings("D"))).otherwise(F.col("functions")))
     raw = raw.withColumn("unit_id", F.when(k % 11 == 0, F.concat(F.lit("extra"), k.cast("string"))).otherwise(F.col("unit_id")))
     return gold, Q.validate(raw.where(k % 9 != 0))
@@ -323,6 +350,10 @@ _PREDICTED = _VALID.replace("FROM labels JOIN documents USING (doc_id)", "FROM l
     "a AS (SELECT *, " + CODES + " AS f0 FROM lu)",
     "lup AS (SELECT * REPLACE (CASE WHEN k % 4 = 0 THEN ['A','X'] WHEN k % 4 = 1 THEN list_concat(functions, ['D']) ELSE functions END AS functions, CASE WHEN k % 11 = 0 THEN 'extra' || k ELSE unit_id END AS unit_id) FROM lu),\na AS (SELECT *, " + CODES + " AS f0 FROM lup)",
 )
+RATES = (
+    "functions_exact_match", "primary_function_accuracy", "multilabel_jaccard", "micro_f1", "emotion_expressed_accuracy", "emotion_intensity_mae", "stance_accuracy", "certainty_accuracy",
+    "overlabeling_rate", "n_rate", "validator_violation_rate", "needs_review_rate", "regression_pass_rate",
+)
 _BOTH = f"WITH gold AS ({_VALID} SELECT * FROM v), pred AS ({_PREDICTED} SELECT * FROM v)"
 _CELLS = """, side AS (
   SELECT unit_id, unnest(functions) AS label, 1 AS g, 0 AS p FROM gold UNION ALL SELECT unit_id, unnest(functions), 0, 1 FROM pred),
@@ -331,10 +362,14 @@ counts AS (
   SELECT label, count(*) FILTER (g = 1 AND p = 1) AS tp, count(*) FILTER (g = 0 AND p = 1 AND unit_id IN (SELECT unit_id FROM gold)) AS fp, count(*) FILTER (g = 1 AND p = 0) AS fn FROM cells GROUP BY label)"""
 
 
-@query(_BOTH + _CELLS + " SELECT label, tp, fp, fn FROM counts")
+# Ratios are rounded to 4 digits and F1 is taken from the rounded ones, as the figures of a report are; compared to 3 digits.
+_PRF = "CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 4) ELSE 0 END AS p, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 4) ELSE 0 END AS r"
+
+
+@query(_BOTH + _CELLS + f" SELECT label, tp, fp, fn, round(p, 3) AS precision, round(r, 3) AS recall, round(CASE WHEN p + r > 0 THEN round(2 * p * r / (p + r), 4) ELSE 0 END, 3) AS f1 FROM (SELECT *, {_PRF} FROM counts)")
 def eval_label_metrics(spark, d):
     gold, pred = _gold_and_predictions(spark, d)
-    return E.label_metrics(pred, gold).select("label", "tp", "fp", "fn")
+    return E.label_metrics(pred, gold).select("label", "tp", "fp", "fn", *[F.round(c, 3).alias(c) for c in ("precision", "recall", "f1")])
 
 
 @query(_BOTH + " SELECT g.primary_function AS gold_primary, p.primary_function AS predicted_primary, count(*) AS n FROM gold g JOIN pred p USING (unit_id) WHERE g.primary_function <> p.primary_function GROUP BY ALL")
@@ -349,14 +384,21 @@ def eval_missing_unexpected(spark, d):
     return E.missing_and_unexpected(pred, gold)
 
 
-@query(_BOTH + """, m AS (SELECT g.functions AS gf, p.functions AS pf, g.primary_function = p.primary_function AS same, g.final_notation = p.final_notation AND NOT p.needs_review AS reg FROM gold g JOIN pred p USING (unit_id))
+@query(_BOTH + """, m AS (
+  SELECT g.functions AS gf, p.functions AS pf, g.primary_function = p.primary_function AS same, g.final_notation = p.final_notation AND NOT p.needs_review AS reg, g.emotion_expressed = p.emotion_expressed AS emo,
+    g.stance = p.stance AS st, g.certainty = p.certainty AS cert, abs(g.emotion_intensity - p.emotion_intensity) AS err FROM gold g JOIN pred p USING (unit_id)),
+sums AS (SELECT sum(len(list_intersect(gf, pf))) AS tp, sum(len(pf) - len(list_intersect(gf, pf))) AS fp, sum(len(gf) - len(list_intersect(gf, pf))) AS fn FROM m)
 SELECT (SELECT count(*) FROM gold) AS total_gold_units, (SELECT count(*) FROM pred) AS total_predicted_units, count(*) AS matched_units,
   round(count(*) FILTER (list_sort(gf) = list_sort(pf)) / count(*), 3) AS functions_exact_match, round(count(*) FILTER (same) / count(*), 3) AS primary_function_accuracy,
-  round(count(*) FILTER (reg) / count(*), 3) AS regression_pass_rate, round((SELECT count(*) FILTER (needs_review) / count(*) FROM pred), 3) AS needs_review_rate FROM m""")
+  round(count(*) FILTER (reg) / count(*), 3) AS regression_pass_rate, round((SELECT count(*) FILTER (needs_review) / count(*) FROM pred), 3) AS needs_review_rate,
+  round(avg(len(list_intersect(gf, pf)) / len(list_distinct(list_concat(gf, pf)))), 3) AS multilabel_jaccard, (SELECT round(2 * tp / (2 * tp + fp + fn), 3) FROM sums) AS micro_f1,
+  round(count(*) FILTER (emo) / count(*), 3) AS emotion_expressed_accuracy, round(sum(err) / count(*), 3) AS emotion_intensity_mae, round(count(*) FILTER (st) / count(*), 3) AS stance_accuracy, round(count(*) FILTER (cert) / count(*), 3) AS certainty_accuracy,
+  (SELECT count(*) FROM gold WHERE unit_id NOT IN (SELECT unit_id FROM pred)) AS missing_predictions, (SELECT count(*) FROM pred WHERE unit_id NOT IN (SELECT unit_id FROM gold)) AS unexpected_predictions,
+  (SELECT round(count(*) FILTER (len(functions) > 5) / count(*), 3) FROM pred) AS overlabeling_rate, (SELECT round(count(*) FILTER (list_contains(functions, 'N')) / count(*), 3) FROM pred) AS n_rate, (SELECT round(sum(len(flags)) / count(*), 3) FROM pred) AS validator_violation_rate FROM m""")
 def eval_run_metrics(spark, d):
     gold, pred = _gold_and_predictions(spark, d)
     m = E.run_metrics(pred, gold)
-    return m.select("total_gold_units", "total_predicted_units", "matched_units", *[F.round(c, 3).alias(c) for c in ("functions_exact_match", "primary_function_accuracy", "regression_pass_rate", "needs_review_rate")])
+    return m.select("total_gold_units", "total_predicted_units", "matched_units", "missing_predictions", "unexpected_predictions", *[F.round(c, 3).alias(c) for c in RATES])
 
 
 _REASONS = _VALID + """, r AS (SELECT *, list_filter([
@@ -384,6 +426,31 @@ def review_set(spark, d):
     return own.select("review_item_id", "item_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("reasons", ",").alias("reasons"), "difficulty", "goal")
 
 
+_WITH_CONFLICTS = _REASONS.replace("CASE WHEN len(list_filter(functions, lambda c: c NOT IN", "CASE WHEN k % 10 < 2 THEN 'similarity_conflict' END, CASE WHEN len(list_filter(functions, lambda c: c NOT IN", 1)
+_WITH_CONFLICTS = _WITH_CONFLICTS.replace("CASE WHEN list_contains(reasons, 'confusable_functions') THEN", "CASE WHEN list_contains(reasons, 'confusable_functions') OR list_contains(reasons, 'similarity_conflict') THEN")
+# Every tenth unit and the next id are a pair in conflict; only pairs of units that are there make an item.
+_WITH_CONFLICTS += """,
+named AS (SELECT unit_id, k, document_id, text FROM v),
+around AS (
+  SELECT unit_id, md5(array_to_string(list_filter([lag(text, 2) OVER w, lag(text) OVER w], lambda x: x IS NOT NULL), chr(10))) AS before, md5(array_to_string(list_filter([lead(text) OVER w, lead(text, 2) OVER w], lambda x: x IS NOT NULL), chr(10))) AS after
+  FROM named WINDOW w AS (PARTITION BY document_id ORDER BY k)),
+pairs AS (SELECT 'c' || a.k AS conflict_id, a.unit_id AS ua, b.unit_id AS ub FROM named a JOIN named b ON b.k = a.k + 1 WHERE a.k % 10 = 0)
+SELECT review_item_id, 'unit' AS item_type, unit_id AS unit_ids, array_to_string(reasons, ',') AS reasons, difficulty, goal, before, after FROM items JOIN around USING (unit_id)
+UNION ALL SELECT 'review_' || substr(sha256('similar_pair::' || conflict_id), 1, 16), 'similar_pair', ua || '|' || ub, 'similarity_conflict', 'hard', 'resolve_confusion', md5(''), md5('') FROM pairs
+UNION ALL SELECT 'review_' || substr(sha256('minimal_pair::m1'), 1, 16), 'minimal_pair', '', 'minimal_pair', 'hard', 'resolve_confusion', md5(''), md5('')"""
+
+
+@query(_WITH_CONFLICTS)
+def review_set_conflicts(spark, d):
+    units = Q.validate(X.labelled_units(spark, d))
+    k = F.col("k")
+    both = units.where(k % 10 < 2).select(F.concat(F.lit("c"), (k - k % 10).cast("string")).alias("conflict_id"), F.concat(F.lit("unit"), (k - k % 10).cast("string")).alias("unit_id_a"), F.concat(F.lit("unit"), (k - k % 10 + 1).cast("string")).alias("unit_id_b")).distinct()
+    minimal = spark.createDataFrame([("m1", "one", "two")], "pair_id string, text_a string, text_b string")
+    own = V.build_review_set(units, both, minimal)
+    lines = lambda c: F.md5(F.array_join(c, "\n"))
+    return own.select("review_item_id", "item_type", F.array_join("unit_ids", "|").alias("unit_ids"), F.array_join("reasons", ",").alias("reasons"), "difficulty", "goal", lines("context_before").alias("before"), lines("context_after").alias("after"))
+
+
 @query(_REASONS + " SELECT 'unit' AS item_type, difficulty, goal, count(*) AS n FROM items GROUP BY ALL")
 def review_manifest(spark, d):
     return V.review_manifest(V.build_review_set(Q.validate(X.labelled_units(spark, d))))
@@ -470,7 +537,7 @@ def reliability_metrics(spark, d):
 
 @query(_VALID + " SELECT k % 20 AS document_id, string_agg(final_notation, ' ' ORDER BY k) AS sequence FROM v GROUP BY 1")
 def dna_sequences(spark, d):
-    own = Q.validate(X.labelled_units(spark, d)).select((F.col("document_id") % 20).alias("document_id"), F.col("document_id").alias("sequence_index"), "final_notation")
+    own = Q.validate(X.labelled_units(spark, d)).select((F.col("k") % 20).alias("document_id"), F.col("k").alias("sequence_index"), "final_notation")
     return sinks.notation_sequences(own)
 
 
@@ -492,7 +559,10 @@ def stub_transport(request: str) -> str:
     return json.dumps({"functions": ["D" if any(c.isdigit() for c in text) else "A"], "confidence": 0.9})
 
 
-@query()
+@query(_rules_sql() + """, p AS (SELECT DISTINCT document_id, seq FROM hits WHERE code = 'P' AND s IS NOT NULL),
+u AS (SELECT pieces.*, row_number() OVER (PARTITION BY document_id ORDER BY seq DESC) AS back FROM pieces), z AS (SELECT DISTINCT document_id, seq FROM hits JOIN u USING (document_id, seq) WHERE code = 'Z' AND s IS NOT NULL AND back <= 3)
+SELECT u.lang, CASE WHEN p.seq IS NOT NULL THEN 'P' WHEN z.seq IS NOT NULL THEN 'Z' WHEN regexp_matches(u.text, '\\d') THEN 'D' ELSE 'A' END AS primary_function, 'llm' AS method, count(*) AS n
+FROM u LEFT JOIN p USING (document_id, seq) LEFT JOIN z USING (document_id, seq) GROUP BY ALL""")
 def llm_stub_classify(spark, d):
-    own = M.classify(H.annotate(X.units(spark, d)), stub_transport)
+    own = M.classify(H.annotate(X.units(spark, d), normalise=False), stub_transport)
     return own.groupBy("lang", "primary_function", "method").agg(F.count(F.lit(1)).alias("n"))

@@ -29,14 +29,17 @@ def chosen(**tests: Column) -> Column:
 
 
 def labelled_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One unit for each labelled document, its fields made from labels and id: wide coverage of codes, conflicts and repairs."""
+    """One unit for each labelled document, its fields made from labels and id: wide coverage of codes, conflicts and repairs.
+
+    The whole text is the unit's; eight ids in a row are one document, so units have neighbours.
+    """
     d, k = table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id"), F.col("doc_id")
     functions = chosen(
         K=F.col("quality") == 1, A=k % 3 == 0, X=F.col("toxic") == 1, D=k % 5 == 0, R=k % 7 == 0, N=k % 2 == 0, V=F.col("lang") == "es", M=k % 4 == 1, Z=(k % 6 == 0) & (F.col("lang") != "en")
     )
     pick = lambda m, *v: F.get(strings(*v), (k % m).cast("int"))
     return d.select(
-        k.alias("document_id"), F.lit(0).alias("sequence_index"), F.concat(F.lit("unit"), k.cast("string")).alias("unit_id"), F.substring("text", 1, 60).alias("text"), F.substring("text", 1, 60).alias("normalized_text"),
+        k.alias("k"), F.floor(k / 8).alias("document_id"), (k % 8).cast("int").alias("sequence_index"), F.concat(F.lit("unit"), k.cast("string")).alias("unit_id"), "text", F.col("text").alias("normalized_text"),
         F.when(F.size(functions) > 0, functions).otherwise(strings("N")).alias("functions"),
         pick(3, "A", "X", "N").alias("primary_function"), strings("D", "A").alias("secondary_functions"), pick(4, "none", "strong", "tentative", "uncertain").alias("certainty"),
         pick(3, "N", "A", "M").alias("emotion_expressed"), (k % 4).cast("int").alias("emotion_intensity"), F.when(k % 3 == 1, strings("A")).otherwise(strings()).alias("emotions_mentioned"),
@@ -46,13 +49,13 @@ def labelled_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LABELLED_SQL = """
 lu0 AS (
-  SELECT doc_id AS k, substr(text, 1, 60) AS text, list_filter([
+  SELECT doc_id AS k, text, list_filter([
     CASE WHEN quality = 1 THEN 'K' END, CASE WHEN doc_id % 3 = 0 THEN 'A' END, CASE WHEN toxic = 1 THEN 'X' END, CASE WHEN doc_id % 5 = 0 THEN 'D' END,
     CASE WHEN doc_id % 7 = 0 THEN 'R' END, CASE WHEN doc_id % 2 = 0 THEN 'N' END, CASE WHEN lang = 'es' THEN 'V' END, CASE WHEN doc_id % 4 = 1 THEN 'M' END,
     CASE WHEN doc_id % 6 = 0 AND lang <> 'en' THEN 'Z' END], lambda x: x IS NOT NULL) AS f
   FROM labels JOIN documents USING (doc_id)),
 lu AS (
-  SELECT k, 'unit' || k AS unit_id, text, CASE WHEN len(f) = 0 THEN ['N'] ELSE f END AS functions, ['A', 'X', 'N'][k % 3 + 1] AS primary_function,
+  SELECT k, k // 8 AS document_id, 'unit' || k AS unit_id, text, CASE WHEN len(f) = 0 THEN ['N'] ELSE f END AS functions, ['A', 'X', 'N'][k % 3 + 1] AS primary_function,
     ['none', 'strong', 'tentative', 'uncertain'][k % 4 + 1] AS certainty, ['N', 'A', 'M'][k % 3 + 1] AS emotion_expressed, k % 4 AS emotion_intensity,
     CASE WHEN k % 3 = 1 THEN ['A'] ELSE CAST([] AS VARCHAR[]) END AS emotions_mentioned, ['positive', 'negative', 'mixed', 'neutral'][k % 4 + 1] AS stance, 0.5 + (k % 50) / 100 AS confidence
   FROM lu0)"""

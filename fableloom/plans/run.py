@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..operators import chains, evaluate, heuristics, model_calls, relations, review, segment, similarity, validate
+from ..operators import chains, evaluate, heuristics, model_calls, relations, review, rollups, segment, similarity, validate
 from ..sources import sinks
 
 
@@ -18,37 +18,50 @@ def make_run_id(now: datetime | None = None) -> str:
     return (now or datetime.now(timezone.utc)).strftime("run_%Y%m%dT%H%M%SZ")
 
 
-def run_corpus(docs: DataFrame, run_dir: str, run_id: str, transport: Callable[[str], str] | None = None, with_similarity: bool = False, limit: int | None = None) -> dict[str, DataFrame]:
-    """Units, relations, chains and, where asked for, similarity conflicts of docs(document_id, text), written under run_dir.
+def run_corpus(docs: DataFrame, run_dir: str, run_id: str, transport: Callable[[str], str] | None = None, with_similarity: bool = False, limit: int | None = None, segments: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Units, relations, chains, sums of documents and, where asked for, similarity conflicts of docs(document_id, text), written under run_dir.
 
-    Without a model, units keep the default label and are not validated. limit
-    takes the first documents by id.
+    segments(document_id, segment_index, text, start_ms, end_ms): documents that
+    have some are cut along them. Without a model, units keep the default label and
+    are not validated; with one, each unit is asked about once, its answer is kept
+    in the run's llm_cache, and what is classified is written before the doubtful
+    units are asked about again. limit takes the first documents by id.
     """
     spark = docs.sparkSession
     if limit is not None:
         docs = docs.orderBy("document_id").limit(limit)
-    units = segment.with_defaults(heuristics.annotate(segment.segment_texts(docs)))
-    if transport is not None:
-        units = validate.validate(model_calls.classify(units, transport))
-        units = model_calls.adjudicate(review.adjudication_reasons(units), transport)
-        units = validate.validate(units.drop("risks"))
     sinks.write_table(docs, run_dir, "documents")
+    docs = sinks.read_table(spark, run_dir, "documents")
+    if segments is None:
+        units = segment.segment_texts(docs)
+    else:
+        own = segments.join(docs.select("document_id"), "document_id", "left_semi")
+        rest = docs.join(segments.select("document_id").distinct(), "document_id", "left_anti")
+        units = segment.segment_texts(rest).unionByName(segment.segment_timed(own), allowMissingColumns=True).withColumn("approximate_timing", F.coalesce("approximate_timing", F.lit(False)))
+    units = segment.with_defaults(heuristics.annotate(units, normalise=False))
+    if transport is not None:
+        store = f"{run_dir}/llm_cache"
+        sinks.write_table(validate.validate(model_calls.classify(units, transport, store=store)), run_dir, "classified")
+        classified = review.adjudication_reasons(sinks.read_table(spark, run_dir, "classified"))
+        units = validate.validate(model_calls.adjudicate(classified, transport, store=store).drop("risks"))
     sinks.write_table(units, run_dir, "units")
     out = detect_for_run(spark, run_dir, run_id)
     if with_similarity:
         out["similarity_conflicts"] = audit_run(spark, run_dir, run_id)
-    manifest = spark.createDataFrame([(run_id, datetime.now(timezone.utc), L.VERSION, json.dumps({"model": transport is not None, "similarity": with_similarity, "limit": limit}))], "run_id string, created_at_utc timestamp, version string, options string")
+    manifest = spark.createDataFrame([(run_id, datetime.now(timezone.utc), L.VERSION, L.VERSION, L.VERSION, json.dumps({"model": transport is not None, "similarity": with_similarity, "limit": limit}))], "run_id string, created_at_utc timestamp, taxonomy_version string, prompt_version string, validator_version string, options string")
     sinks.write_table(manifest, run_dir, "manifest")
-    return {"documents": sinks.read_table(spark, run_dir, "documents"), "units": sinks.read_table(spark, run_dir, "units"), "manifest": manifest, **out}
+    return {"documents": docs, "units": sinks.read_table(spark, run_dir, "units"), "manifest": manifest, **out}
 
 
 def detect_for_run(spark: SparkSession, run_dir: str, run_id: str) -> dict[str, DataFrame]:
-    """Relations, then chains, of a run's units."""
+    """Relations, then chains, of a run's units, and sums of them for each document."""
     units = sinks.read_table(spark, run_dir, "units")
     sinks.write_table(relations.detect_relations(units, run_id), run_dir, "relations")
     found = sinks.read_table(spark, run_dir, "relations")
     sinks.write_table(chains.detect_chains(units, found, run_id), run_dir, "chains")
-    return {"relations": found, "chains": sinks.read_table(spark, run_dir, "chains")}
+    chained = sinks.read_table(spark, run_dir, "chains")
+    sinks.write_table(rollups.document_rollups(units, found, chained), run_dir, "document_rollups")
+    return {"relations": found, "chains": chained, "document_rollups": sinks.read_table(spark, run_dir, "document_rollups")}
 
 
 def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K) -> DataFrame:
@@ -58,9 +71,9 @@ def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float =
     sparse = similarity.hash_embedding(texts, "unit_id", "context")
     cells = F.map_from_entries(F.collect_list(F.struct("bucket", "weight")))
     dense = sparse.groupBy("unit_id").agg(cells.alias("m")).select("unit_id", F.transform(F.sequence(F.lit(0), F.lit(L.EMBEDDING_SIZE - 1)), lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0.0))).alias("v"))
-    placed = dense.join(units.select("unit_id", F.xxhash64("document_id", "sequence_index").alias("pos")), "unit_id")
-    near = units.select(F.col("unit_id").alias("i"), F.explode(F.array_compact(F.array("previous_unit_id", "next_unit_id"))).alias("j"))
-    pairs = similarity.similar_pairs(similarity.normalise_vectors(placed, "unit_id", "v", "pos"), threshold, top_k, near)
+    placed = dense.join(units.select("unit_id", "document_id", "sequence_index"), "unit_id")
+    vectors = similarity.normalise_vectors(placed, "unit_id", "v", F.col("document_id"), F.col("sequence_index"))
+    pairs = similarity.similar_pairs(vectors, threshold, top_k, skip_neighbours=True)
     sinks.write_table(similarity.conflicts(pairs, units, run_id), run_dir, "similarity_conflicts")
     return sinks.read_table(spark, run_dir, "similarity_conflicts")
 
@@ -72,20 +85,40 @@ def review_run(spark: SparkSession, run_dir: str) -> DataFrame:
     """The review set of a run."""
     units = sinks.read_table(spark, run_dir, "units")
     if "validator_flags" not in units.columns:
-        units = units.withColumn("validator_flags", F.array().cast("array<struct<rule_id:string,severity:string,field:string>>"))
+        units = units.withColumn("validator_flags", F.array().cast(segment.FLAGS))
     sinks.write_table(review.build_review_set(units, sinks.read_table(spark, run_dir, "similarity_conflicts", CONFLICT)), run_dir, "review_items")
     return sinks.read_table(spark, run_dir, "review_items")
 
 
-def committee_run(spark: SparkSession, run_dir: str, reviewers: DataFrame, transport: Callable[[str], str]) -> dict[str, DataFrame]:
-    """Votes, committee decisions and conservative finals on a run's review items."""
-    items = sinks.read_table(spark, run_dir, "review_items")
-    sinks.write_table(model_calls.review_by_committee(items, reviewers, transport), run_dir, "votes")
-    votes = sinks.read_table(spark, run_dir, "votes")
-    sinks.write_table(review.committee_vote(votes), run_dir, "aggregated")
-    aggregated = sinks.read_table(spark, run_dir, "aggregated")
-    sinks.write_table(review.fallback_finals(aggregated), run_dir, "finals")
-    return {"votes": votes, "aggregated": aggregated, "finals": sinks.read_table(spark, run_dir, "finals")}
+def committee_run(spark: SparkSession, run_dir: str, reviewers: DataFrame, transport: Callable[[str], str], run_id: str = "run_unknown", max_items: int | None = None) -> dict[str, DataFrame]:
+    """Votes, committee decisions, finals, candidates for gold and failures on a run's review items, the first max_items by id if given.
+
+    Reviewers, then an aggregator, then a final judge are asked, each once for an
+    item; where one has no usable answer, the rule stands that promotes nothing.
+    """
+    items, store = sinks.read_table(spark, run_dir, "review_items"), f"{run_dir}/llm_cache"
+    if max_items is not None:
+        items = items.orderBy("review_item_id").limit(max_items)
+
+    def kept(frame: DataFrame, name: str) -> DataFrame:
+        sinks.write_table(frame, run_dir, name)
+        return sinks.read_table(spark, run_dir, name)
+
+    votes, failed_votes = model_calls.review_by_committee(items, reviewers, transport, store=store)
+    votes = kept(votes, "votes")
+    aggregated, failed_sums = model_calls.aggregate_by_model(items, votes, review.committee_vote(votes), transport, store=store)
+    aggregated = kept(aggregated, "aggregated")
+    finals, failed_finals = model_calls.final_by_model(items, aggregated, review.fallback_finals(aggregated), transport, store=store)
+    finals = kept(finals, "finals")
+    units = sinks.read_table(spark, run_dir, "units").select("unit_id", "final_notation")
+    named = finals.join(items.select("review_item_id", F.get("unit_ids", F.lit(0)).alias("unit_id")), "review_item_id").join(units, "unit_id", "left")
+    return {
+        "votes": votes,
+        "aggregated": aggregated,
+        "finals": finals,
+        "gold_candidates": kept(review.gold_candidates(named, run_id), "gold_candidates"),
+        "failures": kept(failed_votes.unionByName(failed_sums).unionByName(failed_finals), "failures"),
+    }
 
 
 def evaluate_run(spark: SparkSession, run_dir: str, gold: DataFrame) -> dict[str, DataFrame]:
@@ -100,3 +133,12 @@ def evaluate_run(spark: SparkSession, run_dir: str, gold: DataFrame) -> dict[str
     for name, frame in found.items():
         sinks.write_table(frame, run_dir, name)
     return {name: sinks.read_table(spark, run_dir, name) for name in found}
+
+
+def reliability_run(spark: SparkSession, run_dir: str) -> DataFrame:
+    """One row of reliability metrics of a committee's run; candidates for gold are written by bucket beside it."""
+    votes, aggregated, finals, candidates = (sinks.read_table(spark, run_dir, n) for n in ("votes", "aggregated", "finals", "gold_candidates"))
+    n = sinks.read_table(spark, run_dir, "review_items").count()
+    sinks.write_table(review.reliability_metrics(votes, aggregated, finals, candidates, n), run_dir, "reliability")
+    review.gold_buckets(candidates).write.mode("overwrite").partitionBy("bucket").parquet(f"{run_dir}/gold_buckets")
+    return sinks.read_table(spark, run_dir, "reliability")

@@ -35,7 +35,7 @@ def stable_document_id(path: Column, text: Column) -> Column:
 
 def list_transcripts(spark: SparkSession, path: str) -> DataFrame:
     """path, parent, name and suffix of the transcript files that a folder walk takes."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.col("_metadata.file_path").alias("path"))
     files = files.withColumns({"name": F.element_at(F.split("path", "/"), -1), "parent": F.regexp_replace("path", "/[^/]*$", "")})
     files = files.withColumn("suffix", F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1))).where(F.col("suffix").isin(*SUFFIXES) & ~F.col("name").isin(*SIDECARS))
     rank = F.when(F.col("name").isin(*PREFERENCE), F.array_position(F.array(*[F.lit(p) for p in PREFERENCE]), F.col("name")))
@@ -75,6 +75,64 @@ def _times(c) -> dict[str, Column]:
     return {"start_ms": to_ms(c("start_ms"), c("start_seconds"), c("start")), "end_ms": to_ms(c("end_ms"), c("end_seconds"), c("end"))}
 
 
+def load_transcripts(spark: SparkSession, path: str, limit: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents (document_id, source_path, source_type, language, text, source_metadata, source_insights) and timed segments of a file or folder.
+
+    Text, JSON and JSONL files are read as list_transcripts picks them; a JSONL
+    file whose rows are segments is one document. Ids and languages come from the
+    record, else the metadata file beside it, else path and content. A JSON record
+    without text and segments fails when its row is read, as does a path of another kind
+    at once. limit: the first documents by path and id.
+    """
+    suffix = path.rstrip("/").rpartition("/")[2].rpartition(".")
+    if suffix[1] and suffix[2].isalnum() and suffix[2].lower() not in SUFFIXES:
+        raise ValueError(f"unsupported transcript format: {path}")
+    files = list_transcripts(spark, path).select(F.col("path").alias("source_path"))
+    reader = lambda kind: spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", f"*.[{kind[0]}{kind[0].upper()}]{kind[1:]}")
+    at = F.col("_metadata.file_path").alias("source_path")
+    texts = reader("txt").text(path, wholetext=True).select(at, F.col("value").alias("text")).join(files, "source_path", "left_semi")
+    objects = reader("json").schema(RECORD).option("multiLine", True).option("mode", "FAILFAST").json(path).select("*", at).join(files, "source_path", "left_semi")
+    lines = reader("jsonl").schema(RECORD).option("mode", "FAILFAST").json(path).select("*", at, F.monotonically_increasing_id().alias("line")).join(files, "source_path", "left_semi")
+    timed = is_segment_file(lines)
+    rows = lines.join(timed, "source_path", "left_semi")
+    plain = lines.join(timed, "source_path", "left_anti").drop("line")
+    beside = lambda d: with_sidecars(d, spark, path)
+    records = beside(objects.withColumn("source_type", F.lit("json")).unionByName(plain.withColumn("source_type", F.lit("jsonl"))))
+    missing = F.coalesce(_present(F.col("transcript"), F.col("text")), F.lit("")).eqNullSafe("") & (F.coalesce(F.size("segments"), F.lit(0)) <= 0) & (F.col("source_type") == "json")
+    records = records.withColumn("text", F.when(missing, F.raise_error(F.concat(F.lit("a JSON transcript needs text or segments: "), "source_path")).cast("string")).otherwise(F.col("text")))
+    records = records.withColumn("document_id", _present(F.col("document_id"), F.col("video_id"), F.col("id"), _metadata_id())).withColumn("language", _present(F.col("language"), _metadata("language")))
+    docs, segments = documents_and_segments(records)
+    extra = ("source_type", "source_metadata", "source_insights")
+    whole = texts.withColumns({"source_type": F.lit("txt"), "document_id": F.lit(None).cast("string"), "language": F.lit(None).cast("string")})
+    whole = beside(whole).withColumn("document_id", _present(_metadata_id(), stable_document_id(F.col("source_path"), normalized(F.col("text"))))).withColumn("language", F.coalesce(_metadata("language"), F.lit("und")))
+    parts = beside(rows.groupBy("source_path").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("segment_index", "line").alias("at"), "text"))).alias("parts"), F.first(F.coalesce("document_id", "video_id"), True).alias("document_id"), F.first("language", True).alias("language")))
+    name = _present(F.col("document_id"), _metadata_id(), stable_document_id(F.col("source_path"), F.lit("")))
+    parts = parts.select(name.alias("document_id"), "source_path", F.coalesce("language", _metadata("language"), F.lit("und")).alias("language"), F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"), F.lit("jsonl").alias("source_type"), *extra[1:])
+    docs = docs.unionByName(whole.select(*docs.columns)).unionByName(parts.select(*docs.columns))
+    cut = segment_rows(rows).drop("document_id").join(parts.select("source_path", "document_id"), "source_path")
+    segments = segments.unionByName(cut.select(*segments.columns))
+    if limit is not None:
+        docs = docs.orderBy("source_path", "document_id").limit(limit)
+        segments = segments.join(docs.select("document_id"), "document_id", "left_semi")
+    return docs, segments
+
+
+def load_transcript(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """As load_transcripts for exactly one document; fails for none or several."""
+    docs, segments = load_transcripts(spark, path)
+    if (n := docs.limit(2).count()) != 1:
+        raise ValueError(f"{path} holds {'no document' if n == 0 else 'more than one document'}")
+    return docs, segments
+
+
+def _metadata(field: str) -> Column:
+    return F.get_json_object("source_metadata", f"$.{field}")
+
+
+def _metadata_id() -> Column:
+    return _present(*[_metadata(n) for n in ("document_id", "video_id", "id")])
+
+
 def documents_and_segments(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents (document_id, source_path, language, text) and timed segments of JSON objects (one document a row).
 
@@ -84,7 +142,8 @@ def documents_and_segments(records: DataFrame) -> tuple[DataFrame, DataFrame]:
     joined = F.array_join(F.transform(F.coalesce("segments", F.array().cast(T.ArrayType(SEGMENT))), lambda s: s["text"]), " ")
     own = own.withColumn("_text", F.coalesce("_text", joined, F.lit("")))
     own = own.withColumn("document_id", _present(F.col("document_id"), F.col("video_id"), F.col("id"), stable_document_id(F.col("source_path"), F.col("_text"))))
-    docs = own.select("document_id", "source_path", F.coalesce("language", F.lit("und")).alias("language"), F.col("_text").alias("text"))
+    more = [c for c in ("source_type", *SIDECARS.values()) if c in own.columns]
+    docs = own.select("document_id", "source_path", F.coalesce("language", F.lit("und")).alias("language"), F.col("_text").alias("text"), *more)
     cut = own.select("document_id", F.posexplode("segments").alias("segment_index", "s")).where("trim(coalesce(s.text, '')) <> ''")
     return docs, cut.select("document_id", "segment_index", F.col("s.text").alias("text"), *[v.alias(k) for k, v in _times(lambda n: F.col(f"s.{n}")).items()])
 
@@ -92,7 +151,7 @@ def documents_and_segments(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 def segment_rows(rows: DataFrame) -> DataFrame:
     """Timed segments of JSONL segment files, one document a file, by segment_index or else line order."""
     name = _present(F.first("document_id", True).over(Window.partitionBy("source_path")), F.first("video_id", True).over(Window.partitionBy("source_path")), stable_document_id(F.col("source_path"), F.lit("")))
-    return rows.where("trim(coalesce(text, '')) <> ''").select(name.alias("document_id"), F.coalesce("segment_index", "line").alias("segment_index"), "text", *[v.alias(k) for k, v in _times(F.col).items()])
+    return rows.where("trim(coalesce(text, '')) <> ''").select("source_path", name.alias("document_id"), F.coalesce("segment_index", "line").alias("segment_index"), "text", *[v.alias(k) for k, v in _times(F.col).items()])
 
 
 def text_document(spark: SparkSession, text: str, document_id: str = "document", language: str | None = None) -> DataFrame:

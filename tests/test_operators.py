@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from fableloom.operators import chains, evaluate, heuristics, model_calls, relations, review, segment, similarity, validate
+from fableloom.operators import chains, evaluate, heuristics, model_calls, relations, review, rollups, segment, similarity, validate
 
 UNIT = "document_id string, unit_id string, sequence_index int, text string, normalized_text string, functions array<string>, final_notation string"
 
@@ -120,7 +120,7 @@ def test_sequence_matching_against_brute_force(spark):
 
 def test_similarity(spark):
     vectors = spark.createDataFrame([(1, [1.0, 0.0]), (2, [0.9, 0.1]), (3, [0.0, 1.0]), (4, [0.0, 0.0])], "id long, v array<double>")
-    pairs = similarity.similar_pairs(similarity.normalise_vectors(vectors, "id", "v", "id"), 0.8, 1).collect()
+    pairs = similarity.similar_pairs(similarity.normalise_vectors(vectors, "id", "v", F.lit(0), F.col("id")), 0.8, 1).collect()
     assert [(p.i, p.j) for p in pairs] == [(1, 2)]
     a = labelled(spark, unit_id="a", document_id="a", functions=["A"], primary_function="A")
     b = labelled(spark, unit_id="b", document_id="b", functions=["K"], primary_function="K")
@@ -130,6 +130,70 @@ def test_similarity(spark):
     assert similarity.conflicts(spark.createDataFrame([("a", "b", 0.95)], "i string, j string, similarity double"), a.union(v)).first().conflict_explanation_type == "allowed_by_taxonomy"
 
 
+@pytest.mark.parametrize("block", [7, 64])
+def test_nearest_against_all_pairs(spark, block):
+    import numpy as np
+
+    r = np.random.default_rng(block)
+    v = np.round(r.normal(size=(60, 3)), 0)
+    v[v.any(1) == 0] = 1
+    rows = [(f"i{k}", f"d{k // 9}", k % 9, x.tolist()) for k, x in enumerate(v)]
+    frame = spark.createDataFrame(rows, "id string, doc string, seq long, v array<double>")
+    vectors = similarity.normalise_vectors(frame, "id", "v", F.col("doc"), F.col("seq"))
+    found = {(p.i, p.j) for p in similarity.similar_pairs(vectors, 0.5, 3, block, skip_neighbours=True).collect()}
+    u = v / np.linalg.norm(v, axis=1, keepdims=True)
+    wanted = set()
+    for a, (i, di, si, _) in enumerate(rows):
+        near = [(-round(float(u[a] @ u[b]), 12), dj, sj, j) for b, (j, dj, sj, _) in enumerate(rows) if a != b and u[a] @ u[b] >= 0.5 - 1e-12 and not (di == dj and abs(si - sj) == 1)]
+        wanted |= {(i, j) for _, dj, sj, j in sorted(near)[:3] if (di, si) < (dj, sj)}
+    assert found == wanted
+
+
+def test_ten_thousand_equal_units(spark):
+    frame = spark.range(10_000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
+    vectors = similarity.normalise_vectors(frame, "id", "v", F.lit(0), F.col("id"))
+    assert similarity.similar_pairs(vectors, 0.8, 10).count() == sum(range(1, 11))  # only the first rows are near to later ones
+
+
+def test_rollups_and_attached_relations(spark):
+    own = units(spark, ("P", "¿Qué?"), ("R", "Es esto"), ("K", "Afirmo"), ("D", "20 %"))
+    found = relations.detect_relations(own, "r")
+    assert all(r.evidence_spans[0]["source"] == f"relation_detector:{r.rule_id}" and r.method == "heuristic" and bool(r.validator_flags) == r.needs_review for r in found.collect())
+    row = rollups.document_rollups(own, found, chains.detect_chains(own, found)).first()
+    assert (row.unit_count, row.char_count, row.has_timestamps, row.relation_count) == (4, 25, False, found.count())
+    earlier = found.limit(1)
+    assert relations.attach_relations(earlier, found).count() == 1
+    other = relations.detect_relations(units(spark, ("P", "¿Qué?"), ("R", "Es esto"), document="e"))
+    assert relations.attach_relations(earlier, found.unionByName(other)).count() == 1 + other.count()
+
+
+def test_long_document_offsets(spark):
+    text = " ".join(f"Frase número {i}." for i in range(3000))
+    found = segment.segment_texts(spark.createDataFrame([("a", text)], "document_id string, text string"))
+    rows = found.orderBy("sequence_index").collect()
+    assert len(rows) == 3000 and all(text[r.char_start : r.char_end] == r.text and r.unit_count == 3000 for r in rows)
+    assert all(a.next_unit_id == b.unit_id and b.previous_unit_id == a.unit_id for a, b in zip(rows, rows[1:]))
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adjudication_settles_flags(spark):
+    own = validate.validate(labelled(spark, functions=["D"], primary_function="D", review_reasons=[])).withColumn("risks", F.array(F.lit("D_without_evidence")))
+    own = own.withColumns({"method": F.lit("llm")})
+    good = model_calls.adjudicate(own, lambda r: '{"functions": ["A"], "primary_function": "A"}').first()
+    assert good.functions == ["A"] and [f["rule_id"] for f in good.validator_flags] == ["adjudication_applied"] and good.validator_flags[0]["message"]
+    bad = model_calls.adjudicate(own, lambda r: "none").first()
+    assert bad.functions == ["D"] and bad.needs_review and bad.review_reasons[-1] == "adjudication_failed" and [f["rule_id"] for f in bad.validator_flags] == ["D_without_evidence", "adjudication_failed"]
+    grown = model_calls.adjudicate(own, lambda r: '{"functions": ["A", "D"]}').first()
+    assert grown.functions == ["D"]  # no more functions without evidence
+
+
+def test_spans_are_merged(spark):
+    kind = "array<struct<text:string,char_start:int,char_end:int,source:string>>"
+    own = spark.createDataFrame([([("a", 0, 1, "x"), ("b", 1, 2, "x")], [("a", 0, 1, "x"), ("a", 0, 1, "y")], None)], f"s {kind}, t {kind}, n {kind}")
+    row = own.select(model_calls.merge_spans(F.col("s"), F.col("t")).alias("m"), model_calls.merge_spans(F.col("n"), F.col("t")).alias("k"), model_calls.merge_spans(F.col("n"), F.col("n")).alias("e")).first()
+    assert [(x["text"], x["source"]) for x in row.m] == [("a", "x"), ("b", "x"), ("a", "y")] and len(row.k) == 2 and row.e == []
+
+
 def test_evaluate(spark):
     gold = validate.validate(labelled(spark, unit_id="1").union(labelled(spark, unit_id="2", functions=["K"], primary_function="K")))
     pred = validate.validate(labelled(spark, unit_id="1").union(labelled(spark, unit_id="2", functions=["X"], primary_function="X")).union(labelled(spark, unit_id="9")))
@@ -150,6 +214,10 @@ def test_gold_is_checked(spark):
     with pytest.raises(Exception, match="not usable as gold"):
         evaluate.gold_units(own).collect()
     assert evaluate.gold_units(own.withColumn("gold_type", F.lit("human_gold"))).count() == 1
+    bare = labelled(spark)
+    assert evaluate.gold_units(bare.select(F.struct("*").alias("unit"))).columns == evaluate.gold_units(bare).columns == bare.columns
+    with pytest.raises(Exception, match="not usable as gold"):
+        evaluate.gold_units(bare.withColumn("status", F.lit("rejected"))).collect()
 
 
 def test_committee(spark):
@@ -192,6 +260,10 @@ def test_model_calls(spark, tmp_path):
     cache = spark.createDataFrame([(slow.cache_key, slow.response)], "cache_key string, response string")
     (hit,) = ask("slow", cache=cache).values()
     assert hit.ok and hit.attempts == 0 and log.read_text() == before
+    store = str(tmp_path / "answers")
+    assert {x.ok for x in ask("one", "bad", store=store).values()} == {True, False}
+    before = log.read_text()
+    assert {x.attempts for x in ask("one", "two", store=store).values()} == {0, 1} and len(log.read_text()) == len(before) + 1
 
 
 def test_classify_keeps_locks_and_falls_back(spark):

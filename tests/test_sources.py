@@ -1,6 +1,9 @@
 import json
 
+import pytest
+
 from fableloom.operators.segment import segment_texts, segment_timed
+from fableloom.plans import run
 from fableloom.sources import sinks, transcripts
 
 
@@ -31,6 +34,35 @@ def test_json_and_jsonl(spark, tmp_path):
     assert [(u.unit_id, u.start_ms, u.end_ms) for u in found] == [("v_u00000", 0, 1500), ("v_u00001", 1500, 20000000)]
 
 
+def test_load_transcripts(spark, tmp_path):
+    files = {
+        "a/transcript.txt": "Primera idea. Segunda idea?",
+        "a/transcript_metadata.json": json.dumps({"video_id": "vid", "language": "es"}),
+        "b/one.json": json.dumps({"document_id": "j", "segments": [{"start": 1, "end": 2.5, "text": "Hola."}], "language": "pt"}),
+        "c/many.jsonl": '{"document_id": "x", "transcript": "Uno. Dos."}\n{"document_id": "y", "transcript": "Tres."}\n',
+        "d/transcript_segments.jsonl": '{"video_id": "v", "start_seconds": 0, "end_seconds": 1.5, "text": "Uno."}\n{"video_id": "v", "start_seconds": 1.5, "end_seconds": 3, "text": "Dos."}\n',
+    }
+    for name, text in files.items():
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    docs, segments = transcripts.load_transcripts(spark, str(tmp_path))
+    assert sorted((d.document_id, d.source_type, d.language) for d in docs.collect()) == [("j", "json", "pt"), ("v", "jsonl", "und"), ("vid", "txt", "es"), ("x", "jsonl", "und"), ("y", "jsonl", "und")]
+    assert sorted((s.document_id, s.start_ms) for s in segments.collect()) == [("j", 1000), ("v", 0), ("v", 1500)]
+    out = run.run_corpus(docs, str(tmp_path / "out"), "run_s", segments=segments)
+    assert {(u.document_id, u.start_ms) for u in out["units"].collect()} == {("vid", None), ("x", None), ("y", None), ("j", 1000), ("v", 0), ("v", 1500)}
+    assert {(r.document_id, r.unit_count, r.has_timestamps) for r in out["document_rollups"].collect()} == {("vid", 2, False), ("x", 2, False), ("y", 1, False), ("j", 1, True), ("v", 2, True)}
+    assert [d.document_id for d in transcripts.load_transcripts(spark, str(tmp_path), 1)[0].collect()] == ["vid"]
+    assert transcripts.load_transcript(spark, str(tmp_path / "b" / "one.json"))[0].first().document_id == "j"
+    with pytest.raises(ValueError, match="more than one"):
+        transcripts.load_transcript(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="unsupported"):
+        transcripts.load_transcripts(spark, str(tmp_path / "x.pdf"))
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "none.json").write_text('{"document_id": "z"}')
+    with pytest.raises(Exception, match="needs text or segments"):
+        transcripts.load_transcripts(spark, str(tmp_path / "bad"))[0].collect()
+
+
 def test_text_and_sidecars(spark, tmp_path):
     (tmp_path / "transcript.txt").write_text("Primera idea. Segunda idea?")
     (tmp_path / "transcript_metadata.json").write_text('{"video_id": "q"}')
