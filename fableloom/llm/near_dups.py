@@ -12,8 +12,8 @@ that grow with the rows. Then all pairs that share a key of any band, are of
 compatible length and still of different classes are candidates. They are listed
 key by key where a key has few texts. The texts of larger keys (a passage that
 very many share) are cut finer without losing a similar pair: similar texts have
-so many bigrams of words in common that one must be among the rarest two fifths
-of either. Word counts rule out most candidates before their texts are read; the
+so many runs of three words in common that one must be among the rarest three
+fifths of either. Word counts rule out most candidates before their texts are read; the
 others are aligned word by word within a band around the diagonal, and the links
 make classes through connected components.
 """
@@ -35,8 +35,10 @@ K, BANDS, SIMILARITY = 5, 64, 0.8
 FIRST_BANDS, NEIGHBOURS = 16, 3
 #: Texts of a key whose pairs are listed; larger keys are cut finer, and what cannot be is compared in blocks of so many.
 GROUP = 64
-#: Bins of word counts, and of the bigram counts that go to all tasks (2 MB).
-BINS, COUNTERS = 1024, 1 << 18
+#: Words of the runs by which larger keys are cut, and bins of their counts that go to all tasks (2 MB).
+RUN, COUNTERS = 3, 1 << 18
+#: Bins of word counts, and the fewer that texts of up to SHORT words have.
+BINS, FEW_BINS, SHORT = 1024, 128, 200
 
 def words_of(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
@@ -258,25 +260,25 @@ def listed_pairs(groups: DataFrame, key: str, similarity: float) -> DataFrame:
     return x.join(y, key).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits).select("a", "b").distinct()
 
 
-def bigram_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Bigrams (hashes) of all texts end to end, the same labelled by occurrence, and each text's bigrams and words."""
+def run_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of RUN words (hashes) of all texts end to end, the same labelled by occurrence, and each text's runs and words."""
     words, sizes = hashed(texts)
-    labelled, counts = labelled_grams(words, sizes, 2)
+    labelled, counts = labelled_grams(words, sizes, RUN)
     starts = np.cumsum(sizes) - sizes
-    plain = gram_hashes(np.concatenate([words, np.zeros(2, np.uint64)]), 2)
+    plain = gram_hashes(np.concatenate([words, np.zeros(RUN, np.uint64)]), RUN)
     text = np.repeat(np.arange(len(sizes)), counts)
     return plain[np.arange(len(text)) - np.repeat(np.cumsum(counts) - counts, counts) + starts[text]], labelled, counts, sizes
 
 
-def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
-    """token, n and tid of the rarest bigrams of large(tid, n, text): any two similar texts have one of them in common.
+def rare_runs(large: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """token, n and tid of the rarest runs of words of large(tid, n, text): any two similar texts have one of them in common.
 
-    One edit takes two bigrams of a text away at most. So similar texts share all
-    but 2 * (1 - similarity) * n of the n words' bigrams of either, and of both in
-    any order of bigrams that is the same for all, the first so many and one more
+    One edit takes RUN runs of a text away at most. So similar texts share all
+    but RUN * (1 - similarity) * n of the n words' runs of either, and of both in
+    any order of runs that is the same for all, the first so many and one more
     have one in common. The order is by estimated frequency, so that a passage of
     all texts comes last; only sums in COUNTERS bins reach the driver and the tasks.
-    Bigrams that certainly no other text has are left out.
+    Runs that certainly no other text has are left out.
     """
     spark = large.sparkSession
 
@@ -284,7 +286,7 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
         sums = np.zeros(COUNTERS, np.int64)
         for b in batches:
             for start, end in by_size(list(b["text"])):
-                plain, _, _, _ = bigram_counts(list(b["text"].iloc[start:end]))
+                plain, _, _, _ = run_counts(list(b["text"].iloc[start:end]))
                 sums += np.bincount((plain % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
         found = np.flatnonzero(sums)
         yield pd.DataFrame({"bin": found, "n": sums[found]})
@@ -299,11 +301,11 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
         for b in batches:
             texts, out = list(b), []
             for start, end in by_size(texts):
-                plain, labelled, counts, sizes = bigram_counts(texts[start:end])
+                plain, labelled, counts, sizes = run_counts(texts[start:end])
                 often = sums[(plain % np.uint64(COUNTERS)).astype(np.int64)]
                 at = 0
                 for m, n in zip(counts.tolist(), sizes.tolist(), strict=True):
-                    order = np.lexsort((labelled[at : at + m], often[at : at + m]))[: int(2 * (1 - similarity) * n + 1e-9) + 1]
+                    order = np.lexsort((labelled[at : at + m], often[at : at + m]))[: int(RUN * (1 - similarity) * n + 1e-9) + 1]
                     out.append(labelled[at : at + m][order[often[at : at + m][order] > 1]].view(np.int64))
                     at += m
             yield pd.Series(out, dtype=object)
@@ -313,14 +315,19 @@ def rare_bigrams(large: DataFrame, similarity: float, scratch: Scratch) -> DataF
 
 
 def word_bags(texts: list[str | None]) -> tuple[np.ndarray, list[bytes]]:
-    """The number of words of each text, and how often each bin of hashed words occurs, up to 255."""
+    """The number of words of each text, and how often each bin of hashed words occurs, up to 255; short texts have fewer bins."""
     words, sizes = hashed(texts)
-    parts = np.split((words % np.uint64(BINS)).astype(np.int64), np.cumsum(sizes)[:-1])
-    return sizes, [np.minimum(np.bincount(p, minlength=BINS), 255).astype(np.uint8).tobytes() for p in parts]
+    parts = np.split(words, np.cumsum(sizes)[:-1])
+    bins = [FEW_BINS if len(p) <= SHORT else BINS for p in parts]
+    return sizes, [np.minimum(np.bincount((p % np.uint64(b)).astype(np.int64), minlength=b), 255).astype(np.uint8).tobytes() for p, b in zip(parts, bins, strict=True)]
 
 
-def _bags(xs) -> np.ndarray:
-    return np.frombuffer(b"".join(xs), np.uint8).reshape(-1, BINS).astype(np.int16)
+def _bags(xs, few: bool = False) -> np.ndarray:
+    """Rows of word counts; in few bins, if any has few. Bins are folded, which is exact for texts that may be similar to short ones."""
+    found = [np.frombuffer(x, np.uint8).astype(np.int16) for x in xs]
+    if few or any(len(x) == FEW_BINS for x in found):
+        found = [x if len(x) == FEW_BINS else x.reshape(-1, FEW_BINS).sum(0) for x in found]
+    return np.stack(found) if found else np.zeros((0, BINS), np.int16)
 
 
 def _may_be_similar(x: np.ndarray, y: np.ndarray, limit: np.ndarray) -> np.ndarray:
@@ -350,8 +357,12 @@ def sift(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratc
 
     def fits(n: pd.Series, m: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
         limit = ((1 - similarity) * np.maximum(n, m) + 1e-9).to_numpy().astype(np.int64)
-        parts = [_may_be_similar(_bags(x.iloc[i : i + 1000]), _bags(y.iloc[i : i + 1000]), limit[i : i + 1000]) for i in range(0, len(x), 1000)]
-        return pd.Series(np.concatenate([np.zeros(0, bool), *parts]))
+        out, few = np.zeros(len(x), bool), (x.str.len().eq(FEW_BINS) | y.str.len().eq(FEW_BINS)).to_numpy()
+        for own in (np.flatnonzero(few), np.flatnonzero(~few)):
+            for at in np.array_split(own, len(own) // 1000 + 1):
+                if len(at):
+                    out[at] = _may_be_similar(_bags(x.iloc[at], bool(few[at[0]])), _bags(y.iloc[at], bool(few[at[0]])), limit[at])
+        return pd.Series(out)
 
     side = lambda s: bags.select(F.col("tid").alias(s), F.col("n").alias(f"n{s}"), F.col("bag").alias(f"bag{s}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -369,12 +380,13 @@ def block_pairs(groups: DataFrame, key: str, rows: DataFrame, text: str, similar
         i, j = g["i"].iat[0], g["j"].iat[0]
         x, y = g[g["own"] == i], g[g["own"] == j]
         n, tid, c = (y[k].to_numpy(np.int64) for k in ("n", "tid", "c"))
-        bags, found = _bags(y["bag"]), [np.zeros((0, 2), np.int64)]
+        few = any(len(b) == FEW_BINS for b in g["bag"])
+        bags, found = _bags(y["bag"], few), [np.zeros((0, 2), np.int64)]
         for m, t, k, bag in zip(x["n"], x["tid"], x["c"], x["bag"], strict=True):
             longer = np.maximum(n, m)
             limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
             at = np.flatnonzero((c != k) & (longer - np.minimum(n, m) <= limit) & ((tid > t) if i == j else True))
-            at = at[_may_be_similar(bags[at], _bags([bag]), limit[at])]
+            at = at[_may_be_similar(bags[at], _bags([bag], few), limit[at])] if len(at) else at
             found.append(np.stack([np.minimum(tid[at], t), np.maximum(tid[at], t)], 1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
@@ -394,7 +406,7 @@ def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str
     if large.isEmpty():
         return sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
     read = scratch.write(texts_of(rows, large, text), "large")
-    finer = mixed_groups(rare_bigrams(read, similarity, scratch), "token", classes, scratch)
+    finer = mixed_groups(rare_runs(read, similarity, scratch), "token", classes, scratch)
     scratch.drop(read)
     pairs = pairs.unionByName(listed_pairs(finer.where(F.col("size") <= GROUP), "token", similarity)).distinct()
     found = sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
