@@ -5,9 +5,9 @@ import zlib
 import numpy as np
 import pytest
 
-from fableloom.llm import quality_crf
+from fableloom.llm import quality_crf, toxicity
 from fableloom.llm.quality_crf import OWN_FEATURES, LineField, chain_marginals, count_text, document_quality, fit_field, fit_quality, line_features, long_chain, own_features, score_quality
-from fableloom.llm.toxicity import fit_toxicity, ngram_ids, score_toxicity
+from fableloom.llm.toxicity import fit_toxicity, score_toxicity
 
 WORDS = "river stone house green field water light morning table window garden letter".split()
 
@@ -60,9 +60,53 @@ def test_repeated_ids_enter_the_fit_once(spark, docs, fit):
     assert np.allclose(one.weights, many.weights)
 
 
-def test_ngrams_cover_the_whole_text():
-    assert len(ngram_ids("abcdefgh")) == 6 + 5 + 4 + 3 and len(ngram_ids("ab")) == 0 and len(ngram_ids(None)) == 0
-    assert (ngram_ids("ABC") == ngram_ids("abc")).all()
+def test_ngrams_cover_the_whole_text(monkeypatch):
+    ids = lambda t: toxicity.ngram_ids(toxicity.characters(t))
+    assert len(ids("abcdefgh")) == 6 + 5 + 4 + 3 and len(ids("ab")) == 0 and len(ids(None)) == 0
+    assert (ids("ABC") == ids("abc")).all()
+    text = "some words of a text, ÄÖ " * 9
+    whole = [x.tolist() if hasattr(x, "tolist") else x for x in toxicity.ngram_counts(text)]
+    monkeypatch.setattr(toxicity, "PIECE", 7)
+    assert [x.tolist() if hasattr(x, "tolist") else x for x in toxicity.ngram_counts(text)] == whole
+
+
+def test_ratios_and_regression_against_plain_ones():
+    texts = ["good day to you", "a good green field", "you vile fool", "vile words, you fool"]
+    y = np.array([0, 0, 1, 1])
+    bags = [toxicity.ngram_counts(t) for t in texts]
+    sums = np.zeros((2, 1 << toxicity.BITS))
+    for (own, counts, total), k in zip(bags, y, strict=True):
+        for i, c in zip(own, counts, strict=True):
+            sums[k, i] += (1000 * c / total) ** 0.5
+    size = 1 << toxicity.BITS
+    ratios = toxicity.log_count_ratios(sums[0], sums[1], sums[0].sum(), sums[1].sum())
+    i = int(bags[2][0][0])
+    assert ratios[i] == pytest.approx(np.log((1 + sums[1, i]) / (sums[1].sum() + size) / ((1 + sums[0, i]) / (sums[0].sum() + size))), abs=1e-6)
+    held = sums.astype(bool).sum(0) + 0
+    assert (toxicity.chosen_ratios(np.array([2.0, -3.0, 0.1]), np.array([1, 4, 9])) == [0, -3.0, 0]).all()
+    assert (toxicity.chosen_ratios(np.array([2.0, -3.0]), np.array([1, 2])) == [0, -3.0]).all()
+    assert (toxicity.chosen_ratios(np.array([0.2, 0.0]), np.array([1, 2])) == [0.2, 0]).all() and held.any()
+    scale = np.where(ratios != 0, ratios, 0)
+    pairs = [(own.astype(np.int64), toxicity.weigh(counts, total)) for own, counts, total in bags]
+    weights, bias = toxicity.logistic(pairs, y.astype(float), scale, rounds=400)
+    # the fit is where the gradient of the penalised likelihood vanishes
+    used = np.unique(np.concatenate([o for o, _ in pairs]))
+    used = used[scale[used] != 0]
+    x = np.zeros((4, len(used)))
+    for r, (own, values) in enumerate(pairs):
+        inside = np.isin(own, used)
+        x[r, np.searchsorted(used, own[inside])] = values[inside] * scale[own[inside]]
+    w = weights[used] / scale[used]
+    p = 1 / (1 + np.exp(-(x @ w + bias)))
+    assert np.abs(x.T @ ((p - y) * 0.25) + 3e-3 * w).max() < 0.02 and ((p > 0.5) == y).all()
+
+
+def test_scarce_labels_do_not_flag_everything(spark, docs):
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5][:4]
+    labels = spark.createDataFrame([(k, 1, int(n == 0)) for n, k in enumerate(ids)], "doc_id long, quality int, toxic int")
+    own = docs(*["vilefool vilescum" if i == ids[0] else f"{WORDS[i % 12]} and {WORDS[i % 7]} stand there" for i in range(40)])
+    found = {r.doc_id: r for r in score_toxicity(own, labels).collect()}
+    assert found[ids[0]].predicted == 1 and sum(r.predicted for r in found.values()) < 10
 
 
 def test_marginals_against_all_labellings():
