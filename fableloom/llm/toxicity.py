@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -74,8 +75,12 @@ class ToxicityModel:
     weights: np.ndarray  # of each hashed n-gram, the log-count ratio included
     bias: float
 
+    @cached_property
+    def used(self) -> np.ndarray:
+        return self.weights != 0
+
     def score(self, text: str | None) -> float:
-        own, counts, total = ngram_counts(text, self.weights != 0)
+        own, counts, total = ngram_counts(text, self.used)
         z = float((self.weights[own] * weigh(counts, total)).sum()) + self.bias
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
