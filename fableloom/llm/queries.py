@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .decontamination import find_contamination
+from .exact_dedup import find_copies
+from .fill_middle import MIDDLE, PREFIX, REWRITTEN_PERCENT, SEED, SUFFIX, SUFFIX_FIRST_PERCENT, UNIT, fill_middle, restored
+from .filter_audit import FILTERS, MARK, MAX_CAPITAL_PERCENT, MIN_DISTINCT_PERCENT, MIN_WORDS, ORDERS, WORD, audit_filters
 from .html_extract import extract_pages
 from .licences import IN_PLACE, TEMPLATES, THRESHOLD, scan_licences
 from .near_dups import find_near_duplicates
@@ -121,6 +125,68 @@ parts AS (
 SELECT page_id, host, path, CASE {name} END AS rule, CASE {verdict} WHEN {listed} THEN 'block' ELSE 'allow' END AS verdict FROM parts"""
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_copies(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _op12_sql() -> str:
+    steps = ", ".join(f"('{o}', {k + 1}, {1 << FILTERS.index(f)}, {sum(1 << FILTERS.index(x) for x in o[:k])})" for o in ORDERS for k, f in enumerate(o))
+    return f"""
+WITH marks AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w,
+    coalesce(doc_id > min(doc_id) OVER (PARTITION BY coalesce(text, '')), false) AS again FROM documents),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < {MIN_WORDS} THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < {MIN_DISTINCT_PERCENT} * len(w) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {MAX_CAPITAL_PERCENT} * length(t) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(t, '{MARK}') THEN 8 ELSE 0 END + CASE WHEN again THEN 16 ELSE 0 END AS mask
+  FROM texts LEFT JOIN marks USING (doc_id)),
+cells AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+steps(filter_order, step, b, pre) AS (VALUES {steps})
+SELECT part, filter_order, CAST(step AS INTEGER) AS step,
+  CAST(coalesce(sum(n) FILTER (mask & (pre | b) = 0), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (mask & b > 0 AND mask & pre = 0), 0) AS BIGINT) AS removed,
+  CAST(coalesce(sum(n) FILTER (mask & b > 0 AND mask & pre > 0), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (mask = b), 0) AS BIGINT) AS unique_fails,
+  CAST(coalesce(sum(good) FILTER (mask & b > 0 AND mask & pre = 0), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(toxic) FILTER (mask & b > 0 AND mask & pre = 0), 0) AS BIGINT) AS toxic_lost,
+  CAST(coalesce(sum(n * (120 // greatest(bit_count(mask), 1))) FILTER (mask & b > 0), 0) AS BIGINT) AS shapley
+FROM cells CROSS JOIN steps GROUP BY part, filter_order, step"""
+
+
+def op13_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_middle(table(spark, sf_dir, "documents"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"), F.sha2(restored(F.col("form"), F.col("output")), 256).alias("restored_sha256"))
+
+
+def _op13_sql() -> str:
+    draw = lambda k: f"CAST('0x' || substr(digest, {8 * k - 7}, 8) AS BIGINT)"
+    marked = " OR ".join(f"contains(t, '{m}')" for m in (PREFIX, SUFFIX, MIDDLE))
+    return f"""
+WITH texts AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{UNIT}') AS u, sha256('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS digest FROM documents),
+formed AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, {draw(1)} % (len(u) + 1) AS a, {draw(2)} % (len(u) + 1) AS b,
+    CASE WHEN t = '' OR {marked} OR {draw(3)} % 100 >= {REWRITTEN_PERCENT} THEN 'plain' WHEN {draw(4)} % 100 < {SUFFIX_FIRST_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM texts),
+cut AS (
+  SELECT doc_id, t, n, form, array_to_string(u[1 : least(a, b)], '') AS p, array_to_string(u[least(a, b) + 1 : greatest(a, b)], '') AS m, array_to_string(u[greatest(a, b) + 1 :], '') AS s FROM formed)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '{PREFIX}' || p || '{SUFFIX}' || s || '{MIDDLE}' || m ELSE '{SUFFIX}' || s || '{PREFIX}' || p || '{MIDDLE}' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut"""
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_near_duplicates": op2_near_duplicates,
@@ -132,9 +198,15 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_token_counts": op9_token_counts,
     "op10_url_filters": op10_url_filters,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_middle": op13_fill_middle,
 }
 ORACLES = {
     "op5_decontamination": OP5_SQL,
     "op7_licence_scans": _op7_sql(),
     "op10_url_filters": _op10_sql(),
+    "op11_exact_dedup": OP11_SQL,
+    "op12_filter_audit": _op12_sql(),
+    "op13_fill_middle": _op13_sql(),
 }
