@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 from ..functions import lexicon as L
 from ..functions.notation import jaccard, same_set, strings
@@ -25,55 +25,80 @@ def hash_embedding(texts: DataFrame, key: str, text: str, size: int = L.EMBEDDIN
     return sums.select(key, "bucket", (F.col("s") / norm).alias("weight"))
 
 
-def context_text(text: str = "normalized_text") -> Column:
-    """A unit's text between those of its neighbours."""
-    return F.trim(F.concat_ws(" ", F.lag(text).over(in_order()), F.col(text), F.lead(text).over(in_order())))
+def context_text(text: str = "normalized_text", order: WindowSpec | None = None) -> Column:
+    """A unit's text between those of its neighbours. order: a window over the order of units, by default the whole document's."""
+    order = in_order() if order is None else order
+    return F.trim(F.concat_ws(" ", F.lag(text).over(order), F.col(text), F.lead(text).over(order)))
 
 
-def nearest_in_blocks(vectors: DataFrame, threshold: float, top_k: int, rows_per_block: int = 4096, skip_neighbours: bool = False) -> DataFrame:
-    """i, di, si, j, dj, sj and similarity: of each vector the top_k of every block at or above a cosine threshold.
+def heavy_first(vectors: DataFrame) -> list[int]:
+    """The buckets of vectors(vector) by their sum of squares, the largest first; one number a bucket comes to the driver."""
+    found = vectors.select(F.posexplode("vector").alias("bucket", "weight")).groupBy("bucket").agg(F.sum(F.col("weight") * F.col("weight")).alias("mass"))
+    return [r["bucket"] for r in found.orderBy(F.desc("mass"), "bucket").collect()]
 
-    vectors(id, doc, seq, vector), vectors of length 1. Exact: each two blocks of
-    rows meet once, as matrix products inside a task, and only the nearest of each
-    row leave it, the earlier by (doc, seq) among equals. Blocks are hash blocks of a
-    bounded number of rows, so no task holds more than two. skip_neighbours: rows
-    beside each other in one doc are not compared.
+
+def near_classes(classes: DataFrame, threshold: float, most: int, rows_per_block: int = 4096, head: int = 32) -> DataFrame:
+    """ci, cj, d, s and similarity of classes(cls, doc, seq, vector) at or above a cosine threshold, and how many pairs were compared.
+
+    Exact. Each two blocks of vectors meet once in a task. There only the first
+    ``head`` buckets, those that carry most of all weights, are multiplied for
+    every pair; with the norms of the rest they bound the cosine from above, and
+    whole vectors are multiplied only where that bound reaches the threshold. Of
+    each class the ``most`` nearest of a block leave the task, the earlier by
+    (doc, seq) among equals. One row a block pair has ci null and the number of
+    pairs whose whole vectors were multiplied in ``compared``.
     """
-    n = max(1, -(-vectors.count() // rows_per_block))
-    own = vectors.withColumn("own", F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    dealt = own.select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "id", "doc", "seq", "vector")
-    kinds = dict(vectors.dtypes)
+    found = classes.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vector")).alias("size")).first()
+    n = max(1, -(-found["rows"] // rows_per_block))
+    order = heavy_first(classes) if (found["size"] or 0) > 2 * head else None
+    own = classes.withColumn("own", F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    dealt = own.select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls", "doc", "seq", "vector")
+
+    def products(a, b):
+        """Rows, columns and cosines of the pairs at or above the threshold, and the number of pairs compared."""
+        import numpy as np
+
+        if order is None:
+            found = np.round(a @ b.T, 12)
+            r, c = np.nonzero(found >= threshold)
+            return r, c, found[r, c], found.size
+        rest = [np.sqrt(np.maximum(0, (m[:, head:] ** 2).sum(1))) for m in (a, b)]
+        r, c = np.nonzero(a[:, :head] @ b[:, :head].T + np.outer(*rest) >= threshold - 1e-9)
+        if len(r) > a.shape[0] * b.shape[0] / 4:  # one product of all is quicker then
+            found = np.round(a @ b.T, 12)
+            r, c = np.nonzero(found >= threshold)
+            return r, c, found[r, c], found.size
+        value = np.concatenate([np.zeros(0), *[np.einsum("ij,ij->i", a[r[k : k + 65536]], b[c[k : k + 65536]]) for k in range(0, len(r), 65536)]])
+        value = np.round(value, 12)
+        near = value >= threshold
+        return r[near], c[near], value[near], len(r)
 
     def multiply(pdf):
         import numpy as np
         import pandas as pd
 
         blocks = [pdf[pdf["own"] == k].sort_values(["doc", "seq"], kind="stable") for k in sorted({pdf["bi"].iat[0], pdf["bj"].iat[0]})]
-        matrices = [np.stack(b["vector"]).astype(float) if len(b) else np.zeros((0, 1)) for b in blocks]
-        parts = [pd.DataFrame({c: pdf[k].iloc[:0] for c, k in zip(("i", "di", "si", "j", "dj", "sj"), ("id", "doc", "seq") * 2, strict=True)} | {"similarity": np.zeros(0)})]
-        for x, y in [(0, 0)] if len(blocks) == 1 else [(0, 1), (1, 0)]:
-            a, b = blocks[x], blocks[y]
-            if a.empty or b.empty:
-                continue
-            columns = {k: (a[k].to_numpy(), b[k].to_numpy()) for k in ("id", "doc", "seq")}
-            for start in range(0, len(a), 512):
-                product = np.round(matrices[x][start : start + 512] @ matrices[y].T, 12)
-                rows = np.flatnonzero((product >= threshold).any(1))
-                if not len(rows):
-                    continue
-                near, at = product[rows], rows + start
-                bad = (near < threshold) | (columns["id"][0][at, None] == columns["id"][1][None, :])
-                if skip_neighbours:
-                    bad |= (columns["doc"][0][at, None] == columns["doc"][1][None, :]) & (np.abs(columns["seq"][0][at, None] - columns["seq"][1][None, :]) == 1)
-                near = np.where(bad, -2.0, near)
-                best = np.argsort(-near, axis=1, kind="stable")[:, :top_k]  # columns stand in the order of (doc, seq)
-                value = np.take_along_axis(near, best, 1)
-                r, c = np.nonzero(value >= threshold)
-                i, j = at[r], best[r, c]
-                parts.append(pd.DataFrame({"i": columns["id"][0][i], "di": columns["doc"][0][i], "si": columns["seq"][0][i], "j": columns["id"][1][j], "dj": columns["doc"][1][j], "sj": columns["seq"][1][j], "similarity": np.clip(value[r, c], 0, 1)}))
-        return pd.concat(parts, ignore_index=True)
-
-    out = f"i {kinds['id']}, di {kinds['doc']}, si long, j {kinds['id']}, dj {kinds['doc']}, sj long, similarity double"
+        matrices = [np.stack(b["vector"]).astype(float)[:, order or slice(None)] if len(b) else np.zeros((0, 1)) for b in blocks]
+        rows, compared = [], 0
+        x, y = (0, 0) if len(blocks) == 1 else (0, 1)
+        if len(blocks[x]) and len(blocks[y]):
+            for start in range(0, len(blocks[x]), 512):
+                r, c, value, n_pairs = products(matrices[x][start : start + 512], matrices[y])
+                compared += n_pairs
+                rows.append((r + start, c, value))
+        r, c, value = (np.concatenate([p[k] for p in rows]) if rows else np.zeros(0, int) for k in range(3))
+        sides = [(x, r, y, c)] + ([(y, c, x, r)] if x != y else [])
+        parts = [pd.DataFrame({"ci": [None], "cj": [None], "d": blocks[0]["doc"].iloc[:1].tolist() if len(blocks[0]) else [None], "s": [0], "similarity": [0.0], "compared": [compared]})]
+        for p, i, q, j in sides:
+            best = np.lexsort((j, -value, i))  # rows stand in the order of (doc, seq)
+            i, j, near = i[best], j[best], value[best]
+            place = np.arange(len(i)) - np.searchsorted(i, i)
+            i, j, near = (v[place < most] for v in (i, j, near))
+            a, b = blocks[p], blocks[q]
+            parts.append(pd.DataFrame({"ci": a["cls"].to_numpy()[i], "cj": b["cls"].to_numpy()[j], "d": b["doc"].to_numpy()[j], "s": b["seq"].to_numpy()[j], "similarity": np.clip(near, 0, 1), "compared": 0}))
+        return pd.concat([p for p in parts if len(p)], ignore_index=True)
+
+    out = f"ci string, cj string, d {dict(classes.dtypes)['doc']}, s long, similarity double, compared long"
     return dealt.groupBy("bi", "bj").applyInPandas(multiply, out)
 
 
@@ -84,16 +109,42 @@ def normalise_vectors(frame: DataFrame, key: str, vector: str, doc: Column, seq:
     return own.where("norm > 0").select("id", "doc", "seq", F.transform("v", lambda x: x / F.col("norm")).alias("vector"))
 
 
-def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, rows_per_block: int = 4096, skip_neighbours: bool = False) -> DataFrame:
-    """i, j (i earlier by doc and seq) and similarity, where j is among the top_k of i. vectors: of normalise_vectors.
+def vector_classes(vectors: DataFrame, members: int) -> tuple[DataFrame, DataFrame]:
+    """vectors with ``cls``, the same for equal vectors by a hash of 128 bits, and the first ``members`` of each class by doc and seq, numbered in ``place``."""
+    named = vectors.withColumn("cls", F.concat_ws("-", F.xxhash64("vector"), F.xxhash64(F.lit("other"), "vector")))
+    first = Window.partitionBy("cls").orderBy("doc", "seq", "id")
+    return named, named.withColumn("place", F.row_number().over(first)).where(F.col("place") <= members)
+
+
+def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, rows_per_block: int = 4096, skip_neighbours: bool = False, head: int = 32) -> DataFrame:
+    """i, j (i earlier by doc and seq) and similarity, where j is among the top_k of i. vectors(id, doc, seq, vector): of normalise_vectors.
 
     The cut to top_k comes first and for each row alone, so a pair counts only if
-    the later one is near enough for the earlier; neighbours are left out before that.
+    the later one is near enough for the earlier. skip_neighbours: rows beside
+    each other in one doc are left out before that.
+
+    Equal vectors are one class: classes are compared once, and of each class only
+    the first top_k + 3 rows can be among the nearest of any row, as a row leaves
+    out itself and two neighbours at most. So a vector of a third of all rows costs
+    one vector, and the pairs among its rows are never listed.
     """
-    found = nearest_in_blocks(vectors, threshold, top_k, rows_per_block, skip_neighbours)
-    nearest = Window.partitionBy("i").orderBy(F.desc("similarity"), "dj", "sj")
-    ranked = found.withColumn("rank", F.row_number().over(nearest)).where(F.col("rank") <= top_k)
-    return ranked.where("di < dj OR (di = dj AND si < sj)").select("i", "j", "similarity")
+    most = top_k + 3
+    named, members = vector_classes(vectors, most)
+    found = near_classes(members.where("place = 1").select("cls", "doc", "seq", "vector"), threshold, most, rows_per_block, head).where("ci IS NOT NULL")
+    by_class = Window.partitionBy("ci").orderBy(F.desc("similarity"), "d", "s")
+    near = found.withColumn("rank", F.row_number().over(by_class)).where(F.col("rank") <= most).select("ci", F.col("cj").alias("cls"), "similarity")
+    rows = near.join(members.select("cls", F.col("doc").alias("dj"), F.col("seq").alias("sj"), F.col("id").alias("j")), "cls")
+    by_row = Window.partitionBy("ci").orderBy(F.desc("similarity"), "dj", "sj")
+    ranked = rows.withColumn("rank", F.row_number().over(by_row)).where(F.col("rank") <= most)
+    lists = ranked.groupBy(F.col("ci").alias("cls")).agg(F.array_sort(F.collect_list(F.struct("rank", "dj", "sj", "j", "similarity"))).alias("near"))
+    both = named.select("cls", F.col("id").alias("i"), F.col("doc").alias("di"), F.col("seq").alias("si")).join(lists, "cls")
+
+    def other(c: Column) -> Column:
+        apart = c["j"] != F.col("i")
+        return apart & ~((c["dj"] == F.col("di")) & (F.abs(c["sj"] - F.col("si")) == 1)) if skip_neighbours else apart
+
+    kept = both.select("i", "di", "si", F.explode(F.slice(F.filter("near", other), 1, top_k)).alias("n")).select("i", "di", "si", "n.*")
+    return kept.where("di < dj OR (di = dj AND si < sj)").select("i", "j", "similarity")
 
 
 def notation_distance(a: Column, b: Column) -> Column:
@@ -118,7 +169,7 @@ def conflicts(pairs: DataFrame, units: DataFrame, run_id: str = "run_unknown") -
 
     units: unit_id, document_id, sequence_index, text and the notation fields.
     """
-    own = units.withColumn("_near", asked(F.col("text")) | F.coalesce(asked(F.lag("text").over(in_order())), F.lit(False)) | F.coalesce(asked(F.lead("text").over(in_order())), F.lit(False)))
+    own = units.withColumn("_near", asked(F.col("text")) | F.coalesce(asked(F.lag("text").over(in_order())), F.lit(False)))
     own = own.withColumn("_address", matches_any(folded(F.col("text"), normalise=False), (L.VIEWER_ADDRESS,)))
     fields = ["unit_id", "functions", "primary_function", "certainty", "emotion_expressed", "stance", "emotions_mentioned", "confidence", "_near", "_address"]
     own = own.select(F.struct(*fields).alias("u"))

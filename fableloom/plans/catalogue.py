@@ -273,7 +273,8 @@ def document_rollups(spark, d):
     return own.select("document_id", "unit_count", "char_count", "relation_count", "relation_needs_review_count")
 
 
-@query(_RELATIONS + " SELECT relation_id, document_id, document_id % 2 = 0 AND relation_type = 'SUP' AS existing FROM rel WHERE document_id NOT IN (SELECT document_id FROM rel WHERE document_id % 2 = 0 AND relation_type = 'SUP') OR document_id % 2 = 0 AND relation_type = 'SUP'")
+@query(_RELATIONS + """, marked AS (SELECT relation_id, document_id, document_id % 2 = 0 AND relation_type = 'SUP' AS existing, bool_or(document_id % 2 = 0 AND relation_type = 'SUP') OVER (PARTITION BY document_id) AS has FROM rel)
+SELECT relation_id, document_id, existing FROM marked WHERE existing OR NOT has""")
 def attach_relations(spark, d):
     found = _relations(spark, d).select("relation_id", "document_id", "relation_type")
     kept = found.where("document_id % 2 = 0 AND relation_type = 'SUP'").withColumn("existing", F.lit(True))

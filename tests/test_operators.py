@@ -149,6 +149,55 @@ def test_nearest_against_all_pairs(spark, block):
     assert found == wanted
 
 
+def hashed_units(n, words=3000, seed=1):
+    """Rows (id, doc, seq, v) of texts of some 20 words with few frequent ones, in 128 buckets; every tenth text is like the one before."""
+    import numpy as np
+
+    r = np.random.default_rng(seed)
+    bucket, sign, often = r.integers(0, 128, words), r.choice([-1.0, 1.0], words), 1 / (np.arange(words) + 10)
+    drawn = r.choice(words, (n, 22), p=often / often.sum())
+    rows = []
+    for k in range(n):
+        if k % 10 or not k:
+            w = drawn[k]
+        else:
+            w = w.copy()
+            w[: k // 10 % 6] = r.integers(0, words, k // 10 % 6)
+        v = np.zeros(128)
+        np.add.at(v, bucket[w], sign[w])
+        rows.append((k, k // 40, k % 40, v))
+    return rows
+
+
+@pytest.mark.parametrize("head", [8, 32, 64])
+def test_bounds_lose_no_pair(spark, head):
+    import numpy as np
+
+    rows = hashed_units(900)
+    frame = spark.createDataFrame([(i, d, s, v.tolist()) for i, d, s, v in rows], "id long, doc long, seq long, v array<double>")
+    vectors = similarity.normalise_vectors(frame, "id", "v", F.col("doc"), F.col("seq"))
+    found = {(p.i, p.j) for p in similarity.similar_pairs(vectors, 0.82, 4, 200, head=head).collect()}
+    norm = np.array([np.linalg.norm(v) for _, _, _, v in rows])
+    u = np.array([v / n if n else v for (_, _, _, v), n in zip(rows, norm)])
+    cos = np.round(u @ u.T, 12)
+    wanted = set()
+    for i in range(len(rows)):
+        near = sorted((-cos[i, j], j) for j in range(len(rows)) if j != i and norm[j] and cos[i, j] >= 0.82)[:4]
+        wanted |= {(i, int(j)) for _, j in near if i < j}
+    assert found == wanted and len(wanted) > 40
+
+
+def test_few_pairs_are_compared(spark):
+    """Of all pairs of distinct vectors, whole vectors are multiplied for less than a tenth."""
+    n = 8000
+    frame = spark.createDataFrame([(i, d, s, v.tolist()) for i, d, s, v in hashed_units(n)], "id long, doc long, seq long, v array<double>")
+    vectors = similarity.normalise_vectors(frame, "id", "v", F.col("doc"), F.col("seq"))
+    _, first = similarity.vector_classes(vectors, 1)
+    found = similarity.near_classes(first.select("cls", "doc", "seq", "vector"), 0.82, 13)
+    compared = found.agg(F.sum("compared")).first()[0]
+    assert 0 < compared < n * n / 10
+
+
 def test_ten_thousand_equal_units(spark):
     frame = spark.range(10_000).select("id", F.array(F.lit(1.0), F.lit(2.0)).alias("v"))
     vectors = similarity.normalise_vectors(frame, "id", "v", F.lit(0), F.col("id"))
