@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from ..functions import lexicon as L
 from ..functions.notation import strings
 from ..functions.text import hash_id
-from .segment import in_order
+from .segment import CUT_UNITS, with_neighbours
 from .validate import flags_if, versions
 
 UNIT = "struct<sequence_index:int,unit_id:string,notation:string>"
@@ -38,10 +38,10 @@ def match_steps(window: Column, steps: tuple[tuple[str, ...], ...], gap: int = L
     return F.when(F.size(taken) == len(steps), taken)
 
 
-def sequence_chains(units: DataFrame, patterns=L.SEQUENCE_CHAINS, length: int = L.CHAIN_LENGTH) -> DataFrame:
+def sequence_chains(units: DataFrame, patterns=L.SEQUENCE_CHAINS, length: int = L.CHAIN_LENGTH, size: int = CUT_UNITS) -> DataFrame:
     """document_id, chain_type, members, relation_ids, score and evidence of units(document_id, unit_id, sequence_index, functions, final_notation)."""
     own = units.select("document_id", "sequence_index", F.struct("sequence_index", "unit_id", F.col("final_notation").alias("notation"), "functions").alias("u"))
-    ahead = own.withColumn("w", F.collect_list("u").over(in_order().rowsBetween(0, length - 1)))
+    ahead = with_neighbours(own, 0, length - 1, lambda order: {"w": F.collect_list("u").over(order.rowsBetween(0, length - 1))}, size)
     found = [F.struct(F.lit(name).alias("chain_type"), match_steps(F.col("w"), steps).alias("members"), F.lit(score).alias("score")) for name, steps, score in patterns]
     rows = ahead.select("document_id", F.explode(F.array(*found)).alias("c")).where("c.members IS NOT NULL")
     evidence = F.array_join(F.transform("c.members", lambda m: m["notation"]), " -> ")

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..functions import lexicon as L
 from ..functions.notation import normalize_codes, strings
 from ..sources.sinks import read_table
+from .segment import around, with_neighbours
 from .validate import flag, still_relevant
 
 BACKOFF = (2.0, 8.0, 20.0)
@@ -92,12 +93,11 @@ def call_model(requests: DataFrame, transport: Callable[[str], str], check: Call
 CLASSIFICATION = "functions array<string>, primary_function string, certainty string, emotion_expressed string, emotion_intensity int, emotions_mentioned array<string>, stance string, confidence double, evidence_spans array<struct<text:string,char_start:int,char_end:int,source:string>>"
 
 
-def classification_request() -> Column:
-    """The request for a unit with its candidates and two texts on either side, as JSON."""
-    from .segment import in_order
-
-    around = lambda *k: F.array_compact(F.array(*[(F.lag if n > 0 else F.lead)("text", abs(n)).over(in_order()) for n in k]))
-    return F.to_json(F.struct("unit_id", "text", around(2, 1).alias("before"), around(-1, -2).alias("after"), "locked_functions", "candidate_functions"))
+def classification_requests(units: DataFrame) -> DataFrame:
+    """units with ``request``: a unit with its candidates and two texts on either side, as JSON."""
+    context = with_neighbours(units, 2, 2, lambda order: {"_before": around(order, 2, 1), "_after": around(order, -1, -2)})
+    asked = F.to_json(F.struct("unit_id", "text", F.col("_before").alias("before"), F.col("_after").alias("after"), "locked_functions", "candidate_functions"))
+    return context.withColumn("request", asked).drop("_before", "_after")
 
 
 def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, dry_run: bool = False, store: str | None = None) -> DataFrame:
@@ -106,7 +106,7 @@ def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame
     Where it fails (or in a dry run), the locked functions alone are taken, at confidence 0.6 and marked for review.
     Evidence spans of both are kept, each once.
     """
-    own = units.withColumn("request", classification_request())
+    own = classification_requests(units)
 
     def check(found: dict) -> str | None:
         codes = found.get("functions")

@@ -2,75 +2,115 @@
 
 from __future__ import annotations
 
+import json
+import re
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..functions.notation import strings
 from ..functions.text import apart, contains_any, hash_id, starts_with_any
-from .heuristics import has_any
-from .segment import in_order
+from .segment import CUT_UNITS, with_neighbours
 from .validate import flags_if, versions
 
-RELATION = "struct<rule_id:string,relation_type:string,backward:boolean,base:double,rejected:array<string>>"
+#: Bits of what a unit is: its functions, then the marker lists found in it, then whether it starts like an answer.
+_BITS = {name: 1 << i for i, name in enumerate([*L.FUNCTIONS, *L.MARKERS, "answer_like"])}
 
 
-def rules_for_pair(f: Column, s: Column, distance: Column) -> Column:
-    """All rules that fire for an earlier unit f and a later one s, as an array of RELATION in the order of the rules.
+@dataclass(frozen=True)
+class Rule:
+    """Fires for an earlier unit of ``first`` and a later one of ``second``, sets of functions and marker lists of which one is enough.
 
-    f and s: structs of functions, marked (the names of the marker lists found) and answer_like.
+    Empty sets say nothing; ``but`` must not hold of the later unit. Weak rules are
+    for neighbours that nothing else relates, and the first of them alone fires.
     """
-    fx, sx = (lambda *c: has_any(f["functions"], *c)), (lambda *c: has_any(s["functions"], *c))
-    fm, sm = (lambda m: F.array_contains(f["marked"], m)), (lambda m: F.array_contains(s["marked"], m))
-
-    def rule(when: Column, name: str, kind: Column | str, base: Column | float, rejected: tuple[str, ...], backward: bool = True) -> Column:
-        kind = F.lit(kind) if isinstance(kind, str) else kind
-        base = F.lit(base) if isinstance(base, float) else base
-        own = F.struct(F.lit(name).alias("rule_id"), kind.alias("relation_type"), F.lit(backward).alias("backward"), base.alias("base"), strings(*rejected).alias("rejected"))
-        return F.when(F.coalesce(when, F.lit(False)), own.cast(RELATION))
-
-    causal = sm("CAUSAL")
-    found = F.array(
-        rule((fx("P") | fm("QUESTION")) & (sx("R") | s["answer_like"]), "ANS_question_answer_anchor", "ANS", 0.92, ("EXPL",), backward=False),
-        rule(sx("Y") & fx("A", "K", "O", "R"), "Y_explains_previous_claim", F.when(causal, F.lit("CAUSE")).otherwise(F.lit("EXPL")), F.when(causal, F.lit(0.82)).otherwise(F.lit(0.74)), ("SUP",)),
-        rule(sx("D", "Q") & fx("A", "K", "O", "Y"), "evidence_supports_prior_claim", "SUP", 0.86, ("CAUSE", "EXPL")),
-        rule(sx("E") & fx("A", "K", "F", "Y", "S"), "example_illustrates_previous_unit", "EXMP", 0.82, ("ELAB",)),
-        rule(sx("G") & fx("A", "K", "F", "Y"), "analogy_maps_to_previous_unit", "ANLG", 0.84, ("EXMP",)),
-        rule(sx("C") | sm("CONTRAST"), "contrast_with_previous_unit", "CONTR", 0.78, ("ELAB",)),
-        rule(sx("B") | sm("REFUTATION"), "refutation_targets_previous_unit", "REFUT", 0.84, ("CONTR",)),
-        rule(sx("X") | sm("RISK"), "risk_attaches_to_previous_unit", "RISK", 0.8, ("CONTR",)),
-        rule((sx("S") | sm("SOLUTION")) & (fx("X") | fm("RISK")), "solution_addresses_prior_risk", "SOLV", 0.86, ("CALL",)),
-        rule(sx("V"), "viewer_call_attaches_to_previous_unit", "CALL", 0.72, ("SEQ",)),
-        rule(sx("Z") & fx("A", "K", "Y", "S", "L"), "conclusion_summarizes_previous_unit", "SUM", 0.76, ("SEQ",)),
-        rule(sm("CONDITION"), "condition_modifies_previous_unit", "COND", 0.76, ("CAUSE",)),
-    )
-    found = F.filter(found, lambda r: r.isNotNull())
-    # Only for neighbours that nothing else relates; one of the two at most. Their confidence does not fade, as the distance is 1.
-    weak = F.coalesce(
-        rule((distance == 1) & fx("A", "K", "F", "M") & sx("A", "F", "M", "U"), "adjacent_elaboration", "ELAB", 0.62, ("SEQ",)),
-        rule((distance == 1) & (fx("T", "M", "L") | sx("T", "M", "L")), "adjacent_structural_sequence", "SEQ", 0.6, ("ELAB",), backward=False),
-    )
-    return F.when(F.size(found) > 0, found).otherwise(F.filter(F.array(weak), lambda r: r.isNotNull()))
-
 
-def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance: int = L.MAX_DISTANCE, min_confidence: float = L.MIN_CONFIDENCE) -> DataFrame:
+    rule_id: str
+    relation_type: str
+    base: float
+    rejected: tuple[str, ...]
+    first: tuple[str, ...] = ()
+    second: tuple[str, ...] = ()
+    either: tuple[str, ...] = ()
+    but: tuple[str, ...] = ()
+    backward: bool = True
+    weak: bool = False
+
+
+RULES: tuple[Rule, ...] = (
+    Rule("ANS_question_answer_anchor", "ANS", 0.92, ("EXPL",), ("P", "QUESTION"), ("R", "answer_like"), backward=False),
+    Rule("Y_explains_previous_claim", "CAUSE", 0.82, ("SUP",), ("A", "K", "O", "R"), ("Y",), but=("~CAUSAL",)),
+    Rule("Y_explains_previous_claim", "EXPL", 0.74, ("SUP",), ("A", "K", "O", "R"), ("Y",), but=("CAUSAL",)),
+    Rule("evidence_supports_prior_claim", "SUP", 0.86, ("CAUSE", "EXPL"), ("A", "K", "O", "Y"), ("D", "Q")),
+    Rule("example_illustrates_previous_unit", "EXMP", 0.82, ("ELAB",), ("A", "K", "F", "Y", "S"), ("E",)),
+    Rule("analogy_maps_to_previous_unit", "ANLG", 0.84, ("EXMP",), ("A", "K", "F", "Y"), ("G",)),
+    Rule("contrast_with_previous_unit", "CONTR", 0.78, ("ELAB",), (), ("C", "CONTRAST")),
+    Rule("refutation_targets_previous_unit", "REFUT", 0.84, ("CONTR",), (), ("B", "REFUTATION")),
+    Rule("risk_attaches_to_previous_unit", "RISK", 0.8, ("CONTR",), (), ("X", "RISK")),
+    Rule("solution_addresses_prior_risk", "SOLV", 0.86, ("CALL",), ("X", "RISK"), ("S", "SOLUTION")),
+    Rule("viewer_call_attaches_to_previous_unit", "CALL", 0.72, ("SEQ",), (), ("V",)),
+    Rule("conclusion_summarizes_previous_unit", "SUM", 0.76, ("SEQ",), ("A", "K", "Y", "S", "L"), ("Z",)),
+    Rule("condition_modifies_previous_unit", "COND", 0.76, ("CAUSE",), (), ("CONDITION",)),
+    Rule("adjacent_elaboration", "ELAB", 0.62, ("SEQ",), ("A", "K", "F", "M"), ("A", "F", "M", "U"), weak=True),
+    Rule("adjacent_structural_sequence", "SEQ", 0.6, ("ELAB",), either=("T", "M", "L"), backward=False, weak=True),
+)
+RELATION = "struct<bit:int,rule_id:string,relation_type:string,backward:boolean,base:double,rejected:array<string>>"
+
+
+def _any(mask: Column, names: tuple[str, ...]) -> Column:
+    return mask.bitwiseAND(F.lit(sum(_BITS[n] for n in names)).cast("long")) != 0
+
+
+def fired_rules(f: Column, s: Column, distance: Column) -> Column:
+    """Bits of the RULES that fire for an earlier unit of mask f and a later one of mask s."""
+
+    def holds(r: Rule) -> Column:
+        tests = [_any(f, r.first)] if r.first else []
+        tests += [_any(s, r.second)] if r.second else []
+        tests += [_any(f, r.either) | _any(s, r.either)] if r.either else []
+        tests += [_any(s, (n[1:],)) if n.startswith("~") else ~_any(s, (n,)) for n in r.but]
+        return reduce(lambda a, b: a & b, tests)
+
+    bit = {r: 1 << i for i, r in enumerate(RULES)}
+    strong = reduce(lambda a, b: a + b, [F.when(holds(r), bit[r]).otherwise(0) for r in RULES if not r.weak])
+    weak = F.when(distance != 1, 0)
+    for r in RULES:
+        weak = weak.when(holds(r), bit[r]) if r.weak else weak
+    return F.when(strong != 0, strong).otherwise(weak.otherwise(0))
+
+
+def unit_mask(text: Column, start: Column, functions: Column) -> Column:
+    """What a unit is, as bits. text: lower case, searched for markers; start: lower case, whose beginning tells an answer."""
+    own = reduce(lambda a, b: a + b, [F.when(F.array_contains(functions, c), F.lit(_BITS[c]).cast("long")).otherwise(F.lit(0).cast("long")) for c in L.FUNCTIONS])
+
+    def named(t: Column) -> Column:
+        return reduce(lambda a, b: a + b, [F.when(contains_any(t, m), F.lit(_BITS[k]).cast("long")).otherwise(F.lit(0).cast("long")) for k, m in L.MARKERS.items()])
+
+    # Most units hold no marker at all, which one search for all of them tells.
+    every = "|".join(re.escape(m) for m in dict.fromkeys(m for ms in L.MARKERS.values() for m in ms))
+    marked = F.when(F.rlike(text, F.lit(every)), apart(text, named)).otherwise(F.lit(0).cast("long"))
+    return own + marked + F.when(starts_with_any(start, L.ANSWER_STARTS), F.lit(_BITS["answer_like"]).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance: int = L.MAX_DISTANCE, min_confidence: float = L.MIN_CONFIDENCE, size: int = CUT_UNITS) -> DataFrame:
     """Relations of units(document_id, unit_id, sequence_index, text, normalized_text, functions).
 
     Each unit meets the next ``max_distance`` of its document, taken by one
-    window over the document's order: one shuffle and no join. Confidence falls
-    by 0.08 with every further step. Of a pair's relations of one type between
-    the same ends, the first rule's stays.
+    window over cuts of the document's order: one shuffle and no join. What rules
+    ask of a unit is made into bits before. Confidence falls by 0.08 with every
+    further step.
     """
-    text = F.lower(F.concat_ws(" ", "text", "normalized_text"))
-    marked = F.filter(F.array(*[F.when(contains_any(text, m), F.lit(k)) for k, m in L.MARKERS.items()]), lambda m: m.isNotNull())
-    answer = starts_with_any(F.lower(F.coalesce("normalized_text", F.lit(""))), L.ANSWER_STARTS)
-    unit = F.struct("unit_id", "sequence_index", "functions", marked.alias("marked"), answer.alias("answer_like"), "text")
-    own = units.select("document_id", "sequence_index", unit.alias("f"))
-    own = own.withColumn("later", F.array(*[F.lead("f", k).over(in_order()) for k in range(1, max_distance + 1)]))
-    pairs = own.select("document_id", "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
-    fired = pairs.withColumn("rules", apart(F.struct("f", "s", "distance"), lambda p: rules_for_pair(p["f"], p["s"], p["distance"])))
+    text, start = F.lower(F.concat_ws(" ", "text", "normalized_text")), F.lower(F.coalesce("normalized_text", F.lit("")))
+    own = units.select("document_id", "sequence_index", F.struct("unit_id", "sequence_index", unit_mask(text, start, F.col("functions")).alias("mask"), "text").alias("f"))
+    ahead = with_neighbours(own, 0, max_distance, lambda order: {"later": F.array(*[F.lead("f", k).over(order) for k in range(1, max_distance + 1)])}, size)
+    pairs = ahead.select("document_id", "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
+    fired = pairs.withColumn("fired", fired_rules(F.col("f.mask"), F.col("s.mask"), F.col("distance"))).where("fired <> 0")
+    table = json.dumps([{"bit": 1 << i, "rule_id": r.rule_id, "relation_type": r.relation_type, "backward": r.backward, "base": r.base, "rejected": r.rejected} for i, r in enumerate(RULES)])
+    chosen = F.filter(F.from_json(F.lit(table), f"array<{RELATION}>"), lambda r: r["bit"].bitwiseAND(F.col("fired")) != 0)
     # Two rules never give the same type and direction for one pair, so taking the first of each is all there is to repeats.
-    rows = fired.select("document_id", "f", "s", "distance", F.posexplode("rules").alias("rule_order", "r"))
+    rows = fired.select("document_id", "f", "s", "distance", F.explode(chosen).alias("r"))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("r.base") - L.STEP_PENALTY * (F.col("distance") - 1)))
     ends = {
         "source_unit_id": F.when(F.col("r.backward"), F.col("s.unit_id")).otherwise(F.col("f.unit_id")),

@@ -12,7 +12,7 @@ from ..functions import lexicon as L
 from ..functions.notation import group_labels, strings
 from ..functions.text import hash_id
 from .evaluate import ratio
-from .segment import in_order
+from .segment import around, with_neighbours
 
 
 def review_reasons(conflicted: Column) -> Column:
@@ -46,8 +46,7 @@ def build_review_set(units: DataFrame, conflicts: DataFrame | None = None, minim
     surest clean units, minimal pairs(pair_id, text_a, text_b). Of equal ids the
     first in that order stays.
     """
-    around = lambda *k: F.array_compact(F.array(*[(F.lag if n > 0 else F.lead)("text", abs(n)).over(in_order()) for n in k]))
-    own = units.withColumns({"context_before": around(2, 1), "context_after": around(-1, -2)})
+    own = with_neighbours(units, 2, 2, lambda order: {"context_before": around(order, 2, 1), "context_after": around(order, -1, -2)})
     if conflicts is None:
         own = own.withColumn("_conflicted", F.lit(False))
     else:

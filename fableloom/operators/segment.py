@@ -20,6 +20,42 @@ def in_order() -> WindowSpec:
     return Window.partitionBy("document_id").orderBy("sequence_index")
 
 
+#: Units of a document that one task sorts at most, and the columns that with_halo adds.
+CUT_UNITS, CUT, OWN = 100_000, "_cut", "_own"
+
+
+def in_cut() -> WindowSpec:
+    """The order of units in their cut of a document."""
+    return Window.partitionBy("document_id", CUT).orderBy("sequence_index")
+
+
+def with_halo(units: DataFrame, before: int = 0, after: int = 0, size: int = CUT_UNITS) -> DataFrame:
+    """units in cuts of ``size`` sequence numbers, each cut with the ``before`` and ``after`` units around it.
+
+    A window over in_cut() then sees what one over the whole document would see
+    within that reach, while a document of any length is spread over many tasks.
+    Units at a border come twice; OWN is true for the one that its cut owns, and
+    rows made from others must be left out. Sequence numbers of a document run
+    without gaps, as segmentation gives them; documents shorter than a cut are one.
+    """
+    if max(before, after) > size:
+        raise ValueError("a cut must be as long as what is seen around it")
+    at, own = F.col("sequence_index"), F.floor(F.col("sequence_index") / size)
+    into = F.when(at % size >= size - before, F.when((own > 0) & (at % size < after), F.array(own - 1, own, own + 1)).otherwise(F.array(own, own + 1)))
+    into = into.when((own > 0) & (at % size < after), F.array(own - 1, own)).otherwise(F.array(own))
+    return units.withColumn(CUT, F.explode(into)).withColumn(OWN, F.col(CUT) == own)
+
+
+def with_neighbours(units: DataFrame, before: int, after: int, columns: Callable[[WindowSpec], dict[str, Column]], size: int = CUT_UNITS) -> DataFrame:
+    """units with the columns that are made over the order of units, seeing ``before`` and ``after`` units around each; see with_halo."""
+    return with_halo(units, before, after, size).withColumns(columns(in_cut())).where(OWN).drop(CUT, OWN)
+
+
+def around(order: WindowSpec, *steps: int) -> Column:
+    """The texts so many units before (or, below 0, after) a unit, as far as there are any."""
+    return F.array_compact(F.array(*[(F.lag if n > 0 else F.lead)("text", abs(n)).over(order) for n in steps]))
+
+
 def split_clean(text: Column, pattern: str) -> Column:
     """Parts between matches, trimmed, without empty ones."""
     return F.filter(F.transform(F.split(text, pattern), F.trim), lambda p: p != "")
@@ -96,27 +132,43 @@ def to_ms(ms: Column, seconds: Column, bare: Column) -> Column:
     return F.coalesce(F.bround(ms), F.bround(seconds * 1000), F.when(bare < 10000, F.bround(bare * 1000)).otherwise(F.bround(bare))).cast("long")
 
 
-def segment_timed(segments: DataFrame, limit: int = MAX_UNIT_CHARS) -> DataFrame:
+def segment_timed(segments: DataFrame, limit: int = MAX_UNIT_CHARS, size: int = CUT_UNITS) -> DataFrame:
     """Units of segments(document_id, segment_index, text, start_ms, end_ms), with times shared out evenly in a split segment."""
     cut = segments.select("document_id", "segment_index", "start_ms", "end_ms", pieces_of(normalized(F.col("text")), limit).alias("pieces"))
     own = cut.select("document_id", "segment_index", "start_ms", "end_ms", F.size("pieces").alias("total"), F.posexplode("pieces").alias("piece", "text"))
     split = (F.col("total") > 1) & F.col("start_ms").isNotNull() & F.col("end_ms").isNotNull()
     at = lambda i: F.when(split, F.col("start_ms") + F.bround((F.col("end_ms") - F.col("start_ms")) * i / F.col("total")).cast("long"))
-    units = own.select(
+    units = numbered(own, size).select(
         "document_id",
-        (F.row_number().over(Window.partitionBy("document_id").orderBy("segment_index", "piece")) - 1).alias("sequence_index"),
+        "sequence_index",
         "text",
         F.coalesce(at(F.col("piece")), "start_ms").alias("start_ms"),
         F.coalesce(at(F.col("piece") + 1), "end_ms").alias("end_ms"),
         (F.col("total") > 1).alias("approximate_timing"),
+        "unit_count",
     )
-    return link_units(units).withColumn("unit_count", F.count(F.lit(1)).over(Window.partitionBy("document_id")).cast("int"))
+    return link_units(units)
+
+
+def numbered(pieces: DataFrame, size: int = CUT_UNITS) -> DataFrame:
+    """pieces(document_id, segment_index, piece, ...) with sequence_index, their number in the document, and unit_count.
+
+    In two steps: pieces are counted in cuts of ``size`` segment numbers, the
+    counts of a document's cuts are summed along it, and within a cut pieces are
+    numbered from there. So no task sorts a long document whole.
+    """
+    cut = pieces.withColumn(CUT, F.floor(F.col("segment_index") / size))
+    along = Window.partitionBy("document_id").orderBy(CUT)
+    sums = cut.groupBy("document_id", CUT).agg(F.count(F.lit(1)).alias("_n"))
+    sums = sums.select("document_id", CUT, (F.sum("_n").over(along) - F.col("_n")).alias("_first"), F.sum("_n").over(Window.partitionBy("document_id")).cast("int").alias("unit_count"))
+    place = F.row_number().over(Window.partitionBy("document_id", CUT).orderBy("segment_index", "piece")) - 1
+    return cut.withColumn("_place", place).join(sums, ["document_id", CUT]).withColumn("sequence_index", (F.col("_first") + F.col("_place")).cast("int")).drop(CUT, "_first", "_place")
 
 
 def link_units(units: DataFrame) -> DataFrame:
-    """Adds unit_id, previous_unit_id and next_unit_id."""
-    named = units.withColumn("unit_id", unit_name(F.col("document_id"), F.col("sequence_index")))
-    return named.withColumns({"previous_unit_id": F.lag("unit_id").over(in_order()), "next_unit_id": F.lead("unit_id").over(in_order())})
+    """Adds unit_id, previous_unit_id and next_unit_id to units(document_id, sequence_index, unit_count); as names follow from numbers, nothing is moved."""
+    name, at = (lambda i: unit_name(F.col("document_id"), i)), F.col("sequence_index")
+    return units.withColumns({"unit_id": name(at), "previous_unit_id": F.when(at > 0, name(at - 1)), "next_unit_id": F.when(at + 1 < F.col("unit_count"), name(at + 1))})
 
 
 def with_defaults(units: DataFrame) -> DataFrame:

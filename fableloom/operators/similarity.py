@@ -10,7 +10,7 @@ from ..functions import lexicon as L
 from ..functions.notation import jaccard, same_set, strings
 from ..functions.text import folded, hash_id, matches_any, tokens
 from .heuristics import asked, has_any
-from .segment import in_order
+from .segment import with_neighbours
 
 
 def hash_embedding(texts: DataFrame, key: str, text: str, size: int = L.EMBEDDING_SIZE) -> DataFrame:
@@ -25,9 +25,8 @@ def hash_embedding(texts: DataFrame, key: str, text: str, size: int = L.EMBEDDIN
     return sums.select(key, "bucket", (F.col("s") / norm).alias("weight"))
 
 
-def context_text(text: str = "normalized_text", order: WindowSpec | None = None) -> Column:
-    """A unit's text between those of its neighbours. order: a window over the order of units, by default the whole document's."""
-    order = in_order() if order is None else order
+def context_text(order: WindowSpec, text: str = "normalized_text") -> Column:
+    """A unit's text between those of its neighbours."""
     return F.trim(F.concat_ws(" ", F.lag(text).over(order), F.col(text), F.lead(text).over(order)))
 
 
@@ -169,7 +168,7 @@ def conflicts(pairs: DataFrame, units: DataFrame, run_id: str = "run_unknown") -
 
     units: unit_id, document_id, sequence_index, text and the notation fields.
     """
-    own = units.withColumn("_near", asked(F.col("text")) | F.coalesce(asked(F.lag("text").over(in_order())), F.lit(False)))
+    own = with_neighbours(units, 1, 0, lambda order: {"_near": asked(F.col("text")) | F.coalesce(asked(F.lag("text").over(order)), F.lit(False))})
     own = own.withColumn("_address", matches_any(folded(F.col("text"), normalise=False), (L.VIEWER_ADDRESS,)))
     fields = ["unit_id", "functions", "primary_function", "certainty", "emotion_expressed", "stance", "emotions_mentioned", "confidence", "_near", "_address"]
     own = own.select(F.struct(*fields).alias("u"))
@@ -201,3 +200,10 @@ def conflicts(pairs: DataFrame, units: DataFrame, run_id: str = "run_unknown") -
 
 def conflict_summary(found: DataFrame) -> DataFrame:
     return found.groupBy("conflict_explanation_type").agg(F.count(F.lit(1)).alias("n"), F.count_if("needs_review").alias("needs_review"))
+
+
+def audit_summary(found: DataFrame) -> DataFrame:
+    """total_conflicts and conflicts_by_type, one row; no type is listed where there is no conflict."""
+    by_type = conflict_summary(found).select("conflict_explanation_type", "n")
+    entries = F.array_sort(F.collect_list(F.struct("conflict_explanation_type", "n")))
+    return by_type.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_conflicts"), F.map_from_entries(entries).alias("conflicts_by_type"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as L
 from ..functions.notation import compile_notation, normalize_codes, strings
 from ..functions.text import contains_any
-from .segment import in_order
+from .segment import with_neighbours
 
 FLAG = "struct<rule_id:string,severity:string,message:string,field:string>"
 #: What each rule's flag says.
@@ -73,7 +73,8 @@ def validate(units: DataFrame, always_parentheses: bool = False) -> DataFrame:
     for name, kind in (("validator_flags", f"array<{FLAG}>"), ("inherited_functions", f"array<{INHERITED}>"), ("relation_types", "array<string>"), ("evidence_spans", "array<struct<source:string>>")):
         if name not in own.columns:
             own = own.withColumn(name, F.array().cast(kind))
-    own = own.withColumns({"_before": F.lag("text").over(in_order()), "_flags": F.coalesce("validator_flags", F.array().cast(f"array<{FLAG}>")), "_f": normalize_codes(F.col("functions")), "_was": F.col("final_notation")})
+    own = with_neighbours(own, 1, 0, lambda order: {"_before": F.lag("text").over(order)})
+    own = own.withColumns({"_flags": F.coalesce("validator_flags", F.array().cast(f"array<{FLAG}>")), "_f": normalize_codes(F.col("functions")), "_was": F.col("final_notation")})
     has = lambda code: F.array_contains("_f", code)
 
     # Each step is a column of its own, so that none is spelt out again in those that follow.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
-from ..operators import chains, evaluate, heuristics, model_calls, relations, review, rollups, segment, similarity, validate
+from ..operators import chains, embeddings, evaluate, heuristics, model_calls, relations, review, rollups, segment, similarity, validate
 from ..sources import sinks
 
 
@@ -64,18 +64,27 @@ def detect_for_run(spark: SparkSession, run_dir: str, run_id: str) -> dict[str,
     return {"relations": found, "chains": chained, "document_rollups": sinks.read_table(spark, run_dir, "document_rollups")}
 
 
-def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K) -> DataFrame:
-    """Conflicts between units whose text, in its context, reads alike; neighbours are not compared."""
+def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, config: dict | None = None) -> DataFrame:
+    """Conflicts between units whose text, in its context, reads alike; neighbours are not compared.
+
+    config: names the provider of vectors (see embeddings.vectors_from_config), by
+    default local ones; those of others are kept in the run's table ``vectors``, so
+    a second audit asks for none of them again. The summary is a table beside it.
+    """
     units = sinks.read_table(spark, run_dir, "units")
-    texts = units.select("unit_id", similarity.context_text("text").alias("context"))
-    sparse = similarity.hash_embedding(texts, "unit_id", "context")
-    cells = F.map_from_entries(F.collect_list(F.struct("bucket", "weight")))
-    dense = sparse.groupBy("unit_id").agg(cells.alias("m")).select("unit_id", F.transform(F.sequence(F.lit(0), F.lit(L.EMBEDDING_SIZE - 1)), lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0.0))).alias("v"))
-    placed = dense.join(units.select("unit_id", "document_id", "sequence_index"), "unit_id")
-    vectors = similarity.normalise_vectors(placed, "unit_id", "v", F.col("document_id"), F.col("sequence_index"))
+    texts = segment.with_neighbours(units.select("document_id", "sequence_index", "unit_id", "text"), 1, 1, lambda order: {"context": similarity.context_text(order, "text")})
+    found = embeddings.vectors_from_config(config or {}, texts, "unit_id", "context", f"{run_dir}/vectors")
+    placed = found.join(units.select("unit_id", "document_id", "sequence_index"), "unit_id")
+    vectors = similarity.normalise_vectors(placed, "unit_id", "vector", F.col("document_id"), F.col("sequence_index"))
     pairs = similarity.similar_pairs(vectors, threshold, top_k, skip_neighbours=True)
-    sinks.write_table(similarity.conflicts(pairs, units, run_id), run_dir, "similarity_conflicts")
-    return sinks.read_table(spark, run_dir, "similarity_conflicts")
+    sinks.write_table(pairs, run_dir, "similar_pairs")
+    sinks.write_table(similarity.conflicts(sinks.read_table(spark, run_dir, "similar_pairs"), units, run_id), run_dir, "similarity_conflicts")
+    conflicts = sinks.read_table(spark, run_dir, "similarity_conflicts")
+    counted = F.struct(F.lit(run_id).alias("run_id"), F.lit(threshold).alias("threshold"), F.lit(top_k).alias("top_k"))
+    sums = similarity.audit_summary(conflicts).select(counted.alias("c"), "*").select("c.*", "total_conflicts", "conflicts_by_type")
+    sums = sums.withColumns({"total_units": F.lit(units.count()), "total_pairs_considered": F.lit(sinks.read_table(spark, run_dir, "similar_pairs").count())})
+    sinks.write_table(sums, run_dir, "similarity_summary")
+    return conflicts
 
 
 CONFLICT = "conflict_id string, run_id string, unit_id_a string, unit_id_b string, similarity double, notation_distance double, conflict_score double, conflict_explanation_type string, differing_fields array<string>, needs_review boolean"
