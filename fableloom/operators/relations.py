@@ -56,42 +56,60 @@ RULES: tuple[Rule, ...] = (
     Rule("adjacent_elaboration", "ELAB", 0.62, ("SEQ",), ("A", "K", "F", "M"), ("A", "F", "M", "U"), weak=True),
     Rule("adjacent_structural_sequence", "SEQ", 0.6, ("ELAB",), either=("T", "M", "L"), backward=False, weak=True),
 )
-RELATION = "struct<bit:int,rule_id:string,relation_type:string,backward:boolean,base:double,rejected:array<string>>"
+RELATION = "struct<rule_id:string,relation_type:string,backward:boolean,base:double,rejected:array<string>>"
 
 
 def _any(mask: Column, names: tuple[str, ...]) -> Column:
     return mask.bitwiseAND(F.lit(sum(_BITS[n] for n in names)).cast("long")) != 0
 
 
-def fired_rules(f: Column, s: Column, distance: Column) -> Column:
-    """Bits of the RULES that fire for an earlier unit of mask f and a later one of mask s."""
+def roles(mask: Column) -> tuple[Column, Column]:
+    """Two numbers of a unit: bits of the RULES that it fits as the earlier unit of a pair, and as the later one.
 
-    def holds(r: Rule) -> Column:
-        tests = [_any(f, r.first)] if r.first else []
-        tests += [_any(s, r.second)] if r.second else []
-        tests += [_any(f, r.either) | _any(s, r.either)] if r.either else []
-        tests += [_any(s, (n[1:],)) if n.startswith("~") else ~_any(s, (n,)) for n in r.but]
-        return reduce(lambda a, b: a & b, tests)
-
-    bit = {r: 1 << i for i, r in enumerate(RULES)}
-    strong = reduce(lambda a, b: a + b, [F.when(holds(r), bit[r]).otherwise(0) for r in RULES if not r.weak])
+    A rule fires for a pair whose units fit both sides, so that one ``&`` of two
+    numbers tells all rules at once. A rule of ``either`` has a second bit, above
+    all others: the lower one is for the earlier unit having it, the other for the later.
+    """
+    first, second = [], []
+    for i, r in enumerate(RULES):
+        tests = [_any(mask, r.second)] if r.second else []
+        tests += [_any(mask, (n[1:],)) if n.startswith("~") else ~_any(mask, (n,)) for n in r.but]
+        own = _any(mask, r.first or r.either) if r.first or r.either else F.lit(True)
+        first.append((own, 1 << i))
+        second.append((reduce(lambda a, b: a & b, tests, F.lit(True)), 1 << i))
+        if r.either:
+            first.append((F.lit(True), 1 << i + len(RULES)))
+            second.append((_any(mask, r.either), 1 << i + len(RULES)))
+    return tuple(reduce(lambda a, b: a + b, [F.when(t, F.lit(n)).otherwise(F.lit(0)) for t, n in side]) for side in (first, second))
+
+
+#: Bits of the rules that hold for any pair, and of those for neighbours alone.
+_STRONG = sum(1 << i for i, r in enumerate(RULES) if not r.weak)
+_WEAK = [(i, 1 << i | (1 << i + len(RULES) if r.either else 0)) for i, r in enumerate(RULES) if r.weak]
+
+
+def fired_rules(both: Column, distance: Column) -> Column:
+    """Bits of the RULES that fire for a pair. both: what the earlier unit's first and the later one's second number have in common."""
     weak = F.when(distance != 1, 0)
-    for r in RULES:
-        weak = weak.when(holds(r), bit[r]) if r.weak else weak
+    for i, bits in _WEAK:
+        weak = weak.when(both.bitwiseAND(F.lit(bits)) != 0, 1 << i)
+    strong = both.bitwiseAND(F.lit(_STRONG))
     return F.when(strong != 0, strong).otherwise(weak.otherwise(0))
 
 
 def unit_mask(text: Column, start: Column, functions: Column) -> Column:
     """What a unit is, as bits. text: lower case, searched for markers; start: lower case, whose beginning tells an answer."""
-    own = reduce(lambda a, b: a + b, [F.when(F.array_contains(functions, c), F.lit(_BITS[c]).cast("long")).otherwise(F.lit(0).cast("long")) for c in L.FUNCTIONS])
+    long = lambda n: F.lit(n).cast("long")
+    codes = F.create_map(*[x for c in L.FUNCTIONS for x in (F.lit(c), long(_BITS[c]))])
+    own = F.aggregate(F.coalesce(functions, F.array().cast("array<string>")), long(0), lambda m, c: m.bitwiseOR(F.coalesce(codes[c], long(0))))
 
     def named(t: Column) -> Column:
-        return reduce(lambda a, b: a + b, [F.when(contains_any(t, m), F.lit(_BITS[k]).cast("long")).otherwise(F.lit(0).cast("long")) for k, m in L.MARKERS.items()])
+        return reduce(lambda a, b: a + b, [F.when(contains_any(t, m), long(_BITS[k])).otherwise(long(0)) for k, m in L.MARKERS.items()])
 
     # Most units hold no marker at all, which one search for all of them tells.
     every = "|".join(re.escape(m) for m in dict.fromkeys(m for ms in L.MARKERS.values() for m in ms))
-    marked = F.when(F.rlike(text, F.lit(every)), apart(text, named)).otherwise(F.lit(0).cast("long"))
-    return own + marked + F.when(starts_with_any(start, L.ANSWER_STARTS), F.lit(_BITS["answer_like"]).cast("long")).otherwise(F.lit(0).cast("long"))
+    marked = F.when(F.rlike(text, F.lit(every)), apart(text, named)).otherwise(long(0))
+    return own + marked + F.when(starts_with_any(start, L.ANSWER_STARTS), long(_BITS["answer_like"])).otherwise(long(0))
 
 
 def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance: int = L.MAX_DISTANCE, min_confidence: float = L.MIN_CONFIDENCE, size: int = CUT_UNITS) -> DataFrame:
@@ -99,18 +117,21 @@ def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance
 
     Each unit meets the next ``max_distance`` of its document, taken by one
     window over cuts of the document's order: one shuffle and no join. What rules
-    ask of a unit is made into bits before. Confidence falls by 0.08 with every
-    further step.
+    ask of either unit is settled before, so that pairs compare two numbers.
+    Confidence falls by 0.08 with every further step.
     """
     text, start = F.lower(F.concat_ws(" ", "text", "normalized_text")), F.lower(F.coalesce("normalized_text", F.lit("")))
-    own = units.select("document_id", "sequence_index", F.struct("unit_id", "sequence_index", unit_mask(text, start, F.col("functions")).alias("mask"), "text").alias("f"))
+    masked = units.select("document_id", "sequence_index", "unit_id", "text", unit_mask(text, start, F.col("functions")).alias("mask"))
+    first, second = roles(F.col("mask"))
+    own = masked.select("document_id", "sequence_index", F.struct("unit_id", "sequence_index", first.alias("first"), second.alias("second"), "text").alias("f"))
     ahead = with_neighbours(own, 0, max_distance, lambda order: {"later": F.array(*[F.lead("f", k).over(order) for k in range(1, max_distance + 1)])}, size)
     pairs = ahead.select("document_id", "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
-    fired = pairs.withColumn("fired", fired_rules(F.col("f.mask"), F.col("s.mask"), F.col("distance"))).where("fired <> 0")
-    table = json.dumps([{"bit": 1 << i, "rule_id": r.rule_id, "relation_type": r.relation_type, "backward": r.backward, "base": r.base, "rejected": r.rejected} for i, r in enumerate(RULES)])
-    chosen = F.filter(F.from_json(F.lit(table), f"array<{RELATION}>"), lambda r: r["bit"].bitwiseAND(F.col("fired")) != 0)
+    fired = pairs.withColumn("fired", fired_rules(F.col("f.first").bitwiseAND(F.col("s.second")), F.col("distance"))).where("fired <> 0")
+    table = json.dumps([{"rule_id": r.rule_id, "relation_type": r.relation_type, "backward": r.backward, "base": r.base, "rejected": r.rejected} for r in RULES])
+    numbers = F.array_remove(F.array(*[F.when(F.col("fired").bitwiseAND(F.lit(1 << i)) != 0, i).otherwise(-1) for i in range(len(RULES))]), -1)
     # Two rules never give the same type and direction for one pair, so taking the first of each is all there is to repeats.
-    rows = fired.select("document_id", "f", "s", "distance", F.explode(chosen).alias("r"))
+    # Some rule has fired, so the outer form gives the same rows; the other would be tested for being empty before.
+    rows = fired.select("document_id", "f", "s", "distance", F.explode_outer(numbers).alias("number")).withColumn("r", F.get(F.from_json(F.lit(table), f"array<{RELATION}>"), F.col("number")))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("r.base") - L.STEP_PENALTY * (F.col("distance") - 1)))
     ends = {
         "source_unit_id": F.when(F.col("r.backward"), F.col("s.unit_id")).otherwise(F.col("f.unit_id")),

@@ -15,8 +15,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores: a table that is read in fewer pieces than there are cores is dealt out first, a larger one is left as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("document_id"), "text", "lang")
+    return spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("document_id"), "text", "lang")
 
 
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
