@@ -32,7 +32,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "review":
         R.review_run(spark, args.run_dir)
     elif args.command == "evaluate":
-        gold = evaluate.gold_units(spark.read.json(args.input))
+        gold = evaluate.read_gold(spark, args.input)
         found = R.evaluate_run(spark, args.run_dir, gold)
         print(sinks.markdown_report(found["evaluation"], f"Evaluation of {args.run_dir}"))
     elif args.command == "reliability":

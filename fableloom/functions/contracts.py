@@ -87,3 +87,34 @@ def json_schema(kind: T.DataType) -> dict:
         return {"type": "object", "additionalProperties": json_schema(kind.valueType)}
     names = {T.BooleanType: "boolean", T.IntegerType: "integer", T.LongType: "integer", T.ShortType: "integer", T.DoubleType: "number", T.FloatType: "number"}
     return {"type": names.get(type(kind), "string")}
+
+
+def mismatch(kind: T.DataType, value: object, at: str = "$") -> str | None:
+    """What is wrong with a parsed JSON value by the JSON Schema of a type, with its place, or None.
+
+    Objects may leave out nullable fields and hold no others; a whole number is a
+    number, a truth value is none.
+    """
+    if isinstance(kind, T.StructType):
+        if not isinstance(value, dict):
+            return f"{at}: not an object"
+        if more := sorted(set(value) - set(kind.names)):
+            return f"{at}: unknown field {more[0]}"
+        for f in kind.fields:
+            if value.get(f.name) is None:
+                if not f.nullable:
+                    return f"{at}.{f.name}: missing"
+            elif wrong := mismatch(f.dataType, value[f.name], f"{at}.{f.name}"):
+                return wrong
+        return None
+    if isinstance(kind, T.ArrayType):
+        if not isinstance(value, list):
+            return f"{at}: not an array"
+        return next((w for i, x in enumerate(value) if (w := mismatch(kind.elementType, x, f"{at}[{i}]"))), None)
+    if isinstance(kind, T.MapType):
+        if not isinstance(value, dict):
+            return f"{at}: not an object"
+        return next((w for k, x in value.items() if (w := mismatch(kind.valueType, x, f"{at}.{k}"))), None)
+    name = json_schema(kind)["type"]
+    fits = {"boolean": bool, "integer": int, "number": (int, float), "string": str}[name]
+    return None if isinstance(value, fits) and (name == "boolean" or not isinstance(value, bool)) else f"{at}: not a {name}"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.notation import jaccard, same_set
@@ -21,6 +21,51 @@ def gold_units(records: DataFrame) -> DataFrame:
     return checked.select("unit.*")
 
 
+#: The fields of a gold unit that evaluation knows, and those that it cannot do without.
+GOLD_FIELDS = {
+    "unit_id": "string", "document_id": "string", "sequence_index": "int", "text": "string", "functions": "array<string>", "primary_function": "string", "secondary_functions": "array<string>", "certainty": "string",
+    "emotion_expressed": "string", "emotion_intensity": "int", "emotions_mentioned": "array<string>", "stance": "string", "confidence": "double", "final_notation": "string", "needs_review": "boolean",
+}
+GOLD_NEEDS = ("unit_id", "functions", "primary_function")
+
+
+def gold_lines(spark: SparkSession, path: str) -> DataFrame:
+    """file, line (from 1) and value of the lines of gold files that hold anything. Gold is made by hand or by a committee: one task reads a file."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\r?\n")).alias("at", "value"))
+    return files.where(F.trim("value") != "").select("file", (F.col("at") + 1).alias("line"), "value")
+
+
+def gold_records(lines: DataFrame) -> DataFrame:
+    """file, line, problem and the fields of a unit for each of lines(file, line, value), of whichever shape each is.
+
+    A record has a unit and a gold_type, or a unit and a status, or a unit alone,
+    or is a bare unit: rows are told apart by their own fields, so one file may mix
+    them. problem says why a record cannot be used: no JSON object, a kind of gold
+    that is no measure, a field that is missing or of another type.
+    """
+    record = F.try_parse_json("value")
+    own = lines.select("file", "line", record.alias("r"), F.coalesce(F.json_object_keys("value"), F.array().cast("array<string>")).alias("keys"))
+    has = lambda k: F.array_contains("keys", k)
+    kind = F.when(has("gold_type"), F.try_variant_get("r", "$.gold_type", "string")).when(has("status") & has("unit"), F.try_variant_get("r", "$.status", "string"))
+    allowed = F.when(has("gold_type"), F.coalesce(kind.isin("human_gold", "synthetic_gold_high_confidence"), F.lit(False))).when(has("status") & has("unit"), F.coalesce(kind == "synthetic_gold_high_confidence", F.lit(False))).otherwise(F.lit(True))
+    unit = F.when(has("gold_type") | has("unit"), F.try_variant_get("r", "$.unit", "variant")).otherwise(F.col("r"))
+    taken = own.select("file", "line", "r", "keys", kind.alias("kind"), allowed.alias("allowed"), unit.alias("u"))
+    typed = taken.select("*", *[F.try_variant_get("u", f"$.{n}", t).alias(n) for n, t in GOLD_FIELDS.items()])
+    there = lambda n: F.try_variant_get("u", f"$.{n}", "variant").isNotNull() & ~F.coalesce(F.is_variant_null(F.try_variant_get("u", f"$.{n}", "variant")), F.lit(False))
+    wrong = F.when(F.col("r").isNull() | (F.size("keys") == 0), F.lit("no JSON object")).when(~F.col("allowed"), F.concat(F.lit("not usable as gold: "), F.coalesce("kind", F.lit("null"))))
+    for n, t in GOLD_FIELDS.items():
+        wrong = wrong.when(there(n) & F.col(n).isNull(), F.lit(f"{n} is not of type {t}"))
+        wrong = wrong.when(F.col(n).isNull(), F.lit(f"{n} is missing")) if n in GOLD_NEEDS else wrong
+    return typed.select("file", "line", wrong.alias("problem"), *GOLD_FIELDS)
+
+
+def read_gold(spark: SparkSession, path: str) -> DataFrame:
+    """The units of gold files of JSON lines; the first record that cannot be used fails, with its file, line and problem."""
+    found = gold_records(gold_lines(spark, path))
+    place = F.concat(F.lit("invalid gold record at "), "file", F.lit(":"), F.col("line").cast("string"), F.lit(": "), "problem")
+    return found.where(F.when(F.col("problem").isNull(), F.lit(True)).otherwise(F.raise_error(place).cast("boolean"))).select(*GOLD_FIELDS)
+
+
 def last_by_unit(units: DataFrame, order: str) -> DataFrame:
     """Of repeated unit_ids the last row by ``order``."""
     return units.groupBy("unit_id").agg(F.max_by(F.struct(*units.columns), order).alias("u")).select("u.*")

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lexicon as L
+from ..functions.contracts import json_schema, mismatch
 from ..functions.notation import normalize_codes, strings
 from ..sources.sinks import read_table
 from .segment import around, with_neighbours
@@ -26,7 +29,8 @@ from .validate import flag, still_relevant
 BACKOFF = (2.0, 8.0, 20.0)
 #: A committee is a short list.
 MAX_REVIEWERS = 100
-RESULT = T.StructType([T.StructField(n, k) for n, k in (("cache_key", T.StringType()), ("ok", T.BooleanType()), ("attempts", T.IntegerType()), ("response", T.StringType()), ("error", T.StringType()))])
+_RESULT = {"cache_key": T.StringType(), "ok": T.BooleanType(), "attempts": T.IntegerType(), "response": T.StringType(), "error": T.StringType(), "cached": T.BooleanType(), "input_tokens": T.LongType(), "output_tokens": T.LongType()}
+RESULT = T.StructType([T.StructField(n, k) for n, k in _RESULT.items()])
 
 
 class TransientError(Exception):
@@ -42,55 +46,128 @@ def json_payload(text: str) -> dict:
     return found
 
 
-def call_model(requests: DataFrame, transport: Callable[[str], str], check: Callable[[dict], str | None], cache: DataFrame | None = None, parallel: int = 8, dry_run: bool = False, backoff: tuple[float, ...] = BACKOFF, store: str | None = None) -> DataFrame:
-    """cache_key, ok, attempts, response (JSON) and error for the distinct requests(request, a JSON string).
+@dataclass(frozen=True)
+class Profile:
+    """Which model is asked and how: all of it goes with every request and so into the key of the cache.
 
-    check says what is wrong with a parsed reply, or None. Transient errors are
-    tried len(backoff) times, wrong replies once. A dry run answers ok without a
-    response. Rows of cache(cache_key, response) are taken as they are, with no attempt.
-    store: a folder of answers; good ones of earlier calls serve as cache, and new
-    ones are written there before use, so that no request is made twice.
+    schema: the type of an answer. Its JSON Schema is part of the request, and an
+    answer that does not keep it to the letter is refused.
     """
-    if store is not None and not dry_run:
-        spark = requests.sparkSession
-        earlier = read_table(spark, *os.path.split(store), RESULT.simpleString()[7:-1].replace(":", " ")).where("ok").select("cache_key", "response")
-        known = earlier if cache is None else earlier.unionByName(cache.select("cache_key", "response"))
-        fresh = f"{store}/part={uuid.uuid4().hex}"
-        call_model(requests, transport, check, known, parallel, backoff=backoff).write.parquet(fresh)
-        return spark.read.schema(RESULT).parquet(fresh)
+
+    name: str
+    model: str
+    prompt_version: str = L.VERSION
+    schema: T.StructType | None = None
+    temperature: float | None = None
+
+    def sent(self, request: Column) -> Column:
+        """The request (JSON) within what the profile says."""
+        parts = {"profile": self.name, "model": self.model, "prompt_version": self.prompt_version, "temperature": self.temperature, "schema": json_schema(self.schema) if self.schema else None}
+        head = json.dumps({k: v for k, v in parts.items() if v is not None}, sort_keys=True)
+        return F.concat(F.lit(head[:-1] + ', "input": '), request, F.lit("}"))
+
+
+def profiles_from_config(config: dict, schemas: dict[str, T.StructType] | None = None) -> dict[str, Profile]:
+    """Profiles by name from the ``profiles`` part of a configuration; a model without one of its own is ``default_model``. Unknown settings are errors."""
+    found = {}
+    for name, own in (config.get("profiles") or {}).items():
+        if more := sorted(set(own) - {"model", "prompt_version", "temperature"}):
+            raise ValueError(f"profile {name}: unknown setting {more[0]}")
+        model = own.get("model") or config.get("default_model")
+        if not model:
+            raise ValueError(f"profile {name}: no model is named")
+        found[name] = Profile(name, model, own.get("prompt_version", L.VERSION), (schemas or {}).get(name), own.get("temperature"))
+    return found
+
+
+def _sent(request: Column, profile: Profile | None) -> Column:
+    return profile.sent(request) if profile else request
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df written down in the folder of ``spark.checkpoint.dir``, so that nothing is asked again when it is used twice or an executor is lost."""
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        if not sc.master.startswith("local["):
+            raise ValueError("name a shared folder in spark.checkpoint.dir, or give a store for answers")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="fableloom-"))
+    return df.checkpoint()
+
+
+def call_model(requests: DataFrame, transport: Callable[[str], str | tuple[str, dict]], check: Callable[[dict], str | None], cache: DataFrame | None = None, parallel: int = 8, dry_run: bool = False, backoff: tuple[float, ...] = BACKOFF, store: str | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """cache_key, ok, attempts, response (JSON), error, cached, input_tokens and output_tokens for the distinct requests(request, a JSON string).
+
+    transport gives a reply, or a reply and its usage (input_tokens, output_tokens).
+    schema: what a reply must keep to the letter; check then says what else is
+    wrong with it, or None. Transient errors are tried len(backoff) times, wrong
+    replies once. A dry run answers ok without a response. Rows of
+    cache(cache_key, response) are taken as they are, with no attempt, and cost no
+    tokens. store: a folder of answers; good ones of earlier calls serve as cache,
+    and new ones are written there. With or without one, answers are written down
+    before use, so that no request is made twice.
+    """
+    spark = requests.sparkSession
     own = requests.select(F.sha2("request", 256).alias("cache_key"), "request").dropDuplicates(["cache_key"])
-    blank = lambda **k: own.select("cache_key", *[F.lit(k.get(f.name)).cast(f.dataType).alias(f.name) for f in RESULT.fields[1:]])
+
+    def blank(frame: DataFrame, **k: object) -> DataFrame:
+        return frame.select(*[F.col(n) if n in frame.columns else F.lit(k.get(n)).cast(t).alias(n) for n, t in _RESULT.items()])
+
     if dry_run:
-        return blank(ok=True, attempts=0)
+        return blank(own, ok=True, attempts=0, cached=False)
+    if store is not None:
+        earlier = read_table(spark, *os.path.split(store), RESULT.simpleString()[7:-1].replace(":", " ")).where("ok").select("cache_key", "response")
+        cache = earlier if cache is None else earlier.unionByName(cache.select("cache_key", "response"))
     hits = None
     if cache is not None:
         known = cache.select("cache_key", "response").dropDuplicates(["cache_key"])
-        hits = own.join(known, "cache_key").select("cache_key", F.lit(True).alias("ok"), F.lit(0).alias("attempts"), "response", F.lit(None).cast("string").alias("error"))
+        hits = blank(own.join(known, "cache_key").drop("request"), ok=True, attempts=0, cached=True)
         own = own.join(known, "cache_key", "left_anti")
 
     def ask(key: str, request: str) -> tuple:
         for n, wait in enumerate(backoff, 1):
             try:
-                found = json_payload(transport(request))
-                wrong = check(found)
-                return (key, wrong is None, n, json.dumps(found, ensure_ascii=False, sort_keys=True) if wrong is None else None, wrong)
+                reply = transport(request)
+                text, usage = reply if isinstance(reply, tuple) else (reply, {})
+                spent = (False, usage.get("input_tokens"), usage.get("output_tokens"))
+                try:
+                    found = json_payload(text)
+                    wrong = (mismatch(schema, found) if schema else None) or check(found)
+                except ValueError as e:
+                    found, wrong = None, str(e)
+                return (key, wrong is None, n, json.dumps(found, ensure_ascii=False, sort_keys=True) if wrong is None else None, wrong, *spent)
             except TransientError as e:
                 if n == len(backoff):
-                    return (key, False, n, None, str(e))
+                    return (key, False, n, None, str(e), False, None, None)
                 time.sleep(wait)
-            except ValueError as e:
-                return (key, False, n, None, str(e))
-        return (key, False, 0, None, "no attempt")
+        return (key, False, 0, None, "no attempt", False, None, None)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame([ask(k, r) for k, r in zip(b["cache_key"], b["request"], strict=True)], columns=RESULT.names)
+            made = pd.DataFrame([ask(k, r) for k, r in zip(b["cache_key"], b["request"], strict=True)], columns=RESULT.names)
+            yield made.astype({"input_tokens": "Int64", "output_tokens": "Int64"})
 
     found = own.repartition(parallel, "cache_key").mapInPandas(run, RESULT)
-    return found if hits is None else found.unionByName(hits)
-
-
-CLASSIFICATION = "functions array<string>, primary_function string, certainty string, emotion_expressed string, emotion_intensity int, emotions_mentioned array<string>, stance string, confidence double, evidence_spans array<struct<text:string,char_start:int,char_end:int,source:string>>"
+    found = found if hits is None else found.unionByName(hits)
+    if store is None:
+        return settled(found)
+    fresh = f"{store}/part={uuid.uuid4().hex}"
+    found.write.parquet(fresh)
+    return spark.read.schema(RESULT).parquet(fresh)
+
+
+_SPAN = T.StructType([T.StructField("text", T.StringType(), False), T.StructField("char_start", T.IntegerType()), T.StructField("char_end", T.IntegerType()), T.StructField("source", T.StringType())])
+#: An answer of the classifier.
+CLASSIFICATION = T.StructType(
+    [
+        T.StructField("functions", T.ArrayType(T.StringType()), False),
+        *[T.StructField(n, T.StringType()) for n in ("primary_function", "certainty", "emotion_expressed")],
+        T.StructField("emotion_intensity", T.IntegerType()),
+        T.StructField("emotions_mentioned", T.ArrayType(T.StringType())),
+        T.StructField("stance", T.StringType()),
+        T.StructField("confidence", T.DoubleType()),
+        T.StructField("evidence_spans", T.ArrayType(_SPAN)),
+    ]
+)
 
 
 def classification_requests(units: DataFrame) -> DataFrame:
@@ -100,13 +177,17 @@ def classification_requests(units: DataFrame) -> DataFrame:
     return context.withColumn("request", asked).drop("_before", "_after")
 
 
-def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, dry_run: bool = False, store: str | None = None) -> DataFrame:
+def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, dry_run: bool = False, store: str | None = None, profile: Profile | None = None) -> DataFrame:
     """Annotated units labelled by a model: locked functions always stay, what the model leaves open falls back to candidates.
 
+    profile: of the model that is asked; where it has a schema, answers must keep
+    it. ``llm_usage`` says what a unit's answer took: whether it was cached, its
+    attempts and tokens.
+
     Where it fails (or in a dry run), the locked functions alone are taken, at confidence 0.6 and marked for review.
     Evidence spans of both are kept, each once.
     """
-    own = classification_requests(units)
+    own = classification_requests(units).withColumn("request", _sent(F.col("request"), profile))
 
     def check(found: dict) -> str | None:
         codes = found.get("functions")
@@ -114,8 +195,9 @@ def classify(units: DataFrame, transport: Callable[[str], str], cache: DataFrame
             return "functions must be a list of known codes"
         return None if found.get("confidence") is None or 0 <= found["confidence"] <= 1 else "confidence outside 0 to 1"
 
-    answers = call_model(own, transport, check, cache, dry_run=dry_run, store=store)
-    joined = own.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", F.from_json("response", CLASSIFICATION).alias("m")), "cache_key", "left")
+    answers = call_model(own, transport, check, cache, dry_run=dry_run, store=store, schema=profile.schema if profile else None)
+    usage = F.struct("cached", "attempts", "input_tokens", "output_tokens").alias("llm_usage")
+    joined = own.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", F.from_json("response", CLASSIFICATION).alias("m"), usage), "cache_key", "left")
     good = F.col("ok") & F.col("m").isNotNull()
     locked, m = F.col("locked_functions"), F.col("m")
     functions = normalize_codes(F.when(good, F.array_union(locked, m["functions"])).when(F.size(locked) > 0, locked).otherwise(strings("N")))
@@ -147,7 +229,7 @@ def merge_spans(spans: Column, more: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(spans, F.array()).cast(kind), F.coalesce(more, F.array().cast(kind))))
 
 
-def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None) -> DataFrame:
+def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None, profile: Profile | None = None) -> DataFrame:
     """Units with risks (see adjudication_reasons) asked again; the others pass untouched and are never sent.
 
     The second answer may take functions away; it adds some only with evidence
@@ -155,13 +237,13 @@ def adjudicate(units: DataFrame, transport: Callable[[str], str], cache: DataFra
     units should be a written table, so that what comes before is not asked again.
     """
     calm, risky = units.where(F.size("risks") == 0), units.where(F.size("risks") > 0)
-    asked = risky.withColumn("request", F.to_json(F.struct("unit_id", "text", "functions", "primary_function", "risks")))
+    asked = risky.withColumn("request", _sent(F.to_json(F.struct("unit_id", "text", "functions", "primary_function", "risks")), profile))
 
     def check(found: dict) -> str | None:
         codes = found.get("functions")
         return None if isinstance(codes, list) and codes and all(c in L.FUNCTIONS for c in codes) else "functions must be a list of known codes"
 
-    answers = call_model(asked, transport, check, cache, store=store)
+    answers = call_model(asked, transport, check, cache, store=store, schema=profile.schema if profile else None)
     kind = "functions array<string>, primary_function string, confidence double, evidence array<string>"
     joined = asked.withColumn("cache_key", F.sha2("request", 256)).join(answers.select("cache_key", "ok", F.from_json("response", kind).alias("m")), "cache_key", "left")
     good = F.col("ok") & F.col("m").isNotNull()
@@ -201,7 +283,7 @@ def _failures(joined: DataFrame, who: Column) -> DataFrame:
     return joined.where(~F.coalesce(F.col("ok"), F.lit(False)) | F.col("m").isNull()).select("review_item_id", who.alias("profile"), F.coalesce("error", F.lit("no answer")).alias("error"))
 
 
-def aggregate_by_model(items: DataFrame, votes: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None) -> tuple[DataFrame, DataFrame]:
+def aggregate_by_model(items: DataFrame, votes: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None, profile: Profile | None = None) -> tuple[DataFrame, DataFrame]:
     """The committee's decisions as an aggregator sees them, and its failures.
 
     items(review_item_id, text); votes; fallback: of committee_vote, whose row
@@ -209,24 +291,24 @@ def aggregate_by_model(items: DataFrame, votes: DataFrame, fallback: DataFrame,
     """
     own = votes.groupBy("review_item_id").agg(F.array_sort(F.collect_list(F.struct("position", "decision", "confidence"))).alias("votes"))
     asked = fallback.join(own, "review_item_id").join(items.select("review_item_id", "text"), "review_item_id")
-    asked = asked.withColumn("request", F.to_json(F.struct(F.lit("aggregator").alias("profile"), "review_item_id", "text", "votes", "aggregate_decision", "agreement")))
-    joined = _answered(asked, call_model(asked, transport, _decided, store=store), "decision string, confidence double")
+    asked = asked.withColumn("request", _sent(F.to_json(F.struct(F.lit("aggregator").alias("profile"), "review_item_id", "text", "votes", "aggregate_decision", "agreement")), profile))
+    joined = _answered(asked, call_model(asked, transport, _decided, store=store, schema=profile.schema if profile else None), "decision string, confidence double")
     good = F.coalesce(F.col("ok"), F.lit(False)) & F.col("m").isNotNull()
     decided = F.when(good, F.col("m.decision")).otherwise(F.col("aggregate_decision"))
     out = joined.withColumns({"confidence": F.when(good, F.round("m.confidence", 4)).otherwise(F.col("confidence")), "needs_final_adjudication": decided != "needs_review", "aggregate_decision": decided})
     return out.select(*fallback.columns), _failures(joined, F.lit("aggregator"))
 
 
-def final_by_model(items: DataFrame, aggregated: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None) -> tuple[DataFrame, DataFrame]:
+def final_by_model(items: DataFrame, aggregated: DataFrame, fallback: DataFrame, transport: Callable[[str], str], store: str | None = None, profile: Profile | None = None) -> tuple[DataFrame, DataFrame]:
     """The final judge's decisions, and its failures.
 
     fallback: of fallback_finals, whose row stands where the judge has no usable
     answer. An item is promoted only by an answer that names a status of gold.
     """
     asked = aggregated.join(items.select("review_item_id", "text"), "review_item_id")
-    asked = asked.withColumn("request", F.to_json(F.struct(F.lit("final").alias("profile"), "review_item_id", "text", "aggregate_decision", "agreement", "confidence")))
+    asked = asked.withColumn("request", _sent(F.to_json(F.struct(F.lit("final").alias("profile"), "review_item_id", "text", "aggregate_decision", "agreement", "confidence")), profile))
     wrong = lambda found: _decided(found) or (None if found.get("gold_status") in (None, *GOLD) else "gold_status is wrong")
-    joined = _answered(asked, call_model(asked, transport, wrong, store=store), "decision string, confidence double, gold_status string, needs_human_review boolean")
+    joined = _answered(asked, call_model(asked, transport, wrong, store=store, schema=profile.schema if profile else None), "decision string, confidence double, gold_status string, needs_human_review boolean")
     good = F.coalesce(F.col("ok"), F.lit(False)) & F.col("m").isNotNull()
     m = F.col("m")
     judged = joined.where(good).select("review_item_id", m["decision"].alias("final_decision"), m["gold_status"].alias("gold_status"), m["confidence"].alias("reliability_score"), F.coalesce(m["needs_human_review"], F.lit(False)).alias("needs_human_review"))
@@ -234,14 +316,14 @@ def final_by_model(items: DataFrame, aggregated: DataFrame, fallback: DataFrame,
     return judged.unionByName(rest.select(*judged.columns)), _failures(joined, F.lit("final"))
 
 
-def review_by_committee(items: DataFrame, reviewers: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+def review_by_committee(items: DataFrame, reviewers: DataFrame, transport: Callable[[str], str], cache: DataFrame | None = None, store: str | None = None, profile: Profile | None = None) -> tuple[DataFrame, DataFrame]:
     """Votes(review_item_id, position, decision, confidence) of every reviewer(reviewer_id, position, profile) on every item(review_item_id, text), and the failures.
 
     reviewers is a list of MAX_REVIEWERS at most that goes to every item; answers that fail are no votes.
     """
     if reviewers.limit(MAX_REVIEWERS + 1).count() > MAX_REVIEWERS:
         raise ValueError(f"more than {MAX_REVIEWERS} reviewers")
-    asked = items.select("review_item_id", "text").crossJoin(F.broadcast(reviewers)).withColumn("request", F.to_json(F.struct("review_item_id", "reviewer_id", "profile", "text")))
-    joined = _answered(asked, call_model(asked, transport, _decided, cache, store=store), "decision string, confidence double")
+    asked = items.select("review_item_id", "text").crossJoin(F.broadcast(reviewers)).withColumn("request", _sent(F.to_json(F.struct("review_item_id", "reviewer_id", "profile", "text")), profile))
+    joined = _answered(asked, call_model(asked, transport, _decided, cache, store=store, schema=profile.schema if profile else None), "decision string, confidence double")
     votes = joined.where("ok AND m IS NOT NULL").select("review_item_id", "position", F.col("m.decision").alias("decision"), F.col("m.confidence").alias("confidence"))
     return votes, _failures(joined, F.col("reviewer_id"))
