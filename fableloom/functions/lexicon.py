@@ -112,6 +112,15 @@ CHAIN_MIN_SCORE, CHAIN_LENGTH, CHAIN_GAP, CHAIN_REVIEW_PENALTY, CHAIN_REVIEW_BEL
 SIMILARITY_THRESHOLD, SIMILARITY_TOP_K, EMBEDDING_SIZE = 0.82, 10, 128
 VIEWER_ADDRESS = r"\b(tu|tus|te|ti|contigo|ustedes|preguntate)\b"
 
+# What a conflict's explanation says.
+EXPLANATIONS = {
+    "viewer": "Difference is only viewer-call V and is supported by direct address.",
+    "context": "R/Y difference is explained by a nearby question anchor for one unit.",
+    "claims": "Very similar units differ across A/K/O boundary.",
+    "emotion": "Possible confusion between expressed and mentioned emotion.",
+    "other": "Similar units have materially different notation fields.",
+}
+
 # Review and committee
 REVIEW_CONFUSION_GROUPS = (("A", "K", "O"), ("R", "Y"), ("D", "Q", "K"), ("E", "H", "G"), ("S", "I", "U"), ("C", "B", "X"), ("T", "M", "L", "Z"))
 REVIEW_CONFIDENCE, REVIEW_INTENSITY, REVIEW_FUNCTIONS, QA_SAMPLE = 0.85, 3, 3, 10

@@ -183,6 +183,10 @@ def conflicts(pairs: DataFrame, units: DataFrame, run_id: str = "run_unknown") -
     ga, gb = F.array_intersect(a["functions"], group), F.array_intersect(b["functions"], group)
     claims = (F.size(ga) > 0) & (F.size(gb) > 0) & ~same_set(ga, gb)
     kind = F.when(viewer, "allowed_by_taxonomy").when(context, "context_explains_difference").when(claims, "likely_inconsistency").otherwise("needs_human_review")
+    emotion = F.arrays_overlap("differing_fields", strings("emotion_expressed", "emotions_mentioned"))
+    says = F.lit(L.EXPLANATIONS["other"])
+    for name, test in (("emotion", emotion), ("claims", claims), ("context", context), ("viewer", viewer)):
+        says = F.when(test, L.EXPLANATIONS[name]).otherwise(says)
     score = F.col("similarity") * F.col("notation_distance") * (a["confidence"] + b["confidence"]) / 2
     return both.select(
         hash_id("sim_", run_id, F.least("i", "j"), F.greatest("i", "j")).alias("conflict_id"),
@@ -193,6 +197,7 @@ def conflicts(pairs: DataFrame, units: DataFrame, run_id: str = "run_unknown") -
         F.round("notation_distance", 6).alias("notation_distance"),
         F.round(score, 6).alias("conflict_score"),
         kind.alias("conflict_explanation_type"),
+        says.alias("explanation"),
         "differing_fields",
         (~(viewer | context)).alias("needs_review"),
     )

@@ -333,6 +333,114 @@ def conflict_explanations(spark, d):
     return Y.conflict_summary(Y.conflicts(_similar(spark, d), _vector_units(spark, d), "run_vectors"))
 
 
+def _has(side: str, *codes: str) -> str:
+    return f"list_has_any({side}.f, [{', '.join(repr(c) for c in codes)}])"
+
+
+def _says(side: str, marker: str) -> str:
+    return "(" + " OR ".join(f"contains({side}.low, '{m}')" for m in L.MARKERS[marker]) + ")"
+
+
+_ANSWERS = "(" + " OR ".join(f"starts_with(lower(b.text), '{x}')" for x in L.ANSWER_STARTS) + ")"
+#: Each rule on units a and b, a the earlier: condition, name, type, base, rejected types, and whether it points back.
+_ALL_RULES = [
+    (f"({_has('a', 'P')} OR {_says('a', 'QUESTION')}) AND ({_has('b', 'R')} OR {_ANSWERS})", "ANS_question_answer_anchor", "ANS", 0.92, 1, False),
+    (f"{_has('b', 'Y')} AND {_has('a', 'A', 'K', 'O', 'R')} AND {_says('b', 'CAUSAL')}", "Y_explains_previous_claim", "CAUSE", 0.82, 1, True),
+    (f"{_has('b', 'Y')} AND {_has('a', 'A', 'K', 'O', 'R')} AND NOT {_says('b', 'CAUSAL')}", "Y_explains_previous_claim", "EXPL", 0.74, 1, True),
+    (f"{_has('b', 'D', 'Q')} AND {_has('a', 'A', 'K', 'O', 'Y')}", "evidence_supports_prior_claim", "SUP", 0.86, 2, True),
+    (f"{_has('b', 'E')} AND {_has('a', 'A', 'K', 'F', 'Y', 'S')}", "example_illustrates_previous_unit", "EXMP", 0.82, 1, True),
+    (f"{_has('b', 'G')} AND {_has('a', 'A', 'K', 'F', 'Y')}", "analogy_maps_to_previous_unit", "ANLG", 0.84, 1, True),
+    (f"{_has('b', 'C')} OR {_says('b', 'CONTRAST')}", "contrast_with_previous_unit", "CONTR", 0.78, 1, True),
+    (f"{_has('b', 'B')} OR {_says('b', 'REFUTATION')}", "refutation_targets_previous_unit", "REFUT", 0.84, 1, True),
+    (f"{_has('b', 'X')} OR {_says('b', 'RISK')}", "risk_attaches_to_previous_unit", "RISK", 0.8, 1, True),
+    (f"({_has('b', 'S')} OR {_says('b', 'SOLUTION')}) AND ({_has('a', 'X')} OR {_says('a', 'RISK')})", "solution_addresses_prior_risk", "SOLV", 0.86, 1, True),
+    (_has("b", "V"), "viewer_call_attaches_to_previous_unit", "CALL", 0.72, 1, True),
+    (f"{_has('b', 'Z')} AND {_has('a', 'A', 'K', 'Y', 'S', 'L')}", "conclusion_summarizes_previous_unit", "SUM", 0.76, 1, True),
+    (_says("b", "CONDITION"), "condition_modifies_previous_unit", "COND", 0.76, 1, True),
+]
+_WEAK_RULES = [
+    (f"{_has('a', 'A', 'K', 'F', 'M')} AND {_has('b', 'A', 'F', 'M', 'U')}", "adjacent_elaboration", "ELAB", 0.62, 1, True),
+    (f"{_has('a', 'T', 'M', 'L')} OR {_has('b', 'T', 'M', 'L')}", "adjacent_structural_sequence", "SEQ", 0.6, 1, False),
+]
+
+
+def _case(rules: list) -> list[str]:
+    return [f"CASE WHEN {c} THEN struct_pack(rule_id := '{n}', t := '{t}', base := {b}::DOUBLE, nrej := {k}, back := {str(w).lower()}) END" for c, n, t, b, k, w in rules]
+
+
+_CODED_RELATIONS = f"""WITH {X.CODED_SQL},
+p AS (
+  SELECT a.document_id, a.unit_id AS fu, b.unit_id AS su, b.sequence_index - a.sequence_index AS dist, list_filter([{", ".join(_case(_ALL_RULES))}], lambda x: x IS NOT NULL) AS strong, coalesce({", ".join(_case(_WEAK_RULES))}) AS weak
+  FROM cu a JOIN cu b ON a.document_id = b.document_id AND b.sequence_index BETWEEN a.sequence_index + 1 AND a.sequence_index + 3),
+r AS (SELECT document_id, fu, su, dist, unnest(CASE WHEN len(strong) > 0 THEN strong WHEN dist = 1 AND weak IS NOT NULL THEN [weak] ELSE [] END) AS x FROM p),
+rel AS (
+  SELECT document_id, CASE WHEN x.back THEN su ELSE fu END AS source_unit_id, CASE WHEN x.back THEN fu ELSE su END AS target_unit_id, x.rule_id AS rule_id, x.t AS relation_type,
+    round(x.base - 0.08::DOUBLE * (dist - 1), 4) AS confidence, x.base - 0.08::DOUBLE * (dist - 1) < 0.7 OR x.nrej > 1 AS needs_review FROM r WHERE round(x.base - 0.08::DOUBLE * (dist - 1), 4) >= 0.58)"""
+
+
+def _coded_relations(spark, d):
+    return R.detect_relations(X.coded_units(spark, d), "run_coded")
+
+
+@query(_CODED_RELATIONS + " SELECT document_id, source_unit_id, target_unit_id, rule_id, relation_type, confidence, needs_review FROM rel")
+def document_relations(spark, d):
+    return _coded_relations(spark, d).select("document_id", "source_unit_id", "target_unit_id", "rule_id", "relation_type", "confidence", "needs_review")
+
+
+@query(_CODED_RELATIONS + " SELECT rule_id, relation_type, count(*) AS n, count(*) FILTER (needs_review) AS needs_review FROM rel GROUP BY ALL")
+def relation_rule_counts(spark, d):
+    return _coded_relations(spark, d).groupBy("rule_id", "relation_type").agg(F.count(F.lit(1)).alias("n"), F.count_if("needs_review").alias("needs_review"))
+
+
+def _pattern_sql(name: str, steps: tuple[tuple[str, ...], ...]) -> str:
+    """Chains of one pattern of three steps from w(document_id, l), l the six units from each on."""
+    takes = [f"list_has_any(x.f, [{', '.join(repr(c) for c in s)}])" for s in steps]
+    return f"""SELECT DISTINCT document_id, '{name}' AS chain_type, s1.u || '|' || s2.u || '|' || s3.u AS unit_ids FROM (
+  SELECT document_id, s1, s2, list_filter(l, lambda x: x.q > s2.q AND {takes[2]})[1] AS s3 FROM (
+    SELECT document_id, l, s1, list_filter(l, lambda x: x.q > s1.q AND {takes[1]})[1] AS s2 FROM (
+      SELECT document_id, l, list_filter(l, lambda x: {takes[0]})[1] AS s1 FROM w) WHERE s1 IS NOT NULL)
+  WHERE s2 IS NOT NULL AND s2.q - s1.q <= {L.CHAIN_GAP}) WHERE s3 IS NOT NULL AND s3.q - s2.q <= {L.CHAIN_GAP}"""
+
+
+@query(f"""WITH {X.CODED_SQL},
+w AS (SELECT document_id, list(struct_pack(q := sequence_index, f := f, u := unit_id)) OVER (PARTITION BY document_id ORDER BY sequence_index ROWS BETWEEN CURRENT ROW AND 5 FOLLOWING) AS l FROM cu)
+""" + " UNION ALL ".join(_pattern_sql(name, steps) for name, steps, _ in L.SEQUENCE_CHAINS))
+def document_sequence_chains(spark, d):
+    own = C.sequence_chains(X.coded_units(spark, d))
+    return own.select("document_id", "chain_type", F.array_join(F.transform("members", lambda m: m["unit_id"]), "|").alias("unit_ids"))
+
+
+def _told_units(spark, d):
+    """Vectors as units of four a document, with sets of functions and texts that every explanation of a conflict turns up for."""
+    k = F.col("vec_id")
+    pick = lambda n, *v: F.get(F.array(*v), (k % n).cast("int"))
+    functions = pick(7, strings("A"), strings("A", "V"), strings("R"), strings("Y"), strings("K"), strings("E"), strings("R", "X"))
+    return table(spark, d, "embeddings").select(
+        k.alias("unit_id"), F.floor(k / 4).alias("document_id"), (k % 4).cast("int").alias("sequence_index"), pick(3, F.lit("para ti"), F.lit("¿por qué?"), F.lit("nada")).alias("text"), functions.alias("functions"), F.get(functions, F.lit(0)).alias("primary_function"),
+        F.lit("none").alias("certainty"), F.when(k % 2 == 0, "N").otherwise("A").alias("emotion_expressed"), F.lit("neutral").alias("stance"), F.when(k % 5 == 0, strings("T")).otherwise(strings()).alias("emotions_mentioned"), F.lit(0.8).alias("confidence"),
+    )
+
+
+@query(_SIMILAR + """, u AS (
+  SELECT vec_id AS k, [['A'], ['A', 'V'], ['R'], ['Y'], ['K'], ['E'], ['R', 'X']][vec_id % 7 + 1] AS f, ['para ti', '¿por qué?', 'nada'][vec_id % 3 + 1] AS text, vec_id % 2 AS e, CASE WHEN vec_id % 5 = 0 THEN ['T'] ELSE [] END AS m,
+    coalesce(contains(lag(['para ti', '¿por qué?', 'nada'][vec_id % 3 + 1]) OVER (PARTITION BY vec_id // 4 ORDER BY vec_id), '¿'), false) AS before FROM embeddings),
+met AS (
+  SELECT i, j, a.f AS fa, b.f AS fb, a.text = 'para ti' OR b.text = 'para ti' AS address, (contains(a.text, '¿') OR a.before) AS qa, (contains(b.text, '¿') OR b.before) AS qb, a.e <> b.e AS emo, len(a.m) <> len(b.m) AS told,
+    list_concat(list_filter(a.f, lambda x: NOT list_contains(b.f, x)), list_filter(b.f, lambda x: NOT list_contains(a.f, x))) AS odd, list_distinct(list_concat(a.f, b.f)) AS every,
+    (1 - len(list_intersect(a.f, b.f)) / len(list_distinct(list_concat(a.f, b.f))) + CASE WHEN a.f[1] = b.f[1] THEN 0 ELSE 1 END + CASE WHEN a.e = b.e THEN 0 ELSE 1 END) / 5 AS distance
+  FROM pairs JOIN u a ON a.k = i JOIN u b ON b.k = j),
+told AS (
+  SELECT i, j, distance, CASE WHEN odd = ['V'] AND address THEN 'viewer'
+    WHEN list_has_any(fa, ['R', 'Y']) AND list_has_any(fb, ['R', 'Y']) AND list_contains(every, 'R') AND list_contains(every, 'Y') AND qa <> qb THEN 'context'
+    WHEN list_has_any(fa, ['A', 'K', 'O']) AND list_has_any(fb, ['A', 'K', 'O']) AND list_filter(fa, lambda x: x IN ('A', 'K', 'O')) <> list_filter(fb, lambda x: x IN ('A', 'K', 'O')) THEN 'claims'
+    WHEN emo OR told THEN 'emotion' ELSE 'other' END AS branch FROM met WHERE (len(odd) > 0 OR emo OR told) AND distance > 0)
+SELECT i AS unit_id_a, j AS unit_id_b, round(distance, 6) AS notation_distance, branch NOT IN ('viewer', 'context') AS needs_review,
+  CASE branch """ + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in L.EXPLANATIONS.items()) + " END AS explanation FROM told")
+def told_conflicts(spark, d):
+    found = Y.conflicts(_similar(spark, d), _told_units(spark, d), "run_told")
+    return found.select("unit_id_a", "unit_id_b", "notation_distance", "needs_review", "explanation")
+
+
 @query(f"WITH {X.LABELLED_SQL} SELECT unit_id, round(1 - len(list_intersect(functions, ['A','D'])) / len(list_distinct(list_concat(functions, ['A','D']))), 6) AS label_distance FROM lu")
 def label_distance(spark, d):
     return X.labelled_units(spark, d).select("unit_id", F.round(Y.label_distance(F.col("functions"), strings("A", "D")), 6).alias("label_distance"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..functions.lexicon import MAX_UNIT_CHARS
+from ..functions.lexicon import FUNCTIONS, MAX_UNIT_CHARS
 from ..functions.notation import strings
 from ..operators.segment import segment_texts
 
@@ -88,6 +88,22 @@ def event_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Codes that turn up along a document by its id and the unit's number; every third unit has a second one.
+CODES = [c for c in FUNCTIONS if c != "N"]
+
+
+def coded_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units of all documents with functions by place and now and then a marker at the end of a text, so that every rule and pattern finds what it looks for."""
+    own = units(spark, sf_dir)
+    n = F.col("sequence_index").cast("long")
+    at = F.col("document_id") * 7 + n * n * 5 + F.floor(n / 3) * 11
+    code = lambda k: F.get(strings(*CODES), F.pmod(at + k, F.lit(len(CODES))).cast("int"))
+    functions = F.when(F.col("sequence_index") % 3 == 0, F.array(code(0), code(8))).otherwise(F.array(code(0)))
+    said = F.when((F.col("document_id") + n) % 11 == 0, " porque sí").when((F.col("document_id") + n) % 13 == 0, " si llueve").otherwise("")
+    own = own.withColumn("text", F.concat("text", said))
+    return own.select("document_id", "sequence_index", "unit_id", "text", F.col("text").alias("normalized_text"), functions.alias("functions"), F.concat(F.array_join(functions, "+"), F.lit("_N0{0}")).alias("final_notation"))
+
+
 EVENT_FUNCTIONS = {"view": "A", "click": "D", "signup": "Y", "purchase": "Z", "error": "X"}
 EVENTS_SQL = """
 eu AS (
@@ -113,5 +129,12 @@ pieces AS (SELECT {keys}, row_number() OVER (PARTITION BY {keys} ORDER BY i, j)
 
 
 UNITS_SQL = pieces_sql("(SELECT doc_id AS document_id, lang, text FROM documents)", "document_id, lang")
+_CODES_SQL = "[" + ", ".join(f"'{c}'" for c in CODES) + "]"
+_PLACE = "document_id * 7 + seq * seq * 5 + (seq // 3) * 11"
+CODED_SQL = UNITS_SQL + f""",
+cu AS (
+  SELECT document_id, seq AS sequence_index, document_id || '_u' || CASE WHEN seq > 99999 THEN CAST(seq AS VARCHAR) ELSE lpad(CAST(seq AS VARCHAR), 5, '0') END AS unit_id, text, lower(text || ' ' || text) AS low,
+    CASE WHEN seq % 3 = 0 THEN [{_CODES_SQL}[({_PLACE}) % {len(CODES)} + 1], {_CODES_SQL}[({_PLACE} + 8) % {len(CODES)} + 1]] ELSE [{_CODES_SQL}[({_PLACE}) % {len(CODES)} + 1]] END AS f
+  FROM (SELECT document_id, seq, text || CASE WHEN (document_id + seq) % 11 = 0 THEN ' porque sí' WHEN (document_id + seq) % 13 = 0 THEN ' si llueve' ELSE '' END AS text FROM pieces))"""
 #: Folded text for RE2, whose word boundaries know ASCII only; the one other letter of the corpus becomes a letter of the same length.
 FOLD_SQL = "replace(strip_accents(lower(text)), 'ß', 'q')"

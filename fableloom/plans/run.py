@@ -87,7 +87,7 @@ def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float =
     return conflicts
 
 
-CONFLICT = "conflict_id string, run_id string, unit_id_a string, unit_id_b string, similarity double, notation_distance double, conflict_score double, conflict_explanation_type string, differing_fields array<string>, needs_review boolean"
+CONFLICT = "conflict_id string, run_id string, unit_id_a string, unit_id_b string, similarity double, notation_distance double, conflict_score double, conflict_explanation_type string, explanation string, differing_fields array<string>, needs_review boolean"
 
 
 def review_run(spark: SparkSession, run_dir: str) -> DataFrame:
