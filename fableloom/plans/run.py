@@ -1,4 +1,4 @@
-"""A run over a corpus: a folder of Parquet tables, made stage by stage."""
+"""A run over a corpus: a folder of Parquet tables, made stage by stage and committed together."""
 
 from __future__ import annotations
 
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..operators import chains, embeddings, evaluate, heuristics, model_calls, relations, review, rollups, segment, similarity, validate
-from ..sources import sinks
+from ..sources.versions import RunTables
+from . import export
 
 
 def make_run_id(now: datetime | None = None) -> str:
@@ -25,13 +26,15 @@ def run_corpus(docs: DataFrame, run_dir: str, run_id: str, transport: Callable[[
     have some are cut along them. Without a model, units keep the default label and
     are not validated; with one, each unit is asked about once, its answer is kept
     in the run's llm_cache, and what is classified is written before the doubtful
-    units are asked about again. limit takes the first documents by id.
+    units are asked about again. limit takes the first documents by id. All
+    tables appear together when the last is written; a run that is lost before
+    leaves the folder as it was, but for answers of the model, which are kept.
     """
     spark = docs.sparkSession
     if limit is not None:
         docs = docs.orderBy("document_id").limit(limit)
-    sinks.write_table(docs, run_dir, "documents")
-    docs = sinks.read_table(spark, run_dir, "documents")
+    tables = RunTables(spark, run_dir)
+    docs = tables.write(docs, "documents")
     if segments is None:
         units = segment.segment_texts(docs)
     else:
@@ -41,49 +44,65 @@ def run_corpus(docs: DataFrame, run_dir: str, run_id: str, transport: Callable[[
     units = segment.with_defaults(heuristics.annotate(units, normalise=False))
     if transport is not None:
         store = f"{run_dir}/llm_cache"
-        sinks.write_table(validate.validate(model_calls.classify(units, transport, store=store)), run_dir, "classified")
-        classified = review.adjudication_reasons(sinks.read_table(spark, run_dir, "classified"))
+        classified = review.adjudication_reasons(tables.write(validate.validate(model_calls.classify(units, transport, store=store)), "classified"))
         units = validate.validate(model_calls.adjudicate(classified, transport, store=store).drop("risks"))
-    sinks.write_table(units, run_dir, "units")
-    out = detect_for_run(spark, run_dir, run_id)
+    units = tables.write(units, "units")
+    out = detect_for_run(spark, run_dir, run_id, tables)
     if with_similarity:
-        out["similarity_conflicts"] = audit_run(spark, run_dir, run_id)
+        out["similarity_conflicts"] = audit_run(spark, run_dir, run_id, tables=tables)
     manifest = spark.createDataFrame([(run_id, datetime.now(timezone.utc), L.VERSION, L.VERSION, L.VERSION, json.dumps({"model": transport is not None, "similarity": with_similarity, "limit": limit}))], "run_id string, created_at_utc timestamp, taxonomy_version string, prompt_version string, validator_version string, options string")
-    sinks.write_table(manifest, run_dir, "manifest")
-    return {"documents": docs, "units": sinks.read_table(spark, run_dir, "units"), "manifest": manifest, **out}
+    tables.write(manifest, "manifest")
+    tables.commit(run_id=run_id, command="run")
+    return {"documents": docs, "units": units, "manifest": manifest, **out}
 
 
-def detect_for_run(spark: SparkSession, run_dir: str, run_id: str) -> dict[str, DataFrame]:
-    """Relations, then chains, of a run's units, and sums of them for each document."""
-    units = sinks.read_table(spark, run_dir, "units")
-    sinks.write_table(relations.detect_relations(units, run_id), run_dir, "relations")
-    found = sinks.read_table(spark, run_dir, "relations")
-    sinks.write_table(chains.detect_chains(units, found, run_id), run_dir, "chains")
-    chained = sinks.read_table(spark, run_dir, "chains")
-    sinks.write_table(rollups.document_rollups(units, found, chained), run_dir, "document_rollups")
-    return {"relations": found, "chains": chained, "document_rollups": sinks.read_table(spark, run_dir, "document_rollups")}
-
-
-def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, config: dict | None = None) -> DataFrame:
+def model_run(spark: SparkSession, run_dir: str, transport: Callable[[str], str], step: str) -> DataFrame:
+    """A run's units classified by a model, or (step ``adjudicate``) the doubtful ones asked about again; relations and chains are found anew after that."""
+    tables, store = RunTables(spark, run_dir), f"{run_dir}/llm_cache"
+    if step == "classify":
+        plain = segment.with_defaults(heuristics.annotate(tables.read("units"), normalise=False))
+        units = validate.validate(model_calls.classify(plain, transport, store=store))
+    else:
+        units = validate.validate(model_calls.adjudicate(review.adjudication_reasons(tables.read("units")), transport, store=store).drop("risks"))
+    out = tables.write(units, "units")
+    detect_for_run(spark, run_dir, "run_unknown", tables)
+    tables.commit(command=step)
+    return out
+
+
+def detect_for_run(spark: SparkSession, run_dir: str, run_id: str, tables: RunTables | None = None) -> dict[str, DataFrame]:
+    """Relations, then chains, of a run's units, and sums of them for each document. tables: of a run that commits later itself."""
+    own = tables or RunTables(spark, run_dir)
+    units = own.read("units")
+    found = own.write(relations.detect_relations(units, run_id), "relations")
+    chained = own.write(chains.detect_chains(units, found, run_id), "chains")
+    sums = own.write(rollups.document_rollups(units, found, chained), "document_rollups")
+    if tables is None:
+        own.commit(run_id=run_id, command="detect")
+    return {"relations": found, "chains": chained, "document_rollups": sums}
+
+
+def audit_run(spark: SparkSession, run_dir: str, run_id: str, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, config: dict | None = None, tables: RunTables | None = None) -> DataFrame:
     """Conflicts between units whose text, in its context, reads alike; neighbours are not compared.
 
     config: names the provider of vectors (see embeddings.vectors_from_config), by
     default local ones; those of others are kept in the run's table ``vectors``, so
     a second audit asks for none of them again. The summary is a table beside it.
     """
-    units = sinks.read_table(spark, run_dir, "units")
+    own = tables or RunTables(spark, run_dir)
+    units = own.read("units")
     texts = segment.with_neighbours(units.select("document_id", "sequence_index", "unit_id", "text"), 1, 1, lambda order: {"context": similarity.context_text(order, "text")})
     found = embeddings.vectors_from_config(config or {}, texts, "unit_id", "context", f"{run_dir}/vectors")
     placed = found.join(units.select("unit_id", "document_id", "sequence_index"), "unit_id")
     vectors = similarity.normalise_vectors(placed, "unit_id", "vector", F.col("document_id"), F.col("sequence_index"))
     pairs = similarity.similar_pairs(vectors, threshold, top_k, skip_neighbours=True)
-    sinks.write_table(pairs, run_dir, "similar_pairs")
-    sinks.write_table(similarity.conflicts(sinks.read_table(spark, run_dir, "similar_pairs"), units, run_id), run_dir, "similarity_conflicts")
-    conflicts = sinks.read_table(spark, run_dir, "similarity_conflicts")
+    pairs = own.write(pairs, "similar_pairs")
+    conflicts = own.write(similarity.conflicts(pairs, units, run_id), "similarity_conflicts")
     counted = F.struct(F.lit(run_id).alias("run_id"), F.lit(threshold).alias("threshold"), F.lit(top_k).alias("top_k"))
     sums = similarity.audit_summary(conflicts).select(counted.alias("c"), "*").select("c.*", "total_conflicts", "conflicts_by_type")
-    sums = sums.withColumns({"total_units": F.lit(units.count()), "total_pairs_considered": F.lit(sinks.read_table(spark, run_dir, "similar_pairs").count())})
-    sinks.write_table(sums, run_dir, "similarity_summary")
+    own.write(sums.withColumns({"total_units": F.lit(units.count()), "total_pairs_considered": F.lit(pairs.count())}), "similarity_summary")
+    if tables is None:
+        own.commit(run_id=run_id, command="audit")
     return conflicts
 
 
@@ -92,11 +111,13 @@ CONFLICT = "conflict_id string, run_id string, unit_id_a string, unit_id_b strin
 
 def review_run(spark: SparkSession, run_dir: str) -> DataFrame:
     """The review set of a run."""
-    units = sinks.read_table(spark, run_dir, "units")
+    tables = RunTables(spark, run_dir)
+    units = tables.read("units")
     if "validator_flags" not in units.columns:
         units = units.withColumn("validator_flags", F.array().cast(segment.FLAGS))
-    sinks.write_table(review.build_review_set(units, sinks.read_table(spark, run_dir, "similarity_conflicts", CONFLICT)), run_dir, "review_items")
-    return sinks.read_table(spark, run_dir, "review_items")
+    items = tables.write(review.build_review_set(units, tables.read("similarity_conflicts", CONFLICT)), "review_items")
+    tables.commit(command="review")
+    return items
 
 
 def committee_run(spark: SparkSession, run_dir: str, reviewers: DataFrame, transport: Callable[[str], str], run_id: str = "run_unknown", max_items: int | None = None) -> dict[str, DataFrame]:
@@ -105,49 +126,52 @@ def committee_run(spark: SparkSession, run_dir: str, reviewers: DataFrame, trans
     Reviewers, then an aggregator, then a final judge are asked, each once for an
     item; where one has no usable answer, the rule stands that promotes nothing.
     """
-    items, store = sinks.read_table(spark, run_dir, "review_items"), f"{run_dir}/llm_cache"
+    tables, store = RunTables(spark, run_dir), f"{run_dir}/llm_cache"
+    items = tables.read("review_items")
     if max_items is not None:
         items = items.orderBy("review_item_id").limit(max_items)
 
-    def kept(frame: DataFrame, name: str) -> DataFrame:
-        sinks.write_table(frame, run_dir, name)
-        return sinks.read_table(spark, run_dir, name)
-
     votes, failed_votes = model_calls.review_by_committee(items, reviewers, transport, store=store)
-    votes = kept(votes, "votes")
+    votes = tables.write(votes, "votes")
     aggregated, failed_sums = model_calls.aggregate_by_model(items, votes, review.committee_vote(votes), transport, store=store)
-    aggregated = kept(aggregated, "aggregated")
+    aggregated = tables.write(aggregated, "aggregated")
     finals, failed_finals = model_calls.final_by_model(items, aggregated, review.fallback_finals(aggregated), transport, store=store)
-    finals = kept(finals, "finals")
-    units = sinks.read_table(spark, run_dir, "units").select("unit_id", "final_notation")
+    finals = tables.write(finals, "finals")
+    units = tables.read("units").select("unit_id", "final_notation")
     named = finals.join(items.select("review_item_id", F.get("unit_ids", F.lit(0)).alias("unit_id")), "review_item_id").join(units, "unit_id", "left")
-    return {
+    out = {
         "votes": votes,
         "aggregated": aggregated,
         "finals": finals,
-        "gold_candidates": kept(review.gold_candidates(named, run_id), "gold_candidates"),
-        "failures": kept(failed_votes.unionByName(failed_sums).unionByName(failed_finals), "failures"),
+        "gold_candidates": tables.write(review.gold_candidates(named, run_id), "gold_candidates"),
+        "failures": tables.write(failed_votes.unionByName(failed_sums).unionByName(failed_finals), "failures"),
     }
+    tables.commit(run_id=run_id, command="committee")
+    return out
 
 
-def evaluate_run(spark: SparkSession, run_dir: str, gold: DataFrame) -> dict[str, DataFrame]:
-    """Metrics, label metrics, confusions and audit counts of a validated run against gold units."""
-    units = sinks.read_table(spark, run_dir, "units")
+def evaluate_run(spark: SparkSession, run_dir: str, gold: DataFrame, run_id: str = "run_unknown") -> dict[str, DataFrame]:
+    """Metrics, label metrics, confusions, audit counts and their sums of a validated run against gold units."""
+    tables = RunTables(spark, run_dir)
+    units = tables.read("units")
     found = {
-        "evaluation": evaluate.run_metrics(units, gold, sinks.read_table(spark, run_dir, "similarity_conflicts", CONFLICT)),
+        "evaluation": evaluate.run_metrics(units, gold, tables.read("similarity_conflicts", CONFLICT)),
         "label_metrics": evaluate.label_metrics(units, gold),
         "confusions": evaluate.confusions(units, gold),
-        "audit": evaluate.audit_report(units, sinks.read_table(spark, run_dir, "relations"), sinks.read_table(spark, run_dir, "chains")),
+        "audit": evaluate.audit_report(units, tables.read("relations"), tables.read("chains")),
     }
-    for name, frame in found.items():
-        sinks.write_table(frame, run_dir, name)
-    return {name: sinks.read_table(spark, run_dir, name) for name in found}
+    out = {name: tables.write(frame, name) for name, frame in found.items()}
+    out["audit_summary"] = tables.write(export.audit_summary(out["audit"], units, run_id), "audit_summary")
+    tables.commit(run_id=run_id, command="evaluate")
+    return out
 
 
 def reliability_run(spark: SparkSession, run_dir: str) -> DataFrame:
-    """One row of reliability metrics of a committee's run; candidates for gold are written by bucket beside it."""
-    votes, aggregated, finals, candidates = (sinks.read_table(spark, run_dir, n) for n in ("votes", "aggregated", "finals", "gold_candidates"))
-    n = sinks.read_table(spark, run_dir, "review_items").count()
-    sinks.write_table(review.reliability_metrics(votes, aggregated, finals, candidates, n), run_dir, "reliability")
-    review.gold_buckets(candidates).write.mode("overwrite").partitionBy("bucket").parquet(f"{run_dir}/gold_buckets")
-    return sinks.read_table(spark, run_dir, "reliability")
+    """One row of reliability metrics of a committee's run; candidates for gold are a table with their bucket beside it."""
+    tables = RunTables(spark, run_dir)
+    votes, aggregated, finals, candidates = (tables.read(n) for n in ("votes", "aggregated", "finals", "gold_candidates"))
+    n = tables.read("review_items").count()
+    found = tables.write(review.reliability_metrics(votes, aggregated, finals, candidates, n), "reliability")
+    tables.write(review.gold_buckets(candidates), "gold_buckets")
+    tables.commit(command="reliability")
+    return found

@@ -93,6 +93,7 @@ def test_local_vectors_and_configuration(spark, tmp_path):
 def test_a_second_audit_asks_for_nothing(spark, tmp_path):
     from fableloom.plans import run
     from fableloom.sources import sinks
+    from fableloom.sources.versions import RunTables
 
     (tmp_path / "counting_provider.py").write_text(
         "import os\n\n\ndef vectors(texts, folder):\n    open(os.path.join(folder, os.urandom(8).hex()), 'w').close()\n    return [[1.0, float(len(t) % 2)] for t in texts]\n"
@@ -112,7 +113,7 @@ def test_a_second_audit_asks_for_nothing(spark, tmp_path):
         calls = len(os.listdir(tmp_path / "calls"))
         two = run.audit_run(spark, str(tmp_path / "run"), "r", 0.5, 10, config).count()
         assert one == two == 1 and 0 < calls == len(os.listdir(tmp_path / "calls"))
-        row = sinks.read_table(spark, str(tmp_path / "run"), "similarity_summary").first()
+        row = RunTables(spark, str(tmp_path / "run")).read("similarity_summary").first()
         assert (row.total_units, row.total_conflicts, row.total_pairs_considered) == (3, 1, 2) and row.conflicts_by_type == {"likely_inconsistency": 1}
     finally:
         sys.path.remove(str(tmp_path))
