@@ -60,9 +60,32 @@ def read_json_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return spark.read.schema(RECORD).option("multiLine", True).json(paths).select("*", F.col("_metadata.file_path").alias("source_path"))
 
 
+def numbered_lines(lines: DataFrame) -> DataFrame:
+    """source_path, line (from 1) and value of lines: rows of the text source with their ``_metadata``.
+
+    A file is read in blocks by many tasks, in whatever order these are packed.
+    Lines are numbered within their block, blocks are counted and their counts
+    summed along the file, so the number is the true one and no task sorts a file.
+    """
+    own = lines.select(F.col("_metadata.file_path").alias("source_path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), "value")
+    sums = own.groupBy("source_path", "block").agg(F.count(F.lit(1)).alias("n"))
+    before = sums.select("source_path", "block", (F.sum("n").over(Window.partitionBy("source_path").orderBy("block")) - F.col("n")).alias("before"))
+    placed = own.withColumn("place", F.row_number().over(Window.partitionBy("source_path", "block").orderBy("at")))
+    return placed.join(before, ["source_path", "block"]).select("source_path", (F.col("before") + F.col("place")).alias("line"), "value")
+
+
+def json_records(lines: DataFrame) -> DataFrame:
+    """One object a line with source_path and line, of numbered_lines; empty lines are none, and a line that is no object fails with its file and number."""
+    kind = T.StructType([*RECORD.fields, T.StructField("_bad", T.StringType())])
+    parsed = lines.where(F.trim("value") != "").withColumn("r", F.from_json("value", kind, {"columnNameOfCorruptRecord": "_bad"}))
+    place = F.concat(F.lit("no JSON object at "), "source_path", F.lit(":"), F.col("line").cast("string"))
+    whole = F.col("r").isNotNull() & F.col("r._bad").isNull() & F.json_object_keys("value").isNotNull()
+    return parsed.where(F.when(whole, F.lit(True)).otherwise(F.raise_error(place).cast("boolean"))).select(*[F.col(f"r.{n}").alias(n) for n in RECORD.names], "source_path", "line")
+
+
 def read_jsonl_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """One object a line, with ``line``, its order in the file's blocks."""
-    return spark.read.schema(RECORD).option("mode", "FAILFAST").json(paths).select("*", F.col("_metadata.file_path").alias("source_path"), F.monotonically_increasing_id().alias("line"))
+    """One object a line, with ``line``, its number in the file."""
+    return json_records(numbered_lines(spark.read.text(paths)))
 
 
 def is_segment_file(rows: DataFrame) -> DataFrame:
@@ -81,8 +104,8 @@ def load_transcripts(spark: SparkSession, path: str, limit: int | None = None) -
     Text, JSON and JSONL files are read as list_transcripts picks them; a JSONL
     file whose rows are segments is one document. Ids and languages come from the
     record, else the metadata file beside it, else path and content. A JSON record
-    without text and segments fails when its row is read, as does a path of another kind
-    at once. limit: the first documents by path and id.
+    without text and segments and a JSONL file without records fail when they are
+    read, as does a path of another kind at once. limit: the first documents by path and id.
     """
     suffix = path.rstrip("/").rpartition("/")[2].rpartition(".")
     if suffix[1] and suffix[2].isalnum() and suffix[2].lower() not in SUFFIXES:
@@ -92,7 +115,9 @@ def load_transcripts(spark: SparkSession, path: str, limit: int | None = None) -
     at = F.col("_metadata.file_path").alias("source_path")
     texts = reader("txt").text(path, wholetext=True).select(at, F.col("value").alias("text")).join(files, "source_path", "left_semi")
     objects = reader("json").schema(RECORD).option("multiLine", True).option("mode", "FAILFAST").json(path).select("*", at).join(files, "source_path", "left_semi")
-    lines = reader("jsonl").schema(RECORD).option("mode", "FAILFAST").json(path).select("*", at, F.monotonically_increasing_id().alias("line")).join(files, "source_path", "left_semi")
+    lines = json_records(numbered_lines(reader("jsonl").text(path)).join(files, "source_path", "left_semi"))
+    of_lines = files.where(F.lower("source_path").endswith(".jsonl"))
+    empty = of_lines.join(lines.select("source_path").distinct(), "source_path", "left_anti").select(F.raise_error(F.concat(F.lit("a JSONL transcript holds no record: "), "source_path")).cast("string").alias("text"))
     timed = is_segment_file(lines)
     rows = lines.join(timed, "source_path", "left_semi")
     plain = lines.join(timed, "source_path", "left_anti").drop("line")
@@ -109,6 +134,7 @@ def load_transcripts(spark: SparkSession, path: str, limit: int | None = None) -
     name = _present(F.col("document_id"), _metadata_id(), stable_document_id(F.col("source_path"), F.lit("")))
     parts = parts.select(name.alias("document_id"), "source_path", F.coalesce("language", _metadata("language"), F.lit("und")).alias("language"), F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"), F.lit("jsonl").alias("source_type"), *extra[1:])
     docs = docs.unionByName(whole.select(*docs.columns)).unionByName(parts.select(*docs.columns))
+    docs = docs.unionByName(empty, allowMissingColumns=True)
     cut = segment_rows(rows).drop("document_id").join(parts.select("source_path", "document_id"), "source_path")
     segments = segments.unionByName(cut.select(*segments.columns))
     if limit is not None:

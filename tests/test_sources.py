@@ -81,3 +81,40 @@ def test_sinks(spark, tmp_path):
     sinks.write_table(own, str(tmp_path), "units")
     assert sinks.read_table(spark, str(tmp_path), "units").count() == 2
     assert sinks.read_table(spark, str(tmp_path), "missing", "a int").count() == 0
+
+
+def test_lines_keep_their_order_and_place(spark, tmp_path):
+    """A segment file without segment_index, read in many blocks."""
+    n = 4000
+    lines = [json.dumps({"video_id": "v", "start_seconds": i, "end_seconds": i + 1, "text": f"Frase {i} " + "x" * (i % 90)}) for i in range(n)]
+    (tmp_path / "a.jsonl").write_text("\n".join(lines[:100]) + "\n\n" + "\n".join(lines[100:]) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    try:
+        assert spark.read.text(str(tmp_path / "a.jsonl")).rdd.getNumPartitions() >= 16
+        rows = transcripts.read_jsonl_files(spark, str(tmp_path / "a.jsonl"))
+        found = {r.line: r.text for r in rows.collect()}
+        assert sorted(found) == [*range(1, 101), *range(102, n + 2)]
+        assert all(found[i + 1 if i < 100 else i + 2].startswith(f"Frase {i} ") for i in range(n))
+        docs, segments = transcripts.load_transcripts(spark, str(tmp_path))
+        text = docs.first().text
+        assert [int(w) for w in text.split() if w.isdigit()] == list(range(n))
+        assert segments.count() == n
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+@pytest.mark.parametrize("bad", ["{", "[1]", "3", '{"text": '])
+def test_bad_lines_are_named(spark, tmp_path, bad):
+    (tmp_path / "a.jsonl").write_text('{"text": "uno"}\n\n' + bad + "\n")
+    with pytest.raises(Exception, match=r"a\.jsonl:3"):
+        transcripts.read_jsonl_files(spark, str(tmp_path / "a.jsonl")).collect()
+
+
+def test_a_file_without_records_fails(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"text": "uno"}\n')
+    assert transcripts.load_transcripts(spark, str(tmp_path))[0].count() == 1
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b" / "none.jsonl").write_text("\n \n")
+    with pytest.raises(Exception, match="holds no record"):
+        transcripts.load_transcripts(spark, str(tmp_path))[0].collect()
