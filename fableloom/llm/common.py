@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +26,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; where none is named, one in the session's warehouse, which all executors share too."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_intermediate"
+    """The folder that the cluster names in ``spark.checkpoint.dir``; where none is named, one in the session's warehouse, if all executors share that."""
+    if named := spark.conf.get("spark.checkpoint.dir", None):
+        return named
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if not re.match("local($|\\[)", spark.sparkContext.master) and re.match("file:|/", folder):
+        raise ValueError(f"executors may not share {folder}: name a shared folder in spark.checkpoint.dir")
+    return folder + "/_intermediate"
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -12,6 +12,7 @@ is DataFrame functions; the filters reach the pages as scalar subqueries.
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Sequence
 from functools import reduce
@@ -156,7 +157,7 @@ def judge_urls(
     spark = pages.sparkSession
     own = with_url_parts(pages.select("page_id", "url"))
     if not isinstance(listed, DataFrame):
-        listed = spark.createDataFrame([(x,) for x in listed], "key string")
+        listed = spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(list(listed))), "array<string>")).alias("key"))
     listed = listed.select(ascii_lower(F.col("key")).alias("key")).where("key is not null").distinct()
     hosts = materialise(own.select("host").distinct(), "url-hosts")
     inside = hosts.select("host", F.explode(parent_hosts(F.col("host"))).alias("key")).join(listed, "key", "left_semi").select("host").distinct()

@@ -150,3 +150,21 @@ def test_urls(spark, clashing, most):
     wanted = [(str(i), *u[1:]) for i, u in enumerate(URLS)] + [("None", *URLS[-1][1:]), ("0", *URLS[0][1:])]
     assert sorted(str((str(r.page_id), r.host, r.path, r.rule, r.verdict)) for r in found) == sorted(map(str, wanted))
     assert judge_urls(own.limit(0)).count() == 0
+
+
+def test_intermediates_need_a_shared_folder():
+    """On a cluster a local warehouse is no place for them, nor is it taken where a folder is named."""
+    from types import SimpleNamespace
+
+    from fableloom.llm.common import shared_dir
+
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)), sparkContext=SimpleNamespace(master=master))
+
+    warehouse = {"spark.sql.warehouse.dir": "file:/here/warehouse/"}
+    assert shared_dir(session("local[8]", **warehouse)) == "file:/here/warehouse/_intermediate"
+    assert shared_dir(session("spark://host", **warehouse, **{"spark.checkpoint.dir": "hdfs:/c"})) == "hdfs:/c"
+    assert shared_dir(session("yarn", **{"spark.sql.warehouse.dir": "hdfs:/w"})) == "hdfs:/w/_intermediate"
+    for master in ("yarn", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session(master, **warehouse))
