@@ -500,7 +500,7 @@ sums AS (SELECT sum(len(list_intersect(gf, pf))) AS tp, sum(len(pf) - len(list_i
 SELECT (SELECT count(*) FROM gold) AS total_gold_units, (SELECT count(*) FROM pred) AS total_predicted_units, count(*) AS matched_units,
   round(count(*) FILTER (list_sort(gf) = list_sort(pf)) / count(*), 3) AS functions_exact_match, round(count(*) FILTER (same) / count(*), 3) AS primary_function_accuracy,
   round(count(*) FILTER (reg) / count(*), 3) AS regression_pass_rate, round((SELECT count(*) FILTER (needs_review) / count(*) FROM pred), 3) AS needs_review_rate,
-  round(avg(len(list_intersect(gf, pf)) / len(list_distinct(list_concat(gf, pf)))), 3) AS multilabel_jaccard, (SELECT round(2 * tp / (2 * tp + fp + fn), 3) FROM sums) AS micro_f1,
+  round(round(avg(round(len(list_intersect(gf, pf)) / len(list_distinct(list_concat(gf, pf))), 4)), 4), 3) AS multilabel_jaccard, (SELECT round(2 * tp / (2 * tp + fp + fn), 3) FROM sums) AS micro_f1,
   round(count(*) FILTER (emo) / count(*), 3) AS emotion_expressed_accuracy, round(sum(err) / count(*), 3) AS emotion_intensity_mae, round(count(*) FILTER (st) / count(*), 3) AS stance_accuracy, round(count(*) FILTER (cert) / count(*), 3) AS certainty_accuracy,
   (SELECT count(*) FROM gold WHERE unit_id NOT IN (SELECT unit_id FROM pred)) AS missing_predictions, (SELECT count(*) FROM pred WHERE unit_id NOT IN (SELECT unit_id FROM gold)) AS unexpected_predictions,
   (SELECT round(count(*) FILTER (len(functions) > 5) / count(*), 3) FROM pred) AS overlabeling_rate, (SELECT round(count(*) FILTER (list_contains(functions, 'N')) / count(*), 3) FROM pred) AS n_rate, (SELECT round(sum(len(flags)) / count(*), 3) FROM pred) AS validator_violation_rate FROM m""")
