@@ -87,6 +87,8 @@ def _sent(request: Column, profile: Profile | None) -> Column:
 def settled(df: DataFrame) -> DataFrame:
     """df written down in the folder of ``spark.checkpoint.dir``, so that nothing is asked again when it is used twice or an executor is lost."""
     sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None and (named := df.sparkSession.conf.get("spark.checkpoint.dir", None)):
+        sc.setCheckpointDir(named)
     if sc.getCheckpointDir() is None:
         if not sc.master.startswith("local["):
             raise ValueError("name a shared folder in spark.checkpoint.dir, or give a store for answers")
