@@ -11,7 +11,7 @@ from .exact_dedup import find_copies
 from .fill_middle import MIDDLE, PREFIX, REWRITTEN_PERCENT, SEED, SUFFIX, SUFFIX_FIRST_PERCENT, UNIT, fill_middle, restored
 from .filter_audit import FILTERS, MARK, MAX_CAPITAL_PERCENT, MIN_DISTINCT_PERCENT, MIN_WORDS, ORDERS, WORD, audit_filters
 from .html_extract import extract_pages
-from .licences import IN_PLACE, TEMPLATES, THRESHOLD, scan_licences
+from .licences import LONGEST, TEMPLATES, THRESHOLD, scan_licences
 from .near_dups import find_near_duplicates
 from .packing import pack_documents
 from .quality_crf import score_quality
@@ -81,22 +81,28 @@ def _op7_sql() -> str:
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     return f"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w FROM documents),
-tpl AS (SELECT tid, name, w, {grams} AS g FROM (SELECT tid, name, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {templates}) AS v(tid, name, t))),
-dg AS (SELECT rid, i, w[i] || ' ' || w[i + 1] AS x FROM docs, unnest(range(1, len(w))) AS u(i)),
-tg AS (SELECT tid, j, w[j] || ' ' || w[j + 1] AS x FROM tpl, unnest(range(1, len(w))) AS u(j)),
-votes AS (SELECT rid, tid, i - j AS start, count(*) AS n FROM dg JOIN tg USING (x) GROUP BY rid, tid, i - j),
-stretch AS (
-  SELECT rid, tid, name, g AS tw, greatest(start, 0) AS s, least(start + len(tpl.w), len(docs.w)) AS e, docs.w[greatest(start, 0) + 1 : least(start + len(tpl.w), len(docs.w))] AS w
-  FROM votes JOIN tpl USING (tid) JOIN docs USING (rid) WHERE n >= greatest(1, ceil({IN_PLACE}::DOUBLE * len(g) - 1e-9))),
-hits AS (
-  SELECT * FROM (SELECT rid, name, s, e, 2.0::DOUBLE * len(list_intersect(own, tw)) / (len(own) + len(tw)) AS dice FROM (SELECT *, {grams} AS own FROM stretch)) WHERE dice >= {THRESHOLD}),
-best AS (SELECT rid, name, max(dice) AS dice FROM hits GROUP BY rid, name),
-own AS (SELECT rid, string_agg(name, ',' ORDER BY name) AS licences, first(name ORDER BY dice DESC, name) AS licence, max(dice) AS dice FROM best GROUP BY rid),
-places AS (
-  SELECT rid, count(*) FILTER (s >= coalesce(reached, 0)) AS n_places
-  FROM (SELECT rid, s, max(e) OVER (PARTITION BY rid ORDER BY s, e, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM hits) GROUP BY rid)
+tpl AS (
+  SELECT tid, name, len(w) AS n, {grams} AS g, greatest(1, ceil(len(g) * {THRESHOLD}::DOUBLE / (2 - {THRESHOLD}::DOUBLE) - 1e-9)) AS least
+  FROM (SELECT tid, name, regexp_extract_all(lower(t), '[a-z0-9]+') AS w FROM (VALUES {templates}) AS v(tid, name, t))),
+tg AS (SELECT tid, unnest(g) AS x FROM tpl),
+dg AS (SELECT rid, i - 1 AS i, w[i] || ' ' || w[i + 1] AS x FROM docs, unnest(range(1, len(w))) AS u(i)),
+cand AS (SELECT rid, tid FROM (SELECT DISTINCT rid, x FROM dg) JOIN tg USING (x) JOIN tpl USING (tid) GROUP BY rid, tid, least HAVING count(*) >= least),
+occ AS (SELECT rid, i, x, coalesce(lag(i) OVER (PARTITION BY rid, x ORDER BY i), -1) AS prev FROM dg WHERE rid IN (SELECT rid FROM cand)),
+starts AS (SELECT rid, tid, i AS s FROM cand JOIN occ USING (rid) JOIN tg USING (tid, x)),
+place AS (SELECT rid, tid, s, unnest(range(s, s + {LONGEST} * n)) AS i FROM starts JOIN tpl USING (tid)),
+new AS (
+  SELECT rid, tid, s, i, tg.x IS NOT NULL AS hit, count(*) OVER run AS size, count(tg.x) OVER run AS shared
+  FROM place JOIN occ USING (rid, i) LEFT JOIN tg USING (tid, x) WHERE prev < s WINDOW run AS (PARTITION BY rid, tid, s ORDER BY i)),
+ends AS (
+  SELECT rid, name, s, i + 2 AS e, shared, 2.0::DOUBLE * shared / (size + len(g)) AS dice FROM new JOIN tpl USING (tid)
+  WHERE hit AND 2.0::DOUBLE * shared / (size + len(g)) >= {THRESHOLD} QUALIFY row_number() OVER (PARTITION BY rid, tid, s ORDER BY dice DESC, i) = 1),
+kept AS (
+  SELECT rid, unnest(list_reduce(list([{{'name': name, 'dice': dice, 's': s, 'e': e}}] ORDER BY shared DESC, dice DESC, s, e, name),
+    lambda kept, f: CASE WHEN len(list_filter(kept, lambda k: k.s < f[1].e AND f[1].s < k.e)) > 0 THEN kept ELSE list_concat(kept, f) END)) AS f
+  FROM ends GROUP BY rid),
+own AS (SELECT rid, count(*) AS n_places, first(f.name ORDER BY f.dice DESC, f.name) AS licence, max(f.dice) AS dice, string_agg(DISTINCT f.name, ',' ORDER BY f.name) AS licences FROM kept GROUP BY rid)
 SELECT doc_id, coalesce(n_places, 0) AS n_places, licence, dice, coalesce(licences, '') AS licences
-FROM docs LEFT JOIN places USING (rid) LEFT JOIN own USING (rid)"""
+FROM docs LEFT JOIN own USING (rid)"""
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
