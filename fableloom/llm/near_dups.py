@@ -4,7 +4,8 @@ Runs of five words, told apart by their number of occurrence, are hashed once
 for each band; the two smallest, in the order in which the text has them, are
 the band's key, so that equal keys speak for small edit distance and not only
 for shared content. Two texts of which a fifth of the words differ still share
-one of the 64 keys in nine of ten cases.
+one of the 64 keys in nine of ten cases. A few edits leave a short text hardly any
+run of five words, so texts of up to 75 words have 64 keys from runs of two besides.
 
 Texts of a key of the first bands, sorted by length, are linked to their
 neighbours and to the first of them, which folds most classes with candidates
@@ -31,6 +32,8 @@ from .common import Scratch, materialise, schema_of
 from .words import PRIME, WORD, gram_hashes, mix, utf8, word_hashes
 
 K, BANDS, SIMILARITY = 5, 64, 0.8
+#: Words of the runs of short texts' further keys, and the words up to which a text is short (and what is like one of up to 60 words).
+SHORT_K, SHORT_WORDS = 2, 75
 #: Bands by whose keys texts are linked at first, and how many texts back in a key's order.
 FIRST_BANDS, NEIGHBOURS = 16, 3
 #: Texts of a key whose pairs are listed; larger keys are cut finer, and what cannot be is compared in blocks of so many.
@@ -72,8 +75,8 @@ def labelled_grams(words: np.ndarray, sizes: np.ndarray, k: int = K) -> tuple[np
     return mix(h + occurrence * PRIME), counts
 
 
-def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    """Of each text and band: the hash of its two smallest grams in text order. Texts without grams have zeros."""
+def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS, first_band: int = 0) -> np.ndarray:
+    """Of each text and band: the hash of its two smallest grams in text order. Texts without grams have zeros. Equal grams have other keys under another first band."""
     keys = np.zeros((len(counts), bands), np.uint64)
     own = np.flatnonzero(counts)
     if not len(own):
@@ -81,7 +84,7 @@ def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS) -> np.
     starts = (np.cumsum(counts) - counts)[own]
     place = np.uint64((1 << 28) - 1)  # the lowest bits hold a gram's place among all
     at, v = np.arange(len(grams), dtype=np.uint64), np.empty_like(grams)
-    factors = mix(np.arange(1, bands + 1, dtype=np.uint64) * PRIME) | np.uint64(1)
+    factors = mix(np.arange(first_band + 1, first_band + bands + 1, dtype=np.uint64) * PRIME) | np.uint64(1)
     single = counts[own] == 1
     for b, factor in enumerate(factors):
         np.multiply(grams, factor, out=v)
@@ -90,14 +93,17 @@ def order_keys(grams: np.ndarray, counts: np.ndarray, bands: int = BANDS) -> np.
         first = np.minimum.reduceat(v, starts) & place
         v[first] = np.uint64((1 << 64) - 1)
         second = np.where(single, first, np.minimum.reduceat(v, starts) & place)
-        keys[own, b] = mix(mix(grams[np.minimum(first, second)] * PRIME + grams[np.maximum(first, second)]) + np.uint64(b))
+        keys[own, b] = mix(mix(grams[np.minimum(first, second)] * PRIME + grams[np.maximum(first, second)]) + np.uint64(first_band + b))
     return keys
 
 
-def keys_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The number of words of each text, and its keys."""
+def keys_of(texts: list[str | None]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The number of words of each text, and its keys: BANDS of them, of short texts as many more, of texts without words none."""
     words, sizes = hashed(texts)
-    return sizes, order_keys(*labelled_grams(words, sizes))
+    keys = order_keys(*labelled_grams(words, sizes))
+    short = (sizes > 0) & (sizes <= SHORT_WORDS)
+    more = iter(order_keys(*labelled_grams(words[np.repeat(short, sizes)], sizes[short], SHORT_K), first_band=BANDS))
+    return sizes, [np.concatenate([k, next(more)]) if s else k[:n] for k, s, n in zip(keys, short, np.where(sizes > 0, BANDS, 0), strict=True)]
 
 
 def by_size(texts: list[str | None], chars: int = 1 << 18) -> Iterator[tuple[int, int]]:
@@ -202,7 +208,7 @@ def text_keys(rows: DataFrame, texts: DataFrame, text: str, scratch: Scratch) ->
             for start, end in by_size(texts):
                 sizes, own = keys_of(texts[start:end])
                 n += sizes.tolist()
-                keys += [k if s else k[:0] for k, s in zip(own.view(np.int64), sizes, strict=True)]
+                keys += [k.view(np.int64) for k in own]
             yield pd.DataFrame({"n": pd.Series(n, dtype="int32"), "keys": pd.Series(keys, dtype=object)})
 
     sketch = F.pandas_udf(run, schema_of(n="int", keys="longs")).asNondeterministic()
@@ -512,18 +518,20 @@ def find_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text:
     are taken whole. Other columns are ignored, and an empty table gives an empty one.
     """
     scratch = Scratch(docs.sparkSession, "near_dups")
-    rows, texts = classed(docs.select("doc_id", text), text, similarity, scratch)
-    found = rows.select("doc.doc_id", "row", "h1", "h2").join(texts, ["h1", "h2"])
-    found = materialise(found.select("doc_id", F.col("class_first.doc_id").alias("class_id"), "class_size", "class_texts", (F.col("row") == F.col("class_first.row")).alias("kept")), "near-duplicates")
-    scratch.clear()
-    return found
+    try:
+        rows, texts = classed(docs.select("doc_id", text), text, similarity, scratch)
+        found = rows.select("doc.doc_id", "row", "h1", "h2").join(texts, ["h1", "h2"])
+        return materialise(found.select("doc_id", F.col("class_first.doc_id").alias("class_id"), "class_size", "class_texts", (F.col("row") == F.col("class_first.row")).alias("kept")), "near-duplicates")
+    finally:
+        scratch.clear()
 
 
 def drop_near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, text: str = "text") -> DataFrame:
     """The rows of docs that find_near_duplicates keeps, with all their columns, whatever these are called."""
     scratch = Scratch(docs.sparkSession, "near_dups")
-    rows, texts = classed(docs, text, similarity, scratch)
-    kept = texts.where(F.col("first.row") == F.col("class_first.row")).select(F.col("first.row").alias("row"))
-    found = materialise(rows.join(kept, "row", "left_semi").select("doc.*"), "near-dups-kept")
-    scratch.clear()
-    return found
+    try:
+        rows, texts = classed(docs, text, similarity, scratch)
+        kept = texts.where(F.col("first.row") == F.col("class_first.row")).select(F.col("first.row").alias("row"))
+        return materialise(rows.join(kept, "row", "left_semi").select("doc.*"), "near-dups-kept")
+    finally:
+        scratch.clear()

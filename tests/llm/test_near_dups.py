@@ -156,13 +156,45 @@ def test_share_of_similar_pairs_with_a_common_key(share, least):
     assert pairs > 150 and hits / pairs >= least
 
 
+@pytest.mark.parametrize("n", [5, 10, 15, 20, 30, 45, 60])
+@pytest.mark.parametrize("share", [0.1, 0.2])
+def test_short_texts_share_a_key_too(n, share):
+    r, fresh = random.Random(8), iter(range(10**7))
+    hits, pairs = 0, 0
+    while pairs < 150:
+        base = r.choices([f"w{i}" for i in range(5000)], k=n)
+        a, b = " ".join(base), " ".join(edited(r, base, max(share, 1.0001 / n), fresh))
+        if similar(a, b):
+            x, y = keys_of([a, b])[1]
+            hits, pairs = hits + bool(set(x.tolist()) & set(y.tolist())), pairs + 1
+    print(n, share, hits / pairs)
+    assert hits / pairs >= 0.9
+
+
+def test_a_failed_job_leaves_nothing(spark, docs, monkeypatch):
+    def fail(*_):
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(near_dups, "components", fail)
+    made = []
+    own = near_dups.Scratch
+    monkeypatch.setattr(near_dups, "Scratch", lambda *a: made.append(own(*a)) or made[-1])
+    with pytest.raises(RuntimeError, match="stopped"):
+        find_near_duplicates(docs("some words of a text", "some words of a text here"))
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("near_dups")] and len(made) == 1
+    path = spark._jvm.org.apache.hadoop.fs.Path(made[0].root)
+    assert not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def test_keys_against_plain_order_minhash():
     texts = ["a b c d e f g h a b c d e f g h a b c d e", "", None, "one two", "x " * 30, "p q r s t"]
     sizes, keys = keys_of(texts)
     assert sizes.tolist() == [21, 0, 0, 2, 30, 5]
     for i, t in enumerate(texts):  # the keys of a text do not depend on its batch
         assert (keys_of([t])[1][0] == keys[i]).all()
-    assert not keys[1].any() and keys[0].all() and len(set(keys[0].tolist())) > 8
+    assert not len(keys[1]) and not len(keys[2]) and keys[0].all() and len(set(keys[0].tolist())) > 8
+    assert {len(k) for i, k in enumerate(keys) if sizes[i]} == {2 * near_dups.BANDS}
+    assert [len(k) for k in keys_of(["w " * 75, "w " * 76])[1]] == [2 * near_dups.BANDS, near_dups.BANDS]
     words, own = near_dups.hashed([texts[0]])
     grams, counts = near_dups.labelled_grams(words, own)
     assert counts.tolist() == [17] and len(set(grams.tolist())) == 17  # repeated runs are told apart
