@@ -58,7 +58,8 @@ def around(order: WindowSpec, *steps: int) -> Column:
 
 def split_clean(text: Column, pattern: str) -> Column:
     """Parts between matches, trimmed, without empty ones."""
-    return F.filter(F.transform(F.split(text, pattern), F.trim), lambda p: p != "")
+    # F.trim itself would be given the part's number too, and strip its digits.
+    return F.filter(F.transform(F.split(text, pattern), lambda p: F.trim(p)), lambda p: p != "")
 
 
 def pack_words(piece: Column, limit: int) -> Column:

@@ -35,6 +35,14 @@ def test_segment_offsets_and_neighbours(spark):
     assert found[0].unit_id == "a_u00000" and found[0].previous_unit_id is None and found[1].previous_unit_id == "a_u00000"
 
 
+def test_pieces_keep_digits_like_their_number(spark):
+    own = spark.createDataFrame([("a", "Uno. 1 dos 1. 28.68.191.2"), ("b", "Uno. 1"), ("c", "Fin, " + "4" * 200 + " " + "x" * 70 + ", 1" + "y" * 60)], "document_id string, text string")
+    found = segment.segment_texts(own).orderBy("document_id", "sequence_index").collect()
+    assert [r.text for r in found if r.document_id == "a"] == ["Uno.", "1 dos 1.", "28.68.191.2"]
+    assert [r.text for r in found if r.document_id == "b"] == ["Uno.", "1"]
+    assert [r.text for r in found if r.document_id == "c"] == ["Fin,", "4" * 200 + " " + "x" * 70 + ",", "1" + "y" * 60]
+
+
 def test_segment_timing(spark):
     own = spark.createDataFrame([("a", 0, "Una. Dos. Tres.", 0, 9000), ("a", 1, "Sola.", None, None)], "document_id string, segment_index int, text string, start_ms long, end_ms long")
     found = segment.segment_timed(own).orderBy("sequence_index").collect()
