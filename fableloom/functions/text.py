@@ -37,17 +37,44 @@ def _bare(texts: pd.Series) -> pd.Series:
 _nfkc = F.pandas_udf(_compatible, T.StringType())
 _fold = F.pandas_udf(_bare, T.StringType())
 
+#: Latin letters and common punctuation. None of these joins with a neighbour, so what holds of each holds of a text of them.
+_LATIN = [chr(i) for i in (*range(0x180), *range(0x2010, 0x2028))]
+
+
+def _outside(chars: Iterable[str]) -> str:
+    """A pattern for any other character."""
+    own = {ord(c) for c in chars}
+    return "[^" + "".join(f"\\u{i:04x}" + f"-\\u{next(j for j in range(i, 1 << 16) if j + 1 not in own):04x}" for i in sorted(own) if i - 1 not in own) + "]"
+
+
+#: Letters with their lower case as it is, and that without marks, where either is one character.
+_BARE = {c: "".join(x for x in unicodedata.normalize("NFKD", c.lower()) if not unicodedata.combining(x)) for c in _LATIN if len(c.lower()) == 1}
+_BARE = {c: b for c, b in _BARE.items() if len(b) == 1}
+_MARKED = {c.lower(): b for c, b in _BARE.items() if c.lower() != b}
+_UNSTABLE = _outside(c for c in _LATIN if unicodedata.normalize("NFKC", c) == c)
+_UNCOMMON = _outside(c for c in _BARE if c.lower() in _BARE)
+
+
+def compatible(text: Column) -> Column:
+    """Compatibility form. Only texts that it may change go to Python."""
+    return F.coalesce(_nfkc(F.when(F.rlike(text, F.lit(_UNSTABLE)), text)), text)
+
+
+def bare(text: Column) -> Column:
+    """Lower case without marks. Only texts with other than Latin letters go to Python."""
+    return F.coalesce(_fold(F.when(F.rlike(text, F.lit(_UNCOMMON)), text)), F.translate(F.lower(text), "".join(_MARKED), "".join(_MARKED.values())))
+
 
 def normalized(text: Column) -> Column:
     """Compatibility form, plain quotes and dashes, no zero-width characters, single spaces, trimmed."""
-    t = F.translate(_nfkc(text), "".join(REPLACED), "".join(REPLACED.values()))
+    t = F.translate(compatible(text), "".join(REPLACED), "".join(REPLACED.values()))
     t = F.regexp_replace(F.replace(t, F.lit("\u2026"), F.lit("...")), f"[{ZERO_WIDTH}]", "")
     return F.trim(F.regexp_replace(t, r"(?U)[\s\x1c-\x1f\x85]+", " "))
 
 
 def folded(text: Column, normalise: bool = True) -> Column:
     """Lower case without marks, of the normalised text or of the text as it is."""
-    return _fold(normalized(text) if normalise else text)
+    return bare(normalized(text) if normalise else text)
 
 
 def tokens(fold: Column) -> Column:

@@ -108,7 +108,7 @@ def annotate(units: DataFrame, rules=L.FUNCTION_RULES, normalise: bool = True) -
 
 def counts_by_lang(units: DataFrame) -> DataFrame:
     """lang, code and n: how many units of each language carry a candidate of each code."""
-    return units.select("lang", F.explode("signals").alias("s")).groupBy("lang", F.col("s.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
+    return units.select("lang", F.explode_outer("signals").alias("s")).where("s IS NOT NULL").groupBy("lang", F.col("s.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def has_any(functions: Column, *codes: str) -> Column:

@@ -113,7 +113,10 @@ def segment_texts(docs: DataFrame, limit: int = MAX_UNIT_CHARS, keep: tuple[str,
     cut = docs.select("document_id", *keep, pieces_of(normalized(F.col("text")), limit).alias("_pieces"))
     blocks, finish = running_sums(F.transform("_pieces", lambda p: F.length(p) + 1))
     cut = cut.withColumn("_blocks", blocks).withColumn("_starts", finish(F.col("_blocks")))
-    units = cut.select("document_id", *keep, F.size("_pieces").alias("unit_count"), F.posexplode(F.arrays_zip("_pieces", "_starts")).alias("sequence_index", "u"))
+    # The count goes with each piece: a column beside them would be worked out after the rows are made, each of which would carry the whole array until then.
+    total = F.array_repeat(F.size("_pieces"), F.size("_pieces"))
+    units = cut.select("document_id", *keep, F.posexplode(F.arrays_zip("_pieces", "_starts", total.alias("_total"))).alias("sequence_index", "u"))
+    units = units.withColumn("unit_count", F.col("u._total"))
     name = lambda i: unit_name(F.col("document_id"), i)
     at = F.col("sequence_index")
     return units.select(

@@ -104,7 +104,8 @@ def _rules_sql() -> str:
 
 @query(_rules_sql() + " SELECT document_id, seq AS sequence_index, code, rule_id, s AS char_start, s + n AS char_end FROM hits WHERE s IS NOT NULL")
 def heuristic_candidates(spark, d):
-    own = H.annotate(X.units(spark, d), normalise=False).select("document_id", "sequence_index", F.explode("signals").alias("s"))
+    # The outer form, as the other would look for all signals once more to leave out units without any.
+    own = H.annotate(X.units(spark, d), normalise=False).select("document_id", "sequence_index", F.explode_outer("signals").alias("s")).where("s IS NOT NULL")
     return own.select("document_id", "sequence_index", "s.code", "s.rule_id", F.col("s.start").alias("char_start"), F.col("s.end").alias("char_end"))
 
 

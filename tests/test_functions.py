@@ -54,3 +54,28 @@ def test_codes(spark):
 
 def test_hash_id(spark):
     assert one(spark, hash_id("rel_", "run_rel", "u0", "u1", "RelationType.ANS", "ANS_question_answer_anchor")) == "rel_654197a7829a27bb"
+
+
+def test_texts_settled_without_python_are_as_python_has_them(spark):
+    from fableloom.functions import text as t
+
+    import pandas as pd
+
+    chars = [chr(i) for i in range(1, 0x3000) if not 0xD800 <= i < 0xE000]
+    texts = [*chars, *[f"a{c}B́" for c in chars[:0x200]], "Año ſüß – „x“ İ", "", None]
+    own = spark.createDataFrame(list(enumerate(texts)), "k int, x string").select("k", t.compatible(F.col("x")).alias("c"), t.bare(F.col("x")).alias("b"), F.rlike("x", F.lit(t._UNCOMMON)).alias("sent")).orderBy("k").collect()
+    assert [r.c for r in own] == list(t._compatible(pd.Series(texts, dtype=object)))
+    assert [r.b for r in own] == list(t._bare(pd.Series(texts, dtype=object)))
+    assert not any(r.sent for r, x in zip(own, texts) if x and x in "abcXYZ áéñüß¿¡«»–—“”")
+
+
+def test_units_do_not_carry_their_document(spark):
+    """Made rows of a long document took the square of its length, as each held all pieces; signals were looked for twice."""
+    from fableloom.operators import heuristics, segment
+
+    docs = spark.createDataFrame([("a", "Una frase. " * 2000, "es")], "document_id string, text string, lang string")
+    found = heuristics.counts_by_lang(heuristics.with_signals(segment.segment_texts(docs, keep=("lang",)).withColumn("folded", folded(F.col("text"), normalise=False)), F.lit(False)))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    carried = [line for line in plan.splitlines() if "Generate" in line and "posexplode" in line]
+    assert carried and not any("_pieces" in line.split("), [")[1].split("]")[0] for line in carried)
+    assert plan.split("== Initial")[0].count("ArrowEvalPython") == 2
