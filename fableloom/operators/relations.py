@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon as L
 from ..functions.text import apart, contains_any, hash_id, starts_with_any
-from .segment import CUT_UNITS, with_neighbours
+from .segment import CUT, CUT_UNITS, in_cut, with_halo, with_neighbours
 from .validate import flags_if, versions
 
 #: Bits of what a unit is: its functions, then the marker lists found in it, then whether it starts like an answer.
@@ -112,31 +112,41 @@ def unit_mask(text: Column, start: Column, functions: Column) -> Column:
     return own + marked + F.when(starts_with_any(start, L.ANSWER_STARTS), long(_BITS["answer_like"])).otherwise(long(0))
 
 
-def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance: int = L.MAX_DISTANCE, min_confidence: float = L.MIN_CONFIDENCE, size: int = CUT_UNITS) -> DataFrame:
+def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance: int = L.MAX_DISTANCE, min_confidence: float = L.MIN_CONFIDENCE, size: int = CUT_UNITS, halo: int = 0) -> DataFrame:
     """Relations of units(document_id, unit_id, sequence_index, text, normalized_text, functions).
 
     Each unit meets the next ``max_distance`` of its document, taken by one
     window over cuts of the document's order: one shuffle and no join. What rules
     ask of either unit is settled before, so that pairs compare two numbers.
     Confidence falls by 0.08 with every further step.
+
+    halo: stay in cuts, each with the relations of so many units on either side,
+    and carry ``source`` and ``target``, the units' places and notations, for
+    those who go on in the same cuts without another shuffle.
     """
     text, start = F.lower(F.concat_ws(" ", "text", "normalized_text")), F.lower(F.coalesce("normalized_text", F.lit("")))
-    masked = units.select("document_id", "sequence_index", "unit_id", "text", unit_mask(text, start, F.col("functions")).alias("mask"))
+    kept, place = (["final_notation"], [CUT]) if halo else ([], [])
+    masked = units.select("document_id", "sequence_index", "unit_id", "text", *kept, unit_mask(text, start, F.col("functions")).alias("mask"))
     first, second = roles(F.col("mask"))
-    own = masked.select("document_id", "sequence_index", F.struct("unit_id", "sequence_index", first.alias("first"), second.alias("second"), "text").alias("f"))
-    ahead = with_neighbours(own, 0, max_distance, lambda order: {"later": F.array(*[F.lead("f", k).over(order) for k in range(1, max_distance + 1)])}, size)
-    pairs = ahead.select("document_id", "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
+    own = masked.select("document_id", "sequence_index", F.struct("unit_id", "sequence_index", first.alias("first"), second.alias("second"), "text", *kept).alias("f"))
+    later = lambda order: {"later": F.array(*[F.lead("f", k).over(order) for k in range(1, max_distance + 1)])}
+    ahead = with_halo(own, halo, halo, size).withColumns(later(in_cut())) if halo else with_neighbours(own, 0, max_distance, later, size)
+    pairs = ahead.select("document_id", *place, "f", F.explode("later").alias("s")).where("s IS NOT NULL").withColumn("distance", F.col("s.sequence_index") - F.col("f.sequence_index"))
     fired = pairs.withColumn("fired", fired_rules(F.col("f.first").bitwiseAND(F.col("s.second")), F.col("distance"))).where("fired <> 0")
     table = json.dumps([{"rule_id": r.rule_id, "relation_type": r.relation_type, "backward": r.backward, "base": r.base, "rejected": r.rejected} for r in RULES])
     numbers = F.array_remove(F.array(*[F.when(F.col("fired").bitwiseAND(F.lit(1 << i)) != 0, i).otherwise(-1) for i in range(len(RULES))]), -1)
     # Two rules never give the same type and direction for one pair, so taking the first of each is all there is to repeats.
     # Some rule has fired, so the outer form gives the same rows; the other would be tested for being empty before.
-    rows = fired.select("document_id", "f", "s", "distance", F.explode_outer(numbers).alias("number")).withColumn("r", F.get(F.from_json(F.lit(table), f"array<{RELATION}>"), F.col("number")))
+    rows = fired.select("document_id", *place, "f", "s", "distance", F.explode_outer(numbers).alias("number")).withColumn("r", F.get(F.from_json(F.lit(table), f"array<{RELATION}>"), F.col("number")))
     confidence = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("r.base") - L.STEP_PENALTY * (F.col("distance") - 1)))
     ends = {
         "source_unit_id": F.when(F.col("r.backward"), F.col("s.unit_id")).otherwise(F.col("f.unit_id")),
         "target_unit_id": F.when(F.col("r.backward"), F.col("f.unit_id")).otherwise(F.col("s.unit_id")),
     }
+    if halo:
+        member = lambda u: F.struct(F.col(f"{u}.sequence_index").cast("int").alias("sequence_index"), F.col(f"{u}.unit_id").alias("unit_id"), F.col(f"{u}.final_notation").alias("notation"))
+        ends |= {"source": F.when(F.col("r.backward"), member("s")).otherwise(member("f")), "target": F.when(F.col("r.backward"), member("f")).otherwise(member("s"))}
+        place = [*place, "source", "target"]
     rows = rows.withColumns(ends | {"_confidence": confidence}).where(F.round("_confidence", 4) >= min_confidence)
     weak = (F.col("_confidence") < 0.7) | (F.size("r.rejected") > 1)
     return rows.select(
@@ -155,6 +165,7 @@ def detect_relations(units: DataFrame, run_id: str = "run_unknown", max_distance
         F.array(F.struct(F.col("s.text").alias("text"), F.concat(F.lit("relation_detector:"), F.col("r.rule_id")).alias("source"))).alias("evidence_spans"),
         flags_if(weak, "relation_needs_review", "relation_type").alias("validator_flags"),
         *versions(),
+        *place,
     )
 
 

@@ -249,7 +249,8 @@ chains AS (
 
 
 def _chains(spark, d):
-    return C.detect_chains(X.event_units(spark, d), _relations(spark, d), "run_events")
+    units = X.event_units(spark, d)
+    return C.detect_chains(units, R.detect_relations(units, "run_events", halo=2 * L.MAX_DISTANCE), "run_events")
 
 
 @query(_CHAINS + " SELECT 'chain_' || substr(sha256('run_events::' || chain_type || '::' || unit_ids || '::' || relation_ids), 1, 16) AS chain_id, document_id, chain_type, unit_ids, relation_ids, evidence_summary, CAST(score AS DOUBLE) AS score, needs_review FROM chains")

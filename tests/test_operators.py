@@ -110,6 +110,26 @@ def brute_match(rows, steps):
     return taken if len(taken) == len(steps) else None
 
 
+def test_chains_in_cuts_are_those_of_joined_relations(spark):
+    import random
+
+    pick = random.Random(5)
+    own = units(spark, *[(pick.choice("ADYZXA"), "text") for _ in range(60)])
+    rows = lambda df: sorted(map(str, df.collect()))
+    whole = rows(chains.relation_chains(own, relations.detect_relations(own, "r")))
+    assert len(whole) == len(set(whole)) > 60
+    for size in (8, 17, 100):
+        near = chains.relation_chains(own, relations.detect_relations(own, "r", halo=6, size=size), size=size)
+        assert rows(near) == whole
+    # Only the order of units moves anything.
+    assert near._jdf.queryExecution().executedPlan().toString().split("== Initial")[0].count("Exchange hash") == 1
+
+
+def test_blocks_grow_before_they_become_many():
+    assert [similarity.block_count(n) for n in (0, 4096, 5000, 50_000, 390_000, 1_000_000)] == [1, 1, 2, 12, 12, 31]
+    assert similarity.block_count(50, 7) == 8
+
+
 def test_sequence_matching_against_brute_force(spark):
     import random
 
