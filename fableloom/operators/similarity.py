@@ -36,7 +36,18 @@ def heavy_first(vectors: DataFrame) -> list[int]:
     return [r["bucket"] for r in found.orderBy(F.desc("mass"), "bucket").collect()]
 
 
-def near_classes(classes: DataFrame, threshold: float, most: int, rows_per_block: int = 4096, head: int = 32) -> DataFrame:
+#: Rows of a block where blocks are few, of one where there are many, and the number of small blocks that counts as few.
+SMALL_BLOCK, LARGE_BLOCK, FEW_BLOCKS = 4096, 32768, 12
+
+
+def block_count(rows: int, rows_per_block: int | None = None) -> int:
+    """How many blocks rows are cut into. Every row is moved once for each block, so these grow with the rows before they become many."""
+    if rows_per_block:
+        return max(1, -(-rows // rows_per_block))
+    return max(1, -(-rows // LARGE_BLOCK), min(-(-rows // SMALL_BLOCK), FEW_BLOCKS))
+
+
+def near_classes(classes: DataFrame, threshold: float, most: int, rows_per_block: int | None = None, head: int = 32) -> DataFrame:
     """ci, cj, d, s and similarity of classes(cls, doc, seq, vector) at or above a cosine threshold, and how many pairs were compared.
 
     Exact. Each two blocks of vectors meet once in a task. There only the first
@@ -48,7 +59,7 @@ def near_classes(classes: DataFrame, threshold: float, most: int, rows_per_block
     pairs whose whole vectors were multiplied in ``compared``.
     """
     found = classes.agg(F.count(F.lit(1)).alias("rows"), F.max(F.size("vector")).alias("size")).first()
-    n = max(1, -(-found["rows"] // rows_per_block))
+    n = block_count(found["rows"], rows_per_block)
     order = heavy_first(classes) if (found["size"] or 0) > 2 * head else None
     own = classes.withColumn("own", F.pmod(F.xxhash64("cls"), F.lit(n)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     dealt = own.select(F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"), "own", "cls", "doc", "seq", "vector")
@@ -81,8 +92,9 @@ def near_classes(classes: DataFrame, threshold: float, most: int, rows_per_block
         rows, compared = [], 0
         x, y = (0, 0) if len(blocks) == 1 else (0, 1)
         if len(blocks[x]) and len(blocks[y]):
-            for start in range(0, len(blocks[x]), 512):
-                r, c, value, n_pairs = products(matrices[x][start : start + 512], matrices[y])
+            step = max(1, (1 << 21) // max(SMALL_BLOCK, len(blocks[y])))  # at most so many products at a time
+            for start in range(0, len(blocks[x]), step):
+                r, c, value, n_pairs = products(matrices[x][start : start + step], matrices[y])
                 compared += n_pairs
                 rows.append((r + start, c, value))
         r, c, value = (np.concatenate([p[k] for p in rows]) if rows else np.zeros(0, int) for k in range(3))
@@ -115,7 +127,7 @@ def vector_classes(vectors: DataFrame, members: int) -> tuple[DataFrame, DataFra
     return named, named.withColumn("place", F.row_number().over(first)).where(F.col("place") <= members)
 
 
-def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, rows_per_block: int = 4096, skip_neighbours: bool = False, head: int = 32) -> DataFrame:
+def similar_pairs(vectors: DataFrame, threshold: float = L.SIMILARITY_THRESHOLD, top_k: int = L.SIMILARITY_TOP_K, rows_per_block: int | None = None, skip_neighbours: bool = False, head: int = 32) -> DataFrame:
     """i, j (i earlier by doc and seq) and similarity, where j is among the top_k of i. vectors(id, doc, seq, vector): of normalise_vectors.
 
     The cut to top_k comes first and for each row alone, so a pair counts only if
