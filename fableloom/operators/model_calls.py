@@ -109,7 +109,9 @@ def call_model(requests: DataFrame, transport: Callable[[str], str | tuple[str,
     before use, so that no request is made twice.
     """
     spark = requests.sparkSession
-    own = requests.select(F.sha2("request", 256).alias("cache_key"), "request").dropDuplicates(["cache_key"])
+    # Dealt by key once: dropping repeats needs no more than that, and the calls are dealt out by putting parts together.
+    parts = max(parallel, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    own = requests.select(F.sha2("request", 256).alias("cache_key"), "request").repartition(parts, "cache_key").dropDuplicates(["cache_key"])
 
     def blank(frame: DataFrame, **k: object) -> DataFrame:
         return frame.select(*[F.col(n) if n in frame.columns else F.lit(k.get(n)).cast(t).alias(n) for n, t in _RESULT.items()])
@@ -148,7 +150,7 @@ def call_model(requests: DataFrame, transport: Callable[[str], str | tuple[str,
             made = pd.DataFrame([ask(k, r) for k, r in zip(b["cache_key"], b["request"], strict=True)], columns=RESULT.names)
             yield made.astype({"input_tokens": "Int64", "output_tokens": "Int64"})
 
-    found = own.repartition(parallel, "cache_key").mapInPandas(run, RESULT)
+    found = own.coalesce(parallel).mapInPandas(run, RESULT)
     found = found if hits is None else found.unionByName(hits)
     if store is None:
         return settled(found)

@@ -343,6 +343,16 @@ def test_model_calls(spark, tmp_path):
     assert {x.attempts for x in ask("one", "two", store=store).values()} == {0, 1} and len(log.read_text()) == len(before) + 1
 
 
+def test_requests_are_moved_once(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(model_calls, "settled", lambda df: seen.append(df) or df)
+    asked = spark.createDataFrame([(f'{{"k": {k % 50}}}',) for k in range(100)], "request string")
+    found = model_calls.call_model(asked, lambda request: '{"a": 1}', lambda answer: None, parallel=3)
+    assert found.count() == 50 and found.select("cache_key").distinct().count() == 50
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+    assert plan.count("Exchange hash") == 1 and seen[0].rdd.getNumPartitions() == 3
+
+
 def test_classify_keeps_locks_and_falls_back(spark):
     own = heuristics.annotate(units(spark, ("N", "¿Qué dices?"), ("N", "malo")))
     reply = lambda r: "nothing" if "malo" in json.loads(r)["text"] else '{"functions": ["A"], "primary_function": "A", "confidence": 0.9}'
