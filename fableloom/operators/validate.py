@@ -123,15 +123,15 @@ def validate(units: DataFrame, always_parentheses: bool = False) -> DataFrame:
         ("notation_derivation", "final_notation", (F.col("_was") != "") & (F.col("_was") != F.col("final_notation"))),
     ]
     reasons = F.array_compact(F.array(*[F.when(bad, F.lit(rule)) for rule, _, bad in checks]))
-    own = own.withColumns(
-        {
-            "validator_flags": F.concat("_flags", _added(flags)),
-            "needs_review": F.coalesce("needs_review", F.lit(False)) | (F.size(reasons) > 0),
-            "review_reasons": F.array_union(F.coalesce("review_reasons", strings()), reasons),
-            "functions": F.col("_f"),
-        }
-    )
-    return own.drop("_before", "_flags", "_f", "_was", "_lonely", "_k", "_both", "_absent", "_lost", "_text", "_no_evidence", "_no_anchor", "_mixed", "_over")
+    settled = {
+        "validator_flags": F.concat("_flags", _added(flags)),
+        "needs_review": F.coalesce("needs_review", F.lit(False)) | (F.size(reasons) > 0),
+        "review_reasons": F.array_union(F.coalesce("review_reasons", strings()), reasons),
+        "functions": F.col("_f"),
+    }
+    # A row of its own, so that a filter on these columns reads them. It would else be put before the steps above, spelt out with all of them, and search each text many times.
+    own = own.withColumn("_settled", F.explode(F.array(F.struct(*[c.alias(n) for n, c in settled.items()])))).withColumns({n: F.col("_settled")[n] for n in settled})
+    return own.drop("_before", "_flags", "_f", "_was", "_lonely", "_k", "_both", "_absent", "_lost", "_text", "_no_evidence", "_no_anchor", "_mixed", "_over", "_settled")
 
 
 def flag_summary(units: DataFrame) -> DataFrame:

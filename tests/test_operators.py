@@ -314,6 +314,13 @@ def test_review_set(spark):
     assert risks["1"] == [] and "low_confidence" in risks["2"]
 
 
+def test_filters_on_validated_units_do_not_search_their_texts_again(spark):
+    own = validate.validate(labelled(spark))
+    for out in (own.where(F.size("validator_flags") > 0), validate.flag_summary(own), review.build_review_set(own)):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Contains(" in plan and not [line for line in plan.splitlines() if "Filter " in line and "Contains(" in line]
+
+
 def test_model_calls(spark, tmp_path):
     log = tmp_path / "calls"
 
