@@ -297,9 +297,10 @@ def rare_runs(large: DataFrame, similarity: float, scratch: Scratch) -> DataFram
         found = np.flatnonzero(sums)
         yield pd.DataFrame({"bin": found, "n": sums[found]})
 
-    counted = large.select("text").mapInPandas(count, schema_of(bin="long", n="long")).groupBy("bin").agg(F.sum("n").alias("n")).toPandas()  # COUNTERS rows at most
+    # COUNTERS rows at most, as columns: rows of Python's own would take many times that.
+    counted = large.select("text").mapInPandas(count, schema_of(bin="long", n="long")).groupBy("bin").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros(COUNTERS, np.int64)
-    sums[counted["bin"]] = counted["n"]
+    sums[counted["bin"].to_numpy()] = counted["n"].to_numpy()
     shared = spark.sparkContext.broadcast(sums)
 
     def rarest(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -438,16 +439,20 @@ def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, sc
 def components(links: DataFrame, scratch: Scratch) -> DataFrame:
     """v and c for every end of links(a, b): one end stands for all that can be reached.
 
-    Each round hooks every end to its smallest neighbour, follows the hooks four
-    steps, and goes on with the links between what is left, so the graph shrinks
-    fast whatever its shape; every round is written down.
+    Each round hooks every end to the first of itself and its neighbours, follows
+    the hooks four steps, and goes on with the links between what is left; every
+    round is written down. First is by a hash that is another one in each round:
+    by the ends themselves, a path whose numbers only grow would lose four ends a
+    round, by hashes it is expected to lose more than half.
     """
     ordered = lambda d, a, b: d.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct()
     steps = []
     links = scratch.write(ordered(links, "a", "b"), "links")
     while not steps or not links.isEmpty():
-        ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("u")), F.struct(F.col("b").alias("v"), F.col("a").alias("u")))).alias("e"))
-        hooks = scratch.write(ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.u").alias("u")).select("v", F.least("v", "u").alias("p")), "hooks")
+        placed = lambda v, n=len(steps): F.struct(F.xxhash64(F.lit(n), v).alias("h"), F.col(v).alias("p"))
+        ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("v"), placed("b").alias("u")), F.struct(F.col("b").alias("v"), placed("a").alias("u")))).alias("e"))
+        first = ends.groupBy(F.col("e.v").alias("v")).agg(F.min("e.u").alias("u"))
+        hooks = scratch.write(first.select("v", F.least("u", placed("v"))["p"].alias("p")), "hooks")
         far = hooks.withColumnRenamed("p", "p0")
         for i in range(3):
             far = far.join(hooks.select(F.col("v").alias(f"p{i}"), F.col("p").alias(f"p{i + 1}")), f"p{i}")

@@ -243,6 +243,18 @@ def test_components_of_any_shape(spark):
     scratch.clear()
 
 
+def test_components_of_a_path_that_only_grows(spark):
+    """Copies of copies, by number; a round must not take away a few ends of it only."""
+    from fableloom.llm.common import Scratch
+
+    scratch = Scratch(spark, "test")
+    path = spark.range(500).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    found = near_dups.components(path, scratch).collect()
+    assert sorted(x.v for x in found) == list(range(501)) and len({x.c for x in found}) == 1
+    assert len(scratch.made) < 40
+    scratch.clear()
+
+
 def test_long_texts():
     r = random.Random(2)
     base = r.choices([f"w{i}" for i in range(9999)], k=60_000)
