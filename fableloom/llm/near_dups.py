@@ -10,18 +10,20 @@ run of five words, so texts of up to 75 words have 64 keys from runs of two besi
 Texts of a key of the first bands, sorted by length, are linked to their
 neighbours and to the first of them, which folds most classes with candidates
 that grow with the rows. Then all pairs that share a key of any band, are of
-compatible length and still of different classes are candidates. They are listed
-key by key where a key has few texts. The texts of larger keys (a passage that
-very many share) are cut finer without losing a similar pair: similar texts have
-so many runs of three words in common that one must be among the rarest three
-fifths of either. Word counts rule out most candidates before their texts are read; the
-others are aligned word by word within a band around the diagonal, and the links
-make classes through connected components.
+compatible length and still of different classes are candidates. Keys of the same
+texts are one group. Pairs are listed group by group where a group has few texts,
+and compared in blocks inside tasks where it has more. The texts of the largest
+groups (a passage that very many share) are cut finer first, without losing a
+similar pair: similar texts have so many runs of three words in common that one
+must be among the rarest three fifths of either. Word counts rule out most
+candidates before their texts are read; the others are aligned word by word within
+a band around the diagonal, and the links make classes through connected components.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -36,9 +38,11 @@ K, BANDS, SIMILARITY = 5, 64, 0.8
 SHORT_K, SHORT_WORDS = 2, 75
 #: Bands by whose keys texts are linked at first, and how many texts back in a key's order.
 FIRST_BANDS, NEIGHBOURS = 16, 3
-#: Texts of a key whose pairs are listed; larger keys are cut finer, and what cannot be is compared in blocks of so many.
-GROUP = 64
-#: Words of the runs by which larger keys are cut, and bins of their counts that go to all tasks (2 MB).
+#: Texts of a group whose pairs are listed; those of larger ones are compared in blocks of up to BLOCK texts, of groups over WHOLE texts after these are cut finer.
+GROUP, BLOCK, WHOLE = 64, 1 << 12, 1 << 14
+#: Groups of a text that its row of a block names.
+OTHERS = 128
+#: Words of the runs by which the largest groups are cut, and bins of their counts that go to all tasks (2 MB).
 RUN, COUNTERS = 3, 1 << 18
 #: Bins of word counts, and the fewer that texts of up to SHORT words have.
 BINS, FEW_BINS, SHORT = 1024, 128, 200
@@ -251,8 +255,12 @@ def neighbour_pairs(keyed: DataFrame, similarity: float, scratch: Scratch) -> Da
 
 
 def mixed_groups(groups: DataFrame, key: str, classes: DataFrame, scratch: Scratch) -> DataFrame:
-    """key, n, tid, c and size of the rows of groups(key, n, tid) whose group holds texts of several classes."""
-    shared = groups.groupBy(key).agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    """key, n, tid, c and size of the rows of groups(key, n, tid) whose group holds texts of several classes; of groups of the same texts, one.
+
+    That groups have the same texts is told by 128 bits of these.
+    """
+    texts = [F.bit_xor(F.xxhash64(F.lit(i), "tid")).alias(f"x{i}") for i in (1, 2)]
+    shared = groups.groupBy(key).agg(F.count(F.lit(1)).alias("size"), *texts).where("size > 1").groupBy("size", "x1", "x2").agg(F.min(key).alias(key)).select(key, "size")
     own = groups.select(key, "n", "tid").join(shared, key).join(classes.withColumnRenamed("v", "tid"), "tid", "left")
     own = scratch.write(own.select(key, "n", "tid", "size", F.coalesce("c", "tid").alias("c")), "classed")
     mixed = own.groupBy(key).agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high").select(key)
@@ -376,49 +384,68 @@ def sift(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratc
     return scratch.write(both.where(F.pandas_udf(fits, "boolean").asNondeterministic()("na", "nb", "baga", "bagb")).select("a", "b"), "sifted")
 
 
-def block_pairs(groups: DataFrame, key: str, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
-    """As listed_pairs and sift at once, for groups of any size.
+def compared(g: pd.DataFrame, similarity: float) -> pd.DataFrame:
+    """a, b (a < b) of the texts of two blocks i and j of one group that word counts do not rule out and no earlier group holds both of.
 
-    The texts of a group are dealt to blocks by a hash, and each pair of blocks is
-    a group of its own; only pairs that word counts do not rule out leave a task.
+    g: i, j, own (the text's block), key, n, tid, c, bag and others (groups of the text).
     """
+    i, j, key = g["i"].iat[0], g["j"].iat[0], g["key"].iat[0]
+    x, y = g[g["own"] == i], g[g["own"] == j]
+    n, tid, c = (y[k].to_numpy(np.int64) for k in ("n", "tid", "c"))
+    few = any(len(b) == FEW_BINS for b in g["bag"])
+    bags, found, held = _bags(y["bag"], few), [np.zeros((0, 2), np.int64)], {}
+    for at, others in enumerate(y["others"]):
+        for k in others[others < key].tolist():
+            held.setdefault(k, []).append(at)
+    held = {k: np.array(v) for k, v in held.items()}
+    for m, t, k, bag, others in zip(x["n"], x["tid"], x["c"], x["bag"], x["others"], strict=True):
+        longer = np.maximum(n, m)
+        limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+        fits = (c != k) & (longer - np.minimum(n, m) <= limit)
+        if i == j:
+            fits &= tid > t
+        for o in others[others < key].tolist():
+            if o in held:
+                fits[held[o]] = False
+        at = np.flatnonzero(fits)
+        at = at[_may_be_similar(bags[at], _bags([bag], few), limit[at])] if len(at) else at
+        found.append(np.stack([np.minimum(tid[at], t), np.maximum(tid[at], t)], 1))
+    return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-    def compare(g: pd.DataFrame) -> pd.DataFrame:
-        i, j = g["i"].iat[0], g["j"].iat[0]
-        x, y = g[g["own"] == i], g[g["own"] == j]
-        n, tid, c = (y[k].to_numpy(np.int64) for k in ("n", "tid", "c"))
-        few = any(len(b) == FEW_BINS for b in g["bag"])
-        bags, found = _bags(y["bag"], few), [np.zeros((0, 2), np.int64)]
-        for m, t, k, bag in zip(x["n"], x["tid"], x["c"], x["bag"], strict=True):
-            longer = np.maximum(n, m)
-            limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
-            at = np.flatnonzero((c != k) & (longer - np.minimum(n, m) <= limit) & ((tid > t) if i == j else True))
-            at = at[_may_be_similar(bags[at], _bags([bag], few), limit[at])] if len(at) else at
-            found.append(np.stack([np.minimum(tid[at], t), np.maximum(tid[at], t)], 1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
+def block_pairs(groups: DataFrame, key: str, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
+    """As listed_pairs and sift at once, for groups of any size.
+
+    The texts of a group are dealt to blocks of BLOCK by a hash, and each pair of
+    blocks is a group of its own; only pairs that word counts do not rule out leave
+    a task. Two texts of several groups are compared in the first of these, as far
+    as it is among the first OTHERS groups of both.
+    """
     bags = with_bags(groups.select("tid").distinct(), rows, text, scratch).select("tid", "bag")
-    blocks = F.ceil(F.col("size") / GROUP).cast("int")
-    own = groups.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("tid"), blocks).cast("int")}).join(bags, "tid")
+    others = groups.groupBy("tid").agg(F.slice(F.sort_array(F.collect_list(key)), 1, OTHERS).alias("others"))
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = groups.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("tid"), blocks).cast("int")}).join(bags.join(others, "tid"), "tid")
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = other.select(key, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "tid", "c", "bag")
-    return scratch.write(dealt.groupBy(key, "i", "j").applyInPandas(compare, schema_of(a="long", b="long")).distinct(), "blocks")
+    dealt = other.select(F.col(key).alias("key"), F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "n", "tid", "c", "bag", "others")
+    return scratch.write(dealt.groupBy("key", "i", "j").applyInPandas(lambda g: compared(g, similarity), schema_of(a="long", b="long")).distinct(), "blocks")
 
 
 def pairs_apart(rows: DataFrame, keyed: DataFrame, classes: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:
     """a, b (tids, a < b) of all texts that share a key, are of different classes and may be similar."""
     mixed = mixed_groups(keyed, "key", classes, scratch)
-    pairs = listed_pairs(mixed.where(F.col("size") <= GROUP), "key", similarity)
-    large = mixed.where(F.col("size") > GROUP).select("tid", "n").distinct()
-    if large.isEmpty():
-        return sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
-    read = scratch.write(texts_of(rows, large, text), "large")
-    finer = mixed_groups(rare_runs(read, similarity, scratch), "token", classes, scratch)
-    scratch.drop(read)
-    pairs = pairs.unionByName(listed_pairs(finer.where(F.col("size") <= GROUP), "token", similarity)).distinct()
-    found = sift(scratch.write(pairs, "listed"), rows, text, similarity, scratch)
-    rest = finer.where(F.col("size") > GROUP)
-    return found if rest.isEmpty() else found.unionByName(block_pairs(rest, "token", rows, text, similarity, scratch)).distinct()
+    small, blocks = [(mixed, "key")], [(mixed.where(F.col("size") <= WHOLE), "key")]
+    large = mixed.where(F.col("size") > WHOLE).select("tid", "n").distinct()
+    if not large.isEmpty():
+        read = scratch.write(texts_of(rows, large, text), "large")
+        finer = mixed_groups(rare_runs(read, similarity, scratch), "token", classes, scratch)
+        scratch.drop(read)
+        small, blocks = [*small, (finer, "token")], [*blocks, (finer, "token")]
+    pairs = [listed_pairs(g.where(F.col("size") <= GROUP), key, similarity) for g, key in small]
+    found = sift(scratch.write(reduce(DataFrame.unionByName, pairs).distinct(), "listed"), rows, text, similarity, scratch)
+    for g, key in blocks:
+        rest = g.where(F.col("size") > GROUP)
+        found = found if rest.isEmpty() else found.unionByName(block_pairs(rest, key, rows, text, similarity, scratch))
+    return found.distinct()
 
 
 def verified(pairs: DataFrame, rows: DataFrame, text: str, similarity: float, scratch: Scratch) -> DataFrame:

@@ -265,3 +265,63 @@ def test_long_texts():
     assert similar(a, b) and not similar(a, b, 0.99) and not similar(a, " ".join(r.sample(base, len(base))))
     x, y = keys_of([a, b])[1]
     assert set(x.tolist()) & set(y.tolist())
+
+
+def behind_a_passage(r, unlike=90):
+    """Stars of variants and unlike texts, all behind one passage that is under half of each."""
+    fresh, words = iter(range(10**6)), ["w%d" % i for i in range(3000)]
+    passage, texts = r.choices(words, k=50), []
+    for n in (40, 10, 2, 1):
+        base = r.choices(words, k=60) + passage
+        texts.append(" ".join(base))
+        for _ in range(n):
+            c = list(base)
+            for at in r.sample(range(60), 13):
+                c[at] = f"x{next(fresh)}"
+            texts.append(" ".join(c))
+    texts += [" ".join(r.choices(words, k=60) + passage) for _ in range(unlike)]
+    r.shuffle(texts)
+    return texts
+
+
+@pytest.mark.parametrize(("group", "block", "whole", "finer"), [(8, 16, 1 << 14, 0), (8, 16, 32, 1)])
+def test_large_keys_in_blocks_and_the_largest_cut_finer(spark, docs, monkeypatch, group, block, whole, finer):
+    texts, cut, rare = behind_a_passage(random.Random(12)), [], near_dups.rare_runs
+    for name, value in (("GROUP", group), ("BLOCK", block), ("WHOLE", whole)):
+        monkeypatch.setattr(near_dups, name, value)
+    monkeypatch.setattr(near_dups, "rare_runs", lambda *a: cut.append(1) or rare(*a))
+    found = {x.doc_id: x.class_id for x in find_near_duplicates(docs(*texts, extra=False)).collect()}
+    assert [found[i] for i in range(len(texts))] == by_pairs(texts) and len(cut) == finer
+
+
+def test_groups_of_the_same_texts_are_one(spark):
+    from fableloom.llm.common import Scratch
+
+    scratch = Scratch(spark, "test")
+    rows = [(key, 9, tid) for key, tids in ((1, (1, 2, 3)), (2, (1, 2, 3)), (3, (1, 2)), (4, (2, 3)), (5, (4,)), (6, (2, 3))) for tid in tids]
+    classes = spark.createDataFrame([(2, 2), (3, 2)], "v long, c long")
+    found = near_dups.mixed_groups(spark.createDataFrame(rows, "key long, n int, tid long"), "key", classes, scratch).collect()
+    assert sorted((r.key, r.tid, r.c, r.size) for r in found) == [(1, 1, 1, 3), (1, 2, 2, 3), (1, 3, 2, 3), (3, 1, 1, 2), (3, 2, 2, 2)]
+    scratch.clear()
+
+
+@pytest.mark.parametrize("most", [128, 1])
+def test_two_texts_of_several_large_groups_are_compared_once(spark, monkeypatch, most):
+    """Where rows name but one group, pairs may come twice; none is left out."""
+    from fableloom.llm.common import Scratch
+
+    monkeypatch.setattr(near_dups, "BLOCK", 3)
+    monkeypatch.setattr(near_dups, "OTHERS", most)
+    members = {-5: range(0, 8), 2: range(2, 12), 7: [0, 1, 4, 5, 6, 7, 11], 9: [12, 13]}
+    wanted = {(a, b) for own in members.values() for a in own for b in own if a < b}
+    seen, scratch = [], Scratch(spark, "test")
+    for key, own in members.items():
+        others = [np.array(sorted(k for k, m in members.items() if t in m)[:most]) for t in own]
+        g = near_dups.pd.DataFrame({"key": key, "i": 0, "j": 0, "own": 0, "n": 3, "tid": list(own), "c": list(own), "bag": [word_bags(["same three words"])[1][0]] * len(own), "others": others})
+        seen += near_dups.compared(g, 0.8).itertuples(index=False, name=None)
+    assert set(seen) == wanted and (most == 1 or len(seen) == len(wanted))
+    rows = spark.createDataFrame([(t, ("same three words",)) for t in range(14)], "row long, doc struct<text string>")
+    groups = spark.createDataFrame([(key, 3, t, t, len(own)) for key, own in members.items() for t in own], "key long, n int, tid long, c long, size long")
+    found = near_dups.block_pairs(groups, "key", rows, "text", 0.8, scratch).collect()
+    assert len(found) == len(wanted) and {(r.a, r.b) for r in found} == wanted
+    scratch.clear()
