@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from ..functions import lexicon as L
 from ..functions.notation import normalize_codes, strings
-from ..functions.text import any_of, apart, folded, matches, matches_any, unicode_pattern
+from ..functions.text import any_of, apart, folded, matches, matches_any, may_match, unicode_pattern
 
 
 def first_match(text: Column, patterns: Sequence[str]) -> Column:
@@ -35,28 +35,30 @@ def signal(code: Column | str, rule: str, confidence: float, match: Column, lock
 def with_signals(units: DataFrame, near_end: Column, rules=L.FUNCTION_RULES, conclusions=L.CONCLUSION_PATTERNS) -> DataFrame:
     """units(text, folded) with ``signals``: all function signals of a unit, in the order question, conclusion, rules.
 
-    Most units hold no marker at all, which is tested first. The matches of the
-    others are a column of their own, so that each is looked for once.
+    Most units hold no marker at all, which is tested first, outside the lambdas. The
+    matches of the others are a column of their own, so that each is looked for once.
     """
+    question = lambda text, fold: F.contains(text, F.lit("?")) | F.contains(text, F.lit("¿")) | F.contains(fold, F.lit("?"))
+    marked = question(F.col("text"), F.col("folded")) | may_match(F.col("folded"), (*conclusions, *[p for r in rules for p in r[3]]))
+
     def places(t: Column) -> Column:
         text, fold = t["text"], t["folded"]
-        asked = F.contains(text, F.lit("?")) | F.contains(text, F.lit("¿")) | F.contains(fold, F.lit("?"))
+        asked = question(text, fold)
         found = [F.when(asked, F.coalesce(first_match(fold, ("[?¿]",)), first_match(fold, (".",)))), first_match(fold, conclusions)]
         for _, _, _, patterns, skips in rules:
             match = first_match(fold, patterns)
             found.append(F.when(~matches_any(fold, skips), match) if skips else match)
-        marked = asked | any_of(matches(fold, p) for p in (*conclusions, *[p for r in rules for p in r[3]]))
-        return F.when(marked, F.array(*found))
+        return F.array(*found)
 
     def named(m: Column) -> Column:
         at = lambda i: F.get(m["places"], F.lit(i))
         every = [signal("P", L.QUESTION_RULE, L.LOCKED_CONFIDENCE, at(0), F.lit(True)), signal("Z", L.CONCLUSION_RULE, L.CONCLUSION_CONFIDENCE, at(1), m["near"])]
         every += [signal(code, rule, confidence, at(i)) for i, (code, rule, confidence, _, _) in enumerate(rules, 2)]
-        none = F.array().cast("array<struct<code:string,rule_id:string,confidence:double,locked:boolean,start:int,end:int>>")
-        return F.when(m["places"].isNotNull(), F.filter(F.array(*every), lambda s: s.isNotNull())).otherwise(none)
+        return F.filter(F.array(*every), lambda s: s.isNotNull())
 
-    own = units.withColumn("_matches", F.struct(apart(F.struct("text", "folded"), places).alias("places"), near_end.alias("near")))
-    return own.withColumn("signals", apart(F.col("_matches"), named)).drop("_matches")
+    none = F.array().cast("array<struct<code:string,rule_id:string,confidence:double,locked:boolean,start:int,end:int>>")
+    own = units.withColumn("_matches", F.struct(F.when(marked, apart(F.struct("text", "folded"), places)).alias("places"), near_end.alias("near")))
+    return own.withColumn("signals", F.when(F.col("_matches.places").isNotNull(), apart(F.col("_matches"), named)).otherwise(none)).drop("_matches")
 
 
 def typed(fold: Column, typed_patterns) -> Column:
@@ -97,9 +99,10 @@ def annotate(units: DataFrame, rules=L.FUNCTION_RULES, normalise: bool = True) -
     normalise=False a pass over texts that are normalised already, as those of segment_texts.
     """
     own = with_signals(units.withColumn("folded", folded(F.col("text"), normalise)), near_end(units), rules)
-    codes = lambda held: normalize_codes(F.transform(F.filter("signals", lambda s: s["locked"] == held), lambda s: s["code"]))
+    # Most units have no signals, and so no codes to put in order.
+    codes = lambda held: F.when(F.size("signals") > 0, normalize_codes(F.transform(F.filter("signals", lambda s: s["locked"] == held), lambda s: s["code"]))).otherwise(strings())
     own = own.withColumn("locked_functions", codes(True))
-    own = own.withColumn("candidate_functions", F.array_except(codes(False), F.col("locked_functions")))
+    own = own.withColumn("candidate_functions", F.when(F.size("locked_functions") > 0, F.array_except(codes(False), F.col("locked_functions"))).otherwise(codes(False)))
     own = own.withColumns({"candidate_certainty": typed(F.col("folded"), L.CERTAINTY), "candidate_stance": typed(F.col("folded"), L.STANCE), "candidate_emotion_expressed": typed(F.col("folded"), L.EMOTION_EXPRESSED)})
     own = own.withColumn("candidate_emotions_mentioned", emotions_mentioned(F.col("folded")))
     span = lambda s: F.struct(F.substring(F.col("text"), s["start"] + 1, s["end"] - s["start"]).alias("text"), s["start"].alias("char_start"), s["end"].alias("char_end"), s["rule_id"].alias("source"))

@@ -103,25 +103,35 @@ def running_sums(values: Column, block: int = 256) -> tuple[Column, Callable[[Co
     return blocks, finish
 
 
-def segment_texts(docs: DataFrame, limit: int = MAX_UNIT_CHARS, keep: tuple[str, ...] = ()) -> DataFrame:
+def segment_texts(docs: DataFrame, limit: int = MAX_UNIT_CHARS, keep: tuple[str, ...] = (), context: int = 0, offsets: bool = True) -> DataFrame:
     """document_id, sequence_index, text, char_start, char_end, unit_id, neighbours and unit_count of the units of docs(document_id, text).
 
     Offsets index the normalised text, in which units are one space apart. Null
     and empty texts give no units. keep: columns of docs to carry along. All of a
     document's units stand in one array before they are rows, so nothing is shuffled.
+    context: how many texts on either side to give as context_before and context_after.
+    Without offsets there are no char_start and char_end.
     """
     cut = docs.select("document_id", *keep, pieces_of(normalized(F.col("text")), limit).alias("_pieces"))
-    blocks, finish = running_sums(F.transform("_pieces", lambda p: F.length(p) + 1))
-    cut = cut.withColumn("_blocks", blocks).withColumn("_starts", finish(F.col("_blocks")))
+    if offsets:
+        blocks, finish = running_sums(F.transform("_pieces", lambda p: F.length(p) + 1))
+        cut = cut.withColumn("_blocks", blocks).withColumn("_starts", finish(F.col("_blocks")))
     # The count goes with each piece: a column beside them would be worked out after the rows are made, each of which would carry the whole array until then.
     total = F.array_repeat(F.size("_pieces"), F.size("_pieces"))
-    units = cut.select("document_id", *keep, F.posexplode(F.arrays_zip("_pieces", "_starts", total.alias("_total"))).alias("sequence_index", "u"))
+    beside = {}
+    if context:
+        reach, own = F.lit(context), F.col("_pieces")
+        beside["context_before"] = F.transform(own, lambda _, i: F.slice(own, F.greatest(F.lit(1), i + 1 - reach), F.least(i, reach)))
+        beside["context_after"] = F.transform(own, lambda _, i: F.slice(own, i + 2, reach))
+    units = cut.select("document_id", *keep, F.posexplode(F.arrays_zip("_pieces", *(["_starts"] if offsets else []), total.alias("_total"), *[c.alias(n) for n, c in beside.items()])).alias("sequence_index", "u"))
     units = units.withColumn("unit_count", F.col("u._total"))
     name = lambda i: unit_name(F.col("document_id"), i)
     at = F.col("sequence_index")
+    places = [F.col("u._starts").alias("char_start"), (F.col("u._starts") + F.length("u._pieces")).alias("char_end")] if offsets else []
     return units.select(
-        "document_id", *keep, "sequence_index", F.col("u._pieces").alias("text"), F.col("u._starts").alias("char_start"), (F.col("u._starts") + F.length("u._pieces")).alias("char_end"),
+        "document_id", *keep, "sequence_index", F.col("u._pieces").alias("text"), *places,
         name(at).alias("unit_id"), F.when(at > 0, name(at - 1)).alias("previous_unit_id"), F.when(at + 1 < F.col("unit_count"), name(at + 1)).alias("next_unit_id"), "unit_count",
+        *[F.col(f"u.{n}").alias(n) for n in beside],
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -664,10 +665,14 @@ def json_contract_roundtrip(spark, d):
     return table(spark, d, "events").select("event_id", F.size(again).cast("long").alias("n_keys"))
 
 
+#: As in the SQL.
+_DIGIT = re.compile("[0-9]")
+
+
 def stub_transport(request: str) -> str:
     """A model that answers from the text alone, for tests and dry systems."""
     text = json.loads(request).get("text") or ""
-    return json.dumps({"functions": ["D" if any(c.isdigit() for c in text) else "A"], "confidence": 0.9})
+    return f'{{"functions": ["{"D" if _DIGIT.search(text) else "A"}"], "confidence": 0.9}}'
 
 
 @query(_rules_sql() + """, p AS (SELECT DISTINCT document_id, seq FROM hits WHERE code = 'P' AND s IS NOT NULL),
@@ -675,5 +680,8 @@ u AS (SELECT pieces.*, row_number() OVER (PARTITION BY document_id ORDER BY seq
 SELECT u.lang, CASE WHEN p.seq IS NOT NULL THEN 'P' WHEN z.seq IS NOT NULL THEN 'Z' WHEN regexp_matches(u.text, '\\d') THEN 'D' ELSE 'A' END AS primary_function, 'llm' AS method, count(*) AS n
 FROM u LEFT JOIN p USING (document_id, seq) LEFT JOIN z USING (document_id, seq) GROUP BY ALL""")
 def llm_stub_classify(spark, d):
-    own = M.classify(H.annotate(X.units(spark, d), normalise=False), stub_transport)
-    return own.groupBy("lang", "primary_function", "method").agg(F.count(F.lit(1)).alias("n"))
+    # Names of units differ where those of documents do.
+    distinct = table(spark, d, "documents").groupBy("doc_id").count().where("count > 1").isEmpty()
+    by = ("lang", "primary_function", "method")
+    own = M.classify(H.annotate(X.units(spark, d, context=2, offsets=False), normalise=False), stub_transport, parallel=None, distinct=distinct, only=by)
+    return own.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))

@@ -25,8 +25,8 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "documents")).select(F.col("doc_id").alias("document_id"), "text", "lang")
 
 
-def units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return segment_texts(documents(spark, sf_dir), keep=("lang",))
+def units(spark: SparkSession, sf_dir: str, **how: int | bool) -> DataFrame:
+    return segment_texts(documents(spark, sf_dir), keep=("lang",), **how)
 
 
 def chosen(**tests: Column) -> Column:

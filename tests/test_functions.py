@@ -69,6 +69,38 @@ def test_texts_settled_without_python_are_as_python_has_them(spark):
     assert not any(r.sent for r, x in zip(own, texts) if x and x in "abcXYZ áéñüß¿¡«»–—“”")
 
 
+def test_normalised_texts_are_as_python_has_them(spark):
+    import re
+    import unicodedata
+
+    from fableloom.functions import text as t
+
+    def plain(x):
+        x = unicodedata.normalize("NFKC", x)
+        x = "".join(t.REPLACED.get(c, c) for c in x if c not in t.ZERO_WIDTH).replace("\u2026", "...")
+        return re.sub(r"[\s\x1c-\x1f\x85]+", " ", x).strip(" ")
+
+    texts = [f" a{chr(i)}  b{chr(i)}{chr(i)}c\td" for i in (*range(1, 0x2100), *range(0x3000, 0x3010), 0xFEFF, 0x1F600, 0x1D400)]
+    own = spark.createDataFrame(list(enumerate(texts)), "k int, x string").select("k", normalized(F.col("x")).alias("n")).orderBy("k").collect()
+    assert [r.n for r in own] == [plain(x) for x in texts]
+    # Whole texts are not searched by classes of many ranges, of which ASCII has no part.
+    assert t._UNSTABLE.startswith("(?=[^\\x00-\\x7f])") and t._UNCOMMON.startswith("(?=[^\\x00-\\x7f])")
+
+
+def test_texts_that_may_match_hold_all_that_do(spark):
+    from fableloom.functions import lexicon
+    from fableloom.functions import text as t
+
+    rules = (*[p for r in lexicon.FUNCTION_RULES for p in r[3]], *lexicon.CONCLUSION_PATTERNS, r"\b¿que\b", r"\b3 veces\b", r"\bste\b", r"\bte\b", r"\bte digo\b")
+    words = ["te", "te recomiendo", "ste", "texto", "dijo: no", "dijo:", "año¿que", "en resumen", "13 veces", "3 veces", "ñte", "te1", "datos", "datosa", 'x "y" z', "50%", "haz algo", "no haz", "porque", "por que", "٣", "nada", ""]
+    texts = [*words, *[f"{a}{b}{c}" for a in ("x ", "(", "é", "_", "1") for b in words for c in ("", ".", "s", "_", "é", " y")]]
+    own = spark.createDataFrame([(x,) for x in texts], "x string").select("x", t.matches_any(F.col("x"), rules).alias("is"), t.may_match(F.col("x"), rules).alias("may"))
+    found = own.collect()
+    assert not [r.x for r in found if r["is"] and not r.may] and [r.x for r in found if not r.may]
+    assert own.where("x IN ('nada', 'texto', 'datosa', 'no haz')").where("may").count() == 0
+    assert spark.range(1).select(t.may_match(F.lit("a"), (r"\d",)).alias("m")).first().m is False
+
+
 def test_units_do_not_carry_their_document(spark):
     """Made rows of a long document took the square of its length, as each held all pieces; signals were looked for twice."""
     from fableloom.operators import heuristics, segment

@@ -360,6 +360,52 @@ def test_requests_are_moved_once(spark, monkeypatch):
     assert plan.count("Exchange hash") == 1 and seen[0].rdd.getNumPartitions() == 3
 
 
+def told(df):
+    return sorted(map(str, df.select("unit_id", "functions", "primary_function", "method", "needs_review", "review_reasons", "confidence", "evidence_spans", "llm_usage").collect()))
+
+
+def test_distinct_requests_are_asked_where_they_stand(spark, monkeypatch, tmp_path):
+    texts = [("a", "Uno. ¿Dos? malo. Tres 4. Pero no. En resumen, fin."), ("b", "Solo uno"), ("c", "malo. Bueno, dijo: sí")]
+    cut = segment.segment_texts(spark.createDataFrame(texts, "document_id string, text string"), context=2)
+    own, plain = (heuristics.annotate(u, normalise=False) for u in (cut, cut.drop("context_before", "context_after")))
+    asked = lambda df: sorted(r.request for r in model_calls.classification_requests(df).collect())
+    assert asked(own) == asked(plain) and '"before":["Uno."],' in asked(own)[1]
+    log, seen, keep = tmp_path / "calls", [], model_calls.settled
+
+    def reply(request):
+        with log.open("a") as f:
+            f.write("x")
+        return "nothing" if "malo" in json.loads(request)["text"] else ('{"functions": ["N", "A"], "confidence": 0.9}', {"input_tokens": 7})
+
+    wanted = told(model_calls.classify(plain, reply))
+    n = len(log.read_text())
+    monkeypatch.setattr(model_calls, "settled", lambda df: seen.append(df) or keep(df))
+    found = model_calls.classify(own, reply, distinct=True)
+    assert told(found) == told(found) == wanted and len(log.read_text()) == 2 * n == 2 * own.count()
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan and "Window" not in plan
+    assert model_calls.classify(own, reply, distinct=True, only=("unit_id", "method")).columns == ["unit_id", "method"]
+
+
+def test_stub_query_cuts_texts_once_and_keeps_repeated_documents(spark, monkeypatch, tmp_path):
+    from fableloom.plans import catalogue
+
+    rows = [(1, "Uno. ¿Dos? Tres 4.", "es"), (2, "One. Two 2.", "en"), (3, None, "en"), (4, "En resumen, fin.", "es")]
+    seen, keep = [], model_calls.settled
+    monkeypatch.setattr(model_calls, "settled", lambda df: seen.append(df) or keep(df))
+
+    def counted(rows):
+        d = str(tmp_path / str(len(seen)))
+        spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{d}/documents.parquet")
+        return sorted(tuple(r) for r in catalogue.llm_stub_classify(spark, d).collect())
+
+    assert counted(rows) == [("en", "A", "llm", 1), ("en", "D", "llm", 1), ("es", "A", "llm", 1), ("es", "D", "llm", 1), ("es", "P", "llm", 1), ("es", "Z", "llm", 1)]
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Generate posexplode") == 1 and "Exchange hash" not in plan and seen[0].columns == ["lang", "primary_function", "method"]
+    # The same document twice, and another text under an id that is taken.
+    assert counted([*rows, rows[1], (4, "Fin. 5", "fr")]) == [("en", "A", "llm", 2), ("en", "D", "llm", 2), ("es", "A", "llm", 1), ("es", "D", "llm", 1), ("es", "P", "llm", 1), ("es", "Z", "llm", 1), ("fr", "A", "llm", 1), ("fr", "D", "llm", 1)]
+
+
 def test_classify_keeps_locks_and_falls_back(spark):
     own = heuristics.annotate(units(spark, ("N", "¿Qué dices?"), ("N", "malo")))
     reply = lambda r: "nothing" if "malo" in json.loads(r)["text"] else '{"functions": ["A"], "primary_function": "A", "confidence": 0.9}'
